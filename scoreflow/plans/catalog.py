@@ -194,8 +194,9 @@ SCORER_WEIGHTS = {"tier": -0.45, "sex": 1.3, "age": -0.012, "fare": 2.0e-6,
 
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = feature_rows(spark, sf_dir)
-    p = S.logistic(S.linear_margin(SCORER_WEIGHTS, SCORER_INTERCEPT))
-    return f.withColumn("prob", p).withColumn("pred", (F.col("prob") > 0.5).cast("int"))
+    m = S.linear_margin(SCORER_WEIGHTS, SCORER_INTERCEPT)
+    return (f.withColumn("margin", m).withColumn("prob", S.logistic(F.col("margin")))
+            .withColumn("pred", (F.col("prob") > 0.5).cast("int")))
 
 
 @register("linear_score")
@@ -225,3 +226,86 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum((F.col("band") == "High").cast("int")).cast("long").alias("n_high"),
         F.sum((F.col("band") == "Medium").cast("int")).cast("long").alias("n_medium"),
         F.sum((F.col("band") == "Low").cast("int")).cast("long").alias("n_low"))
+
+
+# ---------------------------------------------------------------- metrics
+
+from scoreflow.operators import metrics as M  # noqa: E402
+
+
+def scored_test(spark, sf_dir):
+    return scored_rows(spark, sf_dir).where(F.col("is_test"))
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    return M.binary_metrics(scored_test(spark, sf_dir), LABEL, "pred", "prob", score="margin")
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    a = M.roc_auc(scored_rows(spark, sf_dir), LABEL, "margin")
+    return a.select(rnd("roc_auc").alias("roc_auc"))
+
+
+@register("log_loss")
+def q_log_loss(spark, sf_dir):
+    ll = M.log_loss(scored_test(spark, sf_dir), LABEL, "prob")
+    return ll.select(rnd("log_loss").alias("log_loss"))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    return M.classification_report(scored_test(spark, sf_dir), LABEL, "pred",
+                                   class_names=("Not Survived", "Survived"))
+
+
+def fold_metrics(spark, sf_dir):
+    tr = scored_rows(spark, sf_dir).where(~F.col("is_test"))
+    folded = assign_folds(tr, LABEL, ID, k=5, seed=42)
+    return M.binary_metrics(folded, LABEL, "pred", "prob", by=["fold"], score="margin")
+
+
+@register("fold_metrics")
+def q_fold_metrics(spark, sf_dir):
+    return fold_metrics(spark, sf_dir)
+
+
+@register("cv_summary")
+def q_cv_summary(spark, sf_dir):
+    return M.cv_summary(fold_metrics(spark, sf_dir), M.METRIC_NAMES)
+
+
+# ---------------------------------------------------------------- batch scoring
+
+from scoreflow.plans import batch as B  # noqa: E402
+
+MODEL_NAME, MODEL_VERSION = "preset_linear", "1"
+
+
+def prediction_rows(spark, sf_dir, with_time: bool = False):
+    """Scored rows joined back to the raw source columns (by id, not position)."""
+    raw = subjects(spark, sf_dir).select(ID, "tier", "sex", "age", "fare")
+    scored = scored_rows(spark, sf_dir).select(ID, "prob", "pred")
+    return B.predictions_table(raw.join(scored, ID), ID, "pred", "prob", MODEL_NAME,
+                               MODEL_VERSION, with_time=with_time)
+
+
+@register("predictions_table")
+def q_predictions_table(spark, sf_dir):
+    return prediction_rows(spark, sf_dir)
+
+
+@register("prediction_summary")
+def q_prediction_summary(spark, sf_dir):
+    return B.prediction_summary(prediction_rows(spark, sf_dir))
+
+
+@register("confidence_distribution")
+def q_confidence_distribution(spark, sf_dir):
+    return B.confidence_distribution(prediction_rows(spark, sf_dir))
+
+
+@register("top10_predictions")
+def q_top10_predictions(spark, sf_dir):
+    return B.top_predictions(prediction_rows(spark, sf_dir), ID, k=10)

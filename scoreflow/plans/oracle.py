@@ -75,7 +75,8 @@ from scoreflow.plans.sqltext import confidence_sql  # noqa: E402
 _MARGIN = " + ".join([str(_C.SCORER_INTERCEPT)] + [
     f"{w} * cast({c} as double)" for c, w in _C.SCORER_WEIGHTS.items()])
 SCORED_SQL = f"""
-scored0 as (select feat2.*, 1.0 / (1.0 + exp(-({_MARGIN}))) as prob from feat2),
+scored00 as (select feat2.*, {_MARGIN} as margin from feat2),
+scored0 as (select scored00.*, 1.0 / (1.0 + exp(-margin)) as prob from scored00),
 scored as (select scored0.*, cast(prob > 0.5 as integer) as pred from scored0)
 """
 _SC = (*_FEAT, SCORED_SQL)
@@ -92,3 +93,115 @@ select {_TNAME} as title, count(*) as n, cast(sum(pred) as bigint) as predicted_
   cast(sum(case when {confidence_sql('prob')} = 'Medium' then 1 else 0 end) as bigint) as n_medium,
   cast(sum(case when {confidence_sql('prob')} = 'Low' then 1 else 0 end) as bigint) as n_low
 from scored group by 1""")
+
+# ---------------------------------------------------------------- metrics
+_TEST = "scored join split using (subject_id) where split.rk <= ceil(0.2 * split.cn)"
+
+
+def _rates(tp, fp, fn, tn):
+    def sd(a, b):
+        return f"(case when ({b}) = 0 then 0.0 else cast({a} as double) / ({b}) end)"
+    return {"accuracy": sd(f"{tp} + {tn}", f"{tp} + {fp} + {fn} + {tn}"),
+            "recall": sd(tp, f"{tp} + {fn}"), "precision": sd(tp, f"{tp} + {fp}"),
+            "f1": sd(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}")}
+
+
+_CONF = """
+sum(case when scored.label = 1 and pred = 1 then 1 else 0 end) as tp,
+sum(case when scored.label <> 1 and pred = 1 then 1 else 0 end) as fp,
+sum(case when scored.label = 1 and pred <> 1 then 1 else 0 end) as fn,
+sum(case when scored.label <> 1 and pred <> 1 then 1 else 0 end) as tn"""
+
+_EPS = "2.220446049250313e-16"
+_LL = (f"avg(-ln(case when scored.label = 1 then least(greatest(prob, {_EPS}), 1 - {_EPS}) "
+       f"else 1 - least(greatest(prob, {_EPS}), 1 - {_EPS}) end))")
+
+
+def _auc_sql(src: str, by: str = "") -> str:
+    gb = f"{by}, " if by else ""
+    part = f"partition by {by} " if by else ""
+    return f"""
+auc_g as (select {gb}margin as s, sum(case when scored.label = 1 then 1 else 0 end) as pos,
+                 sum(case when scored.label = 1 then 0 else 1 end) as neg
+          from {src} group by {gb}margin),
+auc_r as (select *, coalesce(sum(neg) over ({part}order by s rows between unbounded preceding
+          and 1 preceding), 0) as below from auc_g),
+auc as (select {gb}case when sum(pos) = 0 or sum(neg) = 0 then null else
+          cast(sum(2 * pos * below + pos * neg) as double) / (2.0 * sum(pos) * sum(neg)) end as roc_auc
+        from auc_r {('group by ' + by) if by else ''})
+"""
+
+
+_R = _rates("tp", "fp", "fn", "tn")
+ORACLE["binary_metrics"] = with_ctes(*_SC, _auc_sql(_TEST), f"""
+conf as (select {_CONF}, {_LL} as ll from {_TEST})""", body="select " + ", ".join(
+    f"round({e}, 6) as {k}" for k, e in _R.items())
+    + ", round((select roc_auc from auc), 6) as roc_auc, round(ll, 6) as log_loss from conf")
+
+ORACLE["roc_auc"] = with_ctes(*_SC, _auc_sql("scored"), body="select round(roc_auc, 6) as roc_auc from auc")
+ORACLE["log_loss"] = with_ctes(*_SC, body=f"select round({_LL}, 6) as log_loss from {_TEST}")
+
+
+def _report_sql() -> str:
+    pos = _rates("tp", "fp", "fn", "tn")
+    neg = _rates("tn", "fn", "fp", "tp")
+    n = "(tp + fp + fn + tn)"
+    w0, w1 = f"(cast(tn + fp as double) / {n})", f"(cast(tp + fn as double) / {n})"
+
+    def row(name, p, r, f, s):
+        def rr(e):
+            return "cast(null as double)" if e is None else f"round({e}, 6)"
+        return (f"select '{name}' as row, {rr(p)} as precision, {rr(r)} as recall, "
+                f"{rr(f)} as f1_score, cast({s} as bigint) as support from conf")
+    rows = [row("Not Survived", neg["precision"], neg["recall"], neg["f1"], "tn + fp"),
+            row("Survived", pos["precision"], pos["recall"], pos["f1"], "tp + fn"),
+            row("accuracy", None, None, pos["accuracy"], n),
+            row("macro avg", f"({neg['precision']} + {pos['precision']}) / 2",
+                f"({neg['recall']} + {pos['recall']}) / 2", f"({neg['f1']} + {pos['f1']}) / 2", n),
+            row("weighted avg", f"{w0} * {neg['precision']} + {w1} * {pos['precision']}",
+                f"{w0} * {neg['recall']} + {w1} * {pos['recall']}",
+                f"{w0} * {neg['f1']} + {w1} * {pos['f1']}", n)]
+    return "\nunion all\n".join(rows)
+
+
+ORACLE["classification_report"] = with_ctes(*_SC, f"conf as (select {_CONF} from {_TEST})",
+                                            body=_report_sql())
+
+_FOLDS = """
+folded as (select scored.*, cast((row_number() over (partition by scored.label
+    order by md5(cast(subject_id as varchar) || ':42'), subject_id) - 1) % 5 as integer) as fold
+  from scored join train using (subject_id)),
+fconf as (select fold, """ + _CONF.replace("scored.label", "folded.label") + ", " + _LL.replace(
+    "scored.label", "folded.label") + """ as ll from folded group by fold)
+"""
+_FOLD_METRICS = with_ctes(*_SC, _FOLDS, _auc_sql("folded", "fold").replace(
+    "scored.label", "folded.label"), body="select fconf.fold, " + ", ".join(
+    f"round({e}, 6) as {k}" for k, e in _R.items())
+    + ", round(auc.roc_auc, 6) as roc_auc, round(ll, 6) as log_loss "
+      "from fconf join auc on auc.fold = fconf.fold")
+ORACLE["fold_metrics"] = _FOLD_METRICS
+ORACLE["cv_summary"] = "select " + ", ".join(
+    f"round(avg({m}), 6) as cv_{m}_mean, round(stddev_pop({m}), 6) as cv_{m}_std"
+    for m in ["accuracy", "recall", "precision", "f1", "roc_auc", "log_loss"]) + \
+    f" from ({_FOLD_METRICS}) fm"
+
+# ---------------------------------------------------------------- batch scoring
+_PRED = (*_SC, f"""
+preds as (select s.subject_id, s.tier, s.sex, s.age, s.fare, sc.pred,
+  round(sc.prob, 4) as prob, {confidence_sql('sc.prob')} as confidence,
+  'preset_linear' as model_name, '1' as model_version
+  from subjects s join scored sc using (subject_id))""")
+ORACLE["predictions_table"] = with_ctes(*_PRED, body="select * from preds")
+ORACLE["prediction_summary"] = with_ctes(*_PRED, body="""
+select count(*) as total, cast(sum(pred) as bigint) as positive,
+  count(*) - cast(sum(pred) as bigint) as negative,
+  round(avg(prob) * 100, 2) as avg_prob_pct,
+  round(sum(pred) * 100.0 / nullif(count(*), 0), 2) as positive_rate_pct
+from preds""")
+ORACLE["confidence_distribution"] = with_ctes(*_PRED, body="""
+select l.confidence, cast(coalesce(c.n, 0) as bigint) as n
+from (select 'High' as confidence union all select 'Medium' union all select 'Low') l
+left join (select confidence, count(*) as n from preds group by confidence) c using (confidence)""")
+ORACLE["top10_predictions"] = with_ctes(*_PRED, body="""
+select subject_id, sex, tier, pred, prob, confidence from preds
+order by prob desc, subject_id limit 10""")
