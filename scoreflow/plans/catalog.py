@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scoreflow.functions import exact_quantiles, mode_of
@@ -48,10 +48,21 @@ def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_subjects(spark, sf_dir).where(~F.col("is_test"))
 
 
+_FITTED: dict = {}
+
+
 def fitted_features(spark: SparkSession, sf_dir: str, keep=(ID, LABEL, "is_test")):
-    """Encoded-feature model fit on the training split only."""
+    """Encoded-feature model fit on the training split only.
+
+    The fitted model is a handful of statistics; it is memoised per session
+    and data directory so queries sharing it do not refit.
+    """
     split = split_subjects(spark, sf_dir)
-    model = EncodedFeatures(keepCols=list(keep)).fit(split.where(~F.col("is_test")))
+    key = (id(spark), sf_dir, tuple(keep))
+    model = _FITTED.get(key)
+    if model is None:
+        model = EncodedFeatures(keepCols=list(keep)).fit(split.where(~F.col("is_test")))
+        _FITTED[key] = model
     return model, split
 
 
@@ -309,3 +320,163 @@ def q_confidence_distribution(spark, sf_dir):
 @register("top10_predictions")
 def q_top10_predictions(spark, sf_dir):
     return B.top_predictions(prediction_rows(spark, sf_dir), ID, k=10)
+
+
+# ---------------------------------------------------------------- intake: conform / validate / JSON
+
+from scoreflow.operators import quality as Q  # noqa: E402
+from scoreflow.sources.tables import intake  # noqa: E402
+
+REQUEST_SIZE = 5  # records per generated request
+
+
+@register("conform_columns")
+def q_conform_columns(spark, sf_dir):
+    return Q.conform(intake(spark, sf_dir))
+
+
+def validated_intake(spark, sf_dir):
+    return Q.validate(Q.conform(intake(spark, sf_dir)))
+
+
+@register("validate_records")
+def q_validate_records(spark, sf_dir):
+    v = validated_intake(spark, sf_dir)
+    return v.select(ID, "sex", "port", F.size("violations").alias("n_violations"),
+                    F.concat_ws(",", "violations").alias("violations"))
+
+
+@register("reject_reasons")
+def q_reject_reasons(spark, sf_dir):
+    v = validated_intake(spark, sf_dir)
+    return v.select(F.explode("violations").alias("reason")).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def intake_requests(spark, sf_dir):
+    """Group intake records into JSON request bodies of REQUEST_SIZE records."""
+    src = intake(spark, sf_dir)
+    rec = F.struct(F.col(ID).alias("_order"), *[F.col(c) for c in
+                   ("tier", "sex", "age", "sibsp", "parch", "fare", "port", "full_name")])
+    grouped = src.groupBy((F.col(ID) / REQUEST_SIZE).cast("long").alias("request_id")).agg(
+        F.array_sort(F.collect_list(rec)).alias("passengers"))
+    return grouped.select("request_id", F.to_json(F.struct("passengers")).alias("body"))
+
+
+@register("json_records")
+def q_json_records(spark, sf_dir):
+    recs = Q.explode_requests(intake_requests(spark, sf_dir))
+    return Q.conform(recs, keep_extra=True, null_as_absent=True).select(
+        "request_id", ID, "tier", "sex", "age", "sibsp", "parch", "fare", "port", "full_name",
+        "ticket")
+
+
+# ---------------------------------------------------------------- runs, registry, ensembles
+
+from scoreflow.operators import ensemble as E  # noqa: E402
+from scoreflow.plans import tracking as TR  # noqa: E402
+
+# Parameters: preset linear scorers standing in for stage-1 (base) and
+# stage-2 (tuned) runs: (stage, model) -> (intercept, weights).
+PRESET_SCORERS = {
+    ("stage1", "logistic_regression"): (SCORER_INTERCEPT, SCORER_WEIGHTS),
+    ("stage1", "sex_tier"): (-0.6, {"sex": 1.6, "tier": -0.35}),
+    ("stage1", "fare_only"): (-1.0, {"fare": 4.0e-6}),
+    ("stage1", "family"): (0.2, {"family_size": -0.25, "alone": -0.4, "sex": 1.1}),
+    ("stage1", "age_title"): (0.3, {"age": -0.02, "title": 0.2, "sex": 0.9}),
+    ("stage1", "port_class"): (-0.1, {"port": 0.15, "tier": -0.3, "fare": 1.0e-6}),
+    ("stage2", "logistic_regression"): (-0.3, {"tier": -0.5, "sex": 1.4, "age": -0.01,
+                                               "fare": 2.5e-6, "family_size": -0.1}),
+    ("stage2", "sex_tier"): (-0.7, {"sex": 1.8, "tier": -0.3}),
+    ("stage2", "fare_only"): (-1.2, {"fare": 4.5e-6, "tier": -0.1}),
+    ("stage2", "family"): (0.1, {"family_size": -0.2, "alone": -0.3, "sex": 1.3}),
+    ("stage2", "age_title"): (0.2, {"age": -0.015, "title": 0.25, "sex": 1.0}),
+    ("stage2", "bands"): (-0.5, {"age_band": -0.2, "fare_cat": 0.3, "sex": 1.2}),
+}
+VOTE_MEMBERS = ["logistic_regression", "sex_tier", "family", "age_title"]
+
+
+def preset_long(spark, sf_dir, stage: str | None = None) -> DataFrame:
+    """(subject_id, label, is_test, stage, model, margin, prob, pred) per preset."""
+    f = feature_rows(spark, sf_dir)
+    items = [(k, v) for k, v in PRESET_SCORERS.items() if stage is None or k[0] == stage]
+    arr = F.array(*[F.struct(F.lit(st).alias("stage"), F.lit(md).alias("model"),
+                             S.linear_margin(w, b).alias("margin"))
+                    for (st, md), (b, w) in items])
+    long = f.select(ID, LABEL, "is_test", F.explode(arr).alias("_p")).select(
+        ID, LABEL, "is_test", "_p.*")
+    return (long.withColumn("prob", S.logistic(F.col("margin")))
+                .withColumn("pred", (F.col("prob") > 0.5).cast("int")))
+
+
+def run_metrics(spark, sf_dir) -> DataFrame:
+    test = preset_long(spark, sf_dir).where(F.col("is_test"))
+    m = M.binary_metrics(test, LABEL, "pred", "prob", by=["stage", "model"], score="margin")
+    return m.withColumn("run_id", TR.run_key(F.col("stage"), F.col("model")))
+
+
+def runs_table(spark, sf_dir) -> DataFrame:
+    m = run_metrics(spark, sf_dir)
+    packed = M.metric_map(m, M.METRIC_NAMES, prefix="test_", keep=["run_id", "stage", "model"])
+    return packed.select("run_id", "stage", "model", F.lit(None).cast("string").alias("parent_run_id"),
+                         F.create_map().cast("map<string,string>").alias("params"), "metrics",
+                         F.create_map(F.lit("stage"), F.col("stage")).alias("tags"),
+                         F.lit(None).cast("double").alias("duration_sec"),
+                         F.lit(None).cast("string").alias("model_path"))
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    return run_metrics(spark, sf_dir).select("run_id", "stage", "model", *M.METRIC_NAMES)
+
+
+@register("best_run")
+def q_best_run(spark, sf_dir):
+    b = TR.best_run(runs_table(spark, sf_dir), "test_roc_auc")
+    return b.select("run_id", "stage", "model",
+                    F.col("metrics")["test_roc_auc"].alias("test_roc_auc"))
+
+
+@register("stage_results_outer")
+def q_stage_results_outer(spark, sf_dir):
+    m = run_metrics(spark, sf_dir)
+    s1 = m.where(F.col("stage") == "stage1")
+    s2 = m.where(F.col("stage") == "stage2")
+    return TR.stage_results(s1, s2, "roc_auc", "roc_auc")
+
+
+REGISTRY_NAME = "best-model"
+
+
+def registered_versions(spark, sf_dir) -> DataFrame:
+    """Every run registered once, in run-id order; the previous latest is in
+    Production, older ones archived, the newest not yet promoted.
+
+    The windows run over the runs table -- one row per run, a bounded
+    handful -- so the single window partition is intentional.
+    """
+    runs = runs_table(spark, sf_dir).select("run_id")
+    v = F.row_number().over(Window.orderBy("run_id")).cast("long")
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    out = runs.select(F.lit(REGISTRY_NAME).alias("name"), v.alias("_v"), n.alias("_n"), "run_id")
+    return out.select("name", F.col("_v").cast("string").alias("version"), "run_id",
+                      F.when(F.col("_v") == F.col("_n"), "None")
+                      .when(F.col("_v") == F.col("_n") - 1, "Production")
+                      .otherwise("Archived").alias("stage"))
+
+
+@register("latest_version")
+def q_latest_version(spark, sf_dir):
+    return TR.latest_versions(registered_versions(spark, sf_dir))
+
+
+@register("promote_version")
+def q_promote_version(spark, sf_dir):
+    return TR.promote_latest(registered_versions(spark, sf_dir))
+
+
+@register("soft_vote")
+def q_soft_vote(spark, sf_dir):
+    long = preset_long(spark, sf_dir, "stage2").withColumnRenamed("model", "member")
+    v = E.soft_vote(long, ID, members=VOTE_MEMBERS)
+    return v.select(ID, rnd("vote_prob").alias("vote_prob"), "vote_pred", "n_members")

@@ -205,3 +205,93 @@ left join (select confidence, count(*) as n from preds group by confidence) c us
 ORACLE["top10_predictions"] = with_ctes(*_PRED, body="""
 select subject_id, sex, tier, pred, prob, confidence from preds
 order by prob desc, subject_id limit 10""")
+
+# ---------------------------------------------------------------- intake
+from scoreflow.sources.tables import INTAKE_SQL  # noqa: E402
+
+_INTAKE = f"""intake as ({INTAKE_SQL}),
+conformed as (select subject_id, tier, full_name, sex, age, coalesce(sibsp, 0) as sibsp,
+  coalesce(parch, 0) as parch, 'UNKNOWN' as ticket, fare, cast(null as varchar) as cabin, port
+  from intake),
+normed as (select subject_id, tier, full_name, lower(sex) as sex, age, sibsp, parch, ticket, fare,
+  cabin, nullif(upper(trim(port)), '') as port from conformed),
+validated as (select normed.*, list_filter([
+    case when tier is null or tier < 1 or tier > 3 then 'tier_out_of_range' end,
+    case when sex is null or sex not in ('male', 'female') then 'sex_invalid' end,
+    case when age is not null and (age < 0.0 or age > 120.0) then 'age_out_of_range' end,
+    case when sibsp < 0 then 'sibsp_negative' end,
+    case when parch < 0 then 'parch_negative' end,
+    case when fare is not null and fare < 0 then 'fare_negative' end,
+    case when port is not null and port not in ('S', 'C', 'Q') then 'port_invalid' end],
+  lambda x: x is not null) as violations from normed)"""
+
+ORACLE["conform_columns"] = with_ctes(_INTAKE, body="select * from conformed")
+ORACLE["validate_records"] = with_ctes(_INTAKE, body="""
+select subject_id, sex, port, cast(len(violations) as integer) as n_violations,
+  array_to_string(violations, ',') as violations from validated""")
+ORACLE["reject_reasons"] = with_ctes(_INTAKE, body="""
+select reason, count(*) as n from (select unnest(violations) as reason from validated)
+group by reason""")
+ORACLE["json_records"] = with_ctes(_INTAKE, body="""
+select cast(subject_id // 5 as bigint) as request_id,
+  cast(row_number() over (partition by subject_id // 5 order by subject_id) as bigint) as subject_id,
+  tier, sex, age, coalesce(sibsp, 0) as sibsp, coalesce(parch, 0) as parch, fare, port, full_name,
+  'UNKNOWN' as ticket
+from intake""")
+
+# ---------------------------------------------------------------- runs, registry, ensembles
+
+
+def _margin_sql(b, w):
+    return " + ".join([str(b)] + [f"{x} * cast({c} as double)" for c, x in w.items()])
+
+
+_LONG = "preset_long as (" + "\nunion all\n".join(
+    f"select subject_id, label, '{st}' as stage, '{md}' as model, {_margin_sql(b, w)} as margin "
+    f"from feat2" for (st, md), (b, w) in _C.PRESET_SCORERS.items()) + """),
+preset_scored as (select p.*, 1.0 / (1.0 + exp(-margin)) as prob,
+  cast(1.0 / (1.0 + exp(-margin)) > 0.5 as integer) as pred from preset_long p)"""
+_LONG_TEST = ("preset_test as (select p.* from preset_scored p join test using (subject_id))")
+_RUN_AUC = """
+rauc_g as (select stage, model, margin as s, sum(case when label = 1 then 1 else 0 end) as pos,
+  sum(case when label = 1 then 0 else 1 end) as neg from preset_test group by stage, model, margin),
+rauc_r as (select *, coalesce(sum(neg) over (partition by stage, model order by s rows between
+  unbounded preceding and 1 preceding), 0) as below from rauc_g),
+rauc as (select stage, model, cast(sum(2 * pos * below + pos * neg) as double)
+  / (2.0 * sum(pos) * sum(neg)) as roc_auc from rauc_r group by stage, model)"""
+_RUN_CONF = "rconf as (select stage, model, " + _CONF.replace("scored.label", "label") + ", " + \
+    _LL.replace("scored.label", "label") + " as ll from preset_test group by stage, model)"
+_RUNS = (*_FEAT, _LONG, _LONG_TEST, _RUN_AUC, _RUN_CONF, """
+run_metrics as (select c.stage || '__' || c.model as run_id, c.stage, c.model, """ + ", ".join(
+    f"round({e}, 6) as {k}" for k, e in _R.items()) + """,
+  round(a.roc_auc, 6) as roc_auc, round(c.ll, 6) as log_loss
+  from rconf c join rauc a on a.stage = c.stage and a.model = c.model)""")
+
+ORACLE["run_metrics"] = with_ctes(*_RUNS, body="select * from run_metrics")
+ORACLE["best_run"] = with_ctes(*_RUNS, body="""
+select run_id, stage, model, roc_auc as test_roc_auc from run_metrics
+order by roc_auc desc nulls last, run_id limit 1""")
+ORACLE["stage_results_outer"] = with_ctes(*_RUNS, body="""
+select coalesce(a.model, b.model) as model, a.roc_auc as stage1_value, b.roc_auc as stage2_value,
+  coalesce(printf('%.4f', a.roc_auc), '—') as stage1_text,
+  coalesce(printf('%.4f', b.roc_auc), '—') as stage2_text
+from (select * from run_metrics where stage = 'stage1') a
+full outer join (select * from run_metrics where stage = 'stage2') b on a.model = b.model""")
+_VERS = (*_RUNS, """
+vers0 as (select 'best-model' as name, cast(row_number() over (order by run_id) as varchar) as version,
+  run_id from run_metrics),
+vers as (select name, version, run_id, case
+  when cast(version as bigint) = (select count(*) from run_metrics) then 'None'
+  when cast(version as bigint) = (select count(*) from run_metrics) - 1 then 'Production'
+  else 'Archived' end as stage from vers0)""")
+ORACLE["latest_version"] = with_ctes(*_VERS, body="""
+select name, version, run_id, stage from vers order by cast(version as bigint) desc limit 1""")
+ORACLE["promote_version"] = with_ctes(*_VERS, body="""
+select name, version, run_id, case
+  when cast(version as bigint) = max(cast(version as bigint)) over (partition by name) then 'Production'
+  when stage = 'Production' then 'Archived' else stage end as stage from vers""")
+ORACLE["soft_vote"] = with_ctes(*_FEAT, _LONG, body="""
+select subject_id, round(avg(prob), 6) as vote_prob, cast(avg(prob) > 0.5 as integer) as vote_pred,
+  count(*) as n_members
+from preset_scored where stage = 'stage2' and model in (""" + ", ".join(
+    f"'{m}'" for m in _C.VOTE_MEMBERS) + ") group by subject_id")
