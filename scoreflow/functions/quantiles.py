@@ -18,8 +18,9 @@ rows) that map is as large as the group.  ``exact_quantiles`` instead:
 Rows below the band are folded into one counted marker per group, so a
 single sorted (flag, value, count) array per group yields the global ranks.
 The sketch's rank error is deterministic (<= n/accuracy) and the band is
-three times wider, so the target rank is always inside; the query raises
-rather than return a wrong value if that were ever violated.
+four times wider, so for groups of at least ``accuracy`` rows the target
+ranks are always inside (smaller groups use their whole range); the query
+raises rather than return a wrong value if that were ever violated.
 """
 
 from __future__ import annotations
@@ -55,7 +56,12 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     base = df.select(*(by or [F.lit(0).alias(_GKEY)]), v.alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     nq = len(probs)
-    margin = 3.0 / accuracy
+    # percentile_approx(p) returns a value whose 1-based rank r satisfies
+    # |r - ceil(p n)| <= n / accuracy; interpolation needs the 0-based ranks
+    # floor((n-1)p) and ceil((n-1)p).  With margin 4/accuracy both are inside
+    # [approx(p - m), approx(p + m)] whenever n >= accuracy.  Smaller groups
+    # (fewer than ``accuracy`` rows, so bounded) use [min, max] as the band.
+    margin = 4.0 / accuracy
     lo_p = [max(p - margin, 0.0) for p in probs]
     hi_p = [min(p + margin, 1.0) for p in probs]
     stats = base.groupBy(*keys).agg(
@@ -64,9 +70,12 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_p + hi_p]),
                             accuracy).alias("_b"))
     bounds = [*keys, "_n"]
+    small = F.col("_n") < F.lit(accuracy)
     for i in range(nq):
-        lo = F.col("_min") if lo_p[i] == 0.0 else F.col("_b")[i]
-        hi = F.col("_max") if hi_p[i] == 1.0 else F.col("_b")[nq + i]
+        lo = F.col("_min") if lo_p[i] == 0.0 else F.when(small, F.col("_min")).otherwise(
+            F.col("_b")[i])
+        hi = F.col("_max") if hi_p[i] == 1.0 else F.when(small, F.col("_max")).otherwise(
+            F.col("_b")[nq + i])
         bounds += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}")]
     stats = stats.select(*bounds)
     # One row per group.  For the global case that is a single row, so the
