@@ -480,3 +480,43 @@ def q_soft_vote(spark, sf_dir):
     long = preset_long(spark, sf_dir, "stage2").withColumnRenamed("model", "member")
     v = E.soft_vote(long, ID, members=VOTE_MEMBERS)
     return v.select(ID, rnd("vote_prob").alias("vote_prob"), "vote_pred", "n_members")
+
+
+# ---------------------------------------------------------------- learners (no SQL oracle)
+
+from scoreflow.plans import training as TRN  # noqa: E402
+
+
+def _fit_and_test(spark, sf_dir, name: str, params: dict | None = None) -> DataFrame:
+    split = split_subjects(spark, sf_dir)
+    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+    cfg = TRN.TrainConfig()
+    model = TRN.fit_learner(name, params or {}, train, train.count(), cfg)
+    s = TRN.positive_probability(model.transform(test))
+    m = M.binary_metrics(s, LABEL, "pred", "prob")
+    return m.select(F.lit(name).alias("model"), "*")
+
+
+@register("train_logistic_regression")
+def q_train_logistic_regression(spark, sf_dir):
+    """Stage-1 logistic regression (base parameters): test metrics."""
+    return _fit_and_test(spark, sf_dir, "logistic_regression")
+
+
+@register("train_adaboost")
+def q_train_adaboost(spark, sf_dir):
+    """SAMME boosting of decision stumps (base parameters): test metrics."""
+    return _fit_and_test(spark, sf_dir, "adaboost")
+
+
+@register("batch_scores")
+def q_batch_scores(spark, sf_dir):
+    """Batch scoring with a fitted pipeline: predictions table of all rows."""
+    split = split_subjects(spark, sf_dir)
+    train = split.where(~F.col("is_test"))
+    cfg = TRN.TrainConfig()
+    model = TRN.fit_learner("logistic_regression", {}, train, train.count(), cfg)
+    raw = subjects(spark, sf_dir)
+    s = TRN.positive_probability(model.transform(raw.withColumn("is_test", F.lit(True))))
+    return B.predictions_table(s, ID, "pred", "prob", "logistic_regression", "1",
+                               with_time=False)
