@@ -520,3 +520,37 @@ def q_batch_scores(spark, sf_dir):
     s = TRN.positive_probability(model.transform(raw.withColumn("is_test", F.lit(True))))
     return B.predictions_table(s, ID, "pred", "prob", "logistic_regression", "1",
                                with_time=False)
+
+
+# ---------------------------------------------------------------- streaming (X1)
+
+import uuid  # noqa: E402
+
+from scoreflow.session import shared_dir  # noqa: E402
+from scoreflow.streaming import scoring as STR  # noqa: E402
+
+
+def preset_stream_scorer(model):
+    """Features (fit on the training split) + the preset linear scorer."""
+    def score(records: DataFrame) -> DataFrame:
+        f = model.transform(records)
+        m = S.linear_margin(SCORER_WEIGHTS, SCORER_INTERCEPT)
+        return f.select("request_id", F.col(ID).alias("passenger_index"),
+                        (S.logistic(m) > 0.5).cast("int").alias("pred"),
+                        F.round(S.logistic(m), 6).alias("prob"),
+                        S.confidence(S.logistic(m)).alias("confidence"))
+    return score
+
+
+@register("stream_scores")
+def q_stream_scores(spark, sf_dir):
+    """Intake requests written as JSON lines, scored by a streaming job."""
+    base = shared_dir(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    intake_requests(spark, sf_dir).select(F.concat(
+        F.lit('{"request_id":'), F.col("request_id").cast("string"), F.lit(","),
+        F.expr("substr(body, 2)")).alias("value")).write.text(f"{base}/in")
+    model, _ = fitted_features(spark, sf_dir, keep=(ID, "request_id"))
+    qs = STR.start_scoring(spark, f"{base}/in", preset_stream_scorer(model), f"{base}/out",
+                           f"{base}/rejects", f"{base}/ckpt")
+    STR.run_to_completion(qs)
+    return spark.read.parquet(f"{base}/out")

@@ -295,3 +295,16 @@ select subject_id, round(avg(prob), 6) as vote_prob, cast(avg(prob) > 0.5 as int
   count(*) as n_members
 from preset_scored where stage = 'stage2' and model in (""" + ", ".join(
     f"'{m}'" for m in _C.VOTE_MEMBERS) + ") group by subject_id")
+
+# ---------------------------------------------------------------- streaming (X1)
+_STREAM_SRC = """
+accepted_src as (select subject_id, cast(null as integer) as label, tier, full_name, sex, age,
+  sibsp, parch, fare, port from validated where len(violations) = 0)"""
+_STREAM = (SPLIT_SQL, FIT_SQL, _INTAKE, _STREAM_SRC, features_sql("accepted_src"), f"""
+st_scored as (select subject_id, {_MARGIN} as margin from feat2)""")
+ORACLE["stream_scores"] = with_ctes(*_STREAM, body=f"""
+select cast(subject_id // 5 as bigint) as request_id, passenger_index,
+  cast(1.0 / (1.0 + exp(-margin)) > 0.5 as integer) as pred,
+  round(1.0 / (1.0 + exp(-margin)), 6) as prob, {confidence_sql('1.0 / (1.0 + exp(-margin))')} as confidence
+from st_scored join (select subject_id, cast(row_number() over (partition by subject_id // 5
+  order by subject_id) as bigint) as passenger_index from intake) ix using (subject_id)""")
