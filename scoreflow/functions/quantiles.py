@@ -78,12 +78,16 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
             F.col("_b")[nq + i])
         bounds += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}")]
     stats = stats.select(*bounds)
-    # One row per group.  For the global case that is a single row, so the
-    # broadcast is bounded by construction; grouped stats are left to the
-    # planner / AQE (broadcast when measured small, shuffle join otherwise,
-    # skew-split by AQE when a group is hot).
-    side = F.broadcast(stats) if is_global else stats
-    j = base.join(side, keys)
+    # One row per group.  The global case is a single row and is attached to
+    # every row as a scalar subquery (computed once, no join); grouped stats
+    # are joined on the group key (AQE broadcasts them when measured small,
+    # otherwise a shuffle join, with hot groups split by AQE's skew handling).
+    if is_global:
+        one = stats.drop(_GKEY)
+        j = base.select("*", one.select(F.struct(*one.columns)).scalar().alias("_st")) \
+                .select(*keys, "_v", "_st.*")
+    else:
+        j = base.join(stats, keys)
     # Per row and quantile: a "below the band" marker (flag 0) or the value
     # itself when inside the band (flag 1); rows above the band vanish.
     tags = F.array_compact(F.array(*[

@@ -4,10 +4,11 @@
   aggregation (partial/final hash aggregate, any data size);
 * ROC-AUC is exact with ties counted half.  Scores are first collapsed to
   (score, positives, negatives); the running count of negatives below each
-  score is a two-level prefix sum: scores are cut into ``n_buckets`` ranges
-  at approximate quantiles, bucket totals are prefix-summed over at most
-  ``n_buckets`` rows, and the within-bucket running sum is a window
-  partitioned by bucket -- never one unpartitioned window over all scores.
+  score is a two-level prefix sum: distinct scores are cut into ranges at
+  approximate quantiles (as many ranges as needed to keep ~2M distinct
+  scores per range), range totals are prefix-summed over the (few) ranges,
+  and the within-range running sum is a window partitioned by range --
+  never one unpartitioned window over all scores.
   The numerator is kept in integers, so the result does not depend on the
   order of summation;
 * log loss clips probabilities to [eps, 1 - eps] with eps = float64 machine
@@ -65,21 +66,35 @@ def rates_from_confusion(tp: Column, fp: Column, fn: Column, tn: Column) -> dict
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
-            n_buckets: int = 1024, name: str = "roc_auc") -> DataFrame:
-    """Exact ROC-AUC per group (NULL when a group has one class only)."""
+            rows_per_bucket: int = 2_000_000, max_buckets: int = 100_000,
+            name: str = "roc_auc") -> DataFrame:
+    """Exact ROC-AUC per group (NULL when a group has one class only).
+
+    Runs two small actions up front -- the number of distinct scores and,
+    when more than one bucket is needed, approximate quantile cuts of the
+    scores (a fitted statistic of at most ``max_buckets`` numbers) -- and
+    returns a lazy frame.  Buckets hold about ``rows_per_bucket`` distinct
+    scores each, so no task ranks more than that.
+    """
+    from pyspark.ml.feature import Bucketizer
+
     by = list(by)
     keys = _keys(by)
     y = F.col(label)
     g = _with_key(df, by).groupBy(*keys, F.col(score).cast("double").alias("_s")).agg(
         F.sum((y == 1).cast("long")).alias("_pos"),
         F.sum((y != 1).cast("long")).alias("_neg"))
-    cuts = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = g.groupBy(*keys).agg(
-        F.percentile_approx("_s", F.array(*[F.lit(c) for c in cuts]), 10_000).alias("_cuts"))
-    # one row per group: bounded by the number of groups (1 when global)
-    side = F.broadcast(bounds) if not by else bounds
-    gb = g.join(side, keys).withColumn(
-        "_bk", F.size(F.filter("_cuts", lambda c: c < F.col("_s")))).drop("_cuts")
+    n_distinct = g.count()
+    n_buckets = int(min(max_buckets, max(1, -(-n_distinct // rows_per_bucket))))
+    if n_buckets > 1:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        cuts = sorted(set(g.approxQuantile("_s", probs, 1.0 / (4 * n_buckets))))
+        splits = [float("-inf"), *cuts, float("inf")]
+        gb = Bucketizer(splits=splits, inputCol="_s", outputCol="_bkd",
+                        handleInvalid="keep").transform(g)
+        gb = gb.withColumn("_bk", F.col("_bkd").cast("int")).drop("_bkd")
+    else:
+        gb = g.withColumn("_bk", F.lit(0))
     tot = gb.groupBy(*keys, "_bk").agg(F.sum("_neg").alias("_bneg"))
     # at most n_buckets rows per group
     wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,9 +144,9 @@ def binary_metrics(df: DataFrame, label: str, pred: str, prob: str | None = None
 
 
 def _pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Zip two one-row frames (bounded broadcast on a constant key)."""
-    return a.withColumn(_GKEY, F.lit(0)).join(
-        F.broadcast(b.withColumn(_GKEY, F.lit(0))), _GKEY).drop(_GKEY)
+    """Zip two one-row frames: ``b`` is attached as a scalar subquery."""
+    return a.select("*", b.select(F.struct(*b.columns)).scalar().alias("_b")).select(
+        *a.columns, "_b.*")
 
 
 def classification_report(df: DataFrame, label: str, pred: str,

@@ -110,10 +110,9 @@ def q_global_medians(spark, sf_dir):
 
 
 def _one_row_pair(a: DataFrame, f: DataFrame) -> DataFrame:
-    # Both inputs are single-row aggregates; zip them on a constant key.
-    k = F.lit(0).alias("_k")
-    return a.select(k, "*").join(F.broadcast(f.select(k, "*")), "_k").select(
-        rnd("age_median").alias("age_median"), rnd("fare_median").alias("fare_median"))
+    # Both inputs are single-row aggregates: f rides along as a scalar subquery.
+    return M._pair(a, f).select(rnd("age_median").alias("age_median"),
+                                rnd("fare_median").alias("fare_median"))
 
 
 @register("fare_bins")

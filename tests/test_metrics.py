@@ -1,4 +1,5 @@
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
 
 from scoreflow.operators import metrics as M
 
@@ -28,7 +29,7 @@ def test_auc_matches_exact_evaluator_with_ties(spark):
     from scoreflow.sources.tables import subjects
     from tests.conftest import SF_MID
     df = subjects(spark, SF_MID).selectExpr("label", "cast(round(coalesce(fare, 0) / 50000) as double) as s")
-    mine = M.roc_auc(df, "label", "s", n_buckets=4).collect()[0][0]
+    mine = M.roc_auc(df, "label", "s", rows_per_bucket=2).collect()[0][0]  # many buckets
     ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="label", numBins=0)
     ref = ev.evaluate(df.selectExpr("cast(label as double) as label", "s"))
     assert abs(mine - ref) < 1e-12
@@ -49,3 +50,15 @@ def test_classification_report(spark):
     assert rows["positive"]["precision"] == 0.75 and rows["positive"]["support"] == 5
     assert rows["negative"]["recall"] == 0.8 and rows["accuracy"]["f1_score"] == 0.7
     assert rows["accuracy"]["precision"] is None and rows["weighted avg"]["support"] == 10
+
+
+def test_auc_bucketed_equals_single_bucket(spark):
+    from scoreflow.sources.tables import subjects
+    from tests.conftest import SF_MID
+    df = subjects(spark, SF_MID).selectExpr("label", "coalesce(fare, 0.0) * (1 + tier) as s")
+    one = M.roc_auc(df, "label", "s").collect()[0][0]
+    many = M.roc_auc(df, "label", "s", rows_per_bucket=300).collect()[0][0]
+    assert one == many
+    grouped = M.roc_auc(df.withColumn("g", F.col("label") * 0), "label", "s", by=["g"],
+                        rows_per_bucket=300).collect()[0]["roc_auc"]
+    assert grouped == one
