@@ -81,28 +81,46 @@ def conform(df: DataFrame, fields: Sequence[Field] = RECORD_FIELDS,
     return df.select(*cols, *extra)
 
 
-def normalise(df: DataFrame, sex: str = "sex", port: str = "port") -> DataFrame:
-    """sex lower-cased; port upper-cased with '' -> NULL."""
-    return (df.withColumn(sex, F.lower(F.col(sex)))
-              .withColumn(port, F.nullif(F.upper(F.trim(F.col(port))), F.lit(""))))
-
-
-def violations(tier: str = "tier", sex: str = "sex", age: str = "age", sibsp: str = "sibsp",
-               parch: str = "parch", fare: str = "fare", port: str = "port") -> Column:
-    """Array of rule codes a (normalised) record breaks; empty when valid."""
-    t, s, a, f, p = F.col(tier), F.col(sex), F.col(age), F.col(fare), F.col(port)
+def normalised_fields(get) -> dict[str, Column]:
+    """Normalised rule inputs from a field getter (``F.col`` for a frame,
+    ``lambda n: x[n]`` inside an array lambda): sex lower-cased, port
+    upper-cased with '' -> NULL, counts defaulted to 0."""
+    return {
+        "tier": get("tier").try_cast("int"),
+        "sex": F.lower(get("sex")),
+        "age": get("age").try_cast("double"),
+        "sibsp": F.coalesce(get("sibsp").try_cast("int"), F.lit(0)),
+        "parch": F.coalesce(get("parch").try_cast("int"), F.lit(0)),
+        "fare": get("fare").try_cast("double"),
+        "port": F.nullif(F.upper(F.trim(get("port"))), F.lit("")),
+    }
+
+
+def rule_codes(v: dict[str, Column]) -> Column:
+    """Array of rule codes a normalised record breaks; empty when valid."""
+    t, s, a, f, p = v["tier"], v["sex"], v["age"], v["fare"], v["port"]
     rules = [
         (t.isNull() | (t < TIER_RANGE[0]) | (t > TIER_RANGE[1]), "tier_out_of_range"),
         (s.isNull() | ~s.isin(*SEX_VALUES), "sex_invalid"),
         (a.isNotNull() & ((a < AGE_RANGE[0]) | (a > AGE_RANGE[1])), "age_out_of_range"),
-        (F.col(sibsp) < 0, "sibsp_negative"),
-        (F.col(parch) < 0, "parch_negative"),
+        (v["sibsp"] < 0, "sibsp_negative"),
+        (v["parch"] < 0, "parch_negative"),
         (f.isNotNull() & (f < 0), "fare_negative"),
         (p.isNotNull() & ~p.isin(*PORT_VALUES), "port_invalid"),
     ]
     return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in rules]))
 
 
+def normalise(df: DataFrame, sex: str = "sex", port: str = "port") -> DataFrame:
+    """sex lower-cased; port upper-cased with '' -> NULL."""
+    return (df.withColumn(sex, F.lower(F.col(sex)))
+              .withColumn(port, F.nullif(F.upper(F.trim(F.col(port))), F.lit(""))))
+
+
+def violations() -> Column:
+    return rule_codes(normalised_fields(F.col))
+
+
 def validate(df: DataFrame, out_col: str = "violations") -> DataFrame:
     """normalise + rule codes (``out_col``) for every row."""
     return normalise(df).withColumn(out_col, violations())
@@ -138,19 +156,35 @@ def explode_requests(requests: DataFrame, request_id: str = "request_id",
                      body: str = "body") -> DataFrame:
     """One JSON request per row -> one record per row.
 
-    ``subject_id`` is the position in the request + 1; a request with no
-    records yields one row whose violation is ``empty_request``.
+    ``subject_id`` is the position in the request + 1; an empty request
+    yields one row with a NULL id.  ``_request_bad`` tells whether any record
+    of the request breaks a rule -- computed on the parsed array with a
+    higher-order function, so it needs no grouping and works on streams.
     """
     parsed = requests.select(request_id, F.from_json(F.col(body), REQUEST_SCHEMA).alias("_r"))
-    recs = parsed.select(request_id, F.posexplode_outer("_r.passengers").alias("_pos", "_p"))
-    flat = recs.select(request_id, (F.col("_pos") + 1).cast("bigint").alias("subject_id"),
-                       *[F.col(f"_p.{f.name}").alias(f.name) for f in RECORD_JSON_SCHEMA.fields])
-    return flat
-
-
-def validate_requests(records: DataFrame) -> DataFrame:
-    """conform + normalise + rules, with an ``empty_request`` rule."""
+    recs = F.col("_r.passengers")
+    bad = (F.coalesce(F.size(recs), F.lit(0)) <= 0) | F.exists(
+        recs, lambda x: F.size(rule_codes(normalised_fields(lambda n: x[n]))) > 0)
+    exploded = parsed.select(request_id, bad.alias("_request_bad"),
+                             F.posexplode_outer(recs).alias("_pos", "_p"))
+    return exploded.select(request_id, "_request_bad",
+                           (F.col("_pos") + 1).cast("bigint").alias("subject_id"),
+                           *[F.col(f"_p.{f.name}").alias(f.name) for f in RECORD_JSON_SCHEMA.fields])
+
+
+def validate_requests(records: DataFrame, whole_request: bool = True) -> DataFrame:
+    """conform + normalise + rules, with an ``empty_request`` rule.
+
+    With ``whole_request`` (the default, like a request-level schema check)
+    one invalid record rejects every record of its request: the valid
+    siblings get ``request_rejected``.
+    """
     empty = F.col("subject_id").isNull()
     v = validate(conform(records, keep_extra=True, null_as_absent=True))
-    return v.withColumn("violations", F.when(empty, F.array(F.lit("empty_request")))
-                        .otherwise(F.col("violations")))
+    v = v.withColumn("violations", F.when(empty, F.array(F.lit("empty_request")))
+                     .otherwise(F.col("violations")))
+    if whole_request and "_request_bad" in v.columns:
+        v = v.withColumn("violations", F.when(F.col("_request_bad") & (F.size("violations") == 0),
+                                              F.array(F.lit("request_rejected")))
+                         .otherwise(F.col("violations")))
+    return v.drop("_request_bad")

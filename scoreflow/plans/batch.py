@@ -73,6 +73,26 @@ def share_text(pred_table: DataFrame, pred: str = "pred") -> DataFrame:
                                           S.percent_text(pos / F.nullif(n, F.lit(0)))).alias("text"))
 
 
+def responses(scored: DataFrame, request_id: str, index_col: str, pred: str, prob: str,
+              model_name: str) -> DataFrame:
+    """Per request: sorted prediction items, totals and the JSON body.
+
+    ``collect_list`` is per request, so its size is bounded by the request's
+    record count (a client payload), never by the data.
+    """
+    item = F.struct(F.col(index_col).cast("long").alias("passenger_index"),
+                    F.col(pred).cast("int").alias("survived"),
+                    F.round(F.col(prob).cast("double"), 4).alias("probability"),
+                    S.confidence(F.col(prob)).alias("confidence"))
+    g = scored.groupBy(request_id).agg(
+        F.sort_array(F.collect_list(item)).alias("predictions"),
+        F.count(F.lit(1)).alias("total_passengers"),
+        F.sum(F.col(pred).cast("long")).alias("survived_count"))
+    body = F.to_json(F.struct("predictions", "total_passengers", "survived_count",
+                              F.lit(model_name).alias("model_name")))
+    return g.select(request_id, "total_passengers", "survived_count", body.alias("body"))
+
+
 def run_batch(spark, source: DataFrame, model, id_col: str, out_path: str, model_name: str,
               model_version: str, prob_col: str = "probability") -> DataFrame:
     """Score ``source`` with a fitted PipelineModel and overwrite ``out_path``.

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scoreflow.functions import exact_quantiles, mode_of
 from scoreflow.functions import scalars as S
@@ -543,7 +544,8 @@ def preset_stream_scorer(model):
 
 @register("stream_scores")
 def q_stream_scores(spark, sf_dir):
-    """Intake requests written as JSON lines, scored by a streaming job."""
+    """Intake requests written as JSON lines and scored by a streaming job;
+    both sinks (accepted predictions, rejected records) read back."""
     base = shared_dir(spark, f"stream-{uuid.uuid4().hex[:12]}")
     intake_requests(spark, sf_dir).select(F.concat(
         F.lit('{"request_id":'), F.col("request_id").cast("string"), F.lit(","),
@@ -552,4 +554,73 @@ def q_stream_scores(spark, sf_dir):
     qs = STR.start_scoring(spark, f"{base}/in", preset_stream_scorer(model), f"{base}/out",
                            f"{base}/rejects", f"{base}/ckpt")
     STR.run_to_completion(qs)
-    return spark.read.parquet(f"{base}/out")
+    ok = spark.read.parquet(f"{base}/out").select(
+        "request_id", "passenger_index", F.lit("accepted").alias("status"), "pred", "prob",
+        "confidence", F.lit(None).cast("string").alias("violations"))
+    bad = spark.read.parquet(f"{base}/rejects").select(
+        "request_id", F.col(ID).alias("passenger_index"), F.lit("rejected").alias("status"),
+        F.lit(None).cast("int").alias("pred"), F.lit(None).cast("double").alias("prob"),
+        F.lit(None).cast("string").alias("confidence"),
+        F.concat_ws(",", "violations").alias("violations"))
+    return ok.unionByName(bad)
+
+
+def request_batch(spark, sf_dir) -> DataFrame:
+    """Batch form of the request path: parse, validate, score accepted."""
+    recs = Q.validate_requests(Q.explode_requests(intake_requests(spark, sf_dir)))
+    model, _ = fitted_features(spark, sf_dir, keep=(ID, "request_id"))
+    return preset_stream_scorer(model)(Q.accepted(recs))
+
+
+@register("response_totals")
+def q_response_totals(spark, sf_dir):
+    r = B.responses(request_batch(spark, sf_dir), "request_id", "passenger_index", "pred", "prob",
+                    "preset_linear")
+    return r.select("request_id", "total_passengers", "survived_count")
+
+
+# ---------------------------------------------------------------- files and tables (S1-S11)
+
+from scoreflow.sources import files as FS  # noqa: E402
+from scoreflow.sources.tables import SUBJECT_COLUMNS  # noqa: E402
+
+SUBJECT_SCHEMA = T.StructType([
+    T.StructField("subject_id", T.LongType()), T.StructField("label", T.IntegerType()),
+    T.StructField("tier", T.IntegerType()), T.StructField("full_name", T.StringType()),
+    T.StructField("sex", T.StringType()), T.StructField("age", T.DoubleType()),
+    T.StructField("sibsp", T.IntegerType()), T.StructField("parch", T.IntegerType()),
+    T.StructField("fare", T.DoubleType()), T.StructField("port", T.StringType())])
+DEMO_DB = "scoreflow_demo"
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Training split written as CSV with its label, read back with a schema."""
+    path = shared_dir(spark, f"csv-{uuid.uuid4().hex[:12]}")
+    FS.write_csv(train_rows(spark, sf_dir), path, SUBJECT_COLUMNS)
+    return FS.read_labelled(spark, path, SUBJECT_SCHEMA, LABEL)
+
+
+def refreshed_test_table(spark, sf_dir) -> tuple[str, int]:
+    FS.ensure_database(spark, DEMO_DB)
+    FS.ensure_tables(spark, DEMO_DB)
+    n = FS.full_refresh(spark, Q.conform(intake(spark, sf_dir)), f"{DEMO_DB}.test_data")
+    return f"{DEMO_DB}.test_data", n
+
+
+@register("table_full_refresh")
+def q_table_full_refresh(spark, sf_dir):
+    table, _ = refreshed_test_table(spark, sf_dir)
+    return spark.table(table).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("test_data").alias("table_name"), "rows")
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    table, _ = refreshed_test_table(spark, sf_dir)
+    return FS.sample_rows(spark.table(table), ID, [ID, "tier", "full_name", "sex", "age"], 3)
+
+
+@register("first_20_predictions")
+def q_first_20_predictions(spark, sf_dir):
+    return prediction_rows(spark, sf_dir).orderBy(ID).limit(20).select(ID, "pred", "prob")

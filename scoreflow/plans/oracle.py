@@ -297,14 +297,37 @@ from preset_scored where stage = 'stage2' and model in (""" + ", ".join(
     f"'{m}'" for m in _C.VOTE_MEMBERS) + ") group by subject_id")
 
 # ---------------------------------------------------------------- streaming (X1)
-_STREAM_SRC = """
+_REQ = """
+req_v as (select v.*, cast(subject_id // 5 as bigint) as request_id,
+  cast(row_number() over (partition by subject_id // 5 order by subject_id) as bigint) as passenger_index
+  from validated v),
+req_flag as (select req_v.*, max(len(violations)) over (partition by request_id) > 0 as req_bad
+  from req_v),
 accepted_src as (select subject_id, cast(null as integer) as label, tier, full_name, sex, age,
-  sibsp, parch, fare, port from validated where len(violations) = 0)"""
-_STREAM = (SPLIT_SQL, FIT_SQL, _INTAKE, _STREAM_SRC, features_sql("accepted_src"), f"""
+  sibsp, parch, fare, port from req_flag where not req_bad)"""
+_STREAM = (SPLIT_SQL, FIT_SQL, _INTAKE, _REQ, features_sql("accepted_src"), f"""
 st_scored as (select subject_id, {_MARGIN} as margin from feat2)""")
 ORACLE["stream_scores"] = with_ctes(*_STREAM, body=f"""
-select cast(subject_id // 5 as bigint) as request_id, passenger_index,
+select r.request_id, r.passenger_index, 'accepted' as status,
   cast(1.0 / (1.0 + exp(-margin)) > 0.5 as integer) as pred,
-  round(1.0 / (1.0 + exp(-margin)), 6) as prob, {confidence_sql('1.0 / (1.0 + exp(-margin))')} as confidence
-from st_scored join (select subject_id, cast(row_number() over (partition by subject_id // 5
-  order by subject_id) as bigint) as passenger_index from intake) ix using (subject_id)""")
+  round(1.0 / (1.0 + exp(-margin)), 6) as prob,
+  {confidence_sql('1.0 / (1.0 + exp(-margin))')} as confidence, cast(null as varchar) as violations
+from st_scored join req_flag r using (subject_id)
+union all
+select request_id, passenger_index, 'rejected', null, null, null,
+  case when len(violations) = 0 then 'request_rejected' else array_to_string(violations, ',') end
+from req_flag where req_bad""")
+ORACLE["response_totals"] = with_ctes(*_STREAM, body="""
+select r.request_id, count(*) as total_passengers,
+  cast(sum(cast(1.0 / (1.0 + exp(-margin)) > 0.5 as integer)) as bigint) as survived_count
+from st_scored join req_flag r using (subject_id) group by r.request_id""")
+
+# ---------------------------------------------------------------- files and tables
+ORACLE["csv_roundtrip"] = with_ctes(SPLIT_SQL, body="""
+select subject_id, label, tier, full_name, sex, age, sibsp, parch, fare, port from train""")
+ORACLE["table_full_refresh"] = with_ctes(_INTAKE, body="""
+select 'test_data' as table_name, count(*) as rows from conformed""")
+ORACLE["sample_rows"] = with_ctes(_INTAKE, body="""
+select subject_id, tier, full_name, sex, age from conformed order by subject_id limit 3""")
+ORACLE["first_20_predictions"] = with_ctes(*_PRED, body="""
+select subject_id, pred, prob from preds order by subject_id limit 20""")

@@ -111,43 +111,48 @@ def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     prio = F.substring("o_orderpriority", 1, 1)
     return j.select(
         key.alias("subject_id"),
-        (F.lit(1) + F.col("o_custkey") % 4).cast("int").alias("tier"),
+        F.when(F.col("o_custkey") % 23 == 0, 4)
+         .otherwise(F.lit(1) + F.col("o_custkey") % 3).cast("int").alias("tier"),
         F.concat(F.lit("Doe, "), _title_word(key), F.lit(". "), F.col("c_name")).alias("full_name"),
-        F.when(seg == "BUILDING", "Female").when(seg == "MACHINERY", "FEMALE")
+        F.when(key % 29 == 0, "unknown")
+         .when(seg == "BUILDING", "Female").when(seg == "MACHINERY", "FEMALE")
          .when(seg == "AUTOMOBILE", "male").when(seg == "HOUSEHOLD", "Male")
-         .otherwise("unknown").alias("sex"),
+         .otherwise("MALE").alias("sex"),
         F.when(key % 5 == 0, F.lit(None).cast("double"))
-         .otherwise(((key * 13) % 140 - 10).cast("double")).alias("age"),
-        (key % 5 - 1).cast("int").alias("sibsp"),
+         .otherwise(((key * 13) % 125 - 2).cast("double")).alias("age"),
+        F.when(key % 31 == 0, -1).otherwise(key % 4).cast("int").alias("sibsp"),
         ((key * 7) % 4).cast("int").alias("parch"),
         F.when(key % 11 == 0, F.lit(None).cast("double"))
          .otherwise(F.col("o_totalprice") - F.lit(2000.0)).alias("fare"),
         F.when(key % 17 == 0, F.lit(None).cast("string"))
+         .when(key % 37 == 0, "X")
          .when(prio == "1", "s").when(prio == "2", "S").when(prio == "3", "c")
-         .when(prio == "4", "").otherwise("X").alias("port"),
+         .when(prio == "4", "").otherwise("q").alias("port"),
     )
 
 
 INTAKE_SQL = """
 select
   o_orderkey as subject_id,
-  cast(1 + o_custkey % 4 as integer) as tier,
+  cast(case when o_custkey % 23 = 0 then 4 else 1 + o_custkey % 3 end as integer) as tier,
   concat('Doe, ', case o_orderkey % 9
       when 0 then 'Mr' when 1 then 'Miss' when 2 then 'Mrs' when 3 then 'Master'
       when 4 then 'Dr' when 5 then 'Mlle' when 6 then 'Countess' when 7 then 'Zzz'
       else 'Capt' end, '. ', c_name) as full_name,
-  case c_mktsegment when 'BUILDING' then 'Female' when 'MACHINERY' then 'FEMALE'
-       when 'AUTOMOBILE' then 'male' when 'HOUSEHOLD' then 'Male' else 'unknown' end as sex,
+  case when o_orderkey % 29 = 0 then 'unknown'
+       else case c_mktsegment when 'BUILDING' then 'Female' when 'MACHINERY' then 'FEMALE'
+       when 'AUTOMOBILE' then 'male' when 'HOUSEHOLD' then 'Male' else 'MALE' end end as sex,
   case when o_orderkey % 5 = 0 then null
-       else cast((o_orderkey * 13) % 140 - 10 as double) end as age,
-  cast(o_orderkey % 5 - 1 as integer) as sibsp,
+       else cast((o_orderkey * 13) % 125 - 2 as double) end as age,
+  cast(case when o_orderkey % 31 = 0 then -1 else o_orderkey % 4 end as integer) as sibsp,
   cast((o_orderkey * 7) % 4 as integer) as parch,
   case when o_orderkey % 11 = 0 then null else o_totalprice - 2000.0 end as fare,
   case when o_orderkey % 17 = 0 then null
+       when o_orderkey % 37 = 0 then 'X'
        when substr(o_orderpriority, 1, 1) = '1' then 's'
        when substr(o_orderpriority, 1, 1) = '2' then 'S'
        when substr(o_orderpriority, 1, 1) = '3' then 'c'
        when substr(o_orderpriority, 1, 1) = '4' then ''
-       else 'X' end as port
+       else 'q' end as port
 from orders join customer on o_custkey = c_custkey
 """
