@@ -31,15 +31,22 @@ PREDICTIONS_DDL = ("subject_id BIGINT, tier INT, sex STRING, age DOUBLE, fare DO
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE")
+             na_tokens: Sequence[str] = NA_TOKENS, add_missing: bool = False) -> DataFrame:
+    """Columns are matched to the schema by header name (a schema given to
+    the CSV reader would be applied by position); every column is read as
+    text (no inference), NA tokens -> NULL, then cast.  Schema fields absent
+    from the file are left out, or added as NULL with ``add_missing``."""
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
+    present = set(raw.columns)
     cols = []
     for f in schema.fields:
-        c = F.col(f.name)
-        c = F.when(c.isNull() | F.trim(c).isin(*na_tokens), F.lit(None)).otherwise(c)
-        cols.append(c.try_cast(f.dataType).alias(f.name))
+        if f.name in present:
+            c = F.col(f"`{f.name}`")
+            c = F.when(c.isNull() | F.trim(c).isin(*na_tokens), F.lit(None)).otherwise(c)
+            cols.append(c.try_cast(f.dataType).alias(f.name))
+        elif add_missing:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return raw.select(*cols)
 
 
@@ -52,9 +59,18 @@ def read_labelled(spark: SparkSession, path: str, schema: T.StructType, label: s
 
 
 def with_row_ids(df: DataFrame, id_col: str) -> DataFrame:
-    """Contiguous 0..n-1 ids in scan order (per-partition offsets)."""
+    """Contiguous 0..n-1 ids in scan order (per-partition offsets).
+
+    The partition-local ids are nondeterministic expressions, so the tagged
+    rows are materialised once with a reliable ``checkpoint()`` (the
+    cluster's checkpoint directory): both the offset table and the rows read
+    the same tags, and a lost executor cannot renumber anything.
+    """
+    from scoreflow.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     tagged = df.select("*", F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_mid"))
+                       F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     # one row per input partition: a bounded table
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -92,3 +92,12 @@ def test_adaboost_weights_and_alphas(spark, split):
     m = AdaBoostStumps(featureCols=ENCODED_FEATURES, nEstimators=12, learningRate=0.5).fit(feats)
     alphas = m.getOrDefault("alphas")
     assert 0 < len(alphas) <= 12 and all(a > 0 for a in alphas)
+
+
+def test_stage1_two_learners(spark, split):
+    train, test = split
+    cfg = TRN.TrainConfig(folds=3, parallelism=2, overrides=SMALL)
+    res = TRN.stage1(train, test, ["logistic_regression", "lightgbm"], cfg)
+    assert [r.run_id for r in res] == ["stage1__logistic_regression", "stage1__lightgbm"]
+    for r in res:
+        assert 0.5 < r.metrics["cv_roc_auc_mean"] <= 1 and 0.5 < r.metrics["test_roc_auc"] <= 1
