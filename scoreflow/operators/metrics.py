@@ -28,16 +28,6 @@ from pyspark.sql import functions as F
 EPS = 2.220446049250313e-16
 DIGITS = 6
 METRIC_NAMES = ["accuracy", "recall", "precision", "f1", "roc_auc", "log_loss"]
-_GKEY = "__all__"
-
-
-def _keys(by: Sequence[str]) -> list[str]:
-    return list(by) or [_GKEY]
-
-
-def _with_key(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df if by else df.withColumn(_GKEY, F.lit(0))
-
 
 def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
@@ -79,13 +69,15 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     from pyspark.ml.feature import Bucketizer
 
     by = list(by)
-    keys = _keys(by)
     y = F.col(label)
-    g = _with_key(df, by).groupBy(*keys, F.col(score).cast("double").alias("_s")).agg(
+    g = df.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
         F.sum((y == 1).cast("long")).alias("_pos"),
         F.sum((y != 1).cast("long")).alias("_neg"))
     n_distinct = g.count()
     n_buckets = int(min(max_buckets, max(1, -(-n_distinct // rows_per_bucket))))
+    run = F.coalesce(F.sum("_neg").over(
+        Window.partitionBy(*by, *(["_bk"] if n_buckets > 1 else [])).orderBy("_s")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = sorted(set(g.approxQuantile("_s", probs, 1.0 / (4 * n_buckets))))
@@ -93,24 +85,22 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
         gb = Bucketizer(splits=splits, inputCol="_s", outputCol="_bkd",
                         handleInvalid="keep").transform(g)
         gb = gb.withColumn("_bk", F.col("_bkd").cast("int")).drop("_bkd")
+        tot = gb.groupBy(*by, "_bk").agg(F.sum("_neg").alias("_bneg"))
+        # at most n_buckets rows per group
+        wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+        off = tot.select(*by, "_bk", F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_off"))
+        ranked = gb.join(off, [*by, "_bk"]).withColumn("_below", F.col("_off") + run)
     else:
-        gb = g.withColumn("_bk", F.lit(0))
-    tot = gb.groupBy(*keys, "_bk").agg(F.sum("_neg").alias("_bneg"))
-    # at most n_buckets rows per group
-    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, "_bk", F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_off"))
-    ws = Window.partitionBy(*keys, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = gb.join(off, [*keys, "_bk"]).withColumn(
-        "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(ws), F.lit(0)))
+        # one range: at most rows_per_bucket distinct scores per group
+        ranked = g.withColumn("_below", run)
     # 2 * sum(pos * (neg_below + neg/2)) in integers
-    agg = ranked.groupBy(*keys).agg(
+    agg = ranked.groupBy(*by).agg(
         F.sum(2 * F.col("_pos") * F.col("_below") + F.col("_pos") * F.col("_neg")).alias("_num"),
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     auc = F.when((F.col("_P") == 0) | (F.col("_N") == 0), F.lit(None).cast("double")).otherwise(
         F.col("_num").cast("double") / (F.lit(2.0) * F.col("_P").cast("double")
                                         * F.col("_N").cast("double")))
-    out = agg.select(*keys, auc.alias(name))
-    return out if by else out.drop(_GKEY)
+    return agg.select(*by, auc.alias(name))
 
 
 def log_loss(df: DataFrame, label: str, prob: str, by: Sequence[str] = (),
