@@ -25,15 +25,30 @@ raises rather than return a wrong value if that were ever violated.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
+DEFAULT_ACCURACY = 0  # 0 = choose from the data (see auto_accuracy)
+MIN_ACCURACY, MAX_ACCURACY = 10_000, 10_000_000
 _GKEY = "__all__"
 
 
+def auto_accuracy(base: DataFrame, keys: Sequence[str]) -> int:
+    """Sketch accuracy ~ sqrt(8 * largest group), clamped.
+
+    A task holds at most about max(accuracy, 8 n / accuracy) distinct values
+    per group and quantile (the small-group range, or the band); choosing
+    accuracy ~ sqrt(8 n) makes both O(sqrt(n)) -- about 2.8M values for a
+    group of 10**12 rows.  Costs one aggregation (row count per group).
+    """
+    row = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).collect()[0]
+    n = int(row[0] or 0)
+    return int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.ceil(math.sqrt(8.0 * n)))))
+
+
 def _clean_value(value: str | Column) -> Column:
     v = F.col(value) if isinstance(value, str) else value
     return v.cast("double")
@@ -44,7 +59,8 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact ``percentile_cont`` of ``value`` at ``probs`` per ``by`` group.
 
-    NULL and NaN values are skipped.  Returns one row per group with the
+    NULL and NaN values are skipped.  ``accuracy`` 0 picks the sketch
+    accuracy from the largest group (one extra aggregation).  Returns one row per group with the
     group columns and one double column per probability.
     """
     probs = [float(p) for p in probs]
@@ -56,6 +72,8 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     base = df.select(*(by or [F.lit(0).alias(_GKEY)]), v.alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     nq = len(probs)
+    if not accuracy or accuracy <= 0:
+        accuracy = auto_accuracy(base, keys)
     # percentile_approx(p) returns a value whose 1-based rank r satisfies
     # |r - ceil(p n)| <= n / accuracy; interpolation needs the 0-based ranks
     # floor((n-1)p) and ceil((n-1)p).  With margin 4/accuracy both are inside
