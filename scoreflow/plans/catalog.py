@@ -488,13 +488,22 @@ from scoreflow.plans import training as TRN  # noqa: E402
 
 
 def _fit_and_test(spark, sf_dir, name: str, params: dict | None = None) -> DataFrame:
-    split = split_subjects(spark, sf_dir)
-    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+    """Fit on the training split, evaluate on the test split.
+
+    The split (a join and a two-level rank) feeds the count, the feature
+    fit, the learner and the evaluation, so it is persisted for the
+    duration (MEMORY_AND_DISK, recomputable) and released before returning
+    the one metrics row.
+    """
+    from scoreflow.operators.features import persisted
+
     cfg = TRN.TrainConfig()
-    model = TRN.fit_learner(name, params or {}, train, train.count(), cfg)
-    s = TRN.positive_probability(model.transform(test))
-    m = M.binary_metrics(s, LABEL, "pred", "prob")
-    return m.select(F.lit(name).alias("model"), "*")
+    with persisted(split_subjects(spark, sf_dir)) as split:
+        train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+        model = TRN.fit_learner(name, params or {}, train, train.count(), cfg)
+        s = TRN.positive_probability(model.transform(test))
+        row = M.binary_metrics(s, LABEL, "pred", "prob").collect()[0]
+    return spark.createDataFrame([(name, *row)], ["model", *row.__fields__])
 
 
 @register("train_logistic_regression")
