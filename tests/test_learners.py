@@ -101,3 +101,26 @@ def test_stage1_two_learners(spark, split):
     assert [r.run_id for r in res] == ["stage1__logistic_regression", "stage1__lightgbm"]
     for r in res:
         assert 0.5 < r.metrics["cv_roc_auc_mean"] <= 1 and 0.5 < r.metrics["test_roc_auc"] <= 1
+
+
+def test_stage2_random_search(spark, split):
+    train, test = split
+    cfg = TRN.TrainConfig(folds=2, n_trials=2, parallelism=2)
+    res = TRN.stage2(train, test, ["logistic_regression"], cfg)
+    assert len(res) == 1 and res[0].run_id == "stage2__logistic_regression"
+    assert 0.5 < res[0].metrics["best_cv_roc_auc"] <= 1 and "C" in res[0].params
+
+
+def test_run_batch_end_to_end(spark, split, tmp_path):
+    from scoreflow.plans import batch as B
+    from scoreflow.sources.tables import subjects
+    train, _ = split
+    cfg = TRN.TrainConfig()
+    model = TRN.fit_learner("logistic_regression", {}, train, train.count(), cfg)
+    src = subjects(spark, SF_SMALL)
+    out = str(tmp_path / "predictions")
+    summ = B.run_batch(spark, src, model, "subject_id", out, "logistic_regression", "1").collect()[0]
+    written = spark.read.parquet(out)
+    assert summ["total"] == written.count() == src.count()
+    assert summ["positive"] + summ["negative"] == summ["total"]
+    assert set(written.columns) >= {"subject_id", "pred", "prob", "confidence", "predicted_at"}
