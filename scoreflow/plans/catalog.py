@@ -611,9 +611,15 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 def refreshed_test_table(spark, sf_dir) -> tuple[str, int]:
-    FS.ensure_database(spark, DEMO_DB)
-    FS.ensure_tables(spark, DEMO_DB)
-    n = FS.full_refresh(spark, Q.conform(intake(spark, sf_dir)), f"{DEMO_DB}.test_data")
+    """Create/select the database and tables, full-refresh ``test_data``;
+    the caller's current database is restored afterwards."""
+    previous = spark.catalog.currentDatabase()
+    try:
+        FS.ensure_database(spark, DEMO_DB)
+        FS.ensure_tables(spark, DEMO_DB)
+        n = FS.full_refresh(spark, Q.conform(intake(spark, sf_dir)), f"{DEMO_DB}.test_data")
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
     return f"{DEMO_DB}.test_data", n
 
 
