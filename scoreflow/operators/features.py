@@ -28,6 +28,7 @@ NATIVE_FEATURES = ["tier", "sex", "age", "sibsp", "parch", "fare", "port",
                    "family_size", "alone"]
 NATIVE_CATEGORICAL = ["sex", "port", "tier"]
 FARE_QUANTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
+PASS_PREFIX = "_pass_"  # columns with this prefix ride through the feature stage unchanged
 
 
 @contextmanager
@@ -74,7 +75,8 @@ class _InputCols(Params):
         return F.col(self.getOrDefault(p))
 
     def _keep(self, df: DataFrame):
-        return [c for c in self.getOrDefault(self.keepCols) if c in df.columns]
+        keep = set(self.getOrDefault(self.keepCols))
+        return [c for c in df.columns if c in keep or c.startswith(PASS_PREFIX)]
 
 
 class _EncodedState(Params):

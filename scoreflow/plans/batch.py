@@ -102,9 +102,15 @@ def run_batch(spark, source: DataFrame, model, id_col: str, out_path: str, model
     """
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(source)
+    from scoreflow.operators.features import PASS_PREFIX
+
+    # raw source columns ride through the pipeline under a prefix (no join back)
+    src_cols = [c for c in SOURCE_COLS if c in source.columns and c != id_col]
+    tagged = source.select("*", *[F.col(c).alias(PASS_PREFIX + c) for c in src_cols])
+    scored = model.transform(tagged)
     p1 = vector_to_array(F.col(prob_col))[1]
-    scored = scored.withColumn("_p1", p1).withColumn("_pred", F.col("prediction").cast("int"))
+    scored = scored.select(id_col, *[F.col(PASS_PREFIX + c).alias(c) for c in src_cols],
+                           p1.alias("_p1"), F.col("prediction").cast("int").alias("_pred"))
     table = predictions_table(scored, id_col, "_pred", "_p1", model_name, model_version)
     table.write.mode("overwrite").parquet(out_path)
     return prediction_summary(spark.read.parquet(out_path))

@@ -116,3 +116,28 @@ def stage_results(stage1: DataFrame, stage2: DataFrame, metric1: str, metric2: s
     return j.select("model", "stage1_value", "stage2_value",
                     shown("stage1_value").alias("stage1_text"),
                     shown("stage2_value").alias("stage2_text")).orderBy("model")
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(VERSIONS_SCHEMA).parquet(path)
+    except Exception:  # noqa: BLE001 - no table yet
+        return spark.createDataFrame([], VERSIONS_SCHEMA)
+
+
+def register_and_promote(spark: SparkSession, versions_path: str, name: str, run_id: str) -> str:
+    """Append the next numeric version for ``run_id`` and promote it.
+
+    The versions table has one row per registration (small); it is
+    rewritten through a staging folder so a failed write never leaves a
+    half-written table, and a retry only repeats the same overwrite.
+    """
+    current = read_versions(spark, versions_path).cache()
+    version = next_version(current, name).collect()[0]["version"]
+    new = spark.createDataFrame([(name, version, run_id, "None")], VERSIONS_SCHEMA)
+    updated = promote_latest(current.unionByName(new))
+    staging = versions_path.rstrip("/") + "__staging"
+    updated.write.mode("overwrite").parquet(staging)
+    current.unpersist()
+    spark.read.schema(VERSIONS_SCHEMA).parquet(staging).write.mode("overwrite").parquet(versions_path)
+    return version
