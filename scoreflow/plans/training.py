@@ -40,6 +40,7 @@ class TrainConfig:
     n_trials: int = 5
     metric: str = "roc_auc"
     parallelism: int = 4
+    timeout_sec: float | None = None  # stop starting new trials after this long
     overrides: dict = field(default_factory=dict)  # learner -> params merged over base
 
 
@@ -96,6 +97,7 @@ class RunResult:
     metrics: dict
     fitted: PipelineModel | None = None
     duration_sec: float = 0.0
+    parent_run_id: str | None = None
 
 
 def _one_run(stage: str, name: str, params: dict, train: DataFrame, folded: DataFrame,
@@ -123,9 +125,11 @@ def stage1(train: DataFrame, test: DataFrame, learners: Sequence[str],
 
 
 def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
-           cfg: TrainConfig) -> list[RunResult]:
+           cfg: TrainConfig, trial_runs: list | None = None) -> list[RunResult]:
     """Random search: n trials per learner scored by mean CV metric; the best
-    trial is refit on the full training rows and tested once."""
+    trial is refit on the full training rows and tested once.  Trials are
+    appended to ``trial_runs`` as child runs of the learner's stage-2 run;
+    with ``timeout_sec`` no new trial starts after the deadline."""
     out = []
     with persisted(train) as tr:
         n = tr.count()
@@ -134,20 +138,32 @@ def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
             for name in learners:
                 trials = sample_params(name, SEARCH_SPACES.get(name, {}), cfg.n_trials, cfg.seed)
                 base = {**BASE_PARAMS.get(name, {}), **cfg.overrides.get(name, {})}
-
-                def score(t, base=base, name=name):
+                parent = f"stage2__{name}"
+                deadline = time.time() + cfg.timeout_sec if cfg.timeout_sec else None
+
+                def score(i_t, base=base, name=name, deadline=deadline, parent=parent):
+                    i, t = i_t
+                    if deadline is not None and time.time() > deadline:
+                        return None
+                    t0 = time.time()
                     p = {**base, **t}
                     cv = summarise(cross_validate(name, p, fo, cfg))
-                    return cv.get(f"cv_{cfg.metric}_mean", float("-inf")), p
+                    run = RunResult(f"{parent}__trial_{i}", "stage2_trial", name, p, cv, None,
+                                    time.time() - t0, parent)
+                    return cv.get(f"cv_{cfg.metric}_mean", float("-inf")), p, run
 
                 with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
-                    results = list(pool.map(score, trials))
+                    results = [r for r in pool.map(score, enumerate(trials)) if r is not None]
+                if not results:
+                    continue
+                if trial_runs is not None:
+                    trial_runs.extend(r[2] for r in results)
                 best_i = max(range(len(results)), key=lambda i: (results[i][0], -i))
-                best_score, best_p = results[best_i]
+                best_score, best_p, _ = results[best_i]
                 t0 = time.time()
                 model = fit_learner(name, best_p, tr, n, cfg)
                 tm = {f"test_{k}": v for k, v in test_metrics(model, test, cfg).items()}
-                out.append(RunResult(f"stage2__{name}", "stage2", name, best_p,
+                out.append(RunResult(parent, "stage2", name, best_p,
                                      {f"best_cv_{cfg.metric}": best_score, **tm}, model,
                                      time.time() - t0))
     return out
@@ -202,7 +218,7 @@ def stacking(member_specs: dict[str, dict], train: DataFrame, test: DataFrame,
 
 
 def runs_frame(spark: SparkSession, results: Sequence[RunResult]) -> DataFrame:
-    rows = [(r.run_id, r.stage, r.model, None, {k: str(v) for k, v in r.params.items()},
+    rows = [(r.run_id, r.stage, r.model, r.parent_run_id, {k: str(v) for k, v in r.params.items()},
              {k: float(v) for k, v in r.metrics.items() if v is not None}, {"stage": r.stage},
              float(r.duration_sec), None) for r in results]
     from scoreflow.plans.tracking import RUNS_SCHEMA

@@ -106,9 +106,13 @@ def test_stage1_two_learners(spark, split):
 def test_stage2_random_search(spark, split):
     train, test = split
     cfg = TRN.TrainConfig(folds=2, n_trials=2, parallelism=2)
-    res = TRN.stage2(train, test, ["logistic_regression"], cfg)
+    trials = []
+    res = TRN.stage2(train, test, ["logistic_regression"], cfg, trial_runs=trials)
     assert len(res) == 1 and res[0].run_id == "stage2__logistic_regression"
     assert 0.5 < res[0].metrics["best_cv_roc_auc"] <= 1 and "C" in res[0].params
+    assert [t.parent_run_id for t in trials] == ["stage2__logistic_regression"] * 2
+    runs = TRN.runs_frame(spark, res + trials)
+    assert runs.where("parent_run_id = 'stage2__logistic_regression'").count() == 2
 
 
 def test_run_batch_end_to_end(spark, split, tmp_path):
