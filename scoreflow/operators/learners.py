@@ -508,3 +508,12 @@ def positive_probability(scored: DataFrame, prob_col: str = "probability") -> Da
 
 def feature_columns(name: str) -> Sequence[str]:
     return NATIVE_FEATURES if name == "catboost" else ENCODED_FEATURES
+
+
+def categorical_indices(df: DataFrame, features_col: str = "features") -> dict[str, int]:
+    """Positions of nominal (categorical) features inside an assembled vector,
+    read from the ML attribute metadata that ``StringIndexer`` and
+    ``VectorAssembler`` attach -- no data is scanned."""
+    meta = df.schema[features_col].metadata.get("ml_attr", {})
+    nominal = meta.get("attrs", {}).get("nominal", [])
+    return {a["name"]: int(a["idx"]) for a in nominal}

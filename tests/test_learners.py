@@ -128,3 +128,13 @@ def test_run_batch_end_to_end(spark, split, tmp_path):
     assert summ["total"] == written.count() == src.count()
     assert summ["positive"] + summ["negative"] == summ["total"]
     assert set(written.columns) >= {"subject_id", "pred", "prob", "confidence", "predicted_at"}
+
+
+def test_categorical_indices_from_metadata(spark, split):
+    from pyspark.ml import Pipeline
+    from scoreflow.operators.learners import build_stages, categorical_indices
+    train, _ = split
+    stages = build_stages("catboost", {"iterations": 2})[:-1]  # features, indexers, assembler
+    out = Pipeline(stages=stages).fit(train).transform(train)
+    idx = categorical_indices(out)
+    assert sorted(idx.values()) == [0, 1, 2] and set(idx) == {"sex_idx", "port_idx", "tier_idx"}
