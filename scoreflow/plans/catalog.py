@@ -639,3 +639,40 @@ def q_sample_rows(spark, sf_dir):
 @register("first_20_predictions")
 def q_first_20_predictions(spark, sf_dir):
     return prediction_rows(spark, sf_dir).orderBy(ID).limit(20).select(ID, "pred", "prob")
+
+
+# ---------------------------------------------------------------- the same operators on other tables
+
+from scoreflow.sources.tables import read_table  # noqa: E402
+
+
+@register("labels_split")
+def q_labels_split(spark, sf_dir):
+    """Exact stratified hold-out split of the labelled documents (by quality)."""
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return assign_split(lab, "quality", "doc_id").select("doc_id", "quality", "is_test")
+
+
+@register("doc_length_auc")
+def q_doc_length_auc(spark, sf_dir):
+    """Exact ROC-AUC (ties half) of document length for quality, per language."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    a = M.roc_auc(docs.join(lab, "doc_id"), "quality", "n_chars", by=["lang"])
+    return a.select("lang", rnd("roc_auc").alias("roc_auc"))
+
+
+@register("lineitem_price_quantiles")
+def q_lineitem_price_quantiles(spark, sf_dir):
+    """Exact quartiles of the extended price per return flag (all line items)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    names = ["p_min", "p_q1", "p_median", "p_q3", "p_max"]
+    q = exact_quantiles(li, "l_extendedprice", FARE_QUANTILES, names, by=["l_returnflag"])
+    return q.select("l_returnflag", *[rnd(n).alias(n) for n in names])
+
+
+@register("lineitem_quantity_mode")
+def q_lineitem_quantity_mode(spark, sf_dir):
+    """Most frequent quantity per line status (ties -> smallest)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_linestatus", "l_quantity")
+    return mode_of(li, "l_quantity", "mode_quantity", by=["l_linestatus"])

@@ -331,3 +331,31 @@ ORACLE["sample_rows"] = with_ctes(_INTAKE, body="""
 select subject_id, tier, full_name, sex, age from conformed order by subject_id limit 3""")
 ORACLE["first_20_predictions"] = with_ctes(*_PRED, body="""
 select subject_id, pred, prob from preds order by subject_id limit 20""")
+
+# ---------------------------------------------------------------- other tables
+ORACLE["labels_split"] = """
+select doc_id, quality, rk <= ceil(0.2 * cn) as is_test from (
+  select doc_id, quality, row_number() over (partition by quality
+           order by md5(cast(doc_id as varchar) || ':42'), doc_id) as rk,
+         count(*) over (partition by quality) as cn
+  from labels)"""
+ORACLE["doc_length_auc"] = """
+with g as (select d.lang, cast(d.n_chars as double) as s,
+             sum(case when l.quality = 1 then 1 else 0 end) as pos,
+             sum(case when l.quality = 1 then 0 else 1 end) as neg
+           from documents d join labels l using (doc_id) group by d.lang, cast(d.n_chars as double)),
+r as (select *, coalesce(sum(neg) over (partition by lang order by s rows between unbounded preceding
+        and 1 preceding), 0) as below from g)
+select lang, round(case when sum(pos) = 0 or sum(neg) = 0 then null else
+  cast(sum(2 * pos * below + pos * neg) as double) / (2.0 * sum(pos) * sum(neg)) end, 6) as roc_auc
+from r group by lang"""
+ORACLE["lineitem_price_quantiles"] = """
+select l_returnflag, round(q[1], 6) as p_min, round(q[2], 6) as p_q1, round(q[3], 6) as p_median,
+  round(q[4], 6) as p_q3, round(q[5], 6) as p_max
+from (select l_returnflag, quantile_cont(l_extendedprice, [0.0, 0.25, 0.5, 0.75, 1.0]) as q
+      from lineitem group by l_returnflag)"""
+ORACLE["lineitem_quantity_mode"] = """
+select l_linestatus, l_quantity as mode_quantity from (
+  select l_linestatus, l_quantity, row_number() over (partition by l_linestatus
+           order by count(*) desc, l_quantity) as rn
+  from lineitem where l_quantity is not null group by l_linestatus, l_quantity) where rn = 1"""
