@@ -56,6 +56,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def nan_to_null(c: str | Column) -> Column:
+    """Double NaN -> NULL, so NaN counts as missing everywhere."""
+    c = _col(c).cast("double")
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
 def map_literal(mapping: Mapping) -> Column:
     return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
 

@@ -123,11 +123,11 @@ class EncodedFeaturesModel(Model, _InputCols, _EncodedState, DefaultParamsReadab
         keys, ages = self.getOrDefault(self.titleKeys), self.getOrDefault(self.titleAges)
         learned = S.map_literal(dict(zip(keys, ages)))[title] if keys else F.lit(None)
         global_age = self.getOrDefault(self.ageMedian) if self.isDefined(self.ageMedian) else None
-        age = F.coalesce(self._c(self.ageCol).cast("double"), learned.cast("double"),
+        age = F.coalesce(S.nan_to_null(self._c(self.ageCol)), learned.cast("double"),
                          F.lit(global_age).cast("double"),
                          F.lit(self.getOrDefault(self.fallbackAge)))
         fare_med = self.getOrDefault(self.fareMedian) if self.isDefined(self.fareMedian) else None
-        fare = F.coalesce(self._c(self.fareCol).cast("double"), F.lit(fare_med).cast("double"))
+        fare = F.coalesce(S.nan_to_null(self._c(self.fareCol)), F.lit(fare_med).cast("double"))
         port = F.coalesce(self._c(self.portCol), F.lit(self.getOrDefault(self.portMode)))
         fam = S.family_size(self._c(self.sibspCol), self._c(self.parchCol))
         return {
@@ -172,7 +172,7 @@ class EncodedFeatures(Estimator, _InputCols, DefaultParamsReadable, DefaultParam
             med = _fit_medians(d, F.col("_title"), F.col("_age"), F.col("_fare"), acc)
             port_rows = mode_of(d, "_port", "m").collect()
             fare_median = med.get("fare")
-            filled = d.select(F.coalesce(F.col("_fare").cast("double"),
+            filled = d.select(F.coalesce(S.nan_to_null("_fare"),
                                          F.lit(fare_median).cast("double")).alias("f"))
             edge_row = exact_quantiles(filled, "f", FARE_QUANTILES,
                                        [f"e{i}" for i in range(5)], accuracy=acc).collect()
@@ -208,10 +208,10 @@ class NativeCategoricalFeaturesModel(Model, _InputCols, _EncodedState, DefaultPa
         return {
             "tier": self._c(self.tierCol).cast("string"),
             "sex": F.coalesce(self._c(self.sexCol).cast("string"), F.lit("nan")),
-            "age": F.coalesce(self._c(self.ageCol).cast("double"), F.lit(age_med).cast("double")),
+            "age": F.coalesce(S.nan_to_null(self._c(self.ageCol)), F.lit(age_med).cast("double")),
             "sibsp": self._c(self.sibspCol).cast("int"),
             "parch": self._c(self.parchCol).cast("int"),
-            "fare": F.coalesce(self._c(self.fareCol).cast("double"),
+            "fare": F.coalesce(S.nan_to_null(self._c(self.fareCol)),
                                F.lit(fare_med).cast("double")),
             "port": F.coalesce(self._c(self.portCol).cast("string"),
                                F.lit(self.getOrDefault(self.portMode))),

@@ -71,6 +71,8 @@ def conform(df: DataFrame, fields: Sequence[Field] = RECORD_FIELDS,
     for f in fields:
         if f.name in df.columns:
             c = F.col(f.name).try_cast(f.dtype)
+            if f.dtype == "double":
+                c = S.nan_to_null(c)
             numeric = f.dtype in ("int", "bigint", "double")
             if f.default is not None and (numeric or null_as_absent):
                 c = F.coalesce(c, F.lit(f.default).cast(f.dtype))
@@ -88,10 +90,10 @@ def normalised_fields(get) -> dict[str, Column]:
     return {
         "tier": get("tier").try_cast("int"),
         "sex": F.lower(get("sex")),
-        "age": get("age").try_cast("double"),
+        "age": S.nan_to_null(get("age").try_cast("double")),
         "sibsp": F.coalesce(get("sibsp").try_cast("int"), F.lit(0)),
         "parch": F.coalesce(get("parch").try_cast("int"), F.lit(0)),
-        "fare": get("fare").try_cast("double"),
+        "fare": S.nan_to_null(get("fare").try_cast("double")),
         "port": F.nullif(F.upper(F.trim(get("port"))), F.lit("")),
     }
 

@@ -94,3 +94,12 @@ def test_model_persistence(passengers, tmp_path):
     a = sorted(m.transform(passengers).collect())
     b = sorted(back.transform(passengers).collect())
     assert a == b
+
+
+def test_nan_counts_as_missing(spark, passengers):
+    m = EncodedFeatures(keepCols=["subject_id"]).fit(passengers)
+    nan_rows = passengers.withColumn("age", F.when(F.col("subject_id") == 4, F.lit(float("nan")))
+                                     .otherwise(F.col("age")))
+    r = {x["subject_id"]: x for x in m.transform(nan_rows).collect()}
+    assert r[4]["age"] == 32.5 and r[4]["age_band"] == 2
+    assert m.fitted() == EncodedFeatures().fit(nan_rows).fitted()
