@@ -58,6 +58,26 @@ def confidence_distribution(pred_table: DataFrame, band: str = "confidence") ->
         for lvl in ("High", "Medium", "Low")])).alias("r")).select("r.*")
 
 
+def run_report(pred_table: DataFrame, model_name: str, model_version: str,
+               pred: str = "pred", prob: str = "prob", band: str = "confidence") -> DataFrame:
+    """One-row run summary: totals, rates, band counts, run time (UTC text).
+
+    A single global aggregate over the predictions table; the row is what a
+    report renders (the rendering itself is a few driver-side lines).
+    """
+    n = F.count(F.lit(1))
+    pos = F.sum(F.col(pred)).cast("long")
+    b = F.col(band)
+    return pred_table.agg(
+        n.alias("total"), pos.alias("positive"), (n - pos).alias("negative"),
+        F.round(pos * F.lit(100.0) / F.nullif(n, F.lit(0)), 2).alias("positive_rate_pct"),
+        F.round(F.avg(prob) * 100, 2).alias("avg_prob_pct"),
+        *[F.sum((b == lvl).cast("long")).alias(f"n_{lvl.lower()}") for lvl in ("High", "Medium", "Low")]
+    ).select("*", F.lit(model_name).alias("model_name"), F.lit(str(model_version)).alias("model_version"),
+             F.concat(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm"), F.lit(" UTC"))
+             .alias("run_time"))
+
+
 def top_predictions(pred_table: DataFrame, id_col: str, k: int = 10) -> DataFrame:
     """Top-k by probability (ties by id): TakeOrderedAndProject, no full sort."""
     cols = [c for c in (id_col, "sex", "tier", "pred", "prob", "confidence")

@@ -112,3 +112,13 @@ def test_runs_table_roundtrip(spark):
     TR.append_runs(runs_frame(spark, r), path)
     back = TR.read_runs(spark, path).where("run_id = 'stage1__lr'").collect()
     assert back and back[-1]["metrics"]["test_roc_auc"] == 0.81 and back[-1]["params"]["C"] == "1.0"
+
+
+def test_run_report(spark):
+    import re
+    df = spark.createDataFrame([(1, 1, 0.9), (2, 0, 0.1), (3, 0, 0.55)], "subject_id long, pred int, prob double")
+    t = B.predictions_table(df, "subject_id", "pred", "prob", "m", "2")
+    r = B.run_report(t, "m", "2").collect()[0]
+    assert (r["total"], r["positive"], r["negative"]) == (3, 1, 2)
+    assert (r["n_high"], r["n_medium"], r["n_low"]) == (2, 0, 1)
+    assert r["positive_rate_pct"] == 33.33 and re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2} UTC", r["run_time"])
