@@ -13,7 +13,8 @@ parameters into ``pyspark.ml`` pipeline stages:
   rounds (the cluster's checkpoint directory).  Scoring is one expression;
 * ``PlattSVC``: linear SVM (Spark ``LinearSVC``) with Platt scaling fitted on
   out-of-fold margins; the RBF kernel is approximated by random Fourier
-  features (Rahimi & Recht, 2007) computed as column expressions;
+  features (Rahimi & Recht, 2007) computed as column expressions, the
+  polynomial kernel uses its exact explicit feature map;
 * ``PopulationScaler``: standardisation with the population std (zero std ->
   scale 1), which Spark's ``StandardScaler`` does not offer.
 
@@ -290,6 +291,83 @@ class AdaBoostStumpsModel(Model, _BoostParams, DefaultParamsReadable, DefaultPar
 
 # ---------------------------------------------------------------- SVM with Platt scaling
 
+def kernel_gamma(df: DataFrame, cols: Sequence[str], g) -> float:
+    """'scale' = 1 / (d * variance of all matrix entries), 'auto' = 1/d, or a number."""
+    d = len(cols)
+    if g == "scale":
+        r = df.agg(*[F.sum(F.col(c).cast("double")) for c in cols],
+                   *[F.sum(F.col(c).cast("double") ** 2) for c in cols],
+                   F.count(F.lit(1))).collect()[0]
+        n = r[-1] * d
+        s1, s2 = sum(r[:d]), sum(r[d:2 * d])
+        var = (s2 / n - (s1 / n) ** 2) if n else 0.0
+        return 1.0 / (d * var) if var > 0 else 1.0
+    if g == "auto":
+        return 1.0 / d
+    return float(g)
+
+
+class PolynomialKernelFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Exact feature map of the homogeneous polynomial kernel (gamma x.y)^degree:
+    every monomial of the given degree weighted by sqrt(multinomial) *
+    gamma^(degree/2), so a linear model on it is the kernel model in primal
+    form."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "input columns", TypeConverters.toListString)
+    degree = Param(Params._dummy(), "degree", "kernel degree", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "'scale', 'auto' or a number", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, degree=None, gamma=None):
+        super().__init__()
+        self._setDefault(degree=3, gamma="scale")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, df: DataFrame):
+        cols = self.getOrDefault(self.inputCols)
+        m = PolynomialKernelFeaturesModel()
+        m._set(inputCols=cols, degree=self.getOrDefault(self.degree),
+               gammaValue=kernel_gamma(df, cols, self.getOrDefault(self.gamma)))
+        return m
+
+
+class PolynomialKernelFeaturesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    inputCols = Param(Params._dummy(), "inputCols", "input columns", TypeConverters.toListString)
+    degree = Param(Params._dummy(), "degree", "kernel degree", TypeConverters.toInt)
+    gammaValue = Param(Params._dummy(), "gammaValue", "fitted gamma", TypeConverters.toFloat)
+
+    def __init__(self):
+        super().__init__()
+
+    def terms(self):
+        from collections import Counter
+        from itertools import combinations_with_replacement
+
+        deg = self.getOrDefault(self.degree)
+        d = len(self.getOrDefault(self.inputCols))
+        out = []
+        for combo in combinations_with_replacement(range(d), deg):
+            mult = math.factorial(deg)
+            for c in Counter(combo).values():
+                mult //= math.factorial(c)
+            out.append((combo, math.sqrt(mult)))
+        return out
+
+    def output_cols(self):
+        return [f"poly_{j}" for j in range(len(self.terms()))]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        cols = self.getOrDefault(self.inputCols)
+        scale = self.getOrDefault(self.gammaValue) ** (self.getOrDefault(self.degree) / 2.0)
+        outs = []
+        for j, (combo, w) in enumerate(self.terms()):
+            e = F.lit(w * scale)
+            for i in combo:
+                e = e * F.col(cols[i]).cast("double")
+            outs.append(e.alias(f"poly_{j}"))
+        return df.select("*", *outs)
+
+
 class RandomFourierFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """RBF kernel map z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma)."""
 
@@ -306,21 +384,8 @@ class RandomFourierFeatures(Estimator, DefaultParamsReadable, DefaultParamsWrita
 
     def _fit(self, df: DataFrame):
         cols = self.getOrDefault(self.inputCols)
-        g = self.getOrDefault(self.gamma)
         d = len(cols)
-        if g == "scale":
-            # variance of all matrix entries, as the reference's 'scale' rule
-            r = df.agg(*[F.sum(F.col(c).cast("double")) for c in cols],
-                       *[F.sum(F.col(c).cast("double") ** 2) for c in cols],
-                       F.count(F.lit(1))).collect()[0]
-            n = r[-1] * d
-            s1, s2 = sum(r[:d]), sum(r[d:2 * d])
-            var = (s2 / n - (s1 / n) ** 2) if n else 0.0
-            gamma = 1.0 / (d * var) if var > 0 else 1.0
-        elif g == "auto":
-            gamma = 1.0 / d
-        else:
-            gamma = float(g)
+        gamma = kernel_gamma(df, cols, self.getOrDefault(self.gamma))
         rng = np.random.default_rng(self.getOrDefault(self.seed))
         D = self.getOrDefault(self.numFeatures)
         w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(D, d))
@@ -459,8 +524,15 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
     if name == "svm":
         kernel = p.get("kernel", "rbf")
         feat_cols = cols
-        if kernel != "linear":
-            # poly / sigmoid are approximated by the RBF map as well (see README)
+        if kernel == "poly":
+            degree = int(p.get("degree", 3))
+            poly = PolynomialKernelFeatures(inputCols=cols, degree=degree,
+                                            gamma=str(p.get("gamma", "scale")))
+            stages.append(poly)
+            n_terms = math.comb(len(cols) + degree - 1, degree)
+            feat_cols = [f"poly_{j}" for j in range(n_terms)]
+        elif kernel != "linear":
+            # rbf: random Fourier features; sigmoid (not a PSD kernel) uses the same map
             rff = RandomFourierFeatures(inputCols=cols, numFeatures=int(p.get("n_components", 100)),
                                         gamma=str(p.get("gamma", "scale")), seed=seed)
             stages.append(rff)

@@ -138,3 +138,22 @@ def test_categorical_indices_from_metadata(spark, split):
     out = Pipeline(stages=stages).fit(train).transform(train)
     idx = categorical_indices(out)
     assert sorted(idx.values()) == [0, 1, 2] and set(idx) == {"sex_idx", "port_idx", "tier_idx"}
+
+
+def test_polynomial_kernel_map_is_exact(spark):
+    import numpy as np
+    from scoreflow.operators.learners import PolynomialKernelFeatures
+    rng = np.random.default_rng(0)
+    X = rng.normal(size=(6, 4))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], "a double, b double, c double, d double")
+    m = PolynomialKernelFeatures(inputCols=["a", "b", "c", "d"], degree=3, gamma="0.5").fit(df)
+    Z = np.array([[r[c] for c in m.output_cols()] for r in m.transform(df).collect()])
+    K = (0.5 * X @ X.T) ** 3
+    assert np.allclose(Z @ Z.T, K, atol=1e-9)
+
+
+def test_svm_poly_kernel(spark, split):
+    train, test = split
+    cfg = TRN.TrainConfig()
+    m = TRN.fit_learner("svm", {"kernel": "poly"}, train, train.count(), cfg)  # degree 3 (default)
+    assert TRN.test_metrics(m, test, cfg)["roc_auc"] > 0.7
