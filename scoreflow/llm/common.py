@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from scoreflow.session import ensure_checkpoint_dir
 
@@ -66,3 +67,8 @@ def cached(key, make):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+def plus(schema: StructType, ddl: str) -> StructType:
+    """``schema`` followed by the columns of ``ddl``."""
+    return StructType(schema.fields + StructType.fromDDL(ddl).fields)

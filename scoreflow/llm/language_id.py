@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import cached, mix64, slices, table
+from .common import cached, mix64, plus, slices, table
 
 NGRAM = 4
 PROBES = 3
@@ -180,8 +180,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str], text_col: st
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model and (model.langs, model.words, model.k))
     cols = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = cols.drop("__text").schema.add("lang_pred", "string").add("score", "double") \
-        .add("n_grams", "long")
+    schema = plus(cols.drop("__text").schema, "lang_pred string, score double, n_grams long")
     kept = list(keep)
 
     def judge(batches):

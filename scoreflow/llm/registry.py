@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import language_id, simhash, url_reputation
+from . import decontamination, language_id, sentencepiece_viterbi, simhash, url_reputation, warc_zip
 
 QUERIES = {
     "op1_host_reputation": url_reputation.op1_host_reputation,
     "op2_language_id": language_id.op2_language_id,
     "op3_simhash": simhash.op3_simhash,
+    "op4_decontamination": decontamination.op4_decontamination,
+    "op5_sentencepiece": sentencepiece_viterbi.op5_sentencepiece,
+    "op6_warc_zip": warc_zip.op6_warc_zip,
 }
 
 ORACLE = {
     "op1_host_reputation": url_reputation.ORACLE,
+    "op4_decontamination": decontamination.ORACLE,
 }

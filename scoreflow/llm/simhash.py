@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import slices, table, written
+from .common import plus, slices, table, written
 from .graph import components
 
 SHINGLE = 3
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                                  names=["doc_id", "fp"])
 
     cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, cols.select("doc_id").schema.add("fp", "long"))
+    return cols.mapInArrow(run, plus(cols.select("doc_id").schema, "fp long"))
 
 
 def _planes(fp: np.ndarray) -> np.ndarray:
