@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, sentencepiece_viterbi, simhash, url_reputation, warc_zip
+from . import decontamination, language_id, secret_scan, sentencepiece_viterbi, simhash, url_reputation, warc_zip
 
 QUERIES = {
     "op1_host_reputation": url_reputation.op1_host_reputation,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_sentencepiece": sentencepiece_viterbi.op5_sentencepiece,
     "op6_warc_zip": warc_zip.op6_warc_zip,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
 }
 
 ORACLE = {

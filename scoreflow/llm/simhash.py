@@ -73,8 +73,10 @@ def majority(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit view of each row's SimHash."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 mark: bool = False) -> DataFrame:
+    """(doc_id, fp): the signed 64-bit view of each row's SimHash; with ``mark`` also ``mark``, a hash
+    of the text that tells rows of one doc_id apart."""
 
     def run(batches):
         for b in batches:
@@ -82,11 +84,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for i, j in slices([len(t or "") for t in text], CHUNK):
                 h = [shingle_hashes(t, shingle) for t in text[i:j]]
                 fp = majority(np.concatenate(h), np.array([len(x) for x in h]))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(fp.view(np.int64))],
-                                                 names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([b.column(c).slice(i, j - i) for c in kept] + [pa.array(fp.view(np.int64))],
+                                                 names=kept + ["fp"])
 
-    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, plus(cols.select("doc_id").schema, "fp long"))
+    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       *([F.xxhash64(text_col).alias("mark")] if mark else []))
+    kept = [c for c in cols.columns if c != "text"]
+    return cols.mapInArrow(run, plus(cols.select(*kept).schema, "fp long"))
 
 
 def _planes(fp: np.ndarray) -> np.ndarray:
@@ -242,16 +246,28 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp, component_id (the smallest doc_id reachable)."""
-    fps = written(fingerprints(docs, id_col, text_col, shingle), "simhash")
+                    radius: int = RADIUS, bucket: int = BUCKET, mark: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fp, component_id (the smallest doc_id reachable), root (the
+    smallest fingerprint reachable, the same for all of a group) and, if asked for, mark."""
+    fps = written(fingerprints(docs, id_col, text_col, shingle, mark), "simhash")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct.select("fp"), radius, bucket))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(placed.select("fp", "root").join(named, "root").select("fp", "component_id"), "fp") \
-        .select("doc_id", "fp", "component_id")
+    return fps.join(placed.select("fp", "root").join(named, "root"), "fp") \
+        .select("doc_id", "fp", "component_id", "root", *(["mark"] if mark else []))
+
+
+def first_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The document with the smallest doc_id of every group (rows without an id last; of rows that share
+    it the one whose text hashes lowest, once)."""
+    found = near_duplicates(docs, shingle=shingle, radius=radius, mark=True)
+    keep = written(found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("x"))
+                   .select(F.col("x.doc_id").alias("_id"), F.col("x.mark").alias("_mark")), "keepers")
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
+    return marked.join(keep, F.expr("doc_id <=> _id and __mark = _mark"), "left_semi") \
+        .dropDuplicates(["doc_id", "__mark"]).drop("__mark")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
