@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, secret_scan, sentencepiece_viterbi, simhash, url_reputation, warc_zip
+from . import (decontamination, language_id, secret_scan, sentencepiece_viterbi, simhash, syncmer,
+               token_counts, url_reputation, warc_zip)
 
 QUERIES = {
     "op1_host_reputation": url_reputation.op1_host_reputation,
@@ -12,6 +13,8 @@ QUERIES = {
     "op5_sentencepiece": sentencepiece_viterbi.op5_sentencepiece,
     "op6_warc_zip": warc_zip.op6_warc_zip,
     "op7_secret_scan": secret_scan.op7_secret_scan,
+    "op8_token_counts": token_counts.op8_token_counts,
+    "op9_syncmer": syncmer.op9_syncmer,
 }
 
 ORACLE = {
