@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (decontamination, language_id, secret_scan, sentencepiece_viterbi, simhash, syncmer,
-               token_counts, url_reputation, warc_zip)
+from . import (decontamination, language_id, pii, secret_scan, sentencepiece_viterbi, simhash,
+               syncmer, token_counts, url_reputation, warc_zip)
 
 QUERIES = {
     "op1_host_reputation": url_reputation.op1_host_reputation,
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_syncmer": syncmer.op9_syncmer,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
