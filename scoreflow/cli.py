@@ -82,7 +82,7 @@ def _stream(args, spark):
                                 F.lit(None).cast("int").alias("label"))
         s = positive_probability(model.transform(tagged)).select(
             F.col(PASS_PREFIX + "request_id").alias("request_id"),
-            F.col("subject_id").alias("passenger_index"), "pred", "prob")
+            (F.col("subject_id") - 1).alias("passenger_index"), "pred", "prob")
         return B.predictions_table(s, "passenger_index", "pred", "prob", path.rsplit("/", 1)[-1],
                                    "local", source_cols=["request_id", "passenger_index"])
 

@@ -2,51 +2,22 @@
 
 Spark's exact ``percentile``/``median`` merge a value->count map per group in
 a single task; for a continuous column and a hot group (say a third of all
-rows) that map is as large as the group.  ``exact_quantiles`` instead:
-
-1. one aggregation per group: row count, min, max and ``percentile_approx``
-   at ``p - m`` and ``p + m`` (m a few multiples of the sketch's rank error
-   1/accuracy).  This is a partial/final hash aggregate with bounded buffers.
-2. each row is tested against that narrow [lo, hi] band; per group we count
-   the rows below the band (one more partial aggregate).
-3. only rows inside the band -- about 2*m*n of them -- are collapsed to
-   (value, count) pairs (ties collapse, so a hot value never blows up a
-   task) and folded in order with a running count.
-4. the two order statistics around rank (n-1)*p are read off and linearly
-   interpolated, exactly like ``percentile_cont`` / ``numpy.quantile``.
-
-Rows below the band are folded into one counted marker per group, so a
-single sorted (flag, value, count) array per group yields the global ranks.
-The sketch's rank error is deterministic (<= n/accuracy) and the band is
-four times wider, so for groups of at least ``accuracy`` rows the target
-ranks are always inside (smaller groups use their whole range); the query
-raises rather than return a wrong value if that were ever violated.
+rows) that map is as large as the group.  ``exact_quantiles`` collapses rows to
+(group, value, count), numbers them with ``running_totals`` (range partitions and
+offsets, so a hot group lies in many partitions) and reads the two order statistics
+around rank (n-1)*p off the rows that hold them, interpolated linearly like
+``percentile_cont`` / ``numpy.quantile``.  One path for all sizes: no sketch, no band,
+no join of base rows.  The NULL group is a group like any other.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 0  # 0 = choose from the data (see auto_accuracy)
-MIN_ACCURACY, MAX_ACCURACY = 10_000, 10_000_000
-_GKEY = "__all__"
-
-
-def auto_accuracy(base: DataFrame, keys: Sequence[str]) -> int:
-    """Sketch accuracy ~ sqrt(8 * largest group), clamped.
-
-    A task holds at most about max(accuracy, 8 n / accuracy) distinct values
-    per group and quantile (the small-group range, or the band); choosing
-    accuracy ~ sqrt(8 n) makes both O(sqrt(n)) -- about 2.8M values for a
-    group of 10**12 rows.  Costs one aggregation (row count per group).
-    """
-    row = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).collect()[0]
-    n = int(row[0] or 0)
-    return int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.ceil(math.sqrt(8.0 * n)))))
+from scoreflow.functions.ranges import running_totals
 
 
 def _clean_value(value: str | Column) -> Column:
@@ -55,102 +26,27 @@ def _clean_value(value: str | Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
-                    names: Sequence[str] | None = None, by: Sequence[str] = (),
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    names: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Exact ``percentile_cont`` of ``value`` at ``probs`` per ``by`` group.
 
-    NULL and NaN values are skipped.  ``accuracy`` 0 picks the sketch
-    accuracy from the largest group (one extra aggregation).  Returns one row per group with the
+    NULL and NaN values are skipped.  Returns one row per group with the
     group columns and one double column per probability.
     """
-    probs = [float(p) for p in probs]
-    names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     by = list(by)
-    is_global = not by
-    keys = by or [_GKEY]
-    v = _clean_value(value)
-    base = df.select(*(by or [F.lit(0).alias(_GKEY)]), v.alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    nq = len(probs)
-    if not accuracy or accuracy <= 0:
-        accuracy = auto_accuracy(base, keys)
-    # percentile_approx(p) returns a value whose 1-based rank r satisfies
-    # |r - ceil(p n)| <= n / accuracy; interpolation needs the 0-based ranks
-    # floor((n-1)p) and ceil((n-1)p).  With margin 4/accuracy both are inside
-    # [approx(p - m), approx(p + m)] whenever n >= accuracy.  Smaller groups
-    # (fewer than ``accuracy`` rows, so bounded) use [min, max] as the band.
-    margin = 4.0 / accuracy
-    lo_p = [max(p - margin, 0.0) for p in probs]
-    hi_p = [min(p + margin, 1.0) for p in probs]
-    stats = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_p + hi_p]),
-                            accuracy).alias("_b"))
-    bounds = [*keys, "_n"]
-    small = F.col("_n") < F.lit(accuracy)
-    for i in range(nq):
-        lo = F.col("_min") if lo_p[i] == 0.0 else F.when(small, F.col("_min")).otherwise(
-            F.col("_b")[i])
-        hi = F.col("_max") if hi_p[i] == 1.0 else F.when(small, F.col("_max")).otherwise(
-            F.col("_b")[nq + i])
-        bounds += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}")]
-    stats = stats.select(*bounds)
-    # One row per group.  The global case is a single row and is attached to
-    # every row as a scalar subquery (computed once, no join); grouped stats
-    # are joined on the group key (AQE broadcasts them when measured small,
-    # otherwise a shuffle join, with hot groups split by AQE's skew handling).
-    if is_global:
-        one = stats.drop(_GKEY)
-        j = base.select("*", one.select(F.struct(*one.columns)).scalar().alias("_st")) \
-                .select(*keys, "_v", "_st.*")
-    else:
-        j = base.join(stats, keys)
-    # Per row and quantile: a "below the band" marker (flag 0) or the value
-    # itself when inside the band (flag 1); rows above the band vanish.
-    tags = F.array_compact(F.array(*[
-        F.when(F.col("_v") < F.col(f"_lo{i}"),
-               F.struct(F.lit(i).alias("qi"), F.lit(0).alias("f"),
-                        F.lit(None).cast("double").alias("v")))
-         .when(F.col("_v") <= F.col(f"_hi{i}"),
-               F.struct(F.lit(i).alias("qi"), F.lit(1).alias("f"), F.col("_v").alias("v")))
-        for i in range(nq)]))
-    tagged = j.select(*keys, "_n", F.explode(tags).alias("_t")).select(
-        *keys, "_n", "_t.qi", "_t.f", "_t.v")
-    # Partial aggregation collapses the below-band rows to one count per
-    # group and ties to one (value, count) pair.
-    dist = tagged.groupBy(*keys, "_n", "qi", "f", "v").agg(F.count(F.lit(1)).alias("c"))
-    arr = dist.groupBy(*keys, "_n", "qi").agg(
-        F.array_sort(F.collect_list(F.struct("f", "v", "c"))).alias("_vals"))
-    p_of = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("qi") + 1)
-    h = (F.col("_n") - 1).cast("double") * p_of
-    ra, rb = F.floor(h), F.ceil(h)
-    init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("va"),
-                    F.lit(None).cast("double").alias("vb"))
-
-    def step(acc, x):
-        end = acc["cum"] + x["c"]
-        return F.struct(
-            end.alias("cum"),
-            F.when(acc["va"].isNull() & (x["f"] == 1) & (ra < end), x["v"])
-             .otherwise(acc["va"]).alias("va"),
-            F.when(acc["vb"].isNull() & (x["f"] == 1) & (rb < end), x["v"])
-             .otherwise(acc["vb"]).alias("vb"))
-
-    found = arr.select(*keys, "qi", (h - ra).alias("_frac"),
-                       F.aggregate("_vals", init, step).alias("_r"))
-    interp = F.col("_r.va") + F.col("_frac") * (F.col("_r.vb") - F.col("_r.va"))
-    checked = F.when(F.col("_r.va").isNotNull() & F.col("_r.vb").isNotNull(), interp).otherwise(
-        F.raise_error(F.lit("exact_quantiles: sketch band missed the target rank")))
-    picked = found.select(*keys, "qi", checked.cast("double").alias("_q"))
-    out = picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(names[i]) for i in range(nq)])
-    return out.drop(_GKEY) if is_global else out
-
-
-def exact_median(df: DataFrame, value: str | Column, name: str = "median",
-                 by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return exact_quantiles(df, value, [0.5], [name], by, accuracy)
+    names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
+    values = df.select(*by, _clean_value(value).alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ranked = running_totals(values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), by, "_v", ["_c"])
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_c_before") <= rank) & (rank < F.col("_c_before") + F.col("_c")), F.col("_v")))
+
+    picks = []
+    for i, p in enumerate(probs):
+        h = (F.col("_c_total") - 1).cast("double") * F.lit(float(p))
+        picks += [at(F.floor(h)).alias(f"_low{i}"), at(F.ceil(h)).alias(f"_high{i}"), F.max(h - F.floor(h)).alias(f"_part{i}")]
+    found = ranked.groupBy(*by).agg(*picks)
+    return found.select(*by, *[(F.col(f"_low{i}") + F.col(f"_part{i}") * (F.col(f"_high{i}") - F.col(f"_low{i}"))).alias(n)
+                               for i, n in enumerate(names)])
 
 
 def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = ()) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreflow.functions import scalars as S
-from scoreflow.functions.quantiles import DEFAULT_ACCURACY, exact_quantiles, mode_of
+from scoreflow.functions.quantiles import exact_quantiles, mode_of
 
 ENCODED_FEATURES = ["tier", "sex", "age", "sibsp", "parch", "fare", "port", "title",
                     "family_size", "alone", "age_band", "fare_cat"]
@@ -61,15 +61,12 @@ class _InputCols(Params):
     float32 = Param(Params._dummy(), "float32", "cast features to float", TypeConverters.toBoolean)
     fallbackAge = Param(Params._dummy(), "fallbackAge", "age when nothing was learned",
                         TypeConverters.toFloat)
-    accuracy = Param(Params._dummy(), "accuracy", "sketch accuracy for exact quantiles",
-                     TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
         self._setDefault(tierCol="tier", nameCol="full_name", sexCol="sex", ageCol="age",
                          sibspCol="sibsp", parchCol="parch", fareCol="fare", portCol="port",
-                         keepCols=[], float32=False, fallbackAge=0.0,
-                         accuracy=DEFAULT_ACCURACY)
+                         keepCols=[], float32=False, fallbackAge=0.0)
 
     def _c(self, p):
         return F.col(self.getOrDefault(p))
@@ -91,7 +88,7 @@ class _EncodedState(Params):
                       TypeConverters.toListFloat)
 
 
-def _fit_medians(df: DataFrame, title, age, fare, accuracy: int) -> dict:
+def _fit_medians(df: DataFrame, title, age, fare) -> dict:
     """All medians in one job: per-title age, global age, global fare.
 
     Rows are unpivoted to (key, value) and quantiles are computed per key;
@@ -102,7 +99,7 @@ def _fit_medians(df: DataFrame, title, age, fare, accuracy: int) -> dict:
         F.struct(F.lit("age").alias("k"), age.cast("double").alias("v")),
         F.struct(F.lit("fare").alias("k"), fare.cast("double").alias("v")))).alias("kv")
     ).select("kv.*")
-    rows = exact_quantiles(long, "v", [0.5], ["m"], by=["k"], accuracy=accuracy).collect()
+    rows = exact_quantiles(long, "v", [0.5], ["m"], by=["k"]).collect()
     return {r["k"]: r["m"] for r in rows}
 
 
@@ -158,24 +155,23 @@ class EncodedFeatures(Estimator, _InputCols, DefaultParamsReadable, DefaultParam
     @keyword_only
     def __init__(self, *, tierCol=None, nameCol=None, sexCol=None, ageCol=None, sibspCol=None,
                  parchCol=None, fareCol=None, portCol=None, keepCols=None, float32=None,
-                 fallbackAge=None, accuracy=None):
+                 fallbackAge=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> EncodedFeaturesModel:
-        acc = self.getOrDefault(self.accuracy)
         needed = df.select(S.title_group(self._c(self.nameCol)).alias("_title"),
                            self._c(self.ageCol).alias("_age"),
                            self._c(self.fareCol).alias("_fare"),
                            self._c(self.portCol).alias("_port"))
         with persisted(needed) as d:
-            med = _fit_medians(d, F.col("_title"), F.col("_age"), F.col("_fare"), acc)
+            med = _fit_medians(d, F.col("_title"), F.col("_age"), F.col("_fare"))
             port_rows = mode_of(d, "_port", "m").collect()
             fare_median = med.get("fare")
             filled = d.select(F.coalesce(S.nan_to_null("_fare"),
                                          F.lit(fare_median).cast("double")).alias("f"))
             edge_row = exact_quantiles(filled, "f", FARE_QUANTILES,
-                                       [f"e{i}" for i in range(5)], accuracy=acc).collect()
+                                       [f"e{i}" for i in range(5)]).collect()
         edges = []
         if edge_row:
             for e in edge_row[0]:
@@ -229,12 +225,11 @@ class NativeCategoricalFeatures(Estimator, _InputCols, DefaultParamsReadable,
     @keyword_only
     def __init__(self, *, tierCol=None, nameCol=None, sexCol=None, ageCol=None, sibspCol=None,
                  parchCol=None, fareCol=None, portCol=None, keepCols=None, float32=None,
-                 fallbackAge=None, accuracy=None):
+                 fallbackAge=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> NativeCategoricalFeaturesModel:
-        acc = self.getOrDefault(self.accuracy)
         needed = df.select(self._c(self.ageCol).alias("_age"), self._c(self.fareCol).alias("_fare"),
                            self._c(self.portCol).alias("_port"))
         with persisted(needed) as d:
@@ -243,7 +238,7 @@ class NativeCategoricalFeatures(Estimator, _InputCols, DefaultParamsReadable,
                 F.struct(F.lit("fare").alias("k"), F.col("_fare").cast("double").alias("v"))
             )).alias("kv")).select("kv.*")
             med = {r["k"]: r["m"] for r in
-                   exact_quantiles(long, "v", [0.5], ["m"], by=["k"], accuracy=acc).collect()}
+                   exact_quantiles(long, "v", [0.5], ["m"], by=["k"]).collect()}
             port_rows = mode_of(d, "_port", "m").collect()
         m = NativeCategoricalFeaturesModel()
         self._copyValues(m)
@@ -262,13 +257,3 @@ def standard_scale_stats(df: DataFrame, cols: list[str]) -> DataFrame:
         aggs += [F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
                  F.stddev_pop(F.col(c).cast("double")).alias(f"{c}__std")]
     return df.agg(*aggs)
-
-
-def standard_scale(df: DataFrame, cols: list[str], stats: dict, keep: list[str] = ()) -> DataFrame:
-    """(x - mean) / std with population std learned by ``standard_scale_stats``."""
-    out = []
-    for c in cols:
-        mean, std = stats[f"{c}__mean"], stats[f"{c}__std"]
-        scale = std if std not in (None, 0.0) else 1.0
-        out.append(((F.col(c).cast("double") - F.lit(mean)) / F.lit(scale)).alias(c))
-    return df.select(*keep, *out)

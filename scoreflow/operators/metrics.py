@@ -4,13 +4,10 @@
   aggregation (partial/final hash aggregate, any data size);
 * ROC-AUC is exact with ties counted half.  Scores are first collapsed to
   (score, positives, negatives); the running count of negatives below each
-  score is a two-level prefix sum: distinct scores are cut into ranges at
-  approximate quantiles (as many ranges as needed to keep ~2M distinct
-  scores per range), range totals are prefix-summed over the (few) ranges,
-  and the within-range running sum is a window partitioned by range --
-  never one unpartitioned window over all scores.
-  The numerator is kept in integers, so the result does not depend on the
-  order of summation;
+  score comes from ``running_totals`` (range partitions and their offsets), on one
+  path for all sizes.  A NULL or NaN score ranks below every other score.  The
+  numerator is a decimal(38, 0), so it neither overflows nor depends on the order
+  of summation;
 * log loss clips probabilities to [eps, 1 - eps] with eps = float64 machine
   epsilon.
 
@@ -22,9 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoreflow.functions.ranges import running_totals
+
 EPS = 2.220446049250313e-16
 DIGITS = 6
 METRIC_NAMES = ["accuracy", "recall", "precision", "f1", "roc_auc", "log_loss"]
@@ -33,14 +32,15 @@ def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
 
 
+def _counts(label: str, pred: str) -> list[Column]:
+    y, p = F.col(label), F.col(pred)
+    return [F.sum(c.cast("long")).alias(n) for n, c in (
+        ("tp", (y == 1) & (p == 1)), ("fp", (y != 1) & (p == 1)), ("fn", (y == 1) & (p != 1)), ("tn", (y != 1) & (p != 1)))]
+
+
 def confusion(df: DataFrame, label: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn (positive class 1) per group."""
-    y, p = F.col(label), F.col(pred)
-    return df.groupBy(*by).agg(
-        F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),
-        F.sum(((y != 1) & (p == 1)).cast("long")).alias("fp"),
-        F.sum(((y == 1) & (p != 1)).cast("long")).alias("fn"),
-        F.sum(((y != 1) & (p != 1)).cast("long")).alias("tn"))
+    return df.groupBy(*by).agg(*_counts(label, pred))
 
 
 def rates_from_confusion(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
@@ -55,59 +55,49 @@ def rates_from_confusion(tp: Column, fp: Column, fn: Column, tn: Column) -> dict
     }
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
-            rows_per_bucket: int = 2_000_000, max_buckets: int = 100_000,
-            name: str = "roc_auc") -> DataFrame:
-    """Exact ROC-AUC per group (NULL when a group has one class only).
+def _score(score: str) -> Column:
+    s = F.col(score).cast("double")
+    return F.when(F.isnan(s), F.lit(None)).otherwise(s)
 
-    Runs two small actions up front -- the number of distinct scores and,
-    when more than one bucket is needed, approximate quantile cuts of the
-    scores (a fitted statistic of at most ``max_buckets`` numbers) -- and
-    returns a lazy frame.  Buckets hold about ``rows_per_bucket`` distinct
-    scores each, so no task ranks more than that.
-    """
-    from pyspark.ml.feature import Bucketizer
 
-    by = list(by)
+def _ranked_auc(ranked: DataFrame, by: Sequence[str]) -> tuple[Column, Column, Column]:
+    """Aggregates of the rows of ``running_totals``: twice the pairs won, positives, negatives."""
+    wide = lambda c: F.col(c).cast("decimal(20,0)")
+    won = (wide("_pos") * (2 * F.col("_neg_before") + F.col("_neg")).cast("decimal(18,0)")).cast("decimal(38,0)")
+    return F.sum(won), F.sum("_pos"), F.sum("_neg")
+
+
+def _auc(won: Column, pos: Column, neg: Column) -> Column:
+    """NULL when a group has one class only."""
+    return F.when((pos == 0) | (neg == 0), F.lit(None).cast("double")).otherwise(
+        won.cast("double") / (F.lit(2.0) * pos.cast("double") * neg.cast("double")))
+
+
+def _classes(label: str) -> list[Column]:
     y = F.col(label)
-    g = df.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
-        F.sum((y == 1).cast("long")).alias("_pos"),
-        F.sum((y != 1).cast("long")).alias("_neg"))
-    n_distinct = g.count()
-    n_buckets = int(min(max_buckets, max(1, -(-n_distinct // rows_per_bucket))))
-    run = F.coalesce(F.sum("_neg").over(
-        Window.partitionBy(*by, *(["_bk"] if n_buckets > 1 else [])).orderBy("_s")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        cuts = sorted(set(g.approxQuantile("_s", probs, 1.0 / (4 * n_buckets))))
-        splits = [float("-inf"), *cuts, float("inf")]
-        gb = Bucketizer(splits=splits, inputCol="_s", outputCol="_bkd",
-                        handleInvalid="keep").transform(g)
-        gb = gb.withColumn("_bk", F.col("_bkd").cast("int")).drop("_bkd")
-        tot = gb.groupBy(*by, "_bk").agg(F.sum("_neg").alias("_bneg"))
-        # at most n_buckets rows per group
-        wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-        off = tot.select(*by, "_bk", F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_off"))
-        ranked = gb.join(off, [*by, "_bk"]).withColumn("_below", F.col("_off") + run)
-    else:
-        # one range: at most rows_per_bucket distinct scores per group
-        ranked = g.withColumn("_below", run)
-    # 2 * sum(pos * (neg_below + neg/2)) in integers
-    agg = ranked.groupBy(*by).agg(
-        F.sum(2 * F.col("_pos") * F.col("_below") + F.col("_pos") * F.col("_neg")).alias("_num"),
-        F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
-    auc = F.when((F.col("_P") == 0) | (F.col("_N") == 0), F.lit(None).cast("double")).otherwise(
-        F.col("_num").cast("double") / (F.lit(2.0) * F.col("_P").cast("double")
-                                        * F.col("_N").cast("double")))
-    return agg.select(*by, auc.alias(name))
+    return [F.coalesce(F.sum((y == 1).cast("long")), F.lit(0)).alias("_pos"),
+            F.coalesce(F.sum((y != 1).cast("long")), F.lit(0)).alias("_neg")]
+
+
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), name: str = "roc_auc") -> DataFrame:
+    """Exact ROC-AUC per group (NULL when a group has one class only; rows without a label don't
+    count).  ``df`` is evaluated once; the NULL group is a group."""
+    by = list(by)
+    g = df.groupBy(*by, _score(score).alias("_s")).agg(*_classes(label))
+    ranked = running_totals(g, by, "_s", ["_neg"])
+    won, pos, neg = _ranked_auc(ranked, by)
+    out = ranked.groupBy(*by).agg(won.alias("_won"), pos.alias("_P"), neg.alias("_N"))
+    return out.select(*by, _auc(F.col("_won"), F.col("_P"), F.col("_N")).alias(name))
+
+
+def _row_loss(label: str, prob: str) -> Column:
+    p = F.least(F.greatest(F.col(prob).cast("double"), F.lit(EPS)), F.lit(1.0 - EPS))
+    return -F.log(F.when(F.col(label) == 1, p).otherwise(F.lit(1.0) - p))
 
 
 def log_loss(df: DataFrame, label: str, prob: str, by: Sequence[str] = (),
              name: str = "log_loss") -> DataFrame:
-    p = F.least(F.greatest(F.col(prob).cast("double"), F.lit(EPS)), F.lit(1.0 - EPS))
-    pt = F.when(F.col(label) == 1, p).otherwise(F.lit(1.0) - p)
-    return df.groupBy(*by).agg(F.avg(-F.log(pt)).alias(name))
+    return df.groupBy(*by).agg(F.avg(_row_loss(label, prob)).alias(name))
 
 
 def binary_metrics(df: DataFrame, label: str, pred: str, prob: str | None = None,
@@ -120,23 +110,21 @@ def binary_metrics(df: DataFrame, label: str, pred: str, prob: str | None = None
     AUC without depending on the last bit of ``exp``.
     """
     by = list(by)
-    c = confusion(df, label, pred, by)
-    r = rates_from_confusion(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
-    out = c.select(*by, *[F.round(e, digits).alias(prefix + k) for k, e in r.items()])
+    counts = ["tp", "fp", "fn", "tn"]
+    rates = rates_from_confusion(*[F.col(c) for c in counts])
+    rounded = [F.round(e, digits).alias(prefix + k) for k, e in rates.items()]
     if prob is None:
-        return out
-    a = roc_auc(df, label, score or prob, by)
-    ll = log_loss(df, label, prob, by)
-    extra = a.join(ll, by) if by else _pair(a, ll)
-    extra = extra.select(*by, F.round("roc_auc", digits).alias(prefix + "roc_auc"),
-                         F.round("log_loss", digits).alias(prefix + "log_loss"))
-    return out.join(extra, by) if by else _pair(out, extra)
-
-
-def _pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Zip two one-row frames: ``b`` is attached as a scalar subquery."""
-    return a.select("*", b.select(F.struct(*b.columns)).scalar().alias("_b")).select(
-        *a.columns, "_b.*")
+        return confusion(df, label, pred, by).select(*by, *rounded)
+    # every measure but the rank adds up, so one pass collapses the rows to distinct scores
+    loss = _row_loss(label, prob)
+    g = df.groupBy(*by, _score(score or prob).alias("_s")).agg(
+        *_classes(label), *_counts(label, pred), F.sum(loss).alias("_loss"), F.count(loss).alias("_losses"))
+    ranked = running_totals(g, by, "_s", ["_neg"])
+    won, pos, neg = _ranked_auc(ranked, by)
+    out = ranked.groupBy(*by).agg(won.alias("_won"), pos.alias("_P"), neg.alias("_N"), *[F.sum(c).alias(c) for c in counts],
+                                  (F.sum("_loss") / F.sum("_losses")).alias("_mean_loss"))
+    return out.select(*by, *rounded, F.round(_auc(F.col("_won"), F.col("_P"), F.col("_N")), digits).alias(prefix + "roc_auc"),
+                      F.round("_mean_loss", digits).alias(prefix + "log_loss"))
 
 
 def classification_report(df: DataFrame, label: str, pred: str,

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scoreflow.functions import scalars as S
 
@@ -56,11 +55,6 @@ def drop_string_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[c for c, t in df.dtypes if t != "string" or c in keep])
 
 
-def split_label(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """Features without the label, and (id-free) label column, same frame order."""
-    return df.drop(label), df.select(label)
-
-
 def conform(df: DataFrame, fields: Sequence[Field] = RECORD_FIELDS,
             keep_extra: bool = False, null_as_absent: bool = False) -> DataFrame:
     """Fixed column list and order; absent columns get their default,
@@ -86,7 +80,8 @@ def conform(df: DataFrame, fields: Sequence[Field] = RECORD_FIELDS,
 def normalised_fields(get) -> dict[str, Column]:
     """Normalised rule inputs from a field getter (``F.col`` for a frame,
     ``lambda n: x[n]`` inside an array lambda): sex lower-cased, port
-    upper-cased with '' -> NULL, counts defaulted to 0."""
+    upper-cased, counts defaulted to 0.  Nothing is trimmed: a blank or
+    padded port is an invalid one."""
     return {
         "tier": get("tier").try_cast("int"),
         "sex": F.lower(get("sex")),
@@ -94,7 +89,7 @@ def normalised_fields(get) -> dict[str, Column]:
         "sibsp": F.coalesce(get("sibsp").try_cast("int"), F.lit(0)),
         "parch": F.coalesce(get("parch").try_cast("int"), F.lit(0)),
         "fare": S.nan_to_null(get("fare").try_cast("double")),
-        "port": F.nullif(F.upper(F.trim(get("port"))), F.lit("")),
+        "port": F.upper(get("port")),
     }
 
 
@@ -114,9 +109,8 @@ def rule_codes(v: dict[str, Column]) -> Column:
 
 
 def normalise(df: DataFrame, sex: str = "sex", port: str = "port") -> DataFrame:
-    """sex lower-cased; port upper-cased with '' -> NULL."""
-    return (df.withColumn(sex, F.lower(F.col(sex)))
-              .withColumn(port, F.nullif(F.upper(F.trim(F.col(port))), F.lit(""))))
+    """sex lower-cased; port upper-cased."""
+    return df.withColumn(sex, F.lower(F.col(sex))).withColumn(port, F.upper(F.col(port)))
 
 
 def violations() -> Column:
@@ -138,55 +132,78 @@ def rejected(validated: DataFrame, col: str = "violations") -> DataFrame:
 
 # ---------------------------------------------------------------- JSON requests
 
-RECORD_JSON_SCHEMA = T.StructType([
-    T.StructField("tier", T.IntegerType()),
-    T.StructField("sex", T.StringType()),
-    T.StructField("age", T.DoubleType()),
-    T.StructField("sibsp", T.IntegerType()),
-    T.StructField("parch", T.IntegerType()),
-    T.StructField("fare", T.DoubleType()),
-    T.StructField("port", T.StringType()),
-    T.StructField("full_name", T.StringType()),
-    T.StructField("ticket", T.StringType()),
-    T.StructField("cabin", T.StringType()),
-])
-REQUEST_SCHEMA = T.StructType([
-    T.StructField("passengers", T.ArrayType(RECORD_JSON_SCHEMA))])
+# Fields of a JSON record: type, and whether an explicit null is allowed.  An absent field takes its
+# default (tier and sex have none and break their own rules).
+JSON_FIELDS = {
+    "tier": ("int", False), "sex": ("string", False), "age": ("double", True), "sibsp": ("int", False),
+    "parch": ("int", False), "fare": ("double", True), "port": ("string", True),
+    "full_name": ("string", False), "ticket": ("string", False), "cabin": ("string", True),
+}
+
+
+def _typed(x: Column, name: str) -> tuple[Column, Column]:
+    """(value or NULL, whether the type is wrong) of a field of a variant record.  Numbers may come as
+    text, text may not come as numbers, a count must be whole, and null is a value only where allowed."""
+    kind, null_ok = JSON_FIELDS[name]
+    given = F.schema_of_variant(F.try_variant_get(x, f"$.{name}", "variant"))
+    raw = F.try_variant_get(x, f"$.{name}", "string")
+    if kind == "string":
+        value, fits = F.when(given == "STRING", raw), given == "STRING"
+    else:
+        number = raw.try_cast("double")
+        value = number.try_cast("int") if kind == "int" else number
+        fits = number.isNotNull() & ~F.isnan(number)
+        if kind == "int":
+            fits = fits & (number == F.floor(number)) & value.isNotNull()
+        value = F.when(fits, value)
+    wrong = given.isNotNull() & F.when(given == "VOID", F.lit(not null_ok)).otherwise(~F.coalesce(fits, F.lit(False)))
+    return value, wrong
+
+
+def _record(x: Column) -> Column:
+    fields = {n: _typed(x, n) for n in JSON_FIELDS}
+    wrong = F.array_compact(F.array(*[F.when(w, F.lit(f"{n}_type")) for n, (_, w) in fields.items()]))
+    return F.struct(*[v.alias(n) for n, (v, _) in fields.items()], wrong.alias("_types"))
 
 
 def explode_requests(requests: DataFrame, request_id: str = "request_id",
                      body: str = "body") -> DataFrame:
     """One JSON request per row -> one record per row.
 
-    ``subject_id`` is the position in the request + 1; an empty request
-    yields one row with a NULL id.  ``_request_bad`` tells whether any record
-    of the request breaks a rule -- computed on the parsed array with a
-    higher-order function, so it needs no grouping and works on streams.
+    ``passenger_index`` is the position in the request, ``subject_id`` that + 1; a request without
+    records yields one row with NULL for both, and ``_malformed`` tells whether it was no JSON at all.
+    ``_types`` lists the record's wrongly typed fields.  ``_request_bad`` tells whether any record of
+    the request breaks a rule -- computed on the parsed array with a higher-order function, so it needs no
+    grouping and works on streams.
     """
-    parsed = requests.select(request_id, F.from_json(F.col(body), REQUEST_SCHEMA).alias("_r"))
-    recs = F.col("_r.passengers")
+    parsed = requests.select(request_id, F.try_parse_json(F.col(body)).alias("_v"))
+    listed = F.try_variant_get("_v", "$.passengers", "array<variant>")
+    parsed = parsed.select(request_id, F.col("_v").isNull().alias("_malformed"),
+                           F.transform(listed, _record).alias("_recs"))
+    recs = F.col("_recs")
     bad = (F.coalesce(F.size(recs), F.lit(0)) <= 0) | F.exists(
-        recs, lambda x: F.size(rule_codes(normalised_fields(lambda n: x[n]))) > 0)
-    exploded = parsed.select(request_id, bad.alias("_request_bad"),
+        recs, lambda x: (F.size(x["_types"]) > 0) | (F.size(rule_codes(normalised_fields(lambda n: x[n]))) > 0))
+    exploded = parsed.select(request_id, "_malformed", bad.alias("_request_bad"),
                              F.posexplode_outer(recs).alias("_pos", "_p"))
-    return exploded.select(request_id, "_request_bad",
+    return exploded.select(request_id, "_malformed", "_request_bad",
+                           F.col("_pos").cast("bigint").alias("passenger_index"),
                            (F.col("_pos") + 1).cast("bigint").alias("subject_id"),
-                           *[F.col(f"_p.{f.name}").alias(f.name) for f in RECORD_JSON_SCHEMA.fields])
+                           *[F.col(f"_p.{n}").alias(n) for n in [*JSON_FIELDS, "_types"]])
 
 
 def validate_requests(records: DataFrame, whole_request: bool = True) -> DataFrame:
-    """conform + normalise + rules, with an ``empty_request`` rule.
+    """conform + normalise + rules and types, with ``empty_request`` and ``malformed_json`` rules.
 
     With ``whole_request`` (the default, like a request-level schema check)
     one invalid record rejects every record of its request: the valid
     siblings get ``request_rejected``.
     """
-    empty = F.col("subject_id").isNull()
     v = validate(conform(records, keep_extra=True, null_as_absent=True))
-    v = v.withColumn("violations", F.when(empty, F.array(F.lit("empty_request")))
-                     .otherwise(F.col("violations")))
-    if whole_request and "_request_bad" in v.columns:
+    own = F.concat("violations", F.coalesce("_types", F.array().cast("array<string>")))
+    none = F.when(F.col("_malformed"), F.array(F.lit("malformed_json"))).otherwise(F.array(F.lit("empty_request")))
+    v = v.withColumn("violations", F.when(F.col("subject_id").isNull(), none).otherwise(own))
+    if whole_request:
         v = v.withColumn("violations", F.when(F.col("_request_bad") & (F.size("violations") == 0),
                                               F.array(F.lit("request_rejected")))
                          .otherwise(F.col("violations")))
-    return v.drop("_request_bad")
+    return v.drop("_request_bad", "_malformed", "_types")

@@ -44,9 +44,12 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
         F.sum("_bn").over(Window.partitionBy(label)).alias(count_col))
     wl = Window.partitionBy(label, "_bk").orderBy("_hk", id_col)
     ranked = keyed.withColumn("_local", F.row_number().over(wl))
-    return (ranked.join(offsets, [label, "_bk"])
+    # null-safe: a NULL label is a class of its own, a NULL id sorts into a bucket of its own
+    offsets = offsets.withColumnsRenamed({label: "_label", "_bk": "_bucket"})
+    same = F.col(label).eqNullSafe(F.col("_label")) & F.col("_bk").eqNullSafe(F.col("_bucket"))
+    return (ranked.join(offsets, same)
             .withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_hk", "_bk", "_local", "_off"))
+            .drop("_hk", "_bk", "_local", "_off", "_label", "_bucket"))
 
 
 def assign_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
@@ -69,10 +72,3 @@ def assign_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int =
     r = stratified_rank(df, label, id_col, seed, prefix_len)
     return r.withColumn(out_col, ((F.col("_rank") - 1) % k).cast("int")).drop(
         "_rank", "_class_n")
-
-
-def split_frames(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
-                 seed: int = 42, stratify: bool = True) -> tuple[DataFrame, DataFrame]:
-    s = assign_split(df, label, id_col, test_size, seed, stratify)
-    return (s.where(~F.col("is_test")).drop("is_test"),
-            s.where(F.col("is_test")).drop("is_test"))

@@ -94,7 +94,7 @@ def share_text(pred_table: DataFrame, pred: str = "pred") -> DataFrame:
 
 
 def responses(scored: DataFrame, request_id: str, index_col: str, pred: str, prob: str,
-              model_name: str) -> DataFrame:
+              model_name: str, model_source: str = "local_fallback") -> DataFrame:
     """Per request: sorted prediction items, totals and the JSON body.
 
     ``collect_list`` is per request, so its size is bounded by the request's
@@ -109,7 +109,7 @@ def responses(scored: DataFrame, request_id: str, index_col: str, pred: str, pro
         F.count(F.lit(1)).alias("total_passengers"),
         F.sum(F.col(pred).cast("long")).alias("survived_count"))
     body = F.to_json(F.struct("predictions", "total_passengers", "survived_count",
-                              F.lit(model_name).alias("model_name")))
+                              F.lit(model_name).alias("model_name"), F.lit(model_source).alias("model_source")))
     return g.select(request_id, "total_passengers", "survived_count", body.alias("body"))
 
 

@@ -16,12 +16,13 @@ from pyspark.sql import types as T
 
 from scoreflow.functions import exact_quantiles, mode_of
 from scoreflow.functions import scalars as S
-from scoreflow.operators.features import (ENCODED_FEATURES, FARE_QUANTILES, EncodedFeatures,
+from scoreflow.operators.features import (ENCODED_FEATURES, FARE_QUANTILES, PASS_PREFIX, EncodedFeatures,
                                           NativeCategoricalFeatures, standard_scale_stats)
 from scoreflow.operators.splits import assign_folds, assign_split
-from scoreflow.sources.tables import subjects
+from scoreflow.sources.tables import subjects, table_version
 
 ID, LABEL = "subject_id", "label"
+RAW_COLUMNS = ["tier", "sex", "age", "fare"]  # raw values that scored rows carry along
 R = 6  # digits kept for compared doubles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,21 +56,24 @@ _FITTED: dict = {}
 def fitted_features(spark: SparkSession, sf_dir: str, keep=(ID, LABEL, "is_test")):
     """Encoded-feature model fit on the training split only.
 
-    The fitted model is a handful of statistics; it is memoised per session
-    and data directory so queries sharing it do not refit.
+    The fitted model is a handful of statistics, remembered per application, data directory and
+    write times of the tables; which columns it passes through is set on a copy.
     """
     split = split_subjects(spark, sf_dir)
-    key = (id(spark), sf_dir, tuple(keep))
-    model = _FITTED.get(key)
-    if model is None:
-        model = EncodedFeatures(keepCols=list(keep)).fit(split.where(~F.col("is_test")))
-        _FITTED[key] = model
-    return model, split
-
-
-def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, split = fitted_features(spark, sf_dir)
-    return model.transform(split)
+    key = (spark.sparkContext.applicationId, table_version(spark, sf_dir))
+    if key not in _FITTED:
+        _FITTED[key] = EncodedFeatures(keepCols=[ID]).fit(split.where(~F.col("is_test")))
+    model = _FITTED[key]
+    return model.copy({model.keepCols: list(keep)}), split
+
+
+def feature_rows(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    """Features of all subjects; scoring needs no split, so only ``split`` ranks the rows."""
+    model, parts = fitted_features(spark, sf_dir)
+    if split:
+        return model.transform(parts)
+    s = subjects(spark, sf_dir)
+    return model.transform(s.select("*", *[F.col(c).alias(PASS_PREFIX + c) for c in RAW_COLUMNS]))
 
 
 # ---------------------------------------------------------------- titles
@@ -104,16 +108,10 @@ def q_port_mode(spark, sf_dir):
 
 @register("global_medians")
 def q_global_medians(spark, sf_dir):
-    tr = train_rows(spark, sf_dir)
-    a = exact_quantiles(tr, "age", [0.5], ["age_median"])
-    f = exact_quantiles(tr, "fare", [0.5], ["fare_median"])
-    return _one_row_pair(a, f)
-
-
-def _one_row_pair(a: DataFrame, f: DataFrame) -> DataFrame:
-    # Both inputs are single-row aggregates: f rides along as a scalar subquery.
-    return M._pair(a, f).select(rnd("age_median").alias("age_median"),
-                                rnd("fare_median").alias("fare_median"))
+    both = train_rows(spark, sf_dir).select(F.explode(F.create_map(
+        F.lit("age"), F.col("age"), F.lit("fare"), F.col("fare"))).alias("k", "v"))
+    m = exact_quantiles(both, "v", [0.5], ["m"], by=["k"])
+    return m.agg(*[rnd(F.max(F.when(F.col("k") == c, F.col("m")))).alias(f"{c}_median") for c in ("age", "fare")])
 
 
 @register("fare_bins")
@@ -203,8 +201,8 @@ SCORER_WEIGHTS = {"tier": -0.45, "sex": 1.3, "age": -0.012, "fare": 2.0e-6,
                   "family_size": -0.15, "alone": -0.2, "title": 0.05}
 
 
-def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = feature_rows(spark, sf_dir)
+def scored_rows(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    f = feature_rows(spark, sf_dir, split)
     m = S.linear_margin(SCORER_WEIGHTS, SCORER_INTERCEPT)
     return (f.withColumn("margin", m).withColumn("prob", S.logistic(F.col("margin")))
             .withColumn("pred", (F.col("prob") > 0.5).cast("int")))
@@ -245,7 +243,7 @@ from scoreflow.operators import metrics as M  # noqa: E402
 
 
 def scored_test(spark, sf_dir):
-    return scored_rows(spark, sf_dir).where(F.col("is_test"))
+    return scored_rows(spark, sf_dir, split=True).where(F.col("is_test"))
 
 
 @register("binary_metrics")
@@ -272,7 +270,7 @@ def q_classification_report(spark, sf_dir):
 
 
 def fold_metrics(spark, sf_dir):
-    tr = scored_rows(spark, sf_dir).where(~F.col("is_test"))
+    tr = scored_rows(spark, sf_dir, split=True).where(~F.col("is_test"))
     folded = assign_folds(tr, LABEL, ID, k=5, seed=42)
     return M.binary_metrics(folded, LABEL, "pred", "prob", by=["fold"], score="margin")
 
@@ -295,11 +293,10 @@ MODEL_NAME, MODEL_VERSION = "preset_linear", "1"
 
 
 def prediction_rows(spark, sf_dir, with_time: bool = False):
-    """Scored rows joined back to the raw source columns (by id, not position)."""
-    raw = subjects(spark, sf_dir).select(ID, "tier", "sex", "age", "fare")
-    scored = scored_rows(spark, sf_dir).select(ID, "prob", "pred")
-    return B.predictions_table(raw.join(scored, ID), ID, "pred", "prob", MODEL_NAME,
-                               MODEL_VERSION, with_time=with_time)
+    """Scored rows with the raw source columns they carried along."""
+    scored = scored_rows(spark, sf_dir).select(
+        ID, "prob", "pred", *[F.col(PASS_PREFIX + c).alias(c) for c in RAW_COLUMNS])
+    return B.predictions_table(scored, ID, "pred", "prob", MODEL_NAME, MODEL_VERSION, with_time=with_time)
 
 
 @register("predictions_table")
@@ -363,6 +360,15 @@ def intake_requests(spark, sf_dir):
     return grouped.select("request_id", F.to_json(F.struct("passengers")).alias("body"))
 
 
+def faulty_requests(spark, sf_dir):
+    """The requests as clients send them: some with counts as words, with explicit nulls, or cut off."""
+    body = F.col("body")
+    faulty = F.when(F.col("request_id") % 13 == 5, F.regexp_replace(body, r'"sibsp":-?\d+', '"sibsp":"two"')) \
+        .when(F.col("request_id") % 19 == 7, F.regexp_replace(body, r'"parch":-?\d+', '"parch":null')) \
+        .when(F.col("request_id") % 17 == 3, F.expr("substr(body, 1, length(body) - 2)")).otherwise(body)
+    return intake_requests(spark, sf_dir).withColumn("body", faulty)
+
+
 @register("json_records")
 def q_json_records(spark, sf_dir):
     recs = Q.explode_requests(intake_requests(spark, sf_dir))
@@ -398,7 +404,7 @@ VOTE_MEMBERS = ["logistic_regression", "sex_tier", "family", "age_title"]
 
 def preset_long(spark, sf_dir, stage: str | None = None) -> DataFrame:
     """(subject_id, label, is_test, stage, model, margin, prob, pred) per preset."""
-    f = feature_rows(spark, sf_dir)
+    f = feature_rows(spark, sf_dir, split=True)
     items = [(k, v) for k, v in PRESET_SCORERS.items() if stage is None or k[0] == stage]
     arr = F.array(*[F.struct(F.lit(st).alias("stage"), F.lit(md).alias("model"),
                              S.linear_margin(w, b).alias("margin"))
@@ -544,7 +550,7 @@ def preset_stream_scorer(model):
     def score(records: DataFrame) -> DataFrame:
         f = model.transform(records)
         m = S.linear_margin(SCORER_WEIGHTS, SCORER_INTERCEPT)
-        return f.select("request_id", F.col(ID).alias("passenger_index"),
+        return f.select("request_id", (F.col(ID) - 1).alias("passenger_index"),
                         (S.logistic(m) > 0.5).cast("int").alias("pred"),
                         F.round(S.logistic(m), 6).alias("prob"),
                         S.confidence(S.logistic(m)).alias("confidence"))
@@ -556,7 +562,7 @@ def q_stream_scores(spark, sf_dir):
     """Intake requests written as JSON lines and scored by a streaming job;
     both sinks (accepted predictions, rejected records) read back."""
     base = shared_dir(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    intake_requests(spark, sf_dir).select(F.concat(
+    faulty_requests(spark, sf_dir).select(F.concat(
         F.lit('{"request_id":'), F.col("request_id").cast("string"), F.lit(","),
         F.expr("substr(body, 2)")).alias("value")).write.text(f"{base}/in")
     model, _ = fitted_features(spark, sf_dir, keep=(ID, "request_id"))
@@ -567,7 +573,7 @@ def q_stream_scores(spark, sf_dir):
         "request_id", "passenger_index", F.lit("accepted").alias("status"), "pred", "prob",
         "confidence", F.lit(None).cast("string").alias("violations"))
     bad = spark.read.parquet(f"{base}/rejects").select(
-        "request_id", F.col(ID).alias("passenger_index"), F.lit("rejected").alias("status"),
+        "request_id", "passenger_index", F.lit("rejected").alias("status"),
         F.lit(None).cast("int").alias("pred"), F.lit(None).cast("double").alias("prob"),
         F.lit(None).cast("string").alias("confidence"),
         F.concat_ws(",", "violations").alias("violations"))
@@ -576,16 +582,29 @@ def q_stream_scores(spark, sf_dir):
 
 def request_batch(spark, sf_dir) -> DataFrame:
     """Batch form of the request path: parse, validate, score accepted."""
-    recs = Q.validate_requests(Q.explode_requests(intake_requests(spark, sf_dir)))
+    recs = Q.validate_requests(Q.explode_requests(faulty_requests(spark, sf_dir)))
     model, _ = fitted_features(spark, sf_dir, keep=(ID, "request_id"))
     return preset_stream_scorer(model)(Q.accepted(recs))
 
 
 @register("response_totals")
 def q_response_totals(spark, sf_dir):
-    r = B.responses(request_batch(spark, sf_dir), "request_id", "passenger_index", "pred", "prob",
-                    "preset_linear")
-    return r.select("request_id", "total_passengers", "survived_count")
+    return responses(spark, sf_dir).select("request_id", "total_passengers", "survived_count")
+
+
+def responses(spark, sf_dir) -> DataFrame:
+    return B.responses(request_batch(spark, sf_dir), "request_id", "passenger_index", "pred", "prob",
+                       "preset_linear", "local_fallback")
+
+
+@register("response_items")
+def q_response_items(spark, sf_dir):
+    """Every item of the JSON response bodies, parsed back: index, class, probability and band."""
+    kind = ("predictions array<struct<passenger_index:bigint,survived:int,probability:double,confidence:string>>, "
+            "total_passengers bigint, survived_count bigint, model_name string, model_source string")
+    r = responses(spark, sf_dir).select("request_id", F.from_json("body", kind).alias("r"))
+    return r.select("request_id", "r.model_name", "r.model_source", F.explode("r.predictions").alias("i")) \
+        .select("request_id", "model_name", "model_source", "i.*")
 
 
 # ---------------------------------------------------------------- files and tables (S1-S11)

@@ -214,7 +214,7 @@ conformed as (select subject_id, tier, full_name, sex, age, coalesce(sibsp, 0) a
   coalesce(parch, 0) as parch, 'UNKNOWN' as ticket, fare, cast(null as varchar) as cabin, port
   from intake),
 normed as (select subject_id, tier, full_name, lower(sex) as sex, age, sibsp, parch, ticket, fare,
-  cabin, nullif(upper(trim(port)), '') as port from conformed),
+  cabin, upper(port) as port from conformed),
 validated as (select normed.*, list_filter([
     case when tier is null or tier < 1 or tier > 3 then 'tier_out_of_range' end,
     case when sex is null or sex not in ('male', 'female') then 'sex_invalid' end,
@@ -298,9 +298,13 @@ from preset_scored where stage = 'stage2' and model in (""" + ", ".join(
 
 # ---------------------------------------------------------------- streaming (X1)
 _REQ = """
-req_v as (select v.*, cast(subject_id // 5 as bigint) as request_id,
-  cast(row_number() over (partition by subject_id // 5 order by subject_id) as bigint) as passenger_index
-  from validated v),
+req_v as (select v.* exclude (violations), cast(subject_id // 5 as bigint) as request_id,
+  cast(row_number() over (partition by subject_id // 5 order by subject_id) - 1 as bigint) as passenger_index,
+  case when subject_id // 5 % 13 = 5 then list_append(list_filter(violations, lambda x: x <> 'sibsp_negative'), 'sibsp_type')
+       when subject_id // 5 % 19 = 7 then list_append(violations, 'parch_type') else violations end as violations
+  from validated v where subject_id // 5 % 17 <> 3 or subject_id // 5 % 13 = 5 or subject_id // 5 % 19 = 7),
+req_cut as (select distinct cast(subject_id // 5 as bigint) as request_id from validated
+  where subject_id // 5 % 17 = 3 and subject_id // 5 % 13 <> 5 and subject_id // 5 % 19 <> 7),
 req_flag as (select req_v.*, max(len(violations)) over (partition by request_id) > 0 as req_bad
   from req_v),
 accepted_src as (select subject_id, cast(null as integer) as label, tier, full_name, sex, age,
@@ -316,7 +320,15 @@ from st_scored join req_flag r using (subject_id)
 union all
 select request_id, passenger_index, 'rejected', null, null, null,
   case when len(violations) = 0 then 'request_rejected' else array_to_string(violations, ',') end
-from req_flag where req_bad""")
+from req_flag where req_bad
+union all
+select request_id, null, 'rejected', null, null, null, 'malformed_json' from req_cut""")
+ORACLE["response_items"] = with_ctes(*_STREAM, body=f"""
+select r.request_id, 'preset_linear' as model_name, 'local_fallback' as model_source, r.passenger_index,
+  cast(1.0 / (1.0 + exp(-margin)) > 0.5 as integer) as survived,
+  round(round(1.0 / (1.0 + exp(-margin)), 6), 4) as probability,
+  {confidence_sql('round(1.0 / (1.0 + exp(-margin)), 6)')} as confidence
+from st_scored join req_flag r using (subject_id)""")
 ORACLE["response_totals"] = with_ctes(*_STREAM, body="""
 select r.request_id, count(*) as total_passengers,
   cast(sum(cast(1.0 / (1.0 + exp(-margin)) > 0.5 as integer)) as bigint) as survived_count

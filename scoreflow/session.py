@@ -1,17 +1,19 @@
 """Spark session helpers.
 
 The library never creates machine-local scratch space on a cluster: lineage
-is cut with ``DataFrame.checkpoint()`` into the directory the cluster names
-in ``spark.checkpoint.dir``.  Only when that setting is absent (local tests)
-do we pick a directory ourselves.
+is cut with ``DataFrame.checkpoint()`` or a written table in the directory the
+cluster names in ``spark.checkpoint.dir``.  Only a session on a ``local``
+master may do without that setting; elsewhere its absence is an error.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,16 +32,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         ensure_checkpoint_dir(active)
         return active
     builder = SparkSession.builder.appName(app_name)
-    if master:
+    given = SparkConf()  # what spark-submit and the defaults file set
+    if master and not given.contains("spark.master"):
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.ui.enabled"] = "false"
-    conf["spark.ui.showConsoleProgress"] = "false"
-    conf["spark.driver.memory"] = os.environ.get("SCOREFLOW_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if given.get("spark.master", master or "local").startswith("local"):
+        conf |= {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                 "spark.driver.memory": os.environ.get("SCOREFLOW_DRIVER_MEMORY", "8g")}
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        if not given.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -56,13 +60,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current is not None:
         return current
-    # Local runs only: nothing configured, so take a fresh scratch folder.
-    path = tempfile.mkdtemp(prefix="scoreflow-ckpt-")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="scoreflow-ckpt-")  # one machine: it is shared
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint location for written tables."""
+    """The folder ``name`` of this application in the shared checkpoint location; two applications
+    never share one."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/{spark.sparkContext.applicationId}/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a new shared folder and read back: evaluated once, lineage cut."""
+    path = f"{shared_dir(df.sparkSession, name)}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -131,6 +131,18 @@ def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def table_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Files, sizes and write times behind ``subjects``, so that a changed table is noticed."""
+    found = []
+    for name in ("orders", "customer"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        s = fs.getFileStatus(path)
+        parts = list(fs.listStatus(path)) if s.isDirectory() else [s]
+        found += sorted((str(x.getPath()), x.getLen(), x.getModificationTime()) for x in parts)
+    return tuple(found)
+
+
 INTAKE_SQL = """
 select
   o_orderkey as subject_id,

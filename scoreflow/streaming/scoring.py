@@ -2,7 +2,7 @@
 
 Source: a directory of text files, one JSON request per line
 (``{"request_id": ..., "passengers": [...]}``).  The plan is stateless --
-parse, explode records (index = position + 1), conform, normalise, validate,
+parse, explode records (index = position), conform, normalise, validate,
 featurise, score -- so no watermark or state store is needed.  Two append
 queries share the source: accepted records go to the predictions sink,
 rejected ones (with their violation codes) to the reject sink.  Both sinks
@@ -23,7 +23,10 @@ from scoreflow.operators import quality as Q
 
 def request_records(lines: DataFrame) -> DataFrame:
     """Text lines -> validated records (request_id, subject_id=index, ...)."""
-    req = lines.select(F.get_json_object("value", "$.request_id").cast("long").alias("request_id"),
+    req = lines.select(F.coalesce(
+        F.get_json_object("value", "$.request_id").try_cast("long"),
+        # a line that was cut off still tells whose it is
+        F.regexp_extract("value", r'^\s*\{\s*"request_id"\s*:\s*(\d{1,18})', 1).try_cast("long")).alias("request_id"),
                        F.col("value").alias("body"))
     return Q.validate_requests(Q.explode_requests(req))
 
@@ -37,7 +40,7 @@ def start_scoring(spark: SparkSession, source_dir: str, score: Callable[[DataFra
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     recs = request_records(reader.load(source_dir))
     accepted = score(Q.accepted(recs))
-    rejected = Q.rejected(recs).select("request_id", "subject_id", "violations")
+    rejected = Q.rejected(recs).select("request_id", "passenger_index", "subject_id", "violations")
 
     def sink(df: DataFrame, path: str, name: str):
         w = (df.writeStream.format("parquet").outputMode("append")

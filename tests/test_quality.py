@@ -21,11 +21,12 @@ def test_bad_record_has_exactly_four_violations(spark):
 
 def test_batch_request_ids_and_defaults(spark):
     recs = [{"tier": 1 + i % 3, "sex": "Female" if i % 2 else "male", "age": 20.0 + i,
-             "fare": 10.0, "port": ["s", "C", "", None, "q"][i]} for i in range(5)]
+             "fare": 10.0, "port": ["s", "C", "Q", None, "q"][i]} for i in range(5)]
     v = Q.validate_requests(Q.explode_requests(_requests(spark, [{"passengers": recs}])))
     rows = sorted(v.collect(), key=lambda r: r["subject_id"])
     assert [r["subject_id"] for r in rows] == [1, 2, 3, 4, 5]
-    assert [r["port"] for r in rows] == ["S", "C", None, None, "Q"]
+    assert [r["passenger_index"] for r in rows] == [0, 1, 2, 3, 4]
+    assert [r["port"] for r in rows] == ["S", "C", "Q", None, "Q"]
     assert rows[1]["sex"] == "female" and rows[0]["sibsp"] == 0
     assert rows[0]["full_name"] == "Doe, Mr. John" and rows[0]["ticket"] == "UNKNOWN"
     assert all(r["violations"] == [] for r in rows)
@@ -44,3 +45,23 @@ def test_conform_adds_and_orders(spark):
     assert r["ticket"] == "UNKNOWN" and r["sibsp"] == 0 and r["cabin"] is None
     assert Q.drop_present(out, ["cabin", "nope"]).columns[-1] == "port"
     assert "sex" not in Q.drop_string_columns(out, keep=["port"]).columns
+
+
+def _codes(spark, **record):
+    body = {"passengers": [{"tier": 1, "sex": "male", **record}]}
+    return Q.validate_requests(Q.explode_requests(_requests(spark, [body]))).collect()[0]["violations"]
+
+
+def test_wrong_types_and_nulls(spark):
+    assert _codes(spark, age="abc", sibsp="two", parch=1.5, fare="free") == [
+        "age_type", "sibsp_type", "parch_type", "fare_type"]
+    assert _codes(spark, sibsp=None, full_name=None) == ["sibsp_type", "full_name_type"]
+    assert _codes(spark, age="31.5", sibsp="2", fare=None, port=None, cabin=None) == []
+    assert _codes(spark, full_name=5) == ["full_name_type"]
+    assert _codes(spark, port="") == ["port_invalid"] and _codes(spark, port=" s ") == ["port_invalid"]
+
+
+def test_malformed_request(spark):
+    df = spark.createDataFrame([(1, '{"passengers": [{"tier": 1'), (2, '{"other": 1}')], "request_id long, body string")
+    got = {r["request_id"]: r["violations"] for r in Q.validate_requests(Q.explode_requests(df)).collect()}
+    assert got == {1: ["malformed_json"], 2: ["empty_request"]}

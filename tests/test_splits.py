@@ -35,3 +35,14 @@ def test_folds_partition_and_balance(spark):
     shares = f.groupBy("label", "fold").count().groupBy("label").agg(
         (F.max("count") - F.min("count")).alias("spread")).collect()
     assert all(r["spread"] <= 1 for r in shares)
+
+
+def test_null_labels_and_ids_stay(spark):
+    df = spark.createDataFrame([(None if i % 10 == 0 else i % 2, None if i % 17 == 3 else i) for i in range(100)],
+                               "label int, id long")
+    s = assign_split(df, "label", "id")
+    assert s.count() == 100
+    per = {r["label"]: (r["n"], r["t"]) for r in s.groupBy("label").agg(
+        F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    assert per[None] == (10, 2) and all(t == math.ceil(0.2 * n) for n, t in per.values())
+    assert assign_folds(df, "label", "id").count() == 100
