@@ -1,13 +1,14 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A k-mer of ``K`` code points is an anchor if the smallest hash among its inner substrings of ``S`` code
-points stands at its first or last place.  The choice looks at nothing outside the k-mer, so an
+A text is a sequence of pieces: runs of up to ``PIECE`` code points without white space, counted from
+the start of each word.  A k-mer of ``K`` pieces is an anchor if the smallest hash among its inner substrings of ``S``
+pieces stands at its first or last place.  The choice looks at nothing outside the k-mer, so an
 unchanged passage keeps its anchors wherever it moves, and anchors with positions serve for
 positional matching.  A fingerprint is the ``SKETCH`` smallest distinct anchor hashes (32 bits each, in hexadecimal digits);
 the likeness of two fingerprints is the share of their joint smallest hashes that both hold.
 
-Substrings come from one regular expression with a look-ahead, so a text is walked once; no
-positional substring is taken from a long text.
+Sliding minima come from pairwise minima over doubling spans, array by array, so the work per piece doesn't
+grow with ``K``; no positional substring is taken from a long text.
 
 The document that follows in descending order of id is found without a global window: ids are cut
 into ordered buckets (quantiles of the ids, each cut again into equal widths), every bucket is sorted
@@ -25,41 +26,57 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import table
 
-K = 12
-S = 5
+PIECE = 8
+K = 4
+S = 1
 SKETCH = 64
 BUCKET_ROWS = 2000
 MOST_BUCKETS = 50_000  # so that the list of bucket tops stays below 1 MB; buckets grow beyond that
 QUANTILES = 64
 
 
-def inner_hashes(text: Column, s: int = S) -> Column:
-    """Hashes of all substrings of ``s`` code points, in order."""
-    parts = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{s}}}))."), F.lit(1))
-    return F.transform(parts, lambda x: F.xxhash64(x))
+def _shift(a: Column, d: int) -> Column:
+    """The array without its first ``d`` elements."""
+    return F.slice(a, F.lit(d + 1), F.greatest(F.size(a) - d, F.lit(0)))
 
 
-def anchors(h: Column, k: int = K, s: int = S) -> Column:
-    """array<struct<pos, hash>> of the closed syncmers, from ``inner_hashes``; pos counts from 0."""
-    w = k - s + 1
-    steps = sorted({*range(0, w, s - 1), w - 1})  # inner substrings that cover the k-mer
-    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(h) - w, F.lit(0))), lambda i: (F.size(h) >= w) & _edge(h, i, w))
-    return F.transform(at, lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(*[F.get(h, i + j) for j in steps]).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash")))
+def _pairs(a: Column, d: int, f) -> Column:
+    """f(a[i], a[i + d]) for all i that have both."""
+    n = F.greatest(F.size(a) - d, F.lit(0))
+    return F.zip_with(F.slice(a, F.lit(1), n), _shift(a, d), f)
 
 
-def _edge(h: Column, i: Column, w: int) -> Column:
-    return F.array_min(F.slice(h, i + 1, F.lit(w))).isin(F.get(h, i), F.get(h, i + w - 1))
+def add_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S, piece: int = PIECE) -> DataFrame:
+    """Adds ``name``: array<struct<pos, hash>> of the closed syncmers; pos counts pieces from 0."""
+    w = k - s + 1
+    g = F.transform(F.regexp_extract_all(F.col(text_col), F.lit(f"\\S{{1,{piece}}}"), F.lit(0)), lambda x: F.xxhash64(x))
+    df = df.withColumn("__g0", g)
+    for j in range(1, s):  # hashes of substrings of j + 1 pieces
+        df = df.withColumn(f"__g{j}", F.zip_with(
+            F.slice(f"__g{j - 1}", F.lit(1), F.greatest(F.size("__g0") - j, F.lit(0))), _shift(F.col("__g0"), j),
+            lambda a, b: F.xxhash64(a, b)))
+    inner = F.col(f"__g{s - 1}")
+    df, span = df.withColumn("__m1", inner), 1
+    while span * 2 <= w:
+        df = df.withColumn(f"__m{span * 2}", _pairs(F.col(f"__m{span}"), span, lambda x, y: F.least(x, y)))
+        span *= 2
+    low = F.col(f"__m{span}") if span == w else _pairs(F.col(f"__m{span}"), w - span, lambda x, y: F.least(x, y))
+    df = df.withColumn("__low", low)
+    steps = sorted({*range(0, w, s), w - 1})  # inner substrings that cover the k-mer
+    found = F.array_compact(F.transform("__low", lambda x, i: F.when(
+        (x == F.get(inner, i)) | (x == F.get(inner, i + w - 1)),
+        F.struct(i.alias("pos"), F.xxhash64(*[F.get(inner, i + j) for j in steps]).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash")))))
+    made = [c for c in df.columns if c.startswith("__") and c[2:3] in "gml"]
+    return df.withColumn(name, found).drop(*made)
 
 
 def with_sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """Adds ``name``: the sorted smallest anchor hashes of a text that is not null."""
-    found = df.withColumn("__h", inner_hashes(F.col(text_col)))
-    found = found.withColumn("__a", anchors(F.col("__h"))["hash"])
+    found = add_anchors(df, text_col, "__anchors")
     whole = F.when(F.length(text_col) > 0, F.array(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)))) \
-        .otherwise(F.expr("array()").cast("array<bigint>"))
-    some = F.when(F.size("__a") > 0, F.col("__a")).otherwise(whole)
-    return found.withColumn(name, F.slice(F.sort_array(F.array_distinct(some)), 1, SKETCH)).drop("__h", "__a")
+        .otherwise(F.array().cast("array<bigint>"))
+    some = F.when(F.size("__anchors") > 0, F.col("__anchors.hash")).otherwise(whole)
+    return found.withColumn(name, F.slice(F.sort_array(F.array_distinct(some)), 1, SKETCH)).drop("__anchors")
 
 
 def fingerprint(sketch: Column) -> Column:
