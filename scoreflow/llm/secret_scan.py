@@ -8,7 +8,7 @@ serial correlation.  Their p-values are combined by Fisher's method; a token tha
 ``RANDOM_P`` is structured and dropped.
 
 Looking random is not enough for a short token, as short words pass such tests too.  The likelihood
-ratio of the uniform model to a letter-frequency model of ordinary text is an e-value, so 2 ** -bits
+ratio of the uniform model to a model of ordinary text (letter frequencies, runs of one character class) is an e-value, so 2 ** -bits
 is a valid p-value against "ordinary text" (times the number of encodings tried); it sharpens with
 the length.  Benjamini-Hochberg control at ``FDR`` runs over all tokens of the corpus, per length
 stratum, on whole bits: the counts per stratum and bit are some hundred rows whatever the corpus.
@@ -55,8 +55,10 @@ ENCODINGS = [
 #: Relative frequencies (per cent) of the letters a to z in English text.
 LETTERS = [8.17, 1.49, 2.78, 4.25, 12.70, 2.23, 2.02, 6.09, 6.97, 0.15, 0.77, 4.03, 2.41,
            6.75, 7.51, 1.93, 0.10, 5.99, 6.33, 9.06, 2.76, 0.98, 2.36, 0.15, 1.97, 0.07]
-#: Shares of lower case, upper case, digits and signs in a long token of ordinary text.
-LOWER_SHARE, UPPER_SHARE, DIGIT_SHARE, SIGN_SHARE = 0.70, 0.12, 0.10, 0.08
+SIGNS = "+/-_="
+#: In ordinary text a character is of the same class (lower, upper, digit, sign) as the one before with
+#: this chance, of each other class with a third of the rest.
+SAME_CLASS = 0.85
 STRATA = [24, 32, 48, 96]  # upper ends of the length strata; the last is open
 RANDOM_P = 0.001
 FDR = 0.01
@@ -116,11 +118,20 @@ def base_spans(text: Column) -> Column:
         _where(text.rlike(HEX), F.transform(matches(text, HEX, 2), bare), SPAN)))
 
 
-def _text_bits() -> tuple[str, list[float]]:
-    """Characters of a token and the bits (-log2 of the share) each has in ordinary text."""
-    total = sum(LETTERS)
-    bits = [-math.log2(LOWER_SHARE * x / total) for x in LETTERS] + [-math.log2(UPPER_SHARE * x / total) for x in LETTERS]
-    return LOWER + UPPER + DIGITS + "+/-_=", bits + [-math.log2(DIGIT_SHARE / 10)] * 10 + [-math.log2(SIGN_SHARE / 5)] * 5
+def _text_bits() -> list[float]:
+    """Bits of each of LOWER + UPPER + DIGITS + SIGNS, its class being known."""
+    letters = [-math.log2(x / sum(LETTERS)) for x in LETTERS]
+    return letters * 2 + [math.log2(10)] * 10 + [math.log2(len(SIGNS))] * len(SIGNS)
+
+
+def ordinary_bits(token: Column, n: Column) -> Column:
+    """Bits (minus log2 of the probability) of a token of n characters under the model of ordinary text."""
+    chars = LOWER + UPPER + DIGITS + SIGNS
+    costs = F.array(*[F.lit(c) for c in _text_bits()])
+    own = F.aggregate(F.split(token, ""), F.lit(0.0), lambda s, c: s + F.get(costs, F.instr(F.lit(chars), c) - 1))
+    classes = F.translate(token, chars, "l" * 26 + "u" * 26 + "d" * 10 + "s" * len(SIGNS))
+    switches = F.char_length(F.regexp_replace(classes, r"(.)\1*", "$1")) - 1
+    return own + 2 - switches * math.log2((1 - SAME_CLASS) / 3) - (n - 1 - switches) * math.log2(SAME_CLASS)
 
 
 def _two_sided(z: Column) -> Column:
@@ -177,9 +188,6 @@ def battery(rows: Column) -> Column:
 def measured_tokens(text: Column) -> Column:
     """array<struct<start, kind, end, stratum, bits, p>> of the long tokens with an encoding: p is the
     battery's, bits the whole-bit evidence against ordinary text, 0 at least."""
-    chars, cost = _text_bits()
-    costs = F.array(*[F.lit(c) for c in cost])
-
     def encoded(m):
         alphabet = F.lit("")
         for pattern, a in reversed(ENCODINGS):
@@ -191,8 +199,7 @@ def measured_tokens(text: Column) -> Column:
         return m.withField("match", F.regexp_replace(m["match"], "=+$", ""))
 
     def evidence(r):
-        text_bits = F.aggregate(F.split(r["token"], ""), F.lit(0.0), lambda s, c: s + F.get(costs, F.instr(F.lit(chars), c) - 1))
-        bits = text_bits - r["n"] * F.log2(r["k"]) - math.log2(len(ENCODINGS))
+        bits = ordinary_bits(r["token"], r["n"]) - r["n"] * F.log2(r["k"]) - math.log2(len(ENCODINGS))
         stratum = F.lit(len(STRATA))
         for i, top in reversed(list(enumerate(STRATA))):
             stratum = F.when(r["n"] < top, F.lit(i)).otherwise(stratum)
