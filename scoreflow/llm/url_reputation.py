@@ -2,7 +2,8 @@
 
 Labelled page outcomes are counted per host.  A beta-binomial prior is passed down the levels
 suffix -> registered domain -> host: each unit's rate is shrunk towards its parent's posterior
-mean, with a prior strength per level estimated from the data by the method of moments.  A host is
+mean, with a prior strength per level estimated from the data by the method of moments and limited by
+what is known of the parent itself (a strength m under a parent worth s labels counts as m*s/(m+s)).  A host is
 blocked when the lower bound of its posterior bad rate exceeds the limit, so hosts with few labels
 are judged by their domain and suffix.  Explicit allow / block rules override the estimate.
 
@@ -83,14 +84,20 @@ def host_reputation(hosts: DataFrame, z: float = Z) -> DataFrame:
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).collect()[0]
     root = ((total["k"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
 
-    def shrunk(units: DataFrame) -> tuple[DataFrame, float]:
+    def shrunk(units: DataFrame) -> DataFrame:
+        """Units with mu and worth of their parent -> mean and worth of their own."""
         m = _strength(units.where("n > 0"))
-        return units.withColumn("mean", (F.col("k") + m * F.col("mu")) / (F.col("n") + m)), m
+        prior = F.lit(m) * F.col("worth") / (F.lit(m) + F.col("worth"))
+        return units.withColumn("mean", (F.col("k") + prior * F.col("mu")) / (F.col("n") + prior)) \
+            .withColumn("own", F.col("n") + prior)
 
-    suffixes, _ = shrunk(suffixes.withColumn("mu", F.lit(root)))
-    domains, _ = shrunk(domains.join(suffixes.select("suffix", F.col("mean").alias("mu")), "suffix"))
-    hosts, m = shrunk(hosts.join(domains.select("domain", F.col("mean").alias("mu")), "domain"))
-    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.lit(m) + 1))
+    def under(parents: DataFrame, key: str) -> DataFrame:
+        return parents.select(key, F.col("mean").alias("mu"), F.col("own").alias("worth"))
+
+    suffixes = shrunk(suffixes.withColumn("mu", F.lit(root)).withColumn("worth", F.lit((total["n"] or 0) + 1.0)))
+    domains = shrunk(domains.join(under(suffixes, "suffix"), "suffix"))
+    hosts = shrunk(hosts.join(under(domains, "domain"), "domain"))
+    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("own") + 1))
     return hosts.select("host", "n", "k", F.round("mean", 6).alias("bad_rate"),
                         F.round(F.col("mean") - z * spread, 6).alias("bad_low"))
 
@@ -142,15 +149,18 @@ h AS (SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain,
       FROM p LEFT JOIN o USING (key) GROUP BY 1, 2),
 d AS (SELECT domain, regexp_extract(domain, '[^.]*$') AS suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM d GROUP BY 1),
-g AS (SELECT (coalesce(sum(k), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS mu FROM s),
+g AS (SELECT (coalesce(sum(k), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS mu, coalesce(sum(n), 0) + 1.0::DOUBLE AS worth FROM s),
 ms AS (SELECT 1 / greatest(least(coalesce((sum((k - n * mu) ** 2 / (mu * (1 - mu))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5::DOUBLE), 0.5::DOUBLE), 0.001::DOUBLE) - 1 AS m FROM s, g WHERE n > 0),
-s2 AS (SELECT suffix, (k + m * mu) / (n + m) AS mean FROM s, g, ms),
-d1 AS (SELECT d.*, s2.mean AS mu FROM d JOIN s2 USING (suffix)),
+s1 AS (SELECT s.*, mu, m * worth / (m + worth) AS prior FROM s, g, ms),
+s2 AS (SELECT suffix, (k + prior * mu) / (n + prior) AS mean, n + prior AS own FROM s1),
+d1 AS (SELECT d.*, s2.mean AS mu, s2.own AS worth FROM d JOIN s2 USING (suffix)),
 md AS (SELECT 1 / greatest(least(coalesce((sum((k - n * mu) ** 2 / (mu * (1 - mu))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5::DOUBLE), 0.5::DOUBLE), 0.001::DOUBLE) - 1 AS m FROM d1 WHERE n > 0),
-d2 AS (SELECT domain, (k + m * mu) / (n + m) AS mean FROM d1, md),
-h1 AS (SELECT h.*, d2.mean AS mu FROM h JOIN d2 USING (domain)),
+d1p AS (SELECT d1.*, m * worth / (m + worth) AS prior FROM d1, md),
+d2 AS (SELECT domain, (k + prior * mu) / (n + prior) AS mean, n + prior AS own FROM d1p),
+h1 AS (SELECT h.*, d2.mean AS mu, d2.own AS worth FROM h JOIN d2 USING (domain)),
 mh AS (SELECT 1 / greatest(least(coalesce((sum((k - n * mu) ** 2 / (mu * (1 - mu))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5::DOUBLE), 0.5::DOUBLE), 0.001::DOUBLE) - 1 AS m FROM h1 WHERE n > 0),
-r AS (SELECT host, n, k, (k + m * mu) / (n + m) AS mean, m FROM h1, mh),
+hp AS (SELECT h1.*, m * worth / (m + worth) AS prior FROM h1, mh),
+r AS (SELECT host, n, k, (k + prior * mu) / (n + prior) AS mean, n + prior AS own FROM hp),
 j AS (
   SELECT page_id, host, path,
     CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
@@ -159,7 +169,7 @@ j AS (
          WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
          WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule,
     n AS labelled, k AS bad, round(mean, 6) AS bad_rate,
-    round(mean - {Z} * sqrt(mean * (1 - mean) / (n + m + 1)), 6) AS bad_low
+    round(mean - {Z} * sqrt(mean * (1 - mean) / (own + 1)), 6) AS bad_low
   FROM p JOIN r USING (host))
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block'
