@@ -114,10 +114,12 @@ def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
     dealt = dealt.withColumn("__place", F.explode(F.filter(F.array(
         F.struct(F.col("__b").alias("b"), F.lit(0).alias("guest")), F.struct(F.col("__to").alias("b"), F.lit(1).alias("guest"))),
         lambda x: x["b"].isNotNull())))
-    order = Window.partitionBy("__place.b").orderBy("__place.guest", key.desc_nulls_last(), F.xxhash64(text_col))
-    for c in columns:
-        dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(order))
-    return dealt.where("__place.guest = 0").drop("__b", "__top", "__to", "__place")
+    dealt = dealt.select(*df.columns, F.col("__place.b").alias("__bucket"), F.col("__place.guest").alias("__guest"),
+                         F.xxhash64(text_col).alias("__tie"))
+    # one struct, so that there is one window and the texts are shuffled once
+    order = Window.partitionBy("__bucket").orderBy("__guest", key.desc_nulls_last(), "__tie")
+    dealt = dealt.withColumn("__next", F.lead(F.struct(*columns)).over(order)).where("__guest = 0")
+    return dealt.select(*df.columns, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
 
 
 def op9_syncmer(spark: SparkSession, sf_dir: str) -> DataFrame:
