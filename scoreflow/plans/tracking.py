@@ -85,16 +85,16 @@ def promote_latest(versions: DataFrame, stage: str = "Production",
 def resolve_model(versions: DataFrame, runs: DataFrame, name: str,
                   preference: Sequence[str] = ("Production", "tuned", "base")) -> DataFrame:
     """Model lookup order: production version, then best tuned run, then best
-    base run.  Returns at most one row with ``model_path`` and ``source``."""
+    base run.  Returns at most one row with ``model_path``, ``version`` (registered models) and ``source``."""
     prod = latest_versions(versions.where((F.col("name") == name) &
                                           (F.col("stage") == "Production")))
     prod = prod.join(runs.select("run_id", "model_path"), "run_id").select(
-        "model_path", F.lit("Production").alias("source"), F.lit(0).alias("_pref"))
-    tuned = runs.where(F.col("stage") == "stage2").select(
-        "model_path", F.lit("tuned").alias("source"), F.lit(1).alias("_pref"),
+        "model_path", "version", F.lit("Production").alias("source"), F.lit(0).alias("_pref"))
+    tuned = runs.where(F.col("stage").isin("stage2", "ensemble")).select(
+        "model_path", F.lit(None).cast("string").alias("version"), F.lit("tuned").alias("source"), F.lit(1).alias("_pref"),
         F.col("metrics")["test_roc_auc"].alias("_m"))
     base = runs.where(F.col("stage") == "stage1").select(
-        "model_path", F.lit("base").alias("source"), F.lit(2).alias("_pref"),
+        "model_path", F.lit(None).cast("string").alias("version"), F.lit("base").alias("source"), F.lit(2).alias("_pref"),
         F.col("metrics")["test_roc_auc"].alias("_m"))
     allowed = [i for i, p in enumerate(("Production", "tuned", "base")) if p in preference]
     cand = prod.withColumn("_m", F.lit(None).cast("double")).unionByName(tuned).unionByName(base)
@@ -118,26 +118,43 @@ def stage_results(stage1: DataFrame, stage2: DataFrame, metric1: str, metric2: s
                     shown("stage2_value").alias("stage2_text")).orderBy("model")
 
 
+def _files(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[str]:
+    """Complete snapshots of the versions table, oldest first; a missing folder has none, and any
+    other failure to read it is raised."""
+    fs, p = _files(spark, path)
+    if not fs.exists(p):
+        return []
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith("snapshot-") and fs.exists(marker(f"{path}/{n}/_SUCCESS")))
+
+
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(VERSIONS_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
+    """The newest complete snapshot, or no rows where nothing was ever registered."""
+    found = _snapshots(spark, path.rstrip("/"))
+    if not found:
         return spark.createDataFrame([], VERSIONS_SCHEMA)
+    return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{path.rstrip('/')}/{found[-1]}")
 
 
 def register_and_promote(spark: SparkSession, versions_path: str, name: str, run_id: str) -> str:
-    """Append the next numeric version for ``run_id`` and promote it.
+    """The version of ``run_id``, registered as the next numeric one if it has none yet, and promoted.
 
-    The versions table has one row per registration (small); it is
-    rewritten through a staging folder so a failed write never leaves a
-    half-written table, and a retry only repeats the same overwrite.
+    The table (one row per registration) is written as a new snapshot folder, which readers see once its
+    job has committed; earlier snapshots stay.  A retry finds the run registered and adds nothing.  One
+    writer at a time is assumed.
     """
-    current = read_versions(spark, versions_path).cache()
-    version = next_version(current, name).collect()[0]["version"]
-    new = spark.createDataFrame([(name, version, run_id, "None")], VERSIONS_SCHEMA)
-    updated = promote_latest(current.unionByName(new))
-    staging = versions_path.rstrip("/") + "__staging"
-    updated.write.mode("overwrite").parquet(staging)
-    current.unpersist()
-    spark.read.schema(VERSIONS_SCHEMA).parquet(staging).write.mode("overwrite").parquet(versions_path)
+    path = versions_path.rstrip("/")
+    current = read_versions(spark, path)
+    mine = current.where((F.col("name") == name) & (F.col("run_id") == run_id)).collect()
+    version = mine[0]["version"] if mine else next_version(current, name).collect()[0]["version"]
+    if not mine:
+        current = current.unionByName(spark.createDataFrame([(name, version, run_id, "None")], VERSIONS_SCHEMA))
+    number = len(_snapshots(spark, path))
+    promote_latest(current).write.mode("overwrite").parquet(f"{path}/snapshot-{number:012d}")
     return version

@@ -51,25 +51,27 @@ def fit_learner(name: str, params: dict, train: DataFrame, n_train: int,
     return Pipeline(stages=stages).fit(train)
 
 
-def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    out = positive_probability(model.transform(df))
-    return out.select(*keep, "subject_id", "label", "prob", "pred") if keep else out
-
-
 def test_metrics(model: PipelineModel, test: DataFrame, cfg: TrainConfig) -> dict:
     s = positive_probability(model.transform(test))
     return M.binary_metrics(s, cfg.label, "pred", "prob").collect()[0].asDict()
 
 
-def cross_validate(name: str, params: dict, folded: DataFrame, cfg: TrainConfig) -> list[dict]:
-    """k refits (each on k-1 folds, features refit too); metrics per fold."""
-    parts = []
-    for i in range(cfg.folds):
-        tr = folded.where(F.col("fold") != i)
-        n = tr.count()
-        m = fit_learner(name, params, tr, n, cfg)
-        parts.append(positive_probability(m.transform(folded.where(F.col("fold") == i)))
-                     .select("fold", cfg.label, "prob", "pred"))
+def _fold_sizes(folded: DataFrame) -> dict[int, int]:
+    return {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count("*").alias("n")).collect()}
+
+
+def validate_folds(fit, folded: DataFrame, cfg: TrainConfig) -> list[dict]:
+    """``fit(train rows, their number)`` once per fold on the other folds, features refit too; metrics
+    per fold.  Folds are fitted side by side."""
+    sizes = _fold_sizes(folded)
+    total = sum(sizes.values())
+
+    def one(i):
+        m = fit(folded.where(F.col("fold") != i), total - sizes.get(i, 0))
+        return positive_probability(m.transform(folded.where(F.col("fold") == i))).select("fold", cfg.label, "prob", "pred")
+
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
+        parts = list(pool.map(one, range(cfg.folds)))
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
@@ -77,6 +79,11 @@ def cross_validate(name: str, params: dict, folded: DataFrame, cfg: TrainConfig)
             M.binary_metrics(allp, cfg.label, "pred", "prob", by=["fold"]).collect()]
 
 
+def cross_validate(name: str, params: dict, folded: DataFrame, cfg: TrainConfig) -> list[dict]:
+    """k refits of one learner."""
+    return validate_folds(lambda tr, n: fit_learner(name, params, tr, n, cfg), folded, cfg)
+
+
 def summarise(fold_rows: list[dict]) -> dict:
     import statistics
     out = {}
@@ -98,6 +105,7 @@ class RunResult:
     fitted: PipelineModel | None = None
     duration_sec: float = 0.0
     parent_run_id: str | None = None
+    model_path: str | None = None
 
 
 def _one_run(stage: str, name: str, params: dict, train: DataFrame, folded: DataFrame,
@@ -113,10 +121,8 @@ def _one_run(stage: str, name: str, params: dict, train: DataFrame, folded: Data
 def stage1(train: DataFrame, test: DataFrame, learners: Sequence[str],
            cfg: TrainConfig) -> list[RunResult]:
     """Base parameters, CV for every learner, test metrics."""
-    with persisted(train) as tr:
-        n = tr.count()
-        folded = assign_folds(tr, cfg.label, cfg.id_col, cfg.folds, cfg.seed)
-        with persisted(folded) as fo:
+    with persisted(test) as test, persisted(assign_folds(train, cfg.label, cfg.id_col, cfg.folds, cfg.seed)) as fo:
+            tr, n = fo.drop("fold"), fo.count()
             with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
                 futs = [pool.submit(_one_run, "stage1", name,
                                     {**BASE_PARAMS.get(name, {}), **cfg.overrides.get(name, {})},
@@ -131,10 +137,8 @@ def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
     appended to ``trial_runs`` as child runs of the learner's stage-2 run;
     with ``timeout_sec`` no new trial starts after the deadline."""
     out = []
-    with persisted(train) as tr:
-        n = tr.count()
-        folded = assign_folds(tr, cfg.label, cfg.id_col, cfg.folds, cfg.seed)
-        with persisted(folded) as fo:
+    with persisted(test) as test, persisted(assign_folds(train, cfg.label, cfg.id_col, cfg.folds, cfg.seed)) as fo:
+            tr, n = fo.drop("fold"), fo.count()
             for name in learners:
                 trials = sample_params(name, SEARCH_SPACES.get(name, {}), cfg.n_trials, cfg.seed)
                 base = {**BASE_PARAMS.get(name, {}), **cfg.overrides.get(name, {})}
@@ -169,57 +173,41 @@ def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
     return out
 
 
-def member_probabilities(members: dict[str, PipelineModel], df: DataFrame,
-                         cfg: TrainConfig) -> DataFrame:
-    """Long (id, label, member, prob) frame of every member's probability."""
-    parts = []
-    for name, m in members.items():
-        parts.append(positive_probability(m.transform(df)).select(
-            cfg.id_col, cfg.label, F.lit(name).alias("member"), "prob"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def voting(members: dict[str, PipelineModel], test: DataFrame, cfg: TrainConfig) -> dict:
-    long = member_probabilities(members, test, cfg)
-    v = E.soft_vote(long, cfg.id_col, members=list(members))
-    lab = test.select(cfg.id_col, cfg.label)
-    return M.binary_metrics(v.join(lab, cfg.id_col), cfg.label, "vote_pred",
-                            "vote_prob").collect()[0].asDict()
+def fit_voting(specs: dict[str, dict], train: DataFrame, n: int, cfg: TrainConfig) -> E.EnsembleModel:
+    return E.EnsembleModel({nm: fit_learner(nm, p, train, n, cfg) for nm, p in specs.items()})
 
 
-def stacking(member_specs: dict[str, dict], train: DataFrame, test: DataFrame,
-             cfg: TrainConfig) -> dict:
-    """Out-of-fold member probabilities -> logistic meta-learner."""
-    with persisted(train) as tr:
-        n = tr.count()
-        folded = assign_folds(tr, cfg.label, cfg.id_col, cfg.folds, cfg.seed)
-        oof_parts = []
+def fit_stacking(specs: dict[str, dict], train: DataFrame, n: int, cfg: TrainConfig) -> E.EnsembleModel:
+    """Out-of-fold member probabilities -> logistic meta-learner; members refit on all rows."""
+    inner = train.drop("fold")
+    with persisted(assign_folds(inner, cfg.label, cfg.id_col, cfg.folds, cfg.seed)) as folded:
+        sizes = _fold_sizes(folded)
+        oof = None
         for i in range(cfg.folds):
-            fit_rows = folded.where(F.col("fold") != i)
-            nf = fit_rows.count()
-            ms = {nm: fit_learner(nm, p, fit_rows, nf, cfg) for nm, p in member_specs.items()}
-            oof_parts.append(member_probabilities(ms, folded.where(F.col("fold") == i), cfg))
-        oof = oof_parts[0]
-        for p in oof_parts[1:]:
-            oof = oof.unionByName(p)
-        names = list(member_specs)
-        wide = oof.groupBy(cfg.id_col, cfg.label).pivot("member", names).agg(F.first("prob"))
-        asm = VectorAssembler(inputCols=names, outputCol="_meta_x")
-        meta = LogisticRegression(featuresCol="_meta_x", labelCol=cfg.label, maxIter=1000).fit(
-            asm.transform(wide))
-        full = {nm: fit_learner(nm, p, tr, n, cfg) for nm, p in member_specs.items()}
-    tl = member_probabilities(full, test, cfg)
-    tw = tl.groupBy(cfg.id_col, cfg.label).pivot("member", names).agg(F.first("prob"))
-    s = positive_probability(meta.transform(asm.transform(tw)))
-    return M.binary_metrics(s, cfg.label, "pred", "prob").collect()[0].asDict()
+            ms = fit_voting(specs, folded.where(F.col("fold") != i), n - sizes.get(i, 0), cfg)
+            part = ms.member_columns(folded.where(F.col("fold") == i)).select(cfg.label, *ms.member_names)
+            oof = part if oof is None else oof.unionByName(part)
+        names = [f"_member_{i}" for i in range(len(specs))]
+        meta = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="_meta_x"),
+                                LogisticRegression(featuresCol="_meta_x", labelCol=cfg.label, maxIter=1000)]).fit(oof)
+    return E.EnsembleModel(fit_voting(specs, train, n, cfg).members, meta)
+
+
+def ensemble_run(kind: str, specs: dict[str, dict], train: DataFrame, test: DataFrame, cfg: TrainConfig) -> RunResult:
+    """``voting`` or ``stacking`` of members (learner -> parameters): cross-validated with all members
+    refit per fold, fitted on all training rows, tested once."""
+    fit = {"voting": fit_voting, "stacking": fit_stacking}[kind]
+    t0 = time.time()
+    with persisted(assign_folds(train, cfg.label, cfg.id_col, cfg.folds, cfg.seed)) as folded:
+        cv = summarise(validate_folds(lambda tr, n: fit(specs, tr, n, cfg), folded, cfg))
+        model = fit(specs, folded.drop("fold"), folded.count(), cfg)
+    tm = {f"test_{k}": v for k, v in test_metrics(model, test, cfg).items()}
+    return RunResult(f"ensemble__{kind}", "ensemble", kind, {"members": ",".join(specs)}, {**cv, **tm}, model, time.time() - t0)
 
 
 def runs_frame(spark: SparkSession, results: Sequence[RunResult]) -> DataFrame:
     rows = [(r.run_id, r.stage, r.model, r.parent_run_id, {k: str(v) for k, v in r.params.items()},
              {k: float(v) for k, v in r.metrics.items() if v is not None}, {"stage": r.stage},
-             float(r.duration_sec), None) for r in results]
+             float(r.duration_sec), r.model_path) for r in results]
     from scoreflow.plans.tracking import RUNS_SCHEMA
     return spark.createDataFrame(rows, RUNS_SCHEMA)

@@ -73,15 +73,23 @@ def test_trials_reproducible_and_in_range(spark):
             assert math.isclose(df[(i, p)], t[p], rel_tol=1e-12, abs_tol=1e-300), (i, p)
 
 
-def test_voting_and_stacking(spark, split):
+def test_voting_and_stacking(spark, split, tmp_path):
+    from scoreflow.operators.ensemble import load_model, save_model
     train, test = split
-    cfg = TRN.TrainConfig(folds=3)
-    members = {n: TRN.fit_learner(n, SMALL.get(n, {}), train, train.count(), cfg)
-               for n in ("logistic_regression", "lightgbm")}
-    v = TRN.voting(members, test, cfg)
-    assert v["roc_auc"] > 0.8
-    st = TRN.stacking({"logistic_regression": {}, "lightgbm": SMALL["lightgbm"]}, train, test, cfg)
-    assert st["roc_auc"] > 0.8
+    cfg = TRN.TrainConfig(folds=2)
+    specs = {"logistic_regression": {}, "random_forest": {"n_estimators": 3, "max_depth": 3}}
+    for kind in ("voting", "stacking"):
+        r = TRN.ensemble_run(kind, specs, train, test, cfg)
+        assert r.metrics["test_roc_auc"] > 0.8 and r.metrics["cv_roc_auc_mean"] > 0.8 and r.stage == "ensemble"
+        save_model(r.fitted, str(tmp_path / kind), spark)
+        back = load_model(str(tmp_path / kind), spark)
+        a, b = (positive_probability(m.transform(test)).select("subject_id", "prob") for m in (r.fitted, back))
+        assert sorted(a.collect()) == sorted(b.collect()) and a.count() == test.count()
+    parts = [positive_probability(m.transform(test)).select("subject_id", "prob") for m in r.fitted.members.values()]
+    wide = r.fitted.member_columns(test).select("subject_id", "_member_0", "_member_1")
+    for i, p in enumerate(parts):
+        j = wide.join(p, "subject_id")
+        assert j.count() == test.count() and j.where(F.abs(F.col(f"_member_{i}") - F.col("prob")) > 1e-9).count() == 0
 
 
 def test_adaboost_weights_and_alphas(spark, split):
