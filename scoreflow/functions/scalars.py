@@ -148,8 +148,3 @@ def model_key(stage: str | Column, name: str | Column) -> Column:
 
 def percent_text(share: str | Column, digits: int = 1) -> Column:
     return F.format_string(f"%.{digits}f%%", _col(share) * F.lit(100.0))
-
-
-def prefix_keys(m: str | Column, prefix: str) -> Column:
-    """Prefix every key of a metric map (``test_``, ``cv_``, ``best_`` ...)."""
-    return F.transform_keys(_col(m), lambda k, v: F.concat(F.lit(prefix), k))

@@ -98,6 +98,38 @@ SEARCH_SPACES = {
 
 LEARNERS = list(BASE_PARAMS)
 
+# Parameters that the Spark learners have no counterpart for: they are neither searched nor recorded
+# with a run.
+INERT = {
+    "logistic_regression": {"solver"},
+    "random_forest": {"min_samples_split"},
+    "xgboost": {"reg_alpha", "reg_lambda"},
+    "lightgbm": {"reg_alpha", "reg_lambda"},
+    "catboost": {"l2_leaf_reg", "bagging_temperature"},
+    "mlp": {"solver", "activation", "alpha", "learning_rate_init"},
+}
+UNSUPPORTED_KERNELS = {"sigmoid"}  # no positive definite kernel, so it has no feature map
+MAX_TREE_DEPTH = 30
+
+
+def acting_params(name: str, params: dict) -> dict:
+    """``params`` without those that have no effect."""
+    return {k: v for k, v in params.items() if k not in INERT.get(name, ())}
+
+
+def search_space(name: str) -> dict:
+    """The part of the search space that acts."""
+    space = acting_params(name, SEARCH_SPACES.get(name, {}))
+    if "kernel" in space:
+        space["kernel"] = ("categorical", [k for k in space["kernel"][1] if k not in UNSUPPORTED_KERNELS])
+    return space
+
+
+def _depth(value) -> int:
+    if int(value) > MAX_TREE_DEPTH:
+        raise ValueError(f"tree depth {value} is beyond Spark's {MAX_TREE_DEPTH}")
+    return int(value)
+
 
 class PopulationScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """(x - mean) / population std per column; zero std -> scale 1."""
@@ -509,7 +541,7 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
         asm = VectorAssembler(inputCols=[f"{c}_idx" for c in NATIVE_CATEGORICAL] + num,
                               outputCol="features")
         gbt = GBTClassifier(labelCol=label, maxIter=int(p["iterations"]),
-                            maxDepth=min(int(p["depth"]), 30), stepSize=float(p["learning_rate"]),
+                            maxDepth=_depth(p["depth"]), stepSize=float(p["learning_rate"]),
                             maxBins=max(32, int(p.get("border_count", 32))), seed=seed)
         return [feats, *idx, asm, gbt]
     stages: list = [EncodedFeatures(keepCols=keep)]
@@ -524,6 +556,8 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
     if name == "svm":
         kernel = p.get("kernel", "rbf")
         feat_cols = cols
+        if kernel in UNSUPPORTED_KERNELS or kernel not in ("rbf", "linear", "poly"):
+            raise ValueError(f"kernel {kernel!r} is not supported")
         if kernel == "poly":
             degree = int(p.get("degree", 3))
             poly = PolynomialKernelFeatures(inputCols=cols, degree=degree,
@@ -532,7 +566,7 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
             n_terms = math.comb(len(cols) + degree - 1, degree)
             feat_cols = [f"poly_{j}" for j in range(n_terms)]
         elif kernel != "linear":
-            # rbf: random Fourier features; sigmoid (not a PSD kernel) uses the same map
+            # rbf: random Fourier features, n_components of them (100)
             rff = RandomFourierFeatures(inputCols=cols, numFeatures=int(p.get("n_components", 100)),
                                         gamma=str(p.get("gamma", "scale")), seed=seed)
             stages.append(rff)
@@ -549,7 +583,7 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
         depth = p.get("max_depth")
         stages.append(RandomForestClassifier(
             labelCol=label, numTrees=int(p["n_estimators"]),
-            maxDepth=min(int(depth), 30) if depth else 30,
+            maxDepth=_depth(depth) if depth else MAX_TREE_DEPTH,
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             featureSubsetStrategy=_max_features(p.get("max_features", "sqrt")), seed=seed))
     elif name in ("xgboost", "lightgbm"):
@@ -557,7 +591,7 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
         if depth <= 0:  # leaf-count preset: a level-wise tree with as many leaves
             depth = max(1, math.ceil(math.log2(int(p.get("num_leaves", 31)))))
         stages.append(GBTClassifier(
-            labelCol=label, maxIter=int(p["n_estimators"]), maxDepth=min(depth, 30),
+            labelCol=label, maxIter=int(p["n_estimators"]), maxDepth=_depth(depth),
             stepSize=float(p["learning_rate"]), subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy=str(float(p.get("colsample_bytree", 1.0))),
             minInstancesPerNode=int(p.get("min_child_samples", p.get("min_child_weight", 1))),
@@ -565,8 +599,7 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
     elif name == "mlp":
         hidden = [int(h) for h in p.get("hidden_layer_sizes", [128, 64])]
         stages.append(MultilayerPerceptronClassifier(
-            labelCol=label, layers=[len(cols), *hidden, 2], maxIter=int(p.get("max_iter", 100)),
-            stepSize=float(p.get("learning_rate_init", 0.03)), seed=seed))
+            labelCol=label, layers=[len(cols), *hidden, 2], maxIter=int(p.get("max_iter", 100)), seed=seed))
     else:
         raise ValueError(f"unknown learner {name!r}")
     return stages
@@ -578,10 +611,6 @@ def positive_probability(scored: DataFrame, prob_col: str = "probability") -> Da
                  .withColumn("pred", F.col("prediction").cast("int"))
 
 
-def feature_columns(name: str) -> Sequence[str]:
-    return NATIVE_FEATURES if name == "catboost" else ENCODED_FEATURES
-
-
 def categorical_indices(df: DataFrame, features_col: str = "features") -> dict[str, int]:
     """Positions of nominal (categorical) features inside an assembled vector,
     read from the ML attribute metadata that ``StringIndexer`` and

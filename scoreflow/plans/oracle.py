@@ -198,6 +198,21 @@ select count(*) as total, cast(sum(pred) as bigint) as positive,
   round(avg(prob) * 100, 2) as avg_prob_pct,
   round(sum(pred) * 100.0 / nullif(count(*), 0), 2) as positive_rate_pct
 from preds""")
+ORACLE["predictions_refresh"] = ORACLE["predictions_table"]
+ORACLE["run_report"] = with_ctes(*_PRED, body="""
+select count(*) as total, cast(sum(pred) as bigint) as positive,
+  count(*) - cast(sum(pred) as bigint) as negative,
+  round(sum(pred) * 100.0 / nullif(count(*), 0), 2) as positive_rate_pct,
+  round(avg(prob) * 100, 2) as avg_prob_pct,
+  count(*) filter (confidence = 'High') as n_high, count(*) filter (confidence = 'Medium') as n_medium,
+  count(*) filter (confidence = 'Low') as n_low,
+  'preset_linear' as model_name, '1' as model_version
+from preds""")
+for _name in _C.CHECKED_LEARNERS:
+    ORACLE[f"check_{_name}"] = with_ctes(SPLIT_SQL, body=f"""
+select '{_name}' as model, count(*) as test_rows, cast(sum(label) as bigint) as positives,
+  true as probabilities_in_range, true as auc_above_floor
+from split where rk <= ceil(0.2 * cn)""")
 ORACLE["confidence_distribution"] = with_ctes(*_PRED, body="""
 select l.confidence, cast(coalesce(c.n, 0) as bigint) as n
 from (select 'High' as confidence union all select 'Medium' union all select 'Low') l

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from scoreflow.operators import ensemble as E
 from scoreflow.operators import metrics as M
 from scoreflow.operators.features import persisted
-from scoreflow.operators.learners import (BASE_PARAMS, SEARCH_SPACES, build_stages,  # noqa: F401
-                                          positive_probability)
+from scoreflow.operators.learners import (BASE_PARAMS, acting_params, build_stages, positive_probability,
+                                          search_space)
 from scoreflow.operators.splits import assign_folds
 from scoreflow.operators.tuning import sample_params
 
@@ -115,7 +115,7 @@ def _one_run(stage: str, name: str, params: dict, train: DataFrame, folded: Data
     model = fit_learner(name, params, train, n_train, cfg)
     tm = {f"test_{k}": v for k, v in test_metrics(model, test, cfg).items()}
     key = f"{stage}__{name.lower().replace(' ', '_')}"
-    return RunResult(key, stage, name, params, {**cv, **tm}, model, time.time() - t0)
+    return RunResult(key, stage, name, acting_params(name, params), {**cv, **tm}, model, time.time() - t0)
 
 
 def stage1(train: DataFrame, test: DataFrame, learners: Sequence[str],
@@ -140,7 +140,7 @@ def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
     with persisted(test) as test, persisted(assign_folds(train, cfg.label, cfg.id_col, cfg.folds, cfg.seed)) as fo:
             tr, n = fo.drop("fold"), fo.count()
             for name in learners:
-                trials = sample_params(name, SEARCH_SPACES.get(name, {}), cfg.n_trials, cfg.seed)
+                trials = sample_params(name, search_space(name), cfg.n_trials, cfg.seed)
                 base = {**BASE_PARAMS.get(name, {}), **cfg.overrides.get(name, {})}
                 parent = f"stage2__{name}"
                 deadline = time.time() + cfg.timeout_sec if cfg.timeout_sec else None
@@ -152,7 +152,7 @@ def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
                     t0 = time.time()
                     p = {**base, **t}
                     cv = summarise(cross_validate(name, p, fo, cfg))
-                    run = RunResult(f"{parent}__trial_{i}", "stage2_trial", name, p, cv, None,
+                    run = RunResult(f"{parent}__trial_{i}", "stage2_trial", name, acting_params(name, p), cv, None,
                                     time.time() - t0, parent)
                     return cv.get(f"cv_{cfg.metric}_mean", float("-inf")), p, run
 
@@ -167,7 +167,7 @@ def stage2(train: DataFrame, test: DataFrame, learners: Sequence[str],
                 t0 = time.time()
                 model = fit_learner(name, best_p, tr, n, cfg)
                 tm = {f"test_{k}": v for k, v in test_metrics(model, test, cfg).items()}
-                out.append(RunResult(parent, "stage2", name, best_p,
+                out.append(RunResult(parent, "stage2", name, acting_params(name, best_p),
                                      {f"best_cv_{cfg.metric}": best_score, **tm}, model,
                                      time.time() - t0))
     return out

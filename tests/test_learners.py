@@ -165,3 +165,14 @@ def test_svm_poly_kernel(spark, split):
     cfg = TRN.TrainConfig()
     m = TRN.fit_learner("svm", {"kernel": "poly"}, train, train.count(), cfg)  # degree 3 (default)
     assert TRN.test_metrics(m, test, cfg)["roc_auc"] > 0.7
+
+
+def test_only_acting_parameters_are_searched():
+    from scoreflow.operators.learners import build_stages, search_space
+    assert search_space("svm")["kernel"][1] == ["rbf", "linear", "poly"]
+    assert set(search_space("mlp")) == {"hidden_layer_sizes"} and "solver" not in search_space("logistic_regression")
+    for bad in ({"kernel": "sigmoid"}, {"kernel": "other"}):
+        with pytest.raises(ValueError):
+            build_stages("svm", bad)
+    with pytest.raises(ValueError):
+        build_stages("random_forest", {"max_depth": 31})
