@@ -7,6 +7,12 @@ chi-squared uniformity of its characters, the runs test about the middle of the
 serial correlation.  Their p-values are combined by Fisher's method; a token that fails
 ``RANDOM_P`` is structured and dropped.
 
+A token that fits no encoding is split at its inner '=' (name from value); a part that still fits none
+mixes '+' or '/' with '-' or '_' and is split at the one kind or the other, whichever leaves the part of
+most evidence (below), or, where neither leaves a part of ``LEAST`` characters, tested whole over all of its
+characters.  Parts of ``LEAST`` or more are tested each with its own offsets, shorter ones are not long
+tokens; the ways tried count as further encodings.  A token that fits an encoding is tested whole only.
+
 Looking random is not enough for a short token, as short words pass such tests too.  The likelihood
 ratio of the uniform model to a model of ordinary text (letter frequencies, runs of one character class) is an e-value, so 2 ** -bits
 is a valid p-value against "ordinary text" (times the number of encodings tried); it sharpens with
@@ -17,7 +23,8 @@ Match positions come from the lengths of the pieces between the matches, summed
 with many matches costs no quadratic work.
 
 Defined results: null and empty texts have no spans; spans are (start, end) in code points, end
-exclusive, ordered by start, then kind as listed, then end; a token that overlaps a base span is not
+exclusive, ordered by start, then kind as listed, then end; padding ('=' at the end of a token) belongs to
+the last part; a token that overlaps a base span is not
 reported again; repeated rows are scanned alike; an empty table gives an empty result; columns are kept
 where named, ``base`` and ``tokens`` being taken.
 """
@@ -38,7 +45,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # as AKIA[A-Z0-9]+ of 20 or more: a match is a wh
 HEX = r"[0-9a-f]{24,}"  # as [0-9a-f]+ of 24 or more, for the same reason
 KINDS = ["assign", "access", "hex", "random"]
 
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (pattern, alphabet), the first that fits is the encoding.
 ENCODINGS = [
@@ -52,6 +60,10 @@ ENCODINGS = [
     ("^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
 ]
+#: Parts of a token in no encoding, the ways to split a part that still fits none, and the alphabet of one that can't be split.
+VALUES = r"[^=]{%d,}" % LEAST
+WAYS = [r"[^+/]{%d,}" % LEAST, r"[^_-]{%d,}" % LEAST]
+ALL = UPPER + LOWER + DIGITS + "+/-_"
 #: Relative frequencies (per cent) of the letters a to z in English text.
 LETTERS = [8.17, 1.49, 2.78, 4.25, 12.70, 2.23, 2.02, 6.09, 6.97, 0.15, 0.77, 4.03, 2.41,
            6.75, 7.51, 1.93, 0.10, 5.99, 6.33, 9.06, 2.76, 0.98, 2.36, 0.15, 1.97, 0.07]
@@ -134,6 +146,11 @@ def ordinary_bits(token: Column, n: Column) -> Column:
     return own + 2 - switches * math.log2((1 - SAME_CLASS) / 3) - (n - 1 - switches) * math.log2(SAME_CLASS)
 
 
+def token_bits(token: Column, n: Column, k: Column, tries: Column) -> Column:
+    """Evidence of n characters from an alphabet of k against ordinary text, ``tries`` encodings being tried."""
+    return ordinary_bits(token, n) - n * F.log2(k) - F.log2(tries)
+
+
 def _two_sided(z: Column) -> Column:
     """Two-sided normal p-value (Abramowitz and Stegun 7.1.26)."""
     x = F.abs(z) / math.sqrt(2)
@@ -186,28 +203,47 @@ def battery(rows: Column) -> Column:
 
 
 def measured_tokens(text: Column) -> Column:
-    """array<struct<start, kind, end, stratum, bits, p>> of the long tokens with an encoding: p is the
-    battery's, bits the whole-bit evidence against ordinary text, 0 at least."""
+    """array<struct<start, kind, end, stratum, bits, p>> of the long tokens and parts: p is the battery's, bits the whole-bit evidence against ordinary text, 0 at least."""
     def encoded(m):
         alphabet = F.lit("")
         for pattern, a in reversed(ENCODINGS):
             alphabet = F.when(m["match"].rlike(pattern), F.lit(a)).otherwise(alphabet)
         return F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"), m["match"].alias("token"),
-                        alphabet.alias("alphabet"))
+                        alphabet.alias("alphabet"), F.lit(len(ENCODINGS)).alias("tries"))
 
     def bare(m):
         return m.withField("match", F.regexp_replace(m["match"], "=+$", ""))
 
+    def parts(m, pattern):
+        return F.transform(matches(m["token"], pattern, 3), lambda x: encoded(F.struct(
+            (m["start"] + x["start"]).alias("start"), x["kind"].alias("kind"),
+            F.when(x["end"] == F.char_length(m["token"]), m["end"]).otherwise(m["start"] + x["end"]).alias("end"),
+            x["match"].alias("match"))))
+
+    def fits(m):
+        return F.char_length(m["alphabet"]) > 0
+
+    def gain(split):
+        return F.array_max(F.transform(split, lambda r: token_bits(
+            r["token"], F.char_length(r["token"]), F.char_length(r["alphabet"]), r["tries"])))
+
+    def either(m):
+        one, other = (F.transform(parts(m, w), lambda r: r.withField("tries", F.lit(len(ENCODINGS) * (len(WAYS) + 1)))) for w in WAYS)
+        whole = F.array(m.withField("alphabet", F.lit(ALL)).withField("tries", F.lit(len(ENCODINGS) * (len(WAYS) + 1))))
+        return F.when((F.size(one) == 0) & (F.size(other) == 0), whole) \
+            .when((F.size(one) == 0) | (gain(other) > gain(one)), other).otherwise(one)
+
     def evidence(r):
-        bits = ordinary_bits(r["token"], r["n"]) - r["n"] * F.log2(r["k"]) - math.log2(len(ENCODINGS))
+        bits = token_bits(r["token"], r["n"], r["k"], r["tries"])
         stratum = F.lit(len(STRATA))
         for i, top in reversed(list(enumerate(STRATA))):
             stratum = F.when(r["n"] < top, F.lit(i)).otherwise(stratum)
         return F.struct(r["start"].alias("start"), r["kind"].alias("kind"), r["end"].alias("end"), stratum.alias("stratum"),
                         F.least(F.greatest(F.floor(bits), F.lit(0)), F.lit(MOST_BITS)).cast("int").alias("bits"), r["p"].alias("p"))
 
-    # a token in no encoding, or of padding alone, can't be tested
-    tokens = F.filter(F.transform(F.transform(matches(text, TOKEN, 3), bare), encoded), lambda r: F.char_length(r["alphabet"]) > 0)
+    tokens = F.transform(F.transform(matches(text, TOKEN, 3), bare), encoded)
+    tokens = F.flatten(F.transform(tokens, lambda m: F.when(fits(m), F.array(m)).otherwise(parts(m, VALUES))))
+    tokens = F.flatten(F.transform(tokens, lambda m: F.when(fits(m), F.array(m)).otherwise(either(m))))
     long = F.filter(tokens, lambda r: F.char_length(r["token"]) > 2)
     kind = "struct<start:int,kind:int,end:int,stratum:int,bits:int,p:double>"
     return _where(text.rlike(TOKEN), F.transform(battery(long), evidence), kind)

@@ -61,6 +61,35 @@ def test_random_tokens_are_found_and_words_are_not(spark, documents):
     assert not any(spans[100 + i] for i in range(len(plain)))
 
 
+def test_secrets_behind_names_and_in_paths(spark, documents):
+    rng = random.Random(5)
+    token = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    b62 = string.ascii_letters + string.digits
+
+    def mixed(n, signs):  # every sign is in it
+        return token(n // 2, b62) + signs + token(n - n // 2 - len(signs), b62 + signs)
+
+    rows, want = [], {}
+    for i in range(20):
+        for before, value, after in (("sig=", token(40, b62), ""), ("AccountKey=", mixed(44, "+/"), "=="), ("auth=", token(64, "0123456789ABCDEF"), ""),
+                                     ("/reset/", mixed(43, "-_"), ""), ("build-tools_x=", mixed(44, "+/"), ""), ("-my_key-", mixed(60, "+/"), ""),
+                                     ("=", token(40, b62), ""), ("", "".join(token(9, b62) + c for c in "-+_/-+") + token(9, b62), "")):
+            j = len(rows)
+            rows.append((j, f"é see {before}{value}{after} here"))
+            want[j] = f"random:{6 + len(before)}:{6 + len(before + value + after)}"
+    plain = ["name=internationalization-and-localization", "/docs/user-guide/getting_started/first-steps", "key=value=other=value=thing",
+             "path=/usr/share/some-package/default_settings", "====================", "_-/+_-/+_-/+_-/+_-/+_-/+"]
+    rows += [(1000 + i, f"see {t} here") for i, t in enumerate(plain)]
+    found = S.analyse(documents(rows), ["doc_id", "text"]).cache()
+    spans = S.all_spans(S.thresholds(found))
+    got = {r["doc_id"]: r for r in found.select("doc_id", S.listed(spans).alias("s"), S.redacted(F.col("text"), spans).alias("t")).collect()}
+    for kind in range(8):
+        assert sum(got[j]["s"] == want[j] for j in range(kind, 160, 8)) >= 18, kind
+    found_first = next(j for j in range(0, 160, 8) if got[j]["s"] == want[j])
+    assert got[found_first]["t"] == "é see sig=[SECRET] here"
+    assert not any(got[1000 + i]["s"] for i in range(len(plain)))
+
+
 def test_battery_against_python(spark):
     a = S.DIGITS + S.LOWER[:6]
     rng = random.Random(1)
