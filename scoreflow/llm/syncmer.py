@@ -1,14 +1,17 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text is a sequence of pieces: runs of up to ``PIECE`` code points without white space, counted from
-the start of each word.  A k-mer of ``K`` pieces is an anchor if the smallest hash among its inner substrings of ``S``
+A text is the sequence of its code points that are not white space (pieces of ``PIECE`` = 1; longer pieces
+would be counted from the start of each word, and in text without spaces a passage that starts at
+another offset would yield other pieces).  A k-mer of ``K`` pieces is an anchor if the smallest hash among its inner substrings of ``S``
 pieces stands at its first or last place.  The choice looks at nothing outside the k-mer, so an
-unchanged passage keeps its anchors wherever it moves, and anchors with positions serve for
+unchanged passage of ``K`` pieces or more keeps its anchors wherever it moves, in any script, and anchors with positions serve for
 positional matching.  A fingerprint is the ``SKETCH`` smallest distinct anchor hashes (32 bits each, in hexadecimal digits);
 the likeness of two fingerprints is the share of their joint smallest hashes that both hold.
 
 Sliding minima come from pairwise minima over doubling spans, array by array, so the work per piece doesn't
-grow with ``K``; no positional substring is taken from a long text.
+grow with ``K``; no positional substring is taken from a long text.  The edited text (the head of a text, then
+that of the next) shares the anchors of its first part with the text, so only its second part, with the
+``K`` - 1 pieces before it, is walked anew.
 
 The document that follows in descending order of id is found without a global window: ids are cut
 into ordered buckets (quantiles of the ids, each cut again into equal widths), every bucket is sorted
@@ -26,9 +29,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import table
 
-PIECE = 8
-K = 4
-S = 1
+PIECE = 1
+K = 12
+S = 5
 SKETCH = 64
 BUCKET_ROWS = 2000
 MOST_BUCKETS = 50_000  # so that the list of bucket tops stays below 1 MB; buckets grow beyond that
@@ -70,13 +73,31 @@ def add_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S,
     return df.withColumn(name, found).drop(*made)
 
 
+def _lowest(hashes: Column) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+
+
+def _or_whole(sketch: Column, text_col: str) -> Column:
+    """``sketch``, or that of a text without anchors."""
+    whole = F.when(F.length(text_col) > 0, F.array(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)))) \
+        .otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(sketch) > 0, sketch).otherwise(whole)
+
+
 def with_sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """Adds ``name``: the sorted smallest anchor hashes of a text that is not null."""
     found = add_anchors(df, text_col, "__anchors")
-    whole = F.when(F.length(text_col) > 0, F.array(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)))) \
-        .otherwise(F.array().cast("array<bigint>"))
-    some = F.when(F.size("__anchors") > 0, F.col("__anchors.hash")).otherwise(whole)
-    return found.withColumn(name, F.slice(F.sort_array(F.array_distinct(some)), 1, SKETCH)).drop("__anchors")
+    return found.withColumn(name, _or_whole(_lowest(F.col("__anchors.hash")), text_col)).drop("__anchors")
+
+
+def with_head_sketch(df: DataFrame, text_col: str, head: Column, name: str, head_name: str) -> DataFrame:
+    """``with_sketch``, and ``head_name``: the smallest hashes of the anchors that lie in the first ``head`` code points."""
+    found = add_anchors(df, text_col, "__anchors")
+    pieces = F.char_length(F.regexp_replace(F.substring(F.col(text_col), F.lit(1), head), r"\s+", ""))
+    found = found.withColumn("__pieces", pieces)
+    inside = F.filter("__anchors", lambda x: x["pos"] + K <= F.col("__pieces"))
+    return found.withColumn(head_name, _lowest(F.transform(inside, lambda x: x["hash"]))) \
+        .withColumn(name, _or_whole(_lowest(F.col("__anchors.hash")), text_col)).drop("__anchors", "__pieces")
 
 
 def fingerprint(sketch: Column) -> Column:
@@ -124,12 +145,16 @@ def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
 
 def op9_syncmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = with_next(with_sketch(docs, "text", "sketch"), ["text", "sketch"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))) \
-        .select("doc_id", n.cast("long").alias("n_chars"), "sketch", "next_sketch", "edited")
-    both = with_sketch(both, "edited", "edited_sketch")
+    both = with_next(with_head_sketch(docs, "text", n - half, "sketch", "head_sketch"), ["text", "sketch"])
+    head, added = F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)
+    pieces = F.regexp_replace(head, r"\s+", "")
+    before = F.substring(pieces, F.greatest(F.char_length(pieces) - (K - 2), F.lit(1)), F.lit(K - 1))
+    both = both.select("doc_id", n.cast("long").alias("n_chars"), "sketch", "next_sketch", "head_sketch",
+                       F.concat(head, added).alias("edited"), F.concat(before, added).alias("walked"))
+    both = add_anchors(both, "walked", "anchors").withColumn("edited_sketch", _or_whole(
+        _lowest(F.concat("head_sketch", "anchors.hash")), "edited"))
     return both.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),

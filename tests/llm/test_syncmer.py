@@ -86,6 +86,29 @@ def test_anchors_are_context_free():
     assert alone <= inside
 
 
+def test_passages_without_spaces_keep_their_anchors(spark):
+    """Moved by any offset, or behind an inserted character."""
+    rng = random.Random(4)
+    for signs in ("的一是不了人我在有他这中大来上国日本語ですます", "0123456789abcdefABCDEF+/"):
+        passage = "".join(rng.choice(signs) for _ in range(300))
+        texts = [passage] + ["x" * i + passage + "y" for i in range(1, 9)] + [passage[:9] + "x" + passage[9:]]
+        df = S.with_sketch(S.add_anchors(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text", "a"), "text", "s")
+        got = {r["doc_id"]: ({x["hash"] for x in r["a"]}, r["s"]) for r in df.collect()}
+        assert all(got[0][0] <= got[i][0] for i in range(1, 9)) and len(got[0][0]) > 20
+        assert min(likeness(got[0][1], got[i][1]) for i in range(1, 10)) > 0.7
+    short = S.add_anchors(spark.createDataFrame([("one two three",)], "text string"), "text", "a").first()
+    assert [x["hash"] for x in short["a"]] == [h for _, h in brute_anchors("one two three")]
+
+
+def test_edited_texts_against_brute_force(spark, tmp_path):
+    """White space and short texts about the seam."""
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice(["a", "b", "é😀", " ", "  \n", "語"]) for _ in range(rng.choice([0, 1, 2, 5, 11, 12, 13, 24, 25, 60])))) for i in range(150)]
+    rows += [(200, None), (201, " " * 40), (202, "a" + " " * 60), (203, " " * 60 + "b"), (204, "ab" * 30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    check(rows, {r["doc_id"]: r for r in S.op9_syncmer(spark, str(tmp_path)).collect()})
+
+
 def test_next_document_over_odd_ids(spark, monkeypatch):
     """Ids in clumps, far apart and null; small buckets so that most neighbours lie in other buckets."""
     monkeypatch.setattr(S, "BUCKET_ROWS", 3)
