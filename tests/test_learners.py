@@ -103,6 +103,23 @@ def test_adaboost_weights_and_alphas(spark, split):
     assert 0 < len(alphas) <= 12 and all(a > 0 for a in alphas)
 
 
+def test_adaboost_tries_every_distinct_value(spark):
+    """A split in the tail of a column that is mostly zero, one between neighbours of many values, nulls, constants."""
+    from scoreflow.operators.learners import AdaBoostStumps
+    rows = [(float(i - 5700) if i >= 5700 else 0.0, float(i * 7919 % 6000), 1.0, None if i % 3 else 2.0) for i in range(6000)]
+    df = spark.createDataFrame([(*r, int(r[0] > 263), int(r[1] > 3457), i % 5 // 4) for i, r in enumerate(rows)],
+                               "zeros double, many double, same double, gaps double, tail int, middle int, other int")
+    for label, f, thr in (("tail", 0, 263.0), ("middle", 1, 3457.0)):
+        for nb in (2, 32):
+            m = AdaBoostStumps(featureCols=["zeros", "many", "same", "gaps"], labelCol=label, nEstimators=5, maxBins=nb).fit(df)
+            assert (m.getOrDefault("stumpFeatures"), m.getOrDefault("stumpThresholds")) == ([f], [thr])
+            assert m.transform(df).where(F.col("prediction") != F.col(label)).count() == 0
+    null = AdaBoostStumps(featureCols=["gaps"], labelCol="label", nEstimators=1).fit(df.withColumn("label", F.col("gaps").isNull().cast("int")))
+    assert [null.getOrDefault(x) for x in ("stumpThresholds", "leftClass", "rightClass")] == [[2.0], [0], [1]]
+    same = AdaBoostStumps(featureCols=["same"], labelCol="other", nEstimators=1).fit(df)
+    assert same.getOrDefault("stumpThresholds") == [math.inf] and same.getOrDefault("leftClass") == [0]
+
+
 def test_stage1_two_learners(spark, split):
     train, test = split
     cfg = TRN.TrainConfig(folds=3, parallelism=2, overrides=SMALL)
