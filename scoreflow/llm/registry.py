@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontamination, language_id, pii, secret_scan, sentencepiece_viterbi, simhash,
+from . import (decontamination, language_id, pii, prefix_trie, secret_scan, sentencepiece_viterbi, simhash,
                syncmer, token_counts, url_reputation, warc_zip)
 
 QUERIES = {
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_syncmer": syncmer.op9_syncmer,
     "op10_pii": pii.op10_pii,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
 }
 
 ORACLE = {
     "op1_host_reputation": url_reputation.ORACLE,
     "op4_decontamination": decontamination.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }
