@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontamination, language_id, pii, prefix_trie, secret_scan, sentencepiece_viterbi, simhash,
+from . import (decontamination, language_id, multi_index, pii, prefix_trie, secret_scan, sentencepiece_viterbi, simhash,
                syncmer, token_counts, url_reputation, warc_zip)
 
 QUERIES = {
@@ -17,10 +17,12 @@ QUERIES = {
     "op9_syncmer": syncmer.op9_syncmer,
     "op10_pii": pii.op10_pii,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_multi_index": multi_index.op12_multi_index,
 }
 
 ORACLE = {
     "op1_host_reputation": url_reputation.ORACLE,
     "op4_decontamination": decontamination.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_multi_index": multi_index.ORACLE,
 }
