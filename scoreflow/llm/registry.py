@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (decontamination, language_id, multi_index, pii, prefix_trie, secret_scan, sentencepiece_viterbi, simhash,
-               syncmer, token_counts, url_reputation, warc_zip)
+               syncmer, token_counts, toxicity, url_reputation, warc_zip)
 
 QUERIES = {
     "op1_host_reputation": url_reputation.op1_host_reputation,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_pii": pii.op10_pii,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_multi_index": multi_index.op12_multi_index,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 ORACLE = {
