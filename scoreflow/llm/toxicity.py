@@ -36,6 +36,8 @@ STEMS = (4, 5)
 STRONG, WEAK = 2.5, 1.0
 NEAR = 5  # words
 CHUNK = 1_000_000
+EDGES = ".,;:|\"'()"
+KNOWN = 200_000  # tokens that a task remembers
 THRESHOLD = 0.3
 
 #: Words of abuse, and words that address someone, in the corpus's languages.
@@ -51,10 +53,9 @@ FEATURES = ["chars", "words", "strong_share", "strong_hits", "strong_kinds", "we
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BROKEN = re.compile(r"[^\W\d_]+(?:[0-9@$!*#+|.\-]+[^\W\d_]+)+")
-SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?!\w)")
+SPACED = re.compile(r"(?<!\w)(?:[^\W\d_] ){3,}[^\W\d_](?!\w)")
 DRAWN = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 RUNS = re.compile(r"[!?]{2,}")
-SHOUTED = re.compile(r"(?<!\w)[^\W\d_a-z]{3,}(?!\w)")
 SIGNS = re.compile(r"[0-9@$!*#+|.\-]+")
 SAME = re.compile(r"([^\W\d_])\1{2,}")
 
@@ -93,69 +94,125 @@ def terms(text: str) -> set[str]:
     return out
 
 
+class Token:
+    """What a token (a run without white space) adds to the counts of a text."""
+
+    __slots__ = ("words", "strong", "weak", "weight", "top", "abuse", "address", "shouted", "runs", "broken", "drawn", "undone")
+
+    def __init__(self, token: str, lexicon: "Lexicon"):
+        low = token.lower()
+        found = LETTERS.findall(low)
+        weights = [lexicon.weight(w) for w in found]
+        self.words = len(found)
+        self.strong = [w for w, x in zip(found, weights) if x >= STRONG]
+        self.weak = sum(WEAK <= x < STRONG for x in weights)
+        self.weight, self.top = sum(weights), max(weights, default=0.0)
+        self.abuse, self.address = [w for w in found if w in ABUSE_SET], sum(w in ADDRESS_SET for w in found)
+        self.shouted, self.runs = sum(w.isupper() and len(w) >= 3 for w in LETTERS.findall(token)), len(RUNS.findall(token))
+        broken, drawn = [m.group() for m in BROKEN.finditer(low)], [m.group() for m in DRAWN.finditer(low)]
+        self.broken, self.drawn = len(broken), len(drawn)
+        hit = lexicon.hit
+        self.undone = sum(any(map(hit, {SIGNS.sub("", w.translate(LEET)), SIGNS.sub("", w)})) for w in broken)
+        self.undone += sum(hit(SAME.sub(r"\1", w)) or hit(SAME.sub(r"\1\1", w)) for w in drawn)
+
+    def plain(self) -> bool:
+        return not (self.strong or self.weak or self.weight or self.abuse or self.address or self.shouted or self.runs or self.broken or self.drawn)
+
+
 class Lexicon:
+    """Weights of words, and what is known of the tokens met so far (``KNOWN`` at most): a plain one's number of words."""
+
     def __init__(self, weights: dict[str, float]):
-        self.weights, self.known = weights, {}
+        self.weights, self.tokens = weights, {}
 
     def weight(self, word: str) -> float:
         """The largest weight among the word and its beginnings; 0 for a word of none."""
-        w = self.known.get(word)
-        if w is None:
-            get = self.weights.get
-            w = max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in STEMS))
-            if len(self.known) < 200_000:
-                self.known[word] = w
-        return w
-
+        get = self.weights.get
+        return max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in STEMS))
 
-def _undone(text: str, lexicon: Lexicon):
-    """Obfuscated words: (broken, spaced, drawn, hits among them once undone)."""
-    def hit(word: str) -> bool:
-        return word in ABUSE_SET or lexicon.weight(word) >= STRONG
+    def hit(self, word: str) -> bool:
+        return word in ABUSE_SET or self.weight(word) >= STRONG
 
-    broken, spaced, drawn = [m.group() for m in BROKEN.finditer(text)], SPACED.findall(text), [m.group() for m in DRAWN.finditer(text)]
-    hits = sum(any(map(hit, {SIGNS.sub("", w.translate(LEET)), SIGNS.sub("", w)})) for w in broken)
-    hits += sum(hit("".join(LETTERS.findall(w))) for w in spaced)
-    hits += sum(hit(SAME.sub(r"\1", w)) or hit(SAME.sub(r"\1\1", w)) for w in drawn)
-    return len(broken), len(spaced), len(drawn), hits
+    def token(self, token: str, drawn: bool) -> "Token | int":
+        """``drawn``: whether the text has a letter three times over at all."""
+        core = token.strip(EDGES)
+        if core.isalpha() and not drawn and "!!" not in token and "?" not in token:  # most: one word, nothing odd
+            low = core.lower()
+            get = self.weights.get
+            if not (get(low) or get(low[:4] + "*") or get(low[:5] + "*") or low in ABUSE_SET or low in ADDRESS_SET
+                    or (core.isupper() and len(core) >= 3) or not LETTERS.fullmatch(low)):
+                if len(token) <= 32 and len(self.tokens) < KNOWN:
+                    self.tokens[token] = 1
+                return 1
+        t = Token(token, self)
+        known = t.words if t.plain() else t
+        if len(token) <= 32 and len(self.tokens) < KNOWN:
+            self.tokens[token] = known
+        return known
 
 
 ABUSE_SET, ADDRESS_SET = frozenset(ABUSE), frozenset(ADDRESS)
 
 
+def _near(text: str, hot: set[str]) -> int:
+    """Hits that stand at most NEAR words from one that addresses someone."""
+    words = LETTERS.findall(text.lower())
+    at = np.array([k for k, w in enumerate(words) if w in ADDRESS_SET])
+    mine = np.array([k for k, w in enumerate(words) if w in hot])
+    if not len(at) or not len(mine):
+        return 0
+    place = np.searchsorted(at, mine)
+    gap = np.minimum(np.abs(mine - at[np.minimum(place, len(at) - 1)]), np.abs(mine - at[np.maximum(place - 1, 0)]))
+    return int((gap <= NEAR).sum())
+
+
 def features(texts: list[str], lexicon: Lexicon) -> np.ndarray:
     out = np.zeros((len(texts), len(FEATURES)))
-    counts = np.zeros((len(texts), 8))
+    counts, drawn_out = np.zeros((len(texts), 8)), np.zeros(len(texts), bool)
     for a, b in slices([len(t) for t in texts], CHUNK):
         codes = np.frombuffer("".join(texts[a:b]).encode("utf-32-le", "surrogatepass"), np.uint32)
         owner = np.repeat(np.arange(b - a), [len(t) for t in texts[a:b]])
-        counts[a:b] = np.bincount(owner * 8 + _classes()[codes], minlength=(b - a) * 8).reshape(b - a, 8)
+        kind = _classes()[codes]
+        counts[a:b] = np.bincount(owner * 8 + kind, minlength=(b - a) * 8).reshape(b - a, 8)
+        # lower-casing may join letters of two cases
+        thrice = (kind[2:] <= 2) & (codes[2:] | 32 == codes[1:-1] | 32) & (codes[1:-1] | 32 == codes[:-2] | 32)
+        drawn_out[a + np.unique(owner[2:][thrice])] = True
     for i, text in enumerate(texts):
-        low = text.lower()
-        words = LETTERS.findall(low)
-        kinds = Counter(words)
-        weights = {w: lexicon.weight(w) for w in kinds}
-        strong = {w for w, x in weights.items() if x >= STRONG}
-        weak = [w for w, x in weights.items() if WEAK <= x < STRONG]
-        abuse = ABUSE_SET & kinds.keys()
-        address = ADDRESS_SET & kinds.keys()
-        n, n_chars = max(len(words), 1), max(len(text), 1)
-        n_strong, n_weak, n_abuse, n_address = (sum(kinds[w] for w in x) for x in (strong, weak, abuse, address))
-        near = 0
-        hot = strong | abuse
-        if hot and address:
-            at = np.array([k for k, w in enumerate(words) if w in address])
-            mine = np.array([k for k, w in enumerate(words) if w in hot])
-            place = np.searchsorted(at, mine)
-            gap = np.minimum(np.abs(mine - at[np.minimum(place, len(at) - 1)]), np.abs(mine - at[np.maximum(place - 1, 0)]))
-            near = int((gap <= NEAR).sum())
-        broken, spaced, drawn, undone = _undone(low, lexicon)
-        c = counts[i]
-        out[i] = (np.log1p(len(text)), np.log1p(len(words)), n_strong / n, np.log1p(n_strong), np.log1p(len(strong)), n_weak / n, np.log1p(n_weak),
-                  sum(x * kinds[w] for w, x in weights.items()) / n, max(weights.values(), default=0.0), n_abuse / n, np.log1p(n_abuse),
-                  n_address / n, near / n, np.log1p(near), c[1] / max(c[1] + c[2], 1), len(SHOUTED.findall(text)) / n, c[4] / n_chars,
-                  c[5] / n_chars, c[7] / n_chars, len(RUNS.findall(text)) / n, c[3] / n_chars, broken / n, spaced / n, drawn / n,
-                  np.log1p(undone), (c[1] + c[2]) / n)
+        words = single = n_strong = n_weak = n_abuse = n_address = shouted = runs = broken = drawn = undone = 0
+        weight = top = 0.0
+        kinds, hot = set(), set()
+        get, find = lexicon.tokens.get, lexicon.token
+        for token, n in Counter(text.split()).items():
+            t = get(token)
+            if t is None:
+                t = find(token, drawn_out[i])
+            if len(token) == 1:
+                single += n
+            if type(t) is int:
+                words += t * n
+                continue
+            words += t.words * n
+            n_strong += len(t.strong) * n
+            n_weak += t.weak * n
+            weight += t.weight * n
+            top = max(top, t.top)
+            n_abuse += len(t.abuse) * n
+            n_address += t.address * n
+            shouted += t.shouted * n
+            runs += t.runs * n
+            broken += t.broken * n
+            drawn += t.drawn * n
+            undone += t.undone * n
+            kinds.update(t.strong)
+            hot.update(t.abuse)
+        near = _near(text, kinds | hot) if n_address and (kinds or hot) else 0
+        spaced = SPACED.findall(text.lower()) if single >= 4 else []
+        undone += sum(lexicon.hit("".join(LETTERS.findall(w))) for w in spaced)
+        n, n_chars, c = max(words, 1), max(len(text), 1), counts[i]
+        out[i] = (np.log1p(len(text)), np.log1p(words), n_strong / n, np.log1p(n_strong), np.log1p(len(kinds)), n_weak / n, np.log1p(n_weak),
+                  weight / n, top, n_abuse / n, np.log1p(n_abuse), n_address / n, near / n, np.log1p(near), c[1] / max(c[1] + c[2], 1),
+                  shouted / n, c[4] / n_chars, c[5] / n_chars, c[7] / n_chars, runs / n, c[3] / n_chars, broken / n, len(spaced) / n,
+                  drawn / n, np.log1p(undone), (c[1] + c[2]) / n)
     return out
 
 
