@@ -1,145 +1,181 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text is the sequence of its code points that are not white space (pieces of ``PIECE`` = 1; longer pieces
-would be counted from the start of each word, and in text without spaces a passage that starts at
-another offset would yield other pieces).  A k-mer of ``K`` pieces is an anchor if the smallest hash among its inner substrings of ``S``
-pieces stands at its first or last place.  The choice looks at nothing outside the k-mer, so an
-unchanged passage of ``K`` pieces or more keeps its anchors wherever it moves, in any script, and anchors with positions serve for
-positional matching.  A fingerprint is the ``SKETCH`` smallest distinct anchor hashes (32 bits each, in hexadecimal digits);
-the likeness of two fingerprints is the share of their joint smallest hashes that both hold.
-
-Sliding minima come from pairwise minima over doubling spans, array by array, so the work per piece doesn't
-grow with ``K``; no positional substring is taken from a long text.  The edited text (the head of a text, then
-that of the next) shares the anchors of its first part with the text, so only its second part, with the
-``K`` - 1 pieces before it, is walked anew.
-
-The document that follows in descending order of id is found without a global window: ids are cut
-into ordered buckets (quantiles of the ids, each cut again into equal widths), every bucket is sorted
-by itself, and the first rows of a bucket are sent to the bucket before it as guests.  Texts are shuffled once.
+A text is the sequence of its code points that are not white space.  A k-mer of ``K`` code points is an anchor if the
+smallest hash among its inner substrings of ``S`` stands at its first or last place.  The choice looks at nothing
+outside the k-mer, so an unchanged passage of ``K`` code points or more keeps its anchors wherever it moves, in any
+script, with or without spaces.  A fingerprint is the ``SKETCH`` smallest distinct anchor hashes (32 bits each, in
+hexadecimal digits); the likeness of two fingerprints is the share of their joint smallest hashes that both hold.
+A sketch keeps the first position of each of its anchors: two sketches are matched by position through the commonest
+difference (``shift``) between the places of the anchors they share.
+
+A text is laid out with four bytes a code point, so that every substring of ``S`` is cut out at its place and hashed in
+one pass.  Sliding minima come from pairwise minima over doubling spans, array by array, so the work per code point doesn't
+grow with ``K``.  The edited text (the head of a text, then that of the next) shares the anchors of its first part with
+the text, so only its second part, with the ``K`` - 1 code points before it, is walked anew.
+
+The document that follows in descending order of id is found without a global window.  Rows are ordered by id, then a hash
+of their text; a first pass over these keys alone (no texts) range-partitions them, which cuts one id with
+many texts too, and gives the lowest key of each range.  Texts are then dealt to these ranges in one shuffle, every
+range's first row also to the range before it.
 
 Defined results: a null text is empty; an empty text has an empty fingerprint, like (1.0) to another empty
 one and unlike (0.0) any other; a text without anchors has one, its whole; null ids come last; rows with
-equal ids are ordered by a hash of their text; a single row follows itself; an empty table gives an
-empty result; only the named columns are read.
+equal ids are ordered by a hash of their text, and equal rows lie in one range; a single row follows itself; an empty
+table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import table
 
-PIECE = 1
 K = 12
 S = 5
 SKETCH = 64
-BUCKET_ROWS = 2000
-MOST_BUCKETS = 50_000  # so that the list of bucket tops stays below 1 MB; buckets grow beyond that
-QUANTILES = 64
-
-
-def _shift(a: Column, d: int) -> Column:
-    """The array without its first ``d`` elements."""
-    return F.slice(a, F.lit(d + 1), F.greatest(F.size(a) - d, F.lit(0)))
+RANGE_ROWS = 2000
+MOST_RANGES = 16_384  # so that their lowest keys stay below 1 MB; a larger range is sorted on disk
+POSITION = 31  # bits of a packed anchor that hold its position
 
 
 def _pairs(a: Column, d: int, f) -> Column:
     """f(a[i], a[i + d]) for all i that have both."""
     n = F.greatest(F.size(a) - d, F.lit(0))
-    return F.zip_with(F.slice(a, F.lit(1), n), _shift(a, d), f)
+    return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(d + 1), n), f)
 
 
-def add_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S, piece: int = PIECE) -> DataFrame:
-    """Adds ``name``: array<struct<pos, hash>> of the closed syncmers; pos counts pieces from 0."""
+def _packed(df: DataFrame, text_col: str, name: str, k: int, s: int) -> DataFrame:
+    """Adds ``name``: the anchors in order of position, each as hash << POSITION | position."""
     w = k - s + 1
-    g = F.transform(F.regexp_extract_all(F.col(text_col), F.lit(f"\\S{{1,{piece}}}"), F.lit(0)), lambda x: F.xxhash64(x))
-    df = df.withColumn("__g0", g)
-    for j in range(1, s):  # hashes of substrings of j + 1 pieces
-        df = df.withColumn(f"__g{j}", F.zip_with(
-            F.slice(f"__g{j - 1}", F.lit(1), F.greatest(F.size("__g0") - j, F.lit(0))), _shift(F.col("__g0"), j),
-            lambda a, b: F.xxhash64(a, b)))
-    inner = F.col(f"__g{s - 1}")
-    df, span = df.withColumn("__m1", inner), 1
+    units = F.encode(F.regexp_replace(F.col(text_col), r"\s+", ""), "UTF-32")
+    df = df.withColumn("__u", units).withColumn("__n", (F.octet_length("__u") / 4).cast("int"))
+    grams = F.transform(F.sequence(F.lit(0), F.col("__n") - s), lambda i: F.xxhash64(F.substring(F.col("__u"), i * 4 + 1, F.lit(4 * s))))
+    df = df.withColumn("__m1", F.when(F.col("__n") >= s, grams).otherwise(F.array().cast("array<bigint>")))
+    made, inner, span = ["__u", "__n", "__m1", "__low"], F.col("__m1"), 1
     while span * 2 <= w:
-        df = df.withColumn(f"__m{span * 2}", _pairs(F.col(f"__m{span}"), span, lambda x, y: F.least(x, y)))
+        made.append(f"__m{span * 2}")
+        df = df.withColumn(made[-1], _pairs(F.col(f"__m{span}"), span, lambda x, y: F.least(x, y)))
         span *= 2
     low = F.col(f"__m{span}") if span == w else _pairs(F.col(f"__m{span}"), w - span, lambda x, y: F.least(x, y))
     df = df.withColumn("__low", low)
     steps = sorted({*range(0, w, s), w - 1})  # inner substrings that cover the k-mer
     found = F.array_compact(F.transform("__low", lambda x, i: F.when(
         (x == F.get(inner, i)) | (x == F.get(inner, i + w - 1)),
-        F.struct(i.alias("pos"), F.xxhash64(*[F.get(inner, i + j) for j in steps]).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash")))))
-    made = [c for c in df.columns if c.startswith("__") and c[2:3] in "gml"]
+        F.shiftleft(F.xxhash64(*[F.get(inner, i + j) for j in steps]).bitwiseAND(F.lit(0xFFFFFFFF)), POSITION).bitwiseOR(i.cast("long")))))
     return df.withColumn(name, found).drop(*made)
 
 
-def _lowest(hashes: Column) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+def _hash(packed: Column) -> Column:
+    return F.shiftrightunsigned(packed, POSITION)
+
+
+def _place(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit((1 << POSITION) - 1))
+
+
+def add_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds ``name``: array<struct<pos, hash>> of the closed syncmers; pos counts code points that aren't white space, from 0."""
+    return _packed(df, text_col, "__packed", k, s).withColumn(name, F.transform("__packed", lambda x: F.struct(
+        _place(x).cast("int").alias("pos"), _hash(x).alias("hash")))).drop("__packed")
+
+
+def _lowest(df: DataFrame, packed: Column, name: str) -> DataFrame:
+    """Adds ``name``: the first occurrences of the smallest hashes."""
+    df = df.withColumn("__sorted", F.sort_array(packed))  # a column, so that the filter reads it and doesn't sort again
+    return df.withColumn(name, F.slice(F.filter("__sorted", lambda x, i: (i == 0) | (_hash(x) != _hash(F.get("__sorted", i - 1)))), 1, SKETCH)) \
+        .drop("__sorted")
 
 
 def _or_whole(sketch: Column, text_col: str) -> Column:
     """``sketch``, or that of a text without anchors."""
-    whole = F.when(F.length(text_col) > 0, F.array(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)))) \
+    whole = F.when(F.length(text_col) > 0, F.array(F.shiftleft(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)), POSITION))) \
         .otherwise(F.array().cast("array<bigint>"))
     return F.when(F.size(sketch) > 0, sketch).otherwise(whole)
 
 
 def with_sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
-    """Adds ``name``: the sorted smallest anchor hashes of a text that is not null."""
-    found = add_anchors(df, text_col, "__anchors")
-    return found.withColumn(name, _or_whole(_lowest(F.col("__anchors.hash")), text_col)).drop("__anchors")
+    """Adds ``name``: the sketch of a text that is not null, packed anchors in order of their hashes."""
+    found = _lowest(_packed(df, text_col, "__anchors", K, S), F.col("__anchors"), name)
+    return found.withColumn(name, _or_whole(F.col(name), text_col)).drop("__anchors")
 
 
 def with_head_sketch(df: DataFrame, text_col: str, head: Column, name: str, head_name: str) -> DataFrame:
-    """``with_sketch``, and ``head_name``: the smallest hashes of the anchors that lie in the first ``head`` code points."""
-    found = add_anchors(df, text_col, "__anchors")
+    """``with_sketch``, and ``head_name``: that of the anchors which lie in the first ``head`` code points."""
+    found = _packed(df, text_col, "__anchors", K, S)
     pieces = F.char_length(F.regexp_replace(F.substring(F.col(text_col), F.lit(1), head), r"\s+", ""))
-    found = found.withColumn("__pieces", pieces)
-    inside = F.filter("__anchors", lambda x: x["pos"] + K <= F.col("__pieces"))
-    return found.withColumn(head_name, _lowest(F.transform(inside, lambda x: x["hash"]))) \
-        .withColumn(name, _or_whole(_lowest(F.col("__anchors.hash")), text_col)).drop("__anchors", "__pieces")
+    found = _lowest(found.withColumn("__pieces", pieces), F.col("__anchors"), name)
+    found = _lowest(found, F.filter("__anchors", lambda x: _place(x) + K <= F.col("__pieces")), head_name)
+    return found.withColumn(name, _or_whole(F.col(name), text_col)).drop("__anchors", "__pieces")
+
+
+def hashes(sketch: Column) -> Column:
+    return F.transform(sketch, _hash)
 
 
 def fingerprint(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(_hash(x)), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
+    """Of two sorted arrays of hashes."""
     joint = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
     both = F.size(F.array_intersect(joint, F.array_intersect(a, b)))
     return F.when(F.size(joint) > 0, both / F.size(joint)).otherwise(F.lit(1.0))
 
 
+def matched(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Two sketches matched by position.  Adds ``name``: struct<shift, anchors, shared>: the commonest difference between the
+    places of the anchors they share (of equally common ones the smallest), how many stand at it, how many are shared; null
+    without any."""
+    df = df.withColumn("__ha", hashes(F.col(a))).withColumn("__hb", hashes(F.col(b)))
+    df = df.withColumn("__diffs", F.transform(F.array_intersect("__ha", "__hb"), lambda h: _place(F.get(b, (F.array_position("__hb", h) - 1).cast("int")))
+                                              - _place(F.get(a, (F.array_position("__ha", h) - 1).cast("int")))))
+    votes = F.transform(F.array_distinct("__diffs"), lambda d: F.struct(
+        F.size(F.filter("__diffs", lambda e: e == d)).alias("n"), (-F.abs(d)).alias("near"), (-d).alias("back")))
+    df = df.withColumn("__best", F.array_max(votes))
+    return df.withColumn(name, F.when(F.col("__best").isNotNull(), F.struct(
+        (-F.col("__best.back")).alias("shift"), F.col("__best.n").alias("anchors"), F.size("__diffs").alias("shared")))) \
+        .drop("__ha", "__hb", "__diffs", "__best")
+
+
+def _order(id_col: Column, text_col: str) -> Column:
+    """Ascends where rows come in descending order of id, null ids last, equal ids by a hash of the text."""
+    return F.struct(id_col.isNull().alias("none"), F.coalesce(F.bitwise_not(id_col.cast("long")), F.lit(0)).alias("back"),
+                    F.xxhash64(text_col).alias("tie"))
+
+
+KEY = "struct<none:boolean,back:bigint,tie:bigint>"
+
+
+def _literal(value, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
 def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Adds next_<column> of the row that follows in descending order of id; the first follows the last."""
-    ids = df.select(F.col(id_col).alias("id"))
-    levels = [i / QUANTILES for i in range(QUANTILES + 1)]
-    stat = ids.agg(F.count("*").alias("n"), F.percentile_approx("id", levels, 10_000).alias("q"), F.min("id").alias("low"),
-                   F.max("id").alias("high")).first()
-    if stat["q"]:
-        bounds = sorted({stat["low"], *stat["q"], stat["high"] + 1})
-    else:
-        bounds = [0, 1]
-    parts = max(1, min(stat["n"] // BUCKET_ROWS, MOST_BUCKETS) // (len(bounds) - 1))
-    lows, highs = F.array(*[F.lit(x).cast("long") for x in bounds[:-1]]), F.array(*[F.lit(x).cast("long") for x in bounds[1:]])
-    key = F.col(id_col)
-    q = F.size(F.filter(lows, lambda x: x <= key)) - 1
-    share = (key - F.get(lows, q)) / (F.get(highs, q) - F.get(lows, q))
-    bucket = F.coalesce(q * parts + F.least(F.floor(share * parts), F.lit(parts - 1)), F.lit(-1)).cast("long")
-    tops = sorted((r["b"], r["top"]) for r in df.select(key.alias("id"), bucket.alias("b")).groupBy("b").agg(F.max("id").alias("top")).collect())
-    # bucket b's top follows the last row of the next higher bucket; the highest one's follows the lowest's
-    guests = [(top, tops[(i + 1) % len(tops)][0]) for i, (_, top) in enumerate(tops)]
-    spark = df.sparkSession
-    guest = F.broadcast(spark.createDataFrame(guests, "__top long, __to long")) if guests else spark.createDataFrame([], "__top long, __to long")
-    dealt = df.withColumn("__b", bucket).join(guest, F.expr(f"{id_col} <=> __top"), "left")
-    dealt = dealt.withColumn("__place", F.explode(F.filter(F.array(
-        F.struct(F.col("__b").alias("b"), F.lit(0).alias("guest")), F.struct(F.col("__to").alias("b"), F.lit(1).alias("guest"))),
-        lambda x: x["b"].isNotNull())))
-    dealt = dealt.select(*df.columns, F.col("__place.b").alias("__bucket"), F.col("__place.guest").alias("__guest"),
-                         F.xxhash64(text_col).alias("__tie"))
+    keys = df.select(_order(F.col(id_col), text_col).alias("key"))
+    ranges = max(1, min(keys.count() // RANGE_ROWS, MOST_RANGES))
+    parts = keys.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("part")).agg(F.min("key").alias("low"))
+    lows = [r["low"].asDict() for r in parts.orderBy("low").collect()]
+    # two levels, so that a row is compared with about 2 * sqrt(ranges) keys
+    wide = max(1, round(len(lows) ** 0.5))
+    groups = [lows[i:i + wide] for i in range(0, len(lows), wide)] or [[]]
+    tops, nested = _literal([g[0] for g in groups if g], f"array<{KEY}>"), _literal(groups, f"array<array<{KEY}>>")
+    dealt = df.withColumn("__key", _order(F.col(id_col), text_col))
+    dealt = dealt.withColumn("__group", F.greatest(F.size(F.filter(tops, lambda x: x <= F.col("__key"))) - 1, F.lit(0)))
+    dealt = dealt.withColumn("__mine", F.get(nested, F.col("__group")))
+    dealt = dealt.withColumn("__at", F.greatest(F.size(F.filter("__mine", lambda x: x <= F.col("__key"))) - 1, F.lit(0)))
+    first = F.col("__key") == F.get("__mine", F.col("__at"))
+    own = (F.col("__group") * wide + F.col("__at")).cast("long")
+    n = max(1, len(lows))
+    places = F.when(first, F.array(F.struct(own.alias("b"), F.lit(0).alias("guest")), F.struct(F.pmod(own - 1, F.lit(n)).alias("b"), F.lit(1).alias("guest")))) \
+        .otherwise(F.array(F.struct(own.alias("b"), F.lit(0).alias("guest"))))
+    dealt = dealt.withColumn("__place", F.explode(places)).select(*df.columns, "__key", F.col("__place.b").alias("__range"), F.col("__place.guest").alias("__guest"))
     # one struct, so that there is one window and the texts are shuffled once
-    order = Window.partitionBy("__bucket").orderBy("__guest", key.desc_nulls_last(), "__tie")
-    dealt = dealt.withColumn("__next", F.lead(F.struct(*columns)).over(order)).where("__guest = 0")
+    order = Window.partitionBy("__range").orderBy("__guest", "__key")
+    dealt = dealt.repartition(n, "__range").withColumn("__next", F.lead(F.struct(*columns)).over(order)).where("__guest = 0")
     return dealt.select(*df.columns, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
 
 
@@ -152,11 +188,16 @@ def op9_syncmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = F.regexp_replace(head, r"\s+", "")
     before = F.substring(pieces, F.greatest(F.char_length(pieces) - (K - 2), F.lit(1)), F.lit(K - 1))
     both = both.select("doc_id", n.cast("long").alias("n_chars"), "sketch", "next_sketch", "head_sketch",
-                       F.concat(head, added).alias("edited"), F.concat(before, added).alias("walked"))
-    both = add_anchors(both, "walked", "anchors").withColumn("edited_sketch", _or_whole(
-        _lowest(F.concat("head_sketch", "anchors.hash")), "edited"))
+                       F.concat(head, added).alias("edited"), F.concat(before, added).alias("walked"),
+                       (F.char_length(pieces) - F.char_length(before)).cast("long").alias("start"))
+    both = _packed(both, "walked", "tail", K, S)
+    both = _lowest(both, F.concat("head_sketch", F.transform("tail", lambda x: x + F.col("start"))), "edited_sketch")
+    both = both.withColumn("edited_sketch", _or_whole(F.col("edited_sketch"), "edited"))
+    both = matched(matched(both, "sketch", "edited_sketch", "e"), "sketch", "next_sketch", "f")
     return both.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        likeness(hashes(F.col("sketch")), hashes(F.col("edited_sketch"))).alias("near_edited"),
+        likeness(hashes(F.col("sketch")), hashes(F.col("next_sketch"))).alias("near_next"),
+        F.col("e.shift").alias("edited_shift"), F.col("e.anchors").alias("edited_matched"),
+        F.col("f.shift").alias("next_shift"), F.col("f.anchors").alias("next_matched"))

@@ -19,12 +19,14 @@ def h64(*parts):
     return seed - (1 << 64) if seed >> 63 else seed
 
 
-def brute_anchors(text, k=S.K, s=S.S, piece=S.PIECE):
-    pieces = re.findall(r"[^ \t\n\x0b\f\r]{1,%d}" % piece, text)
-    g = [h64(p) for p in pieces]
-    first = g
-    for j in range(1, s):
-        g = [h64(a, b) for a, b in zip(g, first[j:])]
+def h_bytes(raw):
+    seed = xxhash.xxh64_intdigest(raw, 42)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def brute_anchors(text, k=S.K, s=S.S):
+    pieces = re.findall(r"[^ \t\n\x0b\f\r]", text)
+    g = [h_bytes("".join(pieces[i:i + s]).encode("utf-32-be")) for i in range(len(pieces) - s + 1)]
     w = k - s + 1
     out = []
     for i in range(len(g) - w + 1):
@@ -59,6 +61,25 @@ def check(rows, got):
         assert g["n_chars"] == len(text) and g["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert g["fingerprint"] == hexed(a) and g["edited_fingerprint"] == hexed(e)
         assert abs(g["near_edited"] - likeness(a, e)) < 1e-12 and abs(g["near_next"] - likeness(a, n)) < 1e-12
+        assert (g["edited_shift"], g["edited_matched"]) == shift(text, edited) and (g["next_shift"], g["next_matched"]) == shift(text, after)
+
+
+def places(text):
+    out = {}
+    for i, h in brute_anchors(text):
+        out.setdefault(h, i)
+    if not out and text:
+        out = {h64(text) & 0xFFFFFFFF: 0}
+    return {h: out[h] for h in sorted(out)[:S.SKETCH]}
+
+
+def shift(a, b):
+    a, b = places(a), places(b)
+    diffs = [b[h] - a[h] for h in a if h in b]
+    if not diffs:
+        return None, None
+    d = max(set(diffs), key=lambda d: (diffs.count(d), -abs(d), -d))
+    return d, diffs.count(d)
 
 
 def test_query_against_brute_force(spark):
@@ -70,7 +91,7 @@ def test_query_against_brute_force(spark):
     assert all(r["near_edited"] > r["near_next"] for r in long)
 
 
-@pytest.mark.parametrize("k,s", [(4, 1), (5, 2), (7, 3), (3, 1)])
+@pytest.mark.parametrize("k,s", [(4, 1), (5, 2), (7, 3), (3, 1), (12, 5)])
 def test_anchors_against_brute_force(spark, k, s):
     rng = random.Random(k)
     texts = ["", "one", "a b c d", " ".join(rng.choice(["aa", "b", "cccccccccccccccc", "é😀x"]) for _ in range(400))]
@@ -93,7 +114,7 @@ def test_passages_without_spaces_keep_their_anchors(spark):
         passage = "".join(rng.choice(signs) for _ in range(300))
         texts = [passage] + ["x" * i + passage + "y" for i in range(1, 9)] + [passage[:9] + "x" + passage[9:]]
         df = S.with_sketch(S.add_anchors(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text", "a"), "text", "s")
-        got = {r["doc_id"]: ({x["hash"] for x in r["a"]}, r["s"]) for r in df.collect()}
+        got = {r["doc_id"]: ({x["hash"] for x in r["a"]}, [x >> S.POSITION for x in r["s"]]) for r in df.collect()}
         assert all(got[0][0] <= got[i][0] for i in range(1, 9)) and len(got[0][0]) > 20
         assert min(likeness(got[0][1], got[i][1]) for i in range(1, 10)) > 0.7
     short = S.add_anchors(spark.createDataFrame([("one two three",)], "text string"), "text", "a").first()
@@ -111,7 +132,7 @@ def test_edited_texts_against_brute_force(spark, tmp_path):
 
 def test_next_document_over_odd_ids(spark, monkeypatch):
     """Ids in clumps, far apart and null; small buckets so that most neighbours lie in other buckets."""
-    monkeypatch.setattr(S, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(S, "RANGE_ROWS", 3)
     rng = random.Random(8)
     ids = list(range(40)) + [10**6 + i * 1000 for i in range(20)] + [-5, -10**12, 10**15, 7 * 10**15]
     rows = [(i, f"text {rng.random()} of {i} " * rng.randint(1, 9)) for i in ids]
@@ -124,6 +145,26 @@ def test_next_document_over_odd_ids(spark, monkeypatch):
     assert by[-10**12] == "last" and by[None] == order[0][1]
 
 
+def test_one_id_with_many_texts_is_cut(spark, monkeypatch):
+    """A third of all rows under one id, others without any: their order goes by the hash of the text, over many ranges."""
+    monkeypatch.setattr(S, "RANGE_ROWS", 20)
+    rows = [(i, f"own {i}") for i in range(200)] + [(77, f"hot {i}") for i in range(150)] + [(None, f"none {i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["text"]: r["next_text"] for r in S.with_next(df, ["text"]).collect()}
+    order = [t for _, _, _, t in sorted((i is None, -(i or 0), h64(t), t) for i, t in rows)]
+    assert got == {t: order[(i + 1) % len(order)] for i, t in enumerate(order)}
+    dealt = S.with_next(df.withColumn("at", F.lit(1)), ["text"]).withColumn("p", F.spark_partition_id())
+    assert dealt.where("doc_id = 77").select("p").distinct().count() > 3
+
+
+def test_moved_passage_is_matched_by_position(spark):
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefghijklmnop") for _ in range(400))
+    df = S.with_sketch(S.with_sketch(spark.createDataFrame([(passage, "zzyy xx" * 3 + passage)], "a string, b string"), "a", "s"), "b", "t")
+    m = S.matched(df, "s", "t", "m").first()["m"]
+    assert m["shift"] == 18 and m["anchors"] == m["shared"] > 40
+
+
 def test_defined_cases(spark, documents):
     def run(rows):
         d = documents(rows).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
