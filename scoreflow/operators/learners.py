@@ -19,8 +19,7 @@ parameters into ``pyspark.ml`` pipeline stages:
 * ``PopulationScaler``: standardisation with the population std (zero std ->
   scale 1), which Spark's ``StandardScaler`` does not offer.
 
-k-NN is not offered: an exact neighbour search needs all (query, train)
-pairs or a spatial index, see the README.
+k-NN is in ``neighbors``.
 """
 
 from __future__ import annotations
@@ -43,6 +42,7 @@ from pyspark.sql import functions as F
 from scoreflow.functions import scalars as S
 from scoreflow.operators.features import (ENCODED_FEATURES, NATIVE_CATEGORICAL, NATIVE_FEATURES,
                                           EncodedFeatures, NativeCategoricalFeatures, persisted)
+from scoreflow.operators.neighbors import KNearest, order_of
 
 # ---------------------------------------------------------------------------
 # Base parameters of each learner (reference configuration).
@@ -56,6 +56,7 @@ BASE_PARAMS = {
                  "subsample": 0.8, "colsample_bytree": 0.8, "random_state": 42},
     "catboost": {"iterations": 200, "depth": 6, "learning_rate": 0.1, "random_seed": 42},
     "adaboost": {"n_estimators": 100, "learning_rate": 0.1, "random_state": 42},
+    "knn": {"n_neighbors": 5, "weights": "uniform", "metric": "minkowski", "p": 2},
     "svm": {"C": 1.0, "kernel": "rbf", "gamma": "scale", "probability": True,
             "random_state": 42},
     "mlp": {"hidden_layer_sizes": [128, 64], "activation": "relu", "solver": "adam",
@@ -88,6 +89,8 @@ SEARCH_SPACES = {
                  "bagging_temperature": ("float", 0.0, 1.0, False)},
     "adaboost": {"n_estimators": ("int", 50, 500, False),
                  "learning_rate": ("float", 0.01, 2.0, True)},
+    "knn": {"n_neighbors": ("int", 3, 30, False), "weights": ("categorical", ["uniform", "distance"]),
+            "metric": ("categorical", ["minkowski", "euclidean", "manhattan"]), "p": ("int", 1, 3, False)},
     "svm": {"C": ("float", 0.01, 100.0, True),
             "kernel": ("categorical", ["rbf", "linear", "poly", "sigmoid"]),
             "gamma": ("categorical", ["scale", "auto"])},
@@ -115,7 +118,10 @@ MAX_TREE_DEPTH = 30
 
 def acting_params(name: str, params: dict) -> dict:
     """``params`` without those that have no effect."""
-    return {k: v for k, v in params.items() if k not in INERT.get(name, ())}
+    inert = set(INERT.get(name, ()))
+    if name == "knn" and params.get("metric", "minkowski") in ("euclidean", "manhattan"):
+        inert.add("p")
+    return {k: v for k, v in params.items() if k not in inert}
 
 
 def search_space(name: str) -> dict:
@@ -551,6 +557,10 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
                                      nEstimators=int(p["n_estimators"]),
                                      learningRate=float(p["learning_rate"])))
         return stages
+    if name == "knn":
+        stages.append(KNearest(featureCols=cols, labelCol=label, k=int(p["n_neighbors"]), weights=p["weights"],
+                               p=order_of(p["metric"], p["p"])))
+        return stages
     if name == "svm":
         kernel = p.get("kernel", "rbf")
         feat_cols = cols

@@ -552,6 +552,39 @@ CHECKED_LEARNERS = ["logistic_regression", "mlp"]  # the others take minutes wit
 _register_checks()
 
 
+# ---------------------------------------------------------------- k-NN (M7)
+
+from scoreflow.operators import neighbors as KN  # noqa: E402
+
+KNN_CONFIGS = {"uniform_p2": (5, "uniform", 2), "distance_p1": (7, "distance", 1)}
+
+
+def scaled_rows(spark, sf_dir) -> DataFrame:
+    """All subjects' features, standardised by the training rows and rounded, as the array ``x``."""
+    model, split = fitted_features(spark, sf_dir)
+    rows = model.transform(split)
+    r = standard_scale_stats(rows.where(~F.col("is_test")), ENCODED_FEATURES).collect()[0]
+    scaled = [F.round((F.col(c).cast("double") - F.lit(r[f"{c}__mean"])) / F.lit(r[f"{c}__std"] or 1.0), R) for c in ENCODED_FEATURES]
+    return rows.select(ID, LABEL, "is_test", F.array(*scaled).alias("x"))
+
+
+@register("knn_vote")
+def q_knn_vote(spark, sf_dir):
+    """Every test row's class by its nearest training rows, under two configurations."""
+    with persisted(scaled_rows(spark, sf_dir)) as rows:
+        blocks, boxes = KN.build_index(rows.where(~F.col("is_test")).select(F.col(ID).alias("id"), LABEL, "x"))
+        queries = rows.where("is_test").select(F.col(ID).alias("qid"), "x")
+        out = None
+        for name, (k, weights, p) in KNN_CONFIGS.items():
+            best = KN.nearest(blocks, boxes, queries, k, p)
+            prob = KN.votes(F.col("best"), weights, p)
+            mine = best.select(F.col("qid").alias(ID), F.lit(name).alias("config"), F.transform("best", lambda b: b["id"]).alias("_ids"),
+                               rnd(prob).alias("prob"), (prob > 0.5).cast("int").alias("pred")) \
+                .withColumn("neighbours", F.array_join("_ids", ",")).drop("_ids")
+            out = mine if out is None else out.unionByName(mine)
+    return out
+
+
 @register("batch_scores")
 def q_batch_scores(spark, sf_dir):
     """Batch scoring with a fitted pipeline: predictions table of all rows."""

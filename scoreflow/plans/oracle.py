@@ -386,3 +386,28 @@ select l_linestatus, l_quantity as mode_quantity from (
   select l_linestatus, l_quantity, row_number() over (partition by l_linestatus
            order by count(*) desc, l_quantity) as rn
   from lineitem where l_quantity is not null group by l_linestatus, l_quantity) where rn = 1"""
+
+_SCALED = ", ".join(f"round((cast(f.{c} as double) - s.{c}__mean) / s.{c}__std, 6) as {c}" for c in ENCODED_FEATURES)
+_STATS = ", ".join(f"avg(cast(feat2.{c} as double)) as {c}__mean, case when stddev_pop(cast(feat2.{c} as double)) > 0 "
+                   f"then stddev_pop(cast(feat2.{c} as double)) else 1 end as {c}__std" for c in ENCODED_FEATURES)
+
+
+def _knn_sql(name: str, k: int, weights: str, p: int) -> str:
+    gaps = [f"abs(q.{c} - t.{c})" for c in ENCODED_FEATURES]
+    total = " + ".join("(" + " * ".join([g] * p) + ")" for g in gaps)
+    weight = "1.0" if weights == "uniform" else {1: "1.0 / d", 2: "1.0 / sqrt(d)"}.get(p, f"1.0 / pow(d, 1.0 / {p})")
+    zero = "false" if weights == "uniform" else "nearest = 0"
+    return f"""
+select subject_id, '{name}' as config, string_agg(cast(id as varchar), ',' order by d, id) as neighbours,
+       round(case when any_value({zero}) then avg(label) filter (where d = 0) else sum({weight} * label) / sum({weight}) end, 6) as prob
+from (select q.subject_id, t.subject_id as id, t.label, {total} as d, min({total}) over (partition by q.subject_id) as nearest
+      from points q join points t on q.is_test and not t.is_test
+      qualify row_number() over (partition by q.subject_id order by d, t.subject_id) <= {k})
+group by 1"""
+
+
+ORACLE["knn_vote"] = with_ctes(*_FEAT, f"""
+stats as (select {_STATS} from feat2 join train using (subject_id))""", f"""
+points as (select f.subject_id, f.label, p.rk <= ceil(0.2 * p.cn) as is_test, {_SCALED}
+           from feat2 f join split p using (subject_id), stats s)""", body="select *, cast(prob > 0.5 as integer) as pred from ("
+    + " union all ".join(_knn_sql(n, *c) for n, c in _C.KNN_CONFIGS.items()) + ")")
