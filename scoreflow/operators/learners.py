@@ -5,13 +5,8 @@ parameters into ``pyspark.ml`` pipeline stages:
 
 * logistic regression, random forest, two gradient-boosting presets, MLP and
   a native-categorical boosting preset map onto Spark ML estimators;
-* ``AdaBoostStumps`` (SAMME): every round sums the class weights per
-  (feature, distinct value) and takes every value as a threshold; running
-  totals go range by range (quantiles), with the ranges' totals as offsets,
-  and one row, the best stump (weighted Gini, like a depth-1 tree), reaches
-  the driver, which sets its vote weight.  The sample weights are updated
-  by a column expression.  Lineage is cut with ``checkpoint()`` every few
-  rounds (the cluster's checkpoint directory).  Scoring is one expression;
+* ``AdaBoostStumps`` (SAMME) tries every distinct value as a threshold, on presorted attribute
+  lists (``attribute_lists``); scoring is one expression;
 * ``PlattSVC``: linear SVM (Spark ``LinearSVC``) with Platt scaling fitted on
   out-of-fold margins; the RBF kernel is approximated by random Fourier
   features (Rahimi & Recht, 2007) computed as column expressions, the
@@ -36,10 +31,11 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreflow.functions import scalars as S
+from scoreflow.operators.attribute_lists import boost_stumps
 from scoreflow.operators.features import (ENCODED_FEATURES, NATIVE_CATEGORICAL, NATIVE_FEATURES,
                                           EncodedFeatures, NativeCategoricalFeatures, persisted)
 from scoreflow.operators.neighbors import KNearest, order_of
@@ -183,112 +179,28 @@ class _BoostParams(Params):
     labelCol = Param(Params._dummy(), "labelCol", "0/1 label", TypeConverters.toString)
     nEstimators = Param(Params._dummy(), "nEstimators", "boosting rounds", TypeConverters.toInt)
     learningRate = Param(Params._dummy(), "learningRate", "shrinkage", TypeConverters.toFloat)
-    maxBins = Param(Params._dummy(), "maxBins", "ranges that a feature's values are summed in (the result is the same)",
-                    TypeConverters.toInt)
-    checkpointInterval = Param(Params._dummy(), "checkpointInterval", "rounds between checkpoints",
-                               TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(labelCol="label", nEstimators=50, learningRate=1.0, maxBins=32,
-                         checkpointInterval=10)
+        self._setDefault(labelCol="label", nEstimators=50, learningRate=1.0)
 
 
 class AdaBoostStumps(Estimator, _BoostParams, DefaultParamsReadable, DefaultParamsWritable):
 
     @keyword_only
-    def __init__(self, *, featureCols=None, labelCol=None, nEstimators=None, learningRate=None,
-                 maxBins=None, checkpointInterval=None):
+    def __init__(self, *, featureCols=None, labelCol=None, nEstimators=None, learningRate=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> "AdaBoostStumpsModel":
-        from scoreflow.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
         cols = self.getOrDefault(self.featureCols)
-        label = self.getOrDefault(self.labelCol)
-        nb = self.getOrDefault(self.maxBins)
-        lr = self.getOrDefault(self.learningRate)
-        every = max(1, self.getOrDefault(self.checkpointInterval))
         # a null is NaN, which is on the right of every threshold here as in scoring
-        data = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"_v{i}") for i, c in enumerate(cols)],
-                         F.col(label).cast("int").alias("_y"))
-        # ranges of values per feature (bounded: features x maxBins)
-        probs = [i / nb for i in range(1, nb)]
-        q = data.agg(*[F.percentile_approx(F.when(~F.isnan(f"_v{i}"), F.col(f"_v{i}")), F.array(*[F.lit(p) for p in probs]), 10_000)
-                       for i in range(len(cols))]).collect()[0]
-        cuts = [sorted(set(float(x) for x in (q[i] or []) if x is not None)) for i in range(len(cols))]
-        def below(i):
-            return lambda t: t < F.col(f"_v{i}")
-
-        bins = [F.size(F.filter(F.array(*[F.lit(t) for t in cuts[i]]), below(i))).alias(f"_b{i}")
-                if cuts[i] else F.lit(0).alias(f"_b{i}") for i in range(len(cols))]
-        work = data.select("*", *bins, F.lit(1.0).alias("_w"))
-        work = work.checkpoint(eager=True)
-        feats, thrs, lefts, rights, alphas = [], [], [], [], []
-        long = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_b{i}").alias("b"), F.col(f"_v{i}").alias("v"))
-                                   for i in range(len(cols))]))
-        for t in range(self.getOrDefault(self.nEstimators)):
-            best = _best_stump(work.select("_y", "_w", long.alias("_x")).select("_y", "_w", "_x.*"))
-            if best is None:
-                break
-            f, thr, cl, cr, err, wsum = best
-            if err >= 0.5:
-                break
-            alpha = lr * (math.log((1.0 - err) / err) if err > 0 else 1.0)
-            feats.append(f), thrs.append(thr)
-            lefts.append(cl), rights.append(cr), alphas.append(alpha)
-            if err <= 0:
-                break
-            pred = F.when(F.col(f"_v{f}") <= F.lit(thr), F.lit(cl)).otherwise(F.lit(cr))
-            miss = (pred != F.col("_y")).cast("double")
-            # renormalise so the weights sum to 1 after the update
-            z = wsum * ((1.0 - err) + err * math.exp(alpha))
-            work = work.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss) / F.lit(z))
-            if (t + 1) % every == 0:
-                work = work.checkpoint(eager=True)
+        x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
+        found = boost_stumps(df.select(x.alias("x"), (F.col(self.getOrDefault(self.labelCol)) == 1).cast("int").alias("y")).na.fill(0, ["y"]),
+                             len(cols), self.getOrDefault(self.nEstimators), self.getOrDefault(self.learningRate))
         m = AdaBoostStumpsModel()
-        m._set(featureCols=cols, stumpFeatures=feats, stumpThresholds=thrs, leftClass=lefts,
-               rightClass=rights, alphas=alphas)
-        return m
-
-
-def _best_stump(rows: DataFrame):
-    """Weighted-Gini best split 'v <= threshold' over all distinct values of all features: (feature, threshold,
-    left class, right class, error, weight), or None without rows.  ``rows``: f, b (range of v), v, _y, _w."""
-    cells = rows.groupBy("f", "b", "v").agg(
-        F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0.0)).alias("w1"),
-        F.sum(F.when(F.col("_y") != 1, F.col("_w")).otherwise(0.0)).alias("w0"))
-    parts = cells.groupBy("f", "b").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"), F.max("v").alias("v"))
-    whole = Window.partitionBy("f")
-    before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(
-        F.col("f").alias("_f"), F.col("b").alias("_b"), F.max("v").over(whole).alias("top"),
-        *[F.coalesce(F.sum(w).over(before), F.lit(0.0)).alias(f"off{w}") for w in ("w0", "w1")],
-        *[F.sum(w).over(whole).alias(f"all{w}") for w in ("w0", "w1")])
-    inside = Window.partitionBy("f", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = cells.select("f", "b", "v", *[F.sum(w).over(inside).alias(f"in{w}") for w in ("w0", "w1")]) \
-        .join(F.broadcast(offsets), (F.col("f") == F.col("_f")) & (F.col("b") == F.col("_b"))) \
-        .withColumn("l0", F.col("offw0") + F.col("inw0")).withColumn("l1", F.col("offw1") + F.col("inw1")) \
-        .withColumn("r0", F.col("allw0") - F.col("l0")).withColumn("r1", F.col("allw1") - F.col("l1"))
-    nl, nr, n = F.col("l0") + F.col("l1"), F.col("r0") + F.col("r1"), F.col("allw0") + F.col("allw1")
-    # twice the products: nl * (1 - (l0 / nl) ** 2 - (l1 / nl) ** 2); rounded, so that ties go by feature and value
-    gini = F.round((2 * F.col("l0") * F.col("l1") / nl + 2 * F.col("r0") * F.col("r1") / nr) / n, 12)
-    # the largest value leaves nothing on the right
-    found = F.when((F.col("v") != F.col("top")) & (nl > 0) & (nr > 0), F.struct(gini.alias("gini"), "f", "v", "l0", "l1", "r0", "r1"))
-    r = at.agg(F.min(found).alias("best"), F.max_by(F.struct("allw0", "allw1"), F.col("f")).alias("whole")).collect()[0]
-    if r["whole"] is None:
-        return None
-    if r["best"] is None:
-        w0, w1 = r["whole"]
-        c = int(w1 > w0)
-        return 0, float("inf"), c, c, min(w0, w1) / (w0 + w1), float(w0 + w1)
-    _, f, v, l0, l1, r0, r1 = r["best"]
-    cl, cr = int(l1 > l0), int(r1 > r0)
-    err = max(0.0, (l1 if cl == 0 else l0) + (r1 if cr == 0 else r0)) / (l0 + l1 + r0 + r1)
-    # what the subtraction leaves of a pure side is no error
-    return f, v, cl, cr, 0.0 if err < 1e-13 else err, float(l0 + l1 + r0 + r1)
+        feats, thrs, lefts, rights, alphas = ([s[i] for s in found] for i in range(5))
+        return m._set(featureCols=cols, stumpFeatures=feats, stumpThresholds=thrs, leftClass=lefts, rightClass=rights, alphas=alphas)
 
 
 class AdaBoostStumpsModel(Model, _BoostParams, DefaultParamsReadable, DefaultParamsWritable):

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from scoreflow.functions import exact_quantiles, mode_of
 from scoreflow.functions import scalars as S
+from scoreflow.operators.attribute_lists import boost_stumps
 from scoreflow.operators.features import (ENCODED_FEATURES, FARE_QUANTILES, PASS_PREFIX, EncodedFeatures,
                                           NativeCategoricalFeatures, persisted, standard_scale_stats)
 from scoreflow.operators.splits import assign_folds, assign_split
@@ -552,6 +553,16 @@ CHECKED_LEARNERS = ["logistic_regression", "mlp"]  # the others take minutes wit
 _register_checks()
 
 
+@register("adaboost_first_stump")
+def q_adaboost_first_stump(spark, sf_dir):
+    """The first round of AdaBoost over all features of the training rows: threshold, classes and impurity."""
+    rows = feature_rows(spark, sf_dir, split=True).where(~F.col("is_test"))
+    x = F.array(*[F.col(c).cast("double") for c in ENCODED_FEATURES])
+    f, cut, left, right, alpha, gini = boost_stumps(rows.select(x.alias("x"), F.col(LABEL).alias("y")), len(ENCODED_FEATURES), 1, 1.0)[0]
+    return spark.createDataFrame([(ENCODED_FEATURES[f], round(cut, R), left, right, round(alpha, R), round(gini, R))],
+                                 "feature string, threshold double, left_class int, right_class int, alpha double, gini double")
+
+
 # ---------------------------------------------------------------- k-NN (M7)
 
 from scoreflow.operators import neighbors as KN  # noqa: E402

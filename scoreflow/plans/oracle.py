@@ -411,3 +411,18 @@ stats as (select {_STATS} from feat2 join train using (subject_id))""", f"""
 points as (select f.subject_id, f.label, p.rk <= ceil(0.2 * p.cn) as is_test, {_SCALED}
            from feat2 f join split p using (subject_id), stats s)""", body="select *, cast(prob > 0.5 as integer) as pred from ("
     + " union all ".join(_knn_sql(n, *c) for n, c in _C.KNN_CONFIGS.items()) + ")")
+
+_LONG = " union all ".join(f"select {i} as f, '{c}' as feature, cast({c} as double) as v, feat2.label as y from feat2 join train using (subject_id)"
+                           for i, c in enumerate(ENCODED_FEATURES))
+ORACLE["adaboost_first_stump"] = with_ctes(*_FEAT, f"""
+long as ({_LONG})""", """
+cells as (select f, feature, v, sum(1 - y) as c0, sum(y) as c1 from long group by all)""", """
+sums as (select *, sum(c0) over w as l0, sum(c1) over w as l1, sum(c0) over (partition by f) as n0, sum(c1) over (partition by f) as n1,
+                max(v) over (partition by f) as top
+         from cells window w as (partition by f order by v))""", """
+tried as (select *, round((2.0 * l0 * l1 / (l0 + l1) + 2.0 * (n0 - l0) * (n1 - l1) / (n0 + n1 - l0 - l1)) / (n0 + n1), 12) as gini,
+                 cast(l1 > l0 as integer) as cl, cast(n1 - l1 > n0 - l0 as integer) as cr
+          from sums where v <> top)""", """
+best as (select *, ((case when cl = 1 then l0 else l1 end) + (case when cr = 1 then n0 - l0 else n1 - l1 end)) / cast(n0 + n1 as double) as err
+         from tried order by gini, f, v limit 1)""", body="""
+select feature, round(v, 6) as threshold, cl as left_class, cr as right_class, round(ln((1 - err) / err), 6) as alpha, round(gini, 6) as gini from best""")
