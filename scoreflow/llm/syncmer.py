@@ -5,11 +5,9 @@ smallest hash among its inner substrings of ``S`` stands at its first or last pl
 outside the k-mer, so an unchanged passage of ``K`` code points or more keeps its anchors wherever it moves, in any
 script, with or without spaces.  A fingerprint is the ``SKETCH`` smallest distinct anchor hashes (32 bits each, in
 hexadecimal digits); the likeness of two fingerprints is the share of their joint smallest hashes that both hold.
-A sketch keeps the first position of each of its anchors: two sketches are matched by position through the commonest
-difference (``shift``) between the places of the anchors they share.
+``add_anchors`` gives the anchors with their positions, for positional matching; the sketches hold hashes only.
 
-A text is laid out with four bytes a code point, so that every substring of ``S`` is cut out at its place and hashed in
-one pass.  Sliding minima come from pairwise minima over doubling spans, array by array, so the work per code point doesn't
+Overlapping substrings of ``S`` come out of one pass of a look-ahead pattern, without white space, and are hashed once each.  Sliding minima come from pairwise minima over doubling spans, array by array, so the work per code point doesn't
 grow with ``K``.  The edited text (the head of a text, then that of the next) shares the anchors of its first part with
 the text, so only its second part, with the ``K`` - 1 code points before it, is walked anew.
 
@@ -37,7 +35,6 @@ S = 5
 SKETCH = 64
 RANGE_ROWS = 2000
 MOST_RANGES = 16_384  # so that their lowest keys stay below 1 MB; a larger range is sorted on disk
-POSITION = 31  # bits of a packed anchor that hold its position
 
 
 def _pairs(a: Column, d: int, f) -> Column:
@@ -46,14 +43,15 @@ def _pairs(a: Column, d: int, f) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(d + 1), n), f)
 
 
-def _packed(df: DataFrame, text_col: str, name: str, k: int, s: int) -> DataFrame:
-    """Adds ``name``: the anchors in order of position, each as hash << POSITION | position."""
+def _hits(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds ``name``: for every k-mer its hash, or null where it is no anchor."""
     w = k - s + 1
-    units = F.encode(F.regexp_replace(F.col(text_col), r"\s+", ""), "UTF-32")
-    df = df.withColumn("__u", units).withColumn("__n", (F.octet_length("__u") / 4).cast("int"))
-    grams = F.transform(F.sequence(F.lit(0), F.col("__n") - s), lambda i: F.xxhash64(F.substring(F.col("__u"), i * 4 + 1, F.lit(4 * s))))
-    df = df.withColumn("__m1", F.when(F.col("__n") >= s, grams).otherwise(F.array().cast("array<bigint>")))
-    made, inner, span = ["__u", "__n", "__m1", "__low"], F.col("__m1"), 1
+    df = df.withColumn("__p", F.regexp_replace(F.col(text_col), r"\s+", ""))
+    # overlapping substrings of s code points; among surrogate pairs a match must not start on a second half
+    plain, pairs = (F.regexp_extract_all("__p", F.lit(f"(?s){guard}(?=(.{{{s}}}))"), F.lit(1)) for guard in ("", r"(?![\x{DC00}-\x{DFFF}])"))
+    grams = F.when(F.col("__p").rlike(r"[\x{10000}-\x{10FFFF}]"), pairs).otherwise(plain)
+    df = df.withColumn("__m1", F.transform(grams, lambda x: F.xxhash64(x)))
+    made, inner, span = ["__p", "__m1", "__low"], F.col("__m1"), 1
     while span * 2 <= w:
         made.append(f"__m{span * 2}")
         df = df.withColumn(made[-1], _pairs(F.col(f"__m{span}"), span, lambda x, y: F.least(x, y)))
@@ -61,83 +59,55 @@ def _packed(df: DataFrame, text_col: str, name: str, k: int, s: int) -> DataFram
     low = F.col(f"__m{span}") if span == w else _pairs(F.col(f"__m{span}"), w - span, lambda x, y: F.least(x, y))
     df = df.withColumn("__low", low)
     steps = sorted({*range(0, w, s), w - 1})  # inner substrings that cover the k-mer
-    found = F.array_compact(F.transform("__low", lambda x, i: F.when(
+    return df.withColumn(name, F.transform("__low", lambda x, i: F.when(
         (x == F.get(inner, i)) | (x == F.get(inner, i + w - 1)),
-        F.shiftleft(F.xxhash64(*[F.get(inner, i + j) for j in steps]).bitwiseAND(F.lit(0xFFFFFFFF)), POSITION).bitwiseOR(i.cast("long")))))
-    return df.withColumn(name, found).drop(*made)
-
-
-def _hash(packed: Column) -> Column:
-    return F.shiftrightunsigned(packed, POSITION)
-
-
-def _place(packed: Column) -> Column:
-    return packed.bitwiseAND(F.lit((1 << POSITION) - 1))
+        F.xxhash64(*[F.get(inner, i + j) for j in steps]).bitwiseAND(F.lit(0xFFFFFFFF))))).drop(*made)
 
 
 def add_anchors(df: DataFrame, text_col: str, name: str, k: int = K, s: int = S) -> DataFrame:
     """Adds ``name``: array<struct<pos, hash>> of the closed syncmers; pos counts code points that aren't white space, from 0."""
-    return _packed(df, text_col, "__packed", k, s).withColumn(name, F.transform("__packed", lambda x: F.struct(
-        _place(x).cast("int").alias("pos"), _hash(x).alias("hash")))).drop("__packed")
+    found = F.array_compact(F.transform("__hits", lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("pos"), x.alias("hash")))))
+    return _hits(df, text_col, "__hits", k, s).withColumn(name, found).drop("__hits")
 
 
-def _lowest(df: DataFrame, packed: Column, name: str) -> DataFrame:
-    """Adds ``name``: the first occurrences of the smallest hashes."""
-    df = df.withColumn("__sorted", F.sort_array(packed))  # a column, so that the filter reads it and doesn't sort again
-    return df.withColumn(name, F.slice(F.filter("__sorted", lambda x, i: (i == 0) | (_hash(x) != _hash(F.get("__sorted", i - 1)))), 1, SKETCH)) \
-        .drop("__sorted")
+def _lowest(hits: Column) -> Column:
+    """The smallest distinct hashes; nulls, of which one is left, sort first."""
+    return F.slice(F.array_compact(F.slice(F.sort_array(F.array_distinct(hits)), 1, SKETCH + 1)), 1, SKETCH)
 
 
 def _or_whole(sketch: Column, text_col: str) -> Column:
     """``sketch``, or that of a text without anchors."""
-    whole = F.when(F.length(text_col) > 0, F.array(F.shiftleft(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)), POSITION))) \
+    whole = F.when(F.length(text_col) > 0, F.array(F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)))) \
         .otherwise(F.array().cast("array<bigint>"))
     return F.when(F.size(sketch) > 0, sketch).otherwise(whole)
 
 
 def with_sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
-    """Adds ``name``: the sketch of a text that is not null, packed anchors in order of their hashes."""
-    found = _lowest(_packed(df, text_col, "__anchors", K, S), F.col("__anchors"), name)
-    return found.withColumn(name, _or_whole(F.col(name), text_col)).drop("__anchors")
+    """Adds ``name``: the sorted smallest anchor hashes of a text that is not null."""
+    found = _hits(df, text_col, "__hits").withColumn(name, _lowest(F.col("__hits")))
+    return found.withColumn(name, _or_whole(F.col(name), text_col)).drop("__hits")
 
 
 def with_head_sketch(df: DataFrame, text_col: str, head: Column, name: str, head_name: str) -> DataFrame:
-    """``with_sketch``, and ``head_name``: that of the anchors which lie in the first ``head`` code points."""
-    found = _packed(df, text_col, "__anchors", K, S)
+    """``with_sketch``, and ``head_name``: the smallest hashes of the anchors that lie in the first ``head`` code points."""
     pieces = F.char_length(F.regexp_replace(F.substring(F.col(text_col), F.lit(1), head), r"\s+", ""))
-    found = _lowest(found.withColumn("__pieces", pieces), F.col("__anchors"), name)
-    found = _lowest(found, F.filter("__anchors", lambda x: _place(x) + K <= F.col("__pieces")), head_name)
-    return found.withColumn(name, _or_whole(F.col(name), text_col)).drop("__anchors", "__pieces")
-
-
-def hashes(sketch: Column) -> Column:
-    return F.transform(sketch, _hash)
+    found = _hits(df, text_col, "__hits")
+    found = found.withColumn(head_name, _lowest(F.slice("__hits", F.lit(1), F.least(F.size("__hits"), F.greatest(pieces - (K - 1), F.lit(0)))))) \
+        .withColumn(name, _lowest(F.col("__hits")))
+    return found.withColumn(name, _or_whole(F.col(name), text_col)).drop("__hits")
 
 
 def fingerprint(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(_hash(x)), 8, "0"))), "")
-
-
-def likeness(a: Column, b: Column) -> Column:
-    """Of two sorted arrays of hashes."""
-    joint = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    both = F.size(F.array_intersect(joint, F.array_intersect(a, b)))
-    return F.when(F.size(joint) > 0, both / F.size(joint)).otherwise(F.lit(1.0))
+    """Eight hexadecimal digits a hash; a leading 1 keeps the zeros and is then cut off."""
+    digits = F.array_join(F.transform(sketch, lambda x: F.hex(x + F.lit(1 << 32))), "")
+    return F.lower(F.regexp_replace(digits, "1(.{8})", "$1"))
 
 
-def matched(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """Two sketches matched by position.  Adds ``name``: struct<shift, anchors, shared>: the commonest difference between the
-    places of the anchors they share (of equally common ones the smallest), how many stand at it, how many are shared; null
-    without any."""
-    df = df.withColumn("__ha", hashes(F.col(a))).withColumn("__hb", hashes(F.col(b)))
-    df = df.withColumn("__diffs", F.transform(F.array_intersect("__ha", "__hb"), lambda h: _place(F.get(b, (F.array_position("__hb", h) - 1).cast("int")))
-                                              - _place(F.get(a, (F.array_position("__ha", h) - 1).cast("int")))))
-    votes = F.transform(F.array_distinct("__diffs"), lambda d: F.struct(
-        F.size(F.filter("__diffs", lambda e: e == d)).alias("n"), (-F.abs(d)).alias("near"), (-d).alias("back")))
-    df = df.withColumn("__best", F.array_max(votes))
-    return df.withColumn(name, F.when(F.col("__best").isNotNull(), F.struct(
-        (-F.col("__best.back")).alias("shift"), F.col("__best.n").alias("anchors"), F.size("__diffs").alias("shared")))) \
-        .drop("__ha", "__hb", "__diffs", "__best")
+def likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Adds ``name``: the likeness of two sketches."""
+    df = df.withColumn("__joint", F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH))
+    both = F.size(F.array_intersect("__joint", F.array_intersect(a, b)))
+    return df.withColumn(name, F.when(F.size("__joint") > 0, both / F.size("__joint")).otherwise(F.lit(1.0))).drop("__joint")
 
 
 def _order(id_col: Column, text_col: str) -> Column:
@@ -188,16 +158,10 @@ def op9_syncmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = F.regexp_replace(head, r"\s+", "")
     before = F.substring(pieces, F.greatest(F.char_length(pieces) - (K - 2), F.lit(1)), F.lit(K - 1))
     both = both.select("doc_id", n.cast("long").alias("n_chars"), "sketch", "next_sketch", "head_sketch",
-                       F.concat(head, added).alias("edited"), F.concat(before, added).alias("walked"),
-                       (F.char_length(pieces) - F.char_length(before)).cast("long").alias("start"))
-    both = _packed(both, "walked", "tail", K, S)
-    both = _lowest(both, F.concat("head_sketch", F.transform("tail", lambda x: x + F.col("start"))), "edited_sketch")
+                       F.concat(head, added).alias("edited"), F.concat(before, added).alias("walked"))
+    both = _hits(both, "walked", "hits").withColumn("edited_sketch", _lowest(F.concat("head_sketch", "hits")))
     both = both.withColumn("edited_sketch", _or_whole(F.col("edited_sketch"), "edited"))
-    both = matched(matched(both, "sketch", "edited_sketch", "e"), "sketch", "next_sketch", "f")
+    both = likeness(likeness(both, "sketch", "edited_sketch", "near_edited"), "sketch", "next_sketch", "near_next")
     return both.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("sketch")).alias("fingerprint"),
-        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(hashes(F.col("sketch")), hashes(F.col("edited_sketch"))).alias("near_edited"),
-        likeness(hashes(F.col("sketch")), hashes(F.col("next_sketch"))).alias("near_next"),
-        F.col("e.shift").alias("edited_shift"), F.col("e.anchors").alias("edited_matched"),
-        F.col("f.shift").alias("next_shift"), F.col("f.anchors").alias("next_matched"))
+        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
