@@ -3,8 +3,9 @@
 ``build_stages(name, params, ...)`` turns a learner name and reference-style
 parameters into ``pyspark.ml`` pipeline stages:
 
-* logistic regression, random forest, two gradient-boosting presets, MLP and
-  a native-categorical boosting preset map onto Spark ML estimators;
+* logistic regression, random forest and MLP map onto Spark ML estimators;
+* the three boosters are Newton-boosted histogram trees (``boosted_trees``): level by level,
+  leaf-wise, and oblivious over ordered target statistics of the raw categories;
 * ``AdaBoostStumps`` (SAMME) tries every distinct value as a threshold, on presorted attribute
   lists (``attribute_lists``); scoring is one expression;
 * ``PlattSVC``: linear SVM (Spark ``LinearSVC``) with Platt scaling fitted on
@@ -25,8 +26,8 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import (LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from scoreflow.functions import scalars as S
 from scoreflow.operators.attribute_lists import boost_stumps
+from scoreflow.operators.boosted_trees import BoostedTrees
 from scoreflow.operators.features import (ENCODED_FEATURES, NATIVE_CATEGORICAL, NATIVE_FEATURES,
                                           EncodedFeatures, NativeCategoricalFeatures, persisted)
 from scoreflow.operators.neighbors import KNearest, order_of
@@ -103,9 +105,6 @@ LEARNERS = list(BASE_PARAMS)
 INERT = {
     "logistic_regression": {"solver"},
     "random_forest": {"min_samples_split"},
-    "xgboost": {"reg_alpha", "reg_lambda"},
-    "lightgbm": {"reg_alpha", "reg_lambda"},
-    "catboost": {"l2_leaf_reg", "bagging_temperature"},
     "mlp": {"solver", "activation", "alpha", "learning_rate_init"},
 }
 UNSUPPORTED_KERNELS = {"sigmoid"}  # no positive definite kernel, so it has no feature map
@@ -450,16 +449,12 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
     p.update(params or {})
     keep = [id_col, label, "fold", "is_test"]  # pass-through when present
     if name == "catboost":
-        feats = NativeCategoricalFeatures(keepCols=keep)
-        idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
-               for c in NATIVE_CATEGORICAL]
+        growth = {"mode": "oblivious", "rounds": int(p["iterations"]), "max_depth": _depth(p["depth"]), "rate": float(p["learning_rate"]),
+                  "l2": float(p.get("l2_leaf_reg", 3.0)), "bins": int(p.get("border_count", 254)),
+                  "bagging": float(p.get("bagging_temperature", 1.0)), "seed": seed}
         num = [c for c in NATIVE_FEATURES if c not in NATIVE_CATEGORICAL]
-        asm = VectorAssembler(inputCols=[f"{c}_idx" for c in NATIVE_CATEGORICAL] + num,
-                              outputCol="features")
-        gbt = GBTClassifier(labelCol=label, maxIter=int(p["iterations"]),
-                            maxDepth=_depth(p["depth"]), stepSize=float(p["learning_rate"]),
-                            maxBins=max(32, int(p.get("border_count", 32))), seed=seed)
-        return [feats, *idx, asm, gbt]
+        return [NativeCategoricalFeatures(keepCols=keep),
+                BoostedTrees(featureCols=num, categoryCols=NATIVE_CATEGORICAL, labelCol=label, growth=growth)]
     stages: list = [EncodedFeatures(keepCols=keep)]
     cols = list(ENCODED_FEATURES)
     if name in NEEDS_SCALING:
@@ -494,6 +489,17 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
         stages.append(PlattSVC(featureCols=feat_cols, labelCol=label,
                                regParam=1.0 / (float(p["C"]) * max(n_train, 1)), seed=seed))
         return stages
+    if name in ("xgboost", "lightgbm"):
+        growth = {"rounds": int(p["n_estimators"]), "rate": float(p["learning_rate"]), "subsample": float(p.get("subsample", 1.0)),
+                  "colsample": float(p.get("colsample_bytree", 1.0)), "l1": float(p.get("reg_alpha", 0.0)), "seed": seed}
+        if name == "xgboost":
+            growth |= {"mode": "level", "max_depth": _depth(p["max_depth"]), "l2": float(p.get("reg_lambda", 1.0)),
+                       "least_hessian": float(p.get("min_child_weight", 1))}
+        else:
+            growth |= {"mode": "leaf", "max_depth": int(p["max_depth"]), "num_leaves": int(p["num_leaves"]), "l2": float(p.get("reg_lambda", 0.0)),
+                       "least_rows": int(p.get("min_child_samples", 20)), "least_hessian": 1e-3, "bins": 255}
+        stages.append(BoostedTrees(featureCols=cols, labelCol=label, growth=growth))
+        return stages
     stages.append(VectorAssembler(inputCols=cols, outputCol="features"))
     if name == "logistic_regression":
         stages.append(LogisticRegression(labelCol=label, maxIter=int(p["max_iter"]),
@@ -506,16 +512,6 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
             maxDepth=_depth(depth) if depth else MAX_TREE_DEPTH,
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             featureSubsetStrategy=_max_features(p.get("max_features", "sqrt")), seed=seed))
-    elif name in ("xgboost", "lightgbm"):
-        depth = int(p.get("max_depth", -1))
-        if depth <= 0:  # leaf-count preset: a level-wise tree with as many leaves
-            depth = max(1, math.ceil(math.log2(int(p.get("num_leaves", 31)))))
-        stages.append(GBTClassifier(
-            labelCol=label, maxIter=int(p["n_estimators"]), maxDepth=_depth(depth),
-            stepSize=float(p["learning_rate"]), subsamplingRate=float(p.get("subsample", 1.0)),
-            featureSubsetStrategy=str(float(p.get("colsample_bytree", 1.0))),
-            minInstancesPerNode=int(p.get("min_child_samples", p.get("min_child_weight", 1))),
-            seed=seed))
     elif name == "mlp":
         hidden = [int(h) for h in p.get("hidden_layer_sizes", [128, 64])]
         stages.append(MultilayerPerceptronClassifier(
@@ -531,6 +527,14 @@ def positive_probability(scored: DataFrame, prob_col: str = "probability") -> Da
                  .withColumn("pred", F.col("prediction").cast("int"))
 
 
+def indexed_native_stages(keep: Sequence[str] = ()) -> list:
+    """Native categoricals as nominal positions of a feature vector, for learners that split on categories."""
+    num = [c for c in NATIVE_FEATURES if c not in NATIVE_CATEGORICAL]
+    return [NativeCategoricalFeatures(keepCols=list(keep)),
+            *[StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in NATIVE_CATEGORICAL],
+            VectorAssembler(inputCols=[f"{c}_idx" for c in NATIVE_CATEGORICAL] + num, outputCol="features")]
+
+
 def categorical_indices(df: DataFrame, features_col: str = "features") -> dict[str, int]:
     """Positions of nominal (categorical) features inside an assembled vector,
     read from the ML attribute metadata that ``StringIndexer`` and

@@ -563,6 +563,44 @@ def q_adaboost_first_stump(spark, sf_dir):
                                  "feature string, threshold double, left_class int, right_class int, alpha double, gini double")
 
 
+from scoreflow.operators import boosted_trees as BT  # noqa: E402
+
+FIRST_TREES = {
+    "newton_first_tree": BT.Growth(mode="level", rounds=1, rate=0.1, max_depth=2, l2=1.0, l1=0.5, bins=32),
+    "leafwise_first_tree": BT.Growth(mode="leaf", rounds=1, rate=0.1, max_depth=-1, num_leaves=5, l2=0.0, least_rows=20, bins=32),
+}
+
+
+def first_tree(spark, sf_dir, name: str) -> DataFrame:
+    """Splits of the first boosted tree over the training rows; nodes are numbered 1, children 2n and 2n + 1."""
+    rows = feature_rows(spark, sf_dir, split=True).where(~F.col("is_test"))
+    x = F.array(*[F.col(c).cast("double") for c in ENCODED_FEATURES])
+    g = FIRST_TREES[name]
+    _, cuts, (tree,), (made,) = BT.boost(rows.select(x.alias("x"), F.col(LABEL).alias("y")), len(ENCODED_FEATURES), g)
+    number, out = {0: 1}, []
+    for node, f, b, gain, left, right in made:
+        number[tree.left[node]], number[tree.right[node]] = 2 * number[node], 2 * number[node] + 1
+        values = [float(round(-g.rate * BT.soft(s[0], g.l1) / (s[1] + g.l2), R)) for s in (left, right)]
+        out.append((number[node], ENCODED_FEATURES[f], round(cuts[f][b], R), round(gain, R), int(left[2]), int(right[2]), *values))
+    return spark.createDataFrame(out, "node int, feature string, threshold double, gain double, left_rows long, right_rows long, "
+                                      "left_value double, right_value double")
+
+
+for _name in FIRST_TREES:
+    REGISTRY[_name] = lambda spark, sf_dir, name=_name: first_tree(spark, sf_dir, name)
+
+
+@register("ordered_target_stats")
+def q_ordered_target_stats(spark, sf_dir):
+    """Native categoricals of the training rows as smoothed mean labels of the rows before, in a hashed order."""
+    rows = train_rows(spark, sf_dir).select(ID, LABEL, *[F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias(c) for c in ("sex", "port", "tier")])
+    prior = float(rows.agg(F.avg(LABEL)).first()[0])
+    rows = rows.withColumn("_order", F.concat(F.md5(F.col(ID).cast("string")), F.lpad(F.col(ID).cast("string"), 20, "0")))
+    for c in ("sex", "port", "tier"):
+        rows = BT.ordered_statistics(rows, c, LABEL, "_order", prior)
+    return rows.select(ID, *[rnd(f"{c}_ts").alias(f"{c}_ts") for c in ("sex", "port", "tier")])
+
+
 # ---------------------------------------------------------------- k-NN (M7)
 
 from scoreflow.operators import neighbors as KN  # noqa: E402

@@ -412,7 +412,7 @@ points as (select f.subject_id, f.label, p.rk <= ceil(0.2 * p.cn) as is_test, {_
            from feat2 f join split p using (subject_id), stats s)""", body="select *, cast(prob > 0.5 as integer) as pred from ("
     + " union all ".join(_knn_sql(n, *c) for n, c in _C.KNN_CONFIGS.items()) + ")")
 
-_LONG = " union all ".join(f"select {i} as f, '{c}' as feature, cast({c} as double) as v, feat2.label as y from feat2 join train using (subject_id)"
+_LONG = " union all ".join(f"select {i} as f, '{c}' as feature, cast(feat2.{c} as double) as v, feat2.label as y from feat2 join train using (subject_id)"
                            for i, c in enumerate(ENCODED_FEATURES))
 ORACLE["adaboost_first_stump"] = with_ctes(*_FEAT, f"""
 long as ({_LONG})""", """
@@ -426,3 +426,51 @@ tried as (select *, round((2.0 * l0 * l1 / (l0 + l1) + 2.0 * (n0 - l0) * (n1 - l
 best as (select *, ((case when cl = 1 then l0 else l1 end) + (case when cr = 1 then n0 - l0 else n1 - l1 end)) / cast(n0 + n1 as double) as err
          from tried order by gini, f, v limit 1)""", body="""
 select feature, round(v, 6) as threshold, cl as left_class, cr as right_class, round(ln((1 - err) / err), 6) as alpha, round(gini, 6) as gini from best""")
+
+
+def _tree_sql(g) -> str:
+    """The splits of one tree, step by step: every step sums labels per (node, feature, bin), takes the best cut of each node
+    (level) or of all (leaf), and moves the rows down."""
+    def score(n, ones):
+        grad = f"({n} * p - {ones})"
+        return f"(power(sign({grad}) * greatest(abs({grad}) - {g.l1}, 0), 2) / ({n} * p * (1 - p) + {g.l2}))"
+
+    def value(n, ones):
+        grad = f"({n} * p - {ones})"
+        return f"round(-{g.rate} * sign({grad}) * greatest(abs({grad}) - {g.l1}, 0) / ({n} * p * (1 - p) + {g.l2}), 6)"
+
+    ctes = [f"long as ({_LONG.replace('select ', 'select subject_id, ')})", """
+cells as (select f, v, count(*) as c from long group by all)""", f"""
+bins as (select f, v, max(v) over (partition by f, b) as e from (
+  select f, v, coalesce(sum(c) over (partition by f order by v rows between unbounded preceding and 1 preceding), 0) * {g.bins}
+               // sum(c) over (partition by f) as b from cells))""", """
+whole as (select avg(label) as p from train)""", """
+r0 as (select subject_id, f, feature, e, y, 1 as node from long join bins using (f, v))"""]
+    steps = g.max_depth if g.mode == "level" else g.num_leaves - 1
+    least = max(g.least_rows, 1)
+    for k in range(steps):
+        pick = "qualify row_number() over (partition by node order by gain desc, f, e) = 1" if g.mode == "level" else "order by gain desc, node, f, e limit 1"
+        fresh = f"node >= {2 ** k} and" if g.mode == "level" else ""
+        ctes.append(f"""
+t{k} as (select node, f, feature, e, p, sum(n) over w as nl, sum(o) over w as ol, sum(n) over (partition by node, f) as nt, sum(o) over (partition by node, f) as ot
+        from (select node, f, feature, e, count(*) as n, sum(y) as o from r{k} group by all), whole window w as (partition by node, f order by e)),
+g{k} as (select *, round(0.5 * ({score('nl', 'ol')} + {score('(nt - nl)', '(ot - ol)')} - {score('nt', 'ot')}), 10) as gain
+        from t{k} where {fresh} nl >= {least} and nt - nl >= {least}),
+s{k} as (select * from g{k} where gain > 1e-9 {pick}),
+m{k} as (select subject_id, case when r.e <= s.e then 2 * r.node else 2 * r.node + 1 end as moved from r{k} r join s{k} s on r.node = s.node and r.f = s.f),
+r{k + 1} as (select r.subject_id, f, feature, e, y, coalesce(moved, node) as node from r{k} r left join m{k} using (subject_id))""")
+    body = " union all ".join(f"""
+select cast(node as integer) as node, feature, round(e, 6) as threshold, round(gain, 6) as gain, cast(nl as bigint) as left_rows,
+       cast(nt - nl as bigint) as right_rows, {value('nl', 'ol')} as left_value, {value('(nt - nl)', '(ot - ol)')} as right_value from s{k}""" for k in range(steps))
+    return with_ctes(*_FEAT, *ctes, body=body)
+
+
+for _name, _growth in _C.FIRST_TREES.items():
+    ORACLE[_name] = _tree_sql(_growth)
+
+ORACLE["ordered_target_stats"] = with_ctes(SPLIT_SQL, """
+cats as (select subject_id, label, coalesce(sex, 'nan') as sex, coalesce(port, 'nan') as port, cast(tier as varchar) as tier,
+                md5(cast(subject_id as varchar)) as h, (select avg(label) from train) as p from train)""", body="select subject_id, " + ", ".join(
+    f"round((coalesce(sum(label) over (partition by {c} order by h, subject_id rows between unbounded preceding and 1 preceding), 0) + p) "
+    f"/ (count(*) over (partition by {c} order by h, subject_id rows between unbounded preceding and 1 preceding) + 1), 6) as {c}_ts"
+    for c in ("sex", "port", "tier")) + " from cats")

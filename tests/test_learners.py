@@ -23,7 +23,7 @@ def split(spark):
     s.unpersist()
 
 
-@pytest.mark.parametrize("name", ["logistic_regression", "random_forest", "lightgbm", "catboost",
+@pytest.mark.parametrize("name", ["logistic_regression", "random_forest", "xgboost", "lightgbm", "catboost",
                                   "adaboost", "svm", "mlp"])
 def test_learner_auc_floor_and_probability_range(spark, split, name):
     train, test = split
@@ -199,10 +199,9 @@ def test_run_batch_end_to_end(spark, split, tmp_path):
 
 def test_categorical_indices_from_metadata(spark, split):
     from pyspark.ml import Pipeline
-    from scoreflow.operators.learners import build_stages, categorical_indices
+    from scoreflow.operators.learners import categorical_indices, indexed_native_stages
     train, _ = split
-    stages = build_stages("catboost", {"iterations": 2})[:-1]  # features, indexers, assembler
-    out = Pipeline(stages=stages).fit(train).transform(train)
+    out = Pipeline(stages=indexed_native_stages()).fit(train).transform(train)
     idx = categorical_indices(out)
     assert sorted(idx.values()) == [0, 1, 2] and set(idx) == {"sex_idx", "port_idx", "tier_idx"}
 
