@@ -68,7 +68,7 @@ class EnsembleModel:
     def transform(self, df: DataFrame) -> DataFrame:
         out, names = self.member_columns(df), self.member_names
         if self.meta is not None:
-            return self.meta.transform(out).drop(*names, "_meta_x", "rawPrediction")
+            return self.meta.transform(out).drop(*names)
         mean = sum((F.col(n) for n in names), F.lit(0.0)) / len(names)
         return out.withColumn("probability", array_to_vector(F.array(1 - mean, mean))) \
             .withColumn("prediction", (mean > 0.5).cast("double")).drop(*names)

@@ -3,7 +3,8 @@
 ``build_stages(name, params, ...)`` turns a learner name and reference-style
 parameters into ``pyspark.ml`` pipeline stages:
 
-* logistic regression, random forest and MLP map onto Spark ML estimators;
+* random forest and MLP map onto Spark ML estimators;
+* logistic regression takes Newton steps on one aggregate each (``newton_logistic``);
 * the three boosters are Newton-boosted histogram trees (``boosted_trees``): level by level,
   leaf-wise, and oblivious over ordered target statistics of the raw categories;
 * ``AdaBoostStumps`` (SAMME) tries every distinct value as a threshold, on presorted attribute
@@ -41,6 +42,7 @@ from scoreflow.operators.boosted_trees import BoostedTrees
 from scoreflow.operators.features import (ENCODED_FEATURES, NATIVE_CATEGORICAL, NATIVE_FEATURES,
                                           EncodedFeatures, NativeCategoricalFeatures, persisted)
 from scoreflow.operators.neighbors import KNearest, order_of
+from scoreflow.operators.newton_logistic import NewtonLogistic
 
 # ---------------------------------------------------------------------------
 # Base parameters of each learner (reference configuration).
@@ -489,6 +491,9 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
         stages.append(PlattSVC(featureCols=feat_cols, labelCol=label,
                                regParam=1.0 / (float(p["C"]) * max(n_train, 1)), seed=seed))
         return stages
+    if name == "logistic_regression":
+        stages.append(NewtonLogistic(featureCols=cols, labelCol=label, C=float(p["C"]), maxIter=int(p["max_iter"])))
+        return stages
     if name in ("xgboost", "lightgbm"):
         growth = {"rounds": int(p["n_estimators"]), "rate": float(p["learning_rate"]), "subsample": float(p.get("subsample", 1.0)),
                   "colsample": float(p.get("colsample_bytree", 1.0)), "l1": float(p.get("reg_alpha", 0.0)), "seed": seed}
@@ -501,11 +506,7 @@ def build_stages(name: str, params: dict | None = None, n_train: int = 1, id_col
         stages.append(BoostedTrees(featureCols=cols, labelCol=label, growth=growth))
         return stages
     stages.append(VectorAssembler(inputCols=cols, outputCol="features"))
-    if name == "logistic_regression":
-        stages.append(LogisticRegression(labelCol=label, maxIter=int(p["max_iter"]),
-                                         regParam=1.0 / (float(p["C"]) * max(n_train, 1)),
-                                         elasticNetParam=0.0, standardization=False, tol=1e-4))
-    elif name == "random_forest":
+    if name == "random_forest":
         depth = p.get("max_depth")
         stages.append(RandomForestClassifier(
             labelCol=label, numTrees=int(p["n_estimators"]),

@@ -20,6 +20,7 @@ from scoreflow.operators.attribute_lists import boost_stumps
 from scoreflow.operators.features import (ENCODED_FEATURES, FARE_QUANTILES, PASS_PREFIX, EncodedFeatures,
                                           NativeCategoricalFeatures, persisted, standard_scale_stats)
 from scoreflow.operators.splits import assign_folds, assign_split
+from scoreflow.session import written
 from scoreflow.sources.tables import subjects, table_version
 
 ID, LABEL = "subject_id", "label"
@@ -601,6 +602,40 @@ def q_ordered_target_stats(spark, sf_dir):
     return rows.select(ID, *[rnd(f"{c}_ts").alias(f"{c}_ts") for c in ("sex", "port", "tier")])
 
 
+from scoreflow.operators.newton_logistic import newton  # noqa: E402
+
+LOGISTIC_TERMS = ["sex", "age", "fare", "family_size"]
+
+
+@register("logistic_coefficients")
+def q_logistic_coefficients(spark, sf_dir):
+    """Penalised logistic regression (C = 1) on four standardised features of the training rows, by Newton steps."""
+    at = [ENCODED_FEATURES.index(c) for c in LOGISTIC_TERMS]
+    rows = scaled_rows(spark, sf_dir).where(~F.col("is_test")).select(
+        F.lit(1.0).alias("x0"), *[F.col("x")[i].alias(f"x{k + 1}") for k, i in enumerate(at)], F.col(LABEL).cast("double").alias("y"))
+    with persisted(rows) as r:
+        beta, _ = newton(r, len(at) + 1, 1.0)
+    return spark.createDataFrame([(t, round(float(b), R)) for t, b in zip(["intercept", *LOGISTIC_TERMS], beta)], "term string, coefficient double")
+
+
+def refit_folds(spark, sf_dir, k: int = 5) -> DataFrame:
+    """Training rows scored per fold by the preset scorer on features that were fitted on the other folds."""
+    with persisted(assign_folds(train_rows(spark, sf_dir).drop("is_test"), LABEL, ID, k=k, seed=42)) as folded:
+        out = None
+        for i in range(k):
+            model = EncodedFeatures(keepCols=[ID, LABEL, "fold"]).fit(folded.where(F.col("fold") != i))
+            part = model.transform(folded.where(F.col("fold") == i))
+            margin = S.linear_margin(SCORER_WEIGHTS, SCORER_INTERCEPT)
+            part = part.select(ID, LABEL, "fold", margin.alias("margin"), S.logistic(margin).alias("prob"))
+            out = part if out is None else out.unionByName(part)
+        return written(out.withColumn("pred", (F.col("prob") > 0.5).cast("int")), "refit-folds")
+
+
+@register("refit_fold_metrics")
+def q_refit_fold_metrics(spark, sf_dir):
+    return M.binary_metrics(refit_folds(spark, sf_dir), LABEL, "pred", "prob", by=["fold"], score="margin")
+
+
 # ---------------------------------------------------------------- k-NN (M7)
 
 from scoreflow.operators import neighbors as KN  # noqa: E402
@@ -651,7 +686,7 @@ def q_batch_scores(spark, sf_dir):
 
 import uuid  # noqa: E402
 
-from scoreflow.session import shared_dir, written  # noqa: E402
+from scoreflow.session import shared_dir  # noqa: E402
 from scoreflow.streaming import scoring as STR  # noqa: E402
 
 

@@ -474,3 +474,55 @@ cats as (select subject_id, label, coalesce(sex, 'nan') as sex, coalesce(port, '
     f"round((coalesce(sum(label) over (partition by {c} order by h, subject_id rows between unbounded preceding and 1 preceding), 0) + p) "
     f"/ (count(*) over (partition by {c} order by h, subject_id rows between unbounded preceding and 1 preceding) + 1), 6) as {c}_ts"
     for c in ("sex", "port", "tier")) + " from cats")
+
+
+def _newton_sql(terms, steps: int = 12, penalty: float = 1.0) -> str:
+    """Newton steps of penalised logistic regression: sums, then Gauss-Jordan elimination (the matrix is positive definite)."""
+    d = len(terms) + 1
+    x = ["1.0", *terms]
+    ctes = [f"rows_ as (select {', '.join(terms)}, label from points where not is_test)",
+            "b0 as (select " + ", ".join(f"0.0::double as c{i}" for i in range(d)) + ")"]
+    for k in range(steps):
+        margin = " + ".join(f"c{i} * {x[i]}" for i in range(d))
+        ctes.append(f"p{k} as (select rows_.*, 1.0 / (1.0 + exp(-({margin}))) as p from rows_, b{k})")
+        cells = [f"sum(p * (1 - p) * {x[i]} * {x[j]}) + {penalty if i == j and i else 0.0} as a{i}_{j}" for i in range(d) for j in range(d)]
+        cells += [f"sum((label - p) * {x[i]}) - any_value(c{i}) * {penalty if i else 0.0} as a{i}_{d}" for i in range(d)]
+        ctes.append(f"e{k}_0 as (select {', '.join(cells)} from p{k}, b{k})")
+        for q in range(d):
+            row = [f"a{q}_{j} / a{q}_{q} as a{q}_{j}" for j in range(d + 1)]
+            rest = [f"a{i}_{j} - a{i}_{q} * a{q}_{j} / a{q}_{q} as a{i}_{j}" for i in range(d) if i != q for j in range(d + 1)]
+            ctes.append(f"e{k}_{q + 1} as materialized (select {', '.join(row + rest)} from e{k}_{q})")
+        ctes.append(f"b{k + 1} as materialized (select {', '.join(f'c{i} + a{i}_{d} as c{i}' for i in range(d))} from b{k}, e{k}_{d})")
+    body = " union all ".join(f"select '{t}' as term, round(c{i}, 6) as coefficient from b{steps}" for i, t in enumerate(["intercept", *terms]))
+    return with_ctes(*_FEAT, *_POINTS, *ctes, body=body)
+
+
+_POINTS = (f"""
+stats as (select {_STATS} from feat2 join train using (subject_id))""", f"""
+points as (select f.subject_id, f.label, p.rk <= ceil(0.2 * p.cn) as is_test, {_SCALED}
+           from feat2 f join split p using (subject_id), stats s)""")
+ORACLE["logistic_coefficients"] = _newton_sql(_C.LOGISTIC_TERMS)
+
+
+def _refit_sql(k: int = 5) -> str:
+    import re
+
+    ctes = [SPLIT_SQL, f"""
+kfold as (select *, cast((row_number() over (partition by label order by md5(cast(subject_id as varchar) || ':42'), subject_id) - 1) % {k} as integer) as fold
+          from train)"""]
+    for i in range(k):
+        text = FIT_SQL.replace("from train", f"from (select * from kfold where fold <> {i})").strip().rstrip(",") + "," \
+            + features_sql(f"(select * from kfold where fold = {i})")
+        ctes.append(re.sub(r"\b(tr_t|age_by_title|gstat|port_mode|edges|feat_in|feat2|feat)\b", rf"\1_{i}", text))
+    union = " union all ".join(f"select label, {i} as fold, {_MARGIN} as margin from feat2_{i}" for i in range(k))
+    ctes.append(f"""
+folded0 as ({union}),
+folded1 as (select *, 1.0 / (1.0 + exp(-margin)) as prob from folded0),
+folded as (select *, cast(prob > 0.5 as integer) as pred from folded1),
+fconf as (select fold, """ + _CONF.replace("scored.label", "folded.label") + ", " + _LL.replace("scored.label", "folded.label") + """ as ll
+          from folded group by fold)""")
+    return with_ctes(*ctes, _auc_sql("folded", "fold").replace("scored.label", "folded.label"), body="select fconf.fold, " + ", ".join(
+        f"round({e}, 6) as {c}" for c, e in _R.items()) + ", round(auc.roc_auc, 6) as roc_auc, round(ll, 6) as log_loss from fconf join auc on fconf.fold = auc.fold")
+
+
+ORACLE["refit_fold_metrics"] = _refit_sql()

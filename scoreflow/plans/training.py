@@ -17,8 +17,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +25,7 @@ from scoreflow.operators import metrics as M
 from scoreflow.operators.features import persisted
 from scoreflow.operators.learners import (BASE_PARAMS, acting_params, build_stages, positive_probability,
                                           search_space)
+from scoreflow.operators.newton_logistic import NewtonLogistic
 from scoreflow.operators.splits import assign_folds
 from scoreflow.operators.tuning import sample_params
 
@@ -177,19 +176,30 @@ def fit_voting(specs: dict[str, dict], train: DataFrame, n: int, cfg: TrainConfi
     return E.EnsembleModel({nm: fit_learner(nm, p, train, n, cfg) for nm, p in specs.items()})
 
 
+def out_of_fold(specs: dict[str, dict], folded: DataFrame, n: int, cfg: TrainConfig) -> DataFrame:
+    """Every row of ``folded`` (with ``fold``) scored by members that were fitted on the other folds: id, fold, label and one
+    column per member."""
+    sizes = _fold_sizes(folded)
+
+    def one(i):
+        ms = fit_voting(specs, folded.where(F.col("fold") != i), n - sizes.get(i, 0), cfg)
+        return ms.member_columns(folded.where(F.col("fold") == i)).select(cfg.id_col, "fold", cfg.label, *ms.member_names)
+
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
+        parts = list(pool.map(one, range(cfg.folds)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def fit_stacking(specs: dict[str, dict], train: DataFrame, n: int, cfg: TrainConfig) -> E.EnsembleModel:
     """Out-of-fold member probabilities -> logistic meta-learner; members refit on all rows."""
     inner = train.drop("fold")
     with persisted(assign_folds(inner, cfg.label, cfg.id_col, cfg.folds, cfg.seed)) as folded:
-        sizes = _fold_sizes(folded)
-        oof = None
-        for i in range(cfg.folds):
-            ms = fit_voting(specs, folded.where(F.col("fold") != i), n - sizes.get(i, 0), cfg)
-            part = ms.member_columns(folded.where(F.col("fold") == i)).select(cfg.label, *ms.member_names)
-            oof = part if oof is None else oof.unionByName(part)
+        oof = out_of_fold(specs, folded, n, cfg)
         names = [f"_member_{i}" for i in range(len(specs))]
-        meta = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="_meta_x"),
-                                LogisticRegression(featuresCol="_meta_x", labelCol=cfg.label, maxIter=1000)]).fit(oof)
+        meta = Pipeline(stages=[NewtonLogistic(featureCols=names, labelCol=cfg.label)]).fit(oof)
     return E.EnsembleModel(fit_voting(specs, train, n, cfg).members, meta)
 
 

@@ -234,3 +234,40 @@ def test_only_acting_parameters_are_searched():
             build_stages("svm", bad)
     with pytest.raises(ValueError):
         build_stages("random_forest", {"max_depth": 31})
+
+
+def test_newton_logistic_is_the_optimum(spark):
+    """Gradient zero at the solution, also with equal columns and null rows; separable labels stay finite under the penalty."""
+    import numpy as np
+    from scoreflow.operators.newton_logistic import NewtonLogistic
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(size=300) > 0.3).astype(float)
+    rows = [(float(a), float(b), float(c), float(a), float(t)) for (a, b, c), t in zip(x, y)] + [(None, 0.0, 0.0, 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, label double")
+    m = NewtonLogistic(featureCols=["a", "b", "c", "d"], C=0.5).fit(df)
+    w, b0 = np.array(m.getOrDefault("coefficients")), m.getOrDefault("intercept")
+    X = np.column_stack([x, x[:, 0]])
+    p = 1 / (1 + np.exp(-(X @ w + b0)))
+    assert np.abs(X.T @ (y - p) - w / 0.5).max() < 1e-6 and abs((y - p).sum()) < 1e-6 and abs(w[0] - w[3]) < 1e-8
+    easy = NewtonLogistic(featureCols=["a"], C=1.0).fit(df.withColumn("label", (F.col("a") > 0).cast("double")))
+    assert 1 < easy.getOrDefault("coefficients")[0] < 1000
+
+
+def test_out_of_fold_rows_are_unseen_by_their_member(spark, split, monkeypatch):
+    from scoreflow.operators.splits import assign_folds
+    train, _ = split
+    cfg = TRN.TrainConfig(folds=3, parallelism=1)
+    folded = assign_folds(train, "label", "subject_id", 3).persist()
+    seen, fit = {}, TRN.fit_voting
+
+    def recorded(specs, rows, n, cfg):
+        ids = {r[0] for r in rows.select("subject_id").collect()}
+        assert len(ids) == n
+        seen[len(seen)] = ids
+        return fit(specs, rows, n, cfg)
+
+    monkeypatch.setattr(TRN, "fit_voting", recorded)
+    oof = TRN.out_of_fold({"logistic_regression": {"max_iter": 2}}, folded, folded.count(), cfg).collect()
+    assert sorted(r["subject_id"] for r in oof) == sorted(r[0] for r in train.select("subject_id").collect())
+    assert not any(r["subject_id"] in seen[r["fold"]] for r in oof)
