@@ -13,6 +13,10 @@ levels:
 * row_number inside (class, bucket) + offset = the flat rank, exactly,
   because the bucket is a prefix of the sort key.
 
+Rows with equal ids are ordered by a hash of the whole row, so a split doesn't depend on
+how rows lie in files; a row without an id is placed by that hash alone, so such rows
+spread over the buckets too.  Only rows that are equal throughout may change places.
+
 Test rows: rank <= ceil(test_size * class_count).  Fold: (rank - 1) % k,
 which keeps every class's share per fold within one row.
 """
@@ -33,8 +37,10 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
                     prefix_len: int = DEFAULT_PREFIX, rank_col: str = "_rank",
                     count_col: str = "_class_n") -> DataFrame:
     """Adds the exact per-class rank (1-based) and the class size."""
-    keyed = df.withColumn("_hk", hash_key(id_col, seed)).withColumn(
-        "_bk", F.substring("_hk", 1, prefix_len))
+    hashed = [F.col(f"`{c}`") for c, t in sorted(df.dtypes) if "map<" not in t and "variant" not in t]  # Spark hashes no maps
+    keyed = df.withColumn("_tie", F.xxhash64(*hashed)) \
+        .withColumn("_hk", F.coalesce(hash_key(id_col, seed), F.md5(F.concat(F.col("_tie").cast("string"), F.lit(f":{seed}"))))) \
+        .withColumn("_bk", F.substring("_hk", 1, prefix_len))
     counts = keyed.groupBy(label, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     wo = Window.partitionBy(label).orderBy("_bk")
     offsets = counts.select(
@@ -42,14 +48,14 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, seed: int = 42,
         (F.sum("_bn").over(wo.rowsBetween(Window.unboundedPreceding, Window.currentRow))
          - F.col("_bn")).alias("_off"),
         F.sum("_bn").over(Window.partitionBy(label)).alias(count_col))
-    wl = Window.partitionBy(label, "_bk").orderBy("_hk", id_col)
+    wl = Window.partitionBy(label, "_bk").orderBy("_hk", id_col, "_tie")
     ranked = keyed.withColumn("_local", F.row_number().over(wl))
     # null-safe: a NULL label is a class of its own, a NULL id sorts into a bucket of its own
     offsets = offsets.withColumnsRenamed({label: "_label", "_bk": "_bucket"})
     same = F.col(label).eqNullSafe(F.col("_label")) & F.col("_bk").eqNullSafe(F.col("_bucket"))
     return (ranked.join(offsets, same)
             .withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_hk", "_bk", "_local", "_off", "_label", "_bucket"))
+            .drop("_hk", "_bk", "_tie", "_local", "_off", "_label", "_bucket"))
 
 
 def assign_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,

@@ -117,8 +117,8 @@ def run_batch(spark, source: DataFrame, model, id_col: str, out_path: str, model
               model_version: str, prob_col: str = "probability") -> DataFrame:
     """Score ``source`` with a fitted PipelineModel and overwrite ``out_path``.
 
-    Overwrite of a parquet directory is atomic per job commit and idempotent
-    on retry; the summary is recomputed from the written table.
+    Spark's overwrite deletes first, so a reader of the folder may see a gap (``files.full_refresh`` leaves none);
+    a retry writes the same rows.  The summary is recomputed from the written table.
     """
     from pyspark.ml.functions import vector_to_array
 

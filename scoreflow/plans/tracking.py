@@ -2,9 +2,8 @@
 
 ``runs``: one row per training/evaluation run with map columns for params,
 metrics and tags; ``model_versions``: one row per registered version.  Both
-are small (one row per run) parquet tables under a shared directory;
-appends and overwrites are plain DataFrame writes, so a retried task or job
-is idempotent.
+are small (one row per run) parquet tables under a shared directory.  A run
+lies in a folder of its own key, so writing it again replaces it.
 """
 
 from __future__ import annotations
@@ -42,12 +41,13 @@ def run_key(stage: str, model: str):
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    runs.select(*[F.col(f.name).cast(f.dataType) for f in RUNS_SCHEMA.fields]) \
-        .write.mode("append").parquet(path)
+    """Adds runs; a run that is there already (same run_id) is replaced, so a repeated write changes nothing."""
+    rows = runs.select(*[F.col(f.name).cast(f.dataType) for f in RUNS_SCHEMA.fields]).withColumn("run_key", F.sha2("run_id", 256))
+    rows.repartition("run_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_key").parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).parquet(path)
+    return spark.read.schema(RUNS_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
 
 
 def best_run(runs: DataFrame, metric: str = "test_roc_auc") -> DataFrame:

@@ -3,15 +3,19 @@
 * CSV is read with an explicit schema (never inferred): every column comes
   in as text, the usual missing-value tokens become NULL, then ``try_cast``
   applies the schema -- a bad cell becomes NULL instead of failing the job.
-* Table loads are full refreshes: ``overwrite`` by column name (not by
-  position) into a catalog table, atomic per job commit and idempotent on
-  retry; the row count is read back from the written table.
-* Row ids for files without one are contiguous 0..n-1 in file order, from
-  per-partition counts and offsets -- no single-partition step.
+* Table loads are full refreshes by column name (not by position): the rows are
+  written to a new folder, then the catalog table is pointed at it, so a reader
+  sees the old rows or the new ones, and a failed write leaves the old ones; the
+  row count is read back from the table.  Earlier folders stay for readers that
+  still use them.
+* Row ids for files without one are contiguous 0..n-1 in line order, files in order of
+  their path: a table of the blocks (file, start) with their first id, no
+  single-partition step and no copy of the input.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,11 +35,12 @@ PREDICTIONS_DDL = ("subject_id BIGINT, tier INT, sex STRING, age DOUBLE, fare DO
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             na_tokens: Sequence[str] = NA_TOKENS, add_missing: bool = False) -> DataFrame:
+             na_tokens: Sequence[str] = NA_TOKENS, add_missing: bool = False, row_id: str | None = None) -> DataFrame:
     """Columns are matched to the schema by header name (a schema given to
     the CSV reader would be applied by position); every column is read as
-    text (no inference), NA tokens -> NULL, then cast.  Schema fields absent
-    from the file are left out, or added as NULL with ``add_missing``."""
+    text (no inference), NA tokens -> NULL, then cast; numbers may have spaces
+    around them, NA tokens may not.  Schema fields absent from the file are left
+    out, or added as NULL with ``add_missing``; ``row_id`` names a column of ids to put first."""
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
     present = set(raw.columns)
@@ -43,11 +48,26 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     for f in schema.fields:
         if f.name in present:
             c = F.col(f"`{f.name}`")
-            c = F.when(c.isNull() | F.trim(c).isin(*na_tokens), F.lit(None)).otherwise(c)
+            c = F.when(c.isNull() | c.isin(*na_tokens), F.lit(None)).otherwise(c)
             cols.append(c.try_cast(f.dataType).alias(f.name))
         elif add_missing:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    if row_id is None:
+        return raw.select(*cols)
+    return _with_line_ids(raw, row_id, cols)
+
+
+def _with_line_ids(raw: DataFrame, id_col: str, cols) -> DataFrame:
+    """Ids 0..n-1 in line order over a set of files.  A block (a stretch of one file) is read by one task, its rows one after
+    the other, so a row's place in it is the distance from the block's first row; how files are cut into blocks depends
+    on the files and the settings only, so both passes see the same blocks."""
+    at = raw.select(*cols, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                    F.monotonically_increasing_id().alias("_mid"))
+    blocks = at.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    offsets = blocks.select("_path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    keep = [c for c in at.columns if c not in ("_path", "_start", "_mid")]
+    return at.join(offsets, ["_path", "_start"]).select((F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(id_col), *keep)
 
 
 def read_labelled(spark: SparkSession, path: str, schema: T.StructType, label: str) -> DataFrame:
@@ -58,35 +78,13 @@ def read_labelled(spark: SparkSession, path: str, schema: T.StructType, label: s
     return df
 
 
-def with_row_ids(df: DataFrame, id_col: str) -> DataFrame:
-    """Contiguous 0..n-1 ids in scan order (per-partition offsets).
-
-    The partition-local ids are nondeterministic expressions, so the tagged
-    rows are materialised once with a reliable ``checkpoint()`` (the
-    cluster's checkpoint directory): both the offset table and the rows read
-    the same tags, and a lost executor cannot renumber anything.
-    """
-    from scoreflow.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = df.select("*", F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
-    # one row per input partition: a bounded table
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_pid", "_m0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    return tagged.join(F.broadcast(offs), "_pid").select(
-        (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long").alias(id_col),
-        *[c for c in df.columns])
-
-
 def read_for_scoring(spark: SparkSession, path: str, schema: T.StructType, label: str,
                      id_col: str) -> DataFrame:
     """Scoring input: label dropped if present; ids added if absent."""
     fields = [f for f in schema.fields if f.name != label]
     df = read_csv(spark, path, T.StructType(fields))
     if id_col not in df.columns:
-        df = with_row_ids(df, id_col)
+        df = read_csv(spark, path, T.StructType(fields), row_id=id_col)
     return df
 
 
@@ -117,12 +115,23 @@ def ensure_tables(spark: SparkSession, db: str, location: str | None = None) ->
                   f"LOCATION '{root}/{db}/{name}'")
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
 def full_refresh(spark: SparkSession, df: DataFrame, table: str) -> int:
-    """Replace a table's rows with ``df`` (matched by column name)."""
+    """Replace a table's rows with ``df`` (matched by column name): written to a folder of its own beside the present
+    one, then made the table's location in one catalog change."""
     target = spark.table(table).schema
     src = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
                       .cast(f.dataType).alias(f.name) for f in target.fields])
-    src.write.mode("overwrite").insertInto(table, overwrite=True)
+    present = table_location(spark, table)
+    home = present.rsplit("/version-", 1)[0]
+    fresh = f"{home}/version-{uuid.uuid4().hex}"
+    src.write.parquet(fresh)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+    spark.catalog.refreshTable(table)
     return spark.table(table).count()
 
 

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +58,52 @@ def test_ingest_and_full_refresh(spark, tmp_path):
     assert back.columns == ["subject_id", "age"] and back.count() == 2
 
 
+def test_line_ids_over_many_files(spark, tmp_path):
+    """Three files, each read in several splits; ids are line numbers, files in order of their names."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    line = 0
+    for name in ("b.csv", "a.csv", "c.csv"):
+        (folder / name).write_text("")
+    for name in ("a.csv", "b.csv", "c.csv"):
+        text = "tier,age,port\n"
+        for _ in range(400):
+            text += f"{line % 3 + 1},{line}.0,S\n"
+            line += 1
+        (folder / name).write_text(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        df = FS.read_for_scoring(spark, str(folder), SCHEMA, "label", "subject_id")
+        rows = df.collect()
+        assert sorted(r["subject_id"] for r in rows) == list(range(1200))
+        assert all(r["age"] == r["subject_id"] for r in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_readers_see_old_or_new_rows(spark, tmp_path):
+    FS.ensure_database(spark, "sf_refresh_db")
+    FS.ensure_tables(spark, "sf_refresh_db", location=str(tmp_path / "tables"))
+    table = "sf_refresh_db.test_data"
+    one = spark.createDataFrame([(1, 2)], "subject_id long, tier int")
+    assert FS.full_refresh(spark, one, table) == 1
+    before = spark.table(table).select("subject_id")  # resolved before the refresh
+    assert FS.full_refresh(spark, one.union(one.selectExpr("5L", "3")), table) == 2
+    assert [r[0] for r in before.collect()] in ([1], [1, 5])
+    assert spark.read.parquet(FS.table_location(spark, table)).count() == 2
+    bad = one.withColumn("tier", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        FS.full_refresh(spark, bad, table)
+    assert spark.table(table).count() == 2  # a failed write leaves the rows
+
+
+def test_na_tokens_are_not_trimmed(spark, tmp_path):
+    path = _csv(tmp_path, "subject_id,label,tier,age,port\n1,1,3,22.5, NA \n2,0,1,NA,NA\n")
+    rows = {r["subject_id"]: r for r in FS.read_labelled(spark, path, SCHEMA, "label").collect()}
+    assert rows[1]["port"] == " NA " and rows[2]["port"] is None and rows[2]["age"] is None
+
+
 def test_responses_json_and_share_text(spark):
     rows = [(7, 1, 1, 0.91), (7, 2, 0, 0.30), (7, 3, 0, 0.55), (8, 1, 1, 0.62)]
     df = spark.createDataFrame(rows, "request_id long, idx long, pred int, prob double")
@@ -109,7 +157,10 @@ def test_runs_table_roundtrip(spark):
     from scoreflow.plans.training import RunResult, runs_frame
     path = shared_dir(spark, "runs-test")
     r = [RunResult("stage1__lr", "stage1", "lr", {"C": 1.0}, {"test_roc_auc": 0.81}, None, 2.0)]
-    TR.append_runs(runs_frame(spark, r), path)
+    for _ in range(3):  # a repeated write changes nothing
+        TR.append_runs(runs_frame(spark, r), path)
+    TR.append_runs(runs_frame(spark, [RunResult("stage1__mlp", "stage1", "mlp", {}, {}, None, 1.0)]), path)
+    assert sorted(r["run_id"] for r in TR.read_runs(spark, path).collect()) == ["stage1__lr", "stage1__mlp"]
     back = TR.read_runs(spark, path).where("run_id = 'stage1__lr'").collect()
     assert back and back[-1]["metrics"]["test_roc_auc"] == 0.81 and back[-1]["params"]["C"] == "1.0"
 

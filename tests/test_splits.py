@@ -46,3 +46,17 @@ def test_null_labels_and_ids_stay(spark):
         F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
     assert per[None] == (10, 2) and all(t == math.ceil(0.2 * n) for n, t in per.values())
     assert assign_folds(df, "label", "id").count() == 100
+
+
+def test_split_does_not_depend_on_layout(spark):
+    """Half of the rows share one id, half have none."""
+    rows = [(i % 2, 7 if i < 50 else None, f"row {i}") for i in range(100)]
+    found = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows if parts == 1 else rows[::-1], "label int, id long, text string").repartition(parts)
+        found.append((sorted(r["text"] for r in assign_split(df, "label", "id").where("is_test").collect()),
+                      sorted((r["text"], r["fold"]) for r in assign_folds(df, "label", "id").collect())))
+    assert found[0] == found[1] and len(found[0][0]) == 20
+    from scoreflow.operators.splits import stratified_rank
+    spread = stratified_rank(spark.createDataFrame(rows, "label int, id long, text string"), "label", "id")
+    assert spread.count() == 100
