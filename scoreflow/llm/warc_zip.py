@@ -205,7 +205,7 @@ def gzip_member(raw: bytes, level: int = LEVEL) -> bytes:
 # ---------------------------------------------------------------- Spark
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write every row as a record into packages under ``folder``; returns the manifest (path, records)."""
+    """Write every row as a record into packages under ``folder``; returns the manifest (path, records, bytes)."""
     body = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("payload"))
     p = p.withColumn("sha1", F.sha1("payload"))
@@ -223,9 +223,11 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
         def put():
             name = f"{uuid.uuid4().hex}.zip"
+            whole = package(held)
             with fs.open_output_stream(f"{root}/{name}") as f:
-                f.write(package(held))
-            return pa.record_batch({"path": pa.array([f"{folder}/{name}"]), "records": pa.array([len(held)], pa.int64())})
+                f.write(whole)
+            return pa.record_batch({"path": pa.array([f"{folder}/{name}"]), "records": pa.array([len(held)], pa.int64()),
+                                    "bytes": pa.array([len(whole)], pa.int64())})
 
         for b in batches:
             for key, url, payload, keeper in zip(*(b.column(c) for c in ("page_id", "url", "payload", "keeper"))):
@@ -238,7 +240,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if held:
             yield put()
 
-    return written(rows.mapInArrow(run, "path string, records long"), "manifest")
+    return written(rows.mapInArrow(run, "path string, records long, bytes long"), "manifest")
 
 
 def read_archives(manifest: DataFrame, id_type: str = "long", payload: bool = True,
@@ -274,7 +276,11 @@ def read_archives(manifest: DataFrame, id_type: str = "long", payload: bool = Tr
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in zip(names, kinds)], names=names)
 
     ranges = manifest.select("path").mapInArrow(plan, "path string, start long, lengths array<long>")
-    return ranges.repartition("path", "start").mapInArrow(read, ddl + (", payload binary" if payload else ""))
+    # a given number, from the bytes that the ranges stand for: adaptive execution would see the rows of the plan only, and
+    # read all archives in one task
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, -(-total // range_bytes))
+    return ranges.repartition(tasks, "path", "start").mapInArrow(read, ddl + (", payload binary" if payload else ""))
 
 
 def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,16 @@ def test_damage_is_reported():
     rec = W.record(1, "u", b"payload").replace(b"payload\r\n", b"pAyload\r\n")
     with pytest.raises(ValueError, match="digest"):
         W.parse_record(rec)
+
+
+def test_ranges_are_read_by_many_tasks(spark, documents):
+    """Adaptive execution must not put the few rows of the plan, which stand for all archives, into one task."""
+    from pyspark.sql import functions as F
+    from scoreflow.llm.common import shared_path
+    rng = __import__("random").Random(1)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(3000))) for i in range(200)]
+    d = spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("http://a/"))
+    manifest = W.write_archives(d, shared_path(spark, "many"), archive_bytes=60_000)
+    got = W.read_archives(manifest, range_bytes=20_000).withColumn("task", F.spark_partition_id())
+    assert got.count() == 200
+    assert got.select("task").distinct().count() >= 8
