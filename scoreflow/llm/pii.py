@@ -1,8 +1,8 @@
 """Personal data: base rules, and a character-level bidirectional LSTM with CRF transitions.
 
 The tagger (``bilstm_crf``) is trained in numpy from labelled spans: those that the rules' shapes find
-in a hash sample of documents, in ``TRAIN_WINDOWS`` windows at most, each also in altered spellings
-(other separators, no leading plus, spaces about the at sign) so that it learns more than the rules.
+in a hash sample of documents, in ``TRAIN_WINDOWS`` windows at most, each also in ``RESPELLINGS`` altered copies
+(other digits and separators, no leading plus, spaces about the at sign) so that it learns more than the rules.
 
 Texts are read in windows of ``WINDOW`` characters every ``STRIDE``.  A span must hold a digit or an at sign,
 so a window with neither can't hold one and isn't run.  Every window is decoded by Viterbi; then each
@@ -11,14 +11,16 @@ overlapping spans the set with the largest total score stays (weighted interval
 that remains must pass its kind's check (digits, Luhn, octets) and touch no base span.
 
 Defined results: null and empty texts have no spans; positions are code points, end exclusive; spans are
-listed by kind, then start; repeated rows are tagged alike; with no labelled span to learn from only
+listed by kind, then start; texts of any length are read whole; ``keep`` may not name an output; repeated rows are tagged alike; with no labelled span to learn from only
 the base rules speak; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,11 @@ from .common import plus, slices, table
 KINDS = ["email", "ip", "card", "phone"]
 WINDOW, STRIDE = 96, 48
 TRAIN_DOCS = 3000  # expected size of the hash sample that is searched for labelled spans
-TRAIN_WINDOWS = 1200
+TRAIN_WINDOWS = 4000
+RESPELLINGS = 6  # altered copies of a labelled window
 CHUNK = 2_000_000
 RUN_WINDOWS = 4096
-LEAST_SCORE = 0.9  # mean probability of the tags of a span that the method adds
+LEAST_SCORE = 0.8  # mean probability of the tags of a span that the method adds
 
 HOT = re.compile(r"[0-9@]")
 MAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
@@ -197,12 +200,13 @@ def added_spans(texts: list[str], base: list[list], model: BiLstmCrf | None) ->
     for i, found in spans.items():
         taken = sorted((a, b) for _, a, b in base[i])
         starts = [a for a, _ in taken]
+        reach = list(itertools.accumulate((b for _, b in taken), max))  # furthest end so far
         for k, a, b, score in reconcile(found):
             piece = texts[i][a:b]
             lead = len(piece) - len(piece.lstrip(" .,;:"))
             a, b = a + lead, a + len(piece.rstrip(" .,;:("))
             j = bisect.bisect_left(starts, b)
-            free = not any(x < b and a < y for x, y in taken[max(0, j - 4):j])
+            free = not j or reach[j - 1] <= a
             if free and score >= LEAST_SCORE and a < b and plausible(k, texts[i][a:b]):
                 out[i].append((k, a, b))
     return out
@@ -219,16 +223,26 @@ def labelled_window(text: str, start: int, spans) -> tuple[str, str]:
     return piece, "".join(map(str, tags))
 
 
-def respelt(kind: int, s: str) -> str:
-    """Another spelling of a labelled span."""
+def respelt(kind: int, s: str, words: list[str], draw: np.random.Generator) -> str:
+    """Another spelling of a labelled span, with other digits."""
+    def fresh(n: int) -> str:
+        return "".join(draw.choice(list("0123456789"), n))
+
     if kind == 0:
-        return s.replace("@", " @ ")
+        # names and hosts from the words about it, so that the spelling is learned and not the names
+        local = str(draw.choice(words)).lower() + fresh(draw.integers(0, 3)) if draw.random() < 0.8 else s.rpartition("@")[0]
+        domain = str(draw.choice(words)).lower() + draw.choice([".com", ".org", ".net", ".de", ".io"]) if draw.random() < 0.8 else s.rpartition("@")[2]
+        return draw.choice([f"{local} @ {domain}", f"{local} @ {domain.replace('.', ' . ')}", f"{local} @ {domain.replace('.', ' . ')}",
+                            f"{local}@ {domain}", f"{local} @{domain}"])
     if kind == 1:
-        return s.replace(".", " . ")
+        parts = [str(draw.integers(0, 256)) for _ in range(4)]
+        return draw.choice([" . ", ". ", " ."]).join(parts)
     if kind == 2:
-        d = NOT_DIGIT.sub("", s)
-        return ".".join(d[i:i + 4] for i in range(0, len(d), 4))
-    return s.lstrip("+").replace("(", "").replace(")", "").replace(" ", "-")
+        d = fresh(16)
+        return draw.choice([".", "_", "/", " - "]).join(d[i:i + 4] for i in range(0, len(d), 4))
+    a, b, c = fresh(3), fresh(3), fresh(4)
+    return draw.choice([f"{a}-{b}-{c}", f"1-{a}-{b}-{c}", f"({a}) {b}-{c}", f"{a}.{b}.{c}", f"{a}.{b}.{c}", f"00{fresh(2)} {a} {b}{c}", f"{a} {b} {c}",
+                        f"1 ({a}) {b}-{c}", f"00{fresh(2)}-{a}-{b}-{c}"])
 
 
 def constrained(model: BiLstmCrf) -> BiLstmCrf:
@@ -256,13 +270,15 @@ def training_windows(text: str):
             continue  # a span without its beginning teaches nothing
         piece, tags = labelled_window(text, start, near)
         yield piece, tags
-        out, out_tags, at = [], [], 0
-        for k, a, b in near:
-            new = respelt(k, text[a:b])
-            out += [piece[at:a - start], new]
-            out_tags += [tags[at:a - start], str(1 + 2 * k) + str(2 + 2 * k) * (len(new) - 1)]
-            at = b - start
-        if near:
+        words = [w for w in piece.split() if w.isalpha()] or ["name"]
+        for i in range(RESPELLINGS if near else 0):
+            draw = np.random.default_rng(zlib.crc32(f"{i}:{piece}".encode()))
+            out, out_tags, at = [], [], 0
+            for k, a, b in near:
+                new = respelt(k, text[a:b], words, draw)
+                out += [piece[at:a - start], new]
+                out_tags += [tags[at:a - start], str(1 + 2 * k) + str(2 + 2 * k) * (len(new) - 1)]
+                at = b - start
             yield ("".join(out) + piece[at:])[:WINDOW], ("".join(out_tags) + tags[at:])[:WINDOW]
 
 
@@ -291,6 +307,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
 
 def find(docs: DataFrame, model: BiLstmCrf | None, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns, ``base`` and ``spans`` (arrays of kind, start, end) of every row."""
+    if clash := {"base", "spans"} & {c.lower() for c in keep}:
+        raise ValueError(f"kept columns clash with results: {sorted(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(
         None if model is None else {k: v.astype(np.float32) for k, v in model.p.items()})
     cols = docs.select(*keep, F.col(text_col).alias("__text"))

@@ -115,6 +115,65 @@ def test_added_spans(spark, model, documents):
     assert [r["spans"] for r in P.find(documents([(1, "no model 1-337-555-7349")]), None, ["doc_id"]).collect()] == [[]]
 
 
+SPELLINGS = {
+    "email a @ b.com": ("email", lambda d: f"{d['w']}{d['n'][:2]} @ {d['v']}.com"), "email a @ b . com": ("email", lambda d: f"{d['w']} @ {d['v']} . com"),
+    "ip spaced": ("ip", lambda d: " . ".join(d["o"])), "card dots": ("card", lambda d: ".".join(d["c"])), "card underscores": ("card", lambda d: "_".join(d["c"])),
+    "phone ddd-ddd-dddd": ("phone", lambda d: f"{d['a']}-{d['b']}-{d['n']}"), "phone 1-": ("phone", lambda d: f"1-{d['a']}-{d['b']}-{d['n']}"),
+    "phone (ddd)": ("phone", lambda d: f"({d['a']}) {d['b']}-{d['n']}"), "phone dots": ("phone", lambda d: f"{d['a']}.{d['b']}.{d['n']}"),
+    "phone 00": ("phone", lambda d: f"0044 {d['a']} {d['b']}{d['n']}"),
+}
+
+
+def test_recall_of_each_spelling(spark, duck):
+    """Trained as the query trains; planted once per text among words of the corpus, found by place at the product's own score."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    model = P.train(docs)
+    rng = np.random.default_rng(9)
+    words = [w for r in duck.sql("select text from documents where lang = 'en' limit 60").fetchall() for w in r[0].split() if w.isalpha()]
+    recall, made, right = {}, 0, 0
+    for name, (kind, spell) in SPELLINGS.items():
+        texts, want = [], []
+        for _ in range(60):
+            digits = "".join(rng.choice(list("0123456789"), 15))
+            check = next(x for x in "0123456789" if P.luhn(digits + x))
+            card = digits + check
+            d = {"w": rng.choice(words).lower(), "v": rng.choice(words).lower(), "n": "".join(rng.choice(list("0123456789"), 4)),
+                 "a": str(rng.integers(201, 999)), "b": str(rng.integers(201, 999)), "o": [str(rng.integers(0, 256)) for _ in range(4)],
+                 "c": [card[i:i + 4] for i in range(0, 16, 4)]}
+            left, right_ = " ".join(rng.choice(words, rng.integers(3, 30))), " ".join(rng.choice(words, rng.integers(3, 30)))
+            span = spell(d)
+            texts.append(f"{left} {span} {right_}")
+            want.append((kind, len(left) + 1, len(left) + 1 + len(span)))
+        base = [P.base_spans(t) for t in texts]
+        got = [[(P.KINDS[k], a, b) for k, a, b in sorted(x + y)] for x, y in zip(base, P.added_spans(texts, base, model))]
+        recall[name] = sum(w in g for w, g in zip(want, got)) / len(texts)
+        made += sum(map(len, got))
+        right += sum(w in g for w, g in zip(want, got))
+    print(recall, right / made)
+    assert min(recall.values()) >= 0.9, recall
+    assert right / made >= 0.9
+    plain = [r[0] or "" for r in duck.sql("select text from documents").fetchall()]
+    base = [P.base_spans(t) for t in plain]
+    assert sum(map(len, P.added_spans(plain, base, model))) <= 0.05 * sum(map(len, base))  # little beyond the rules in the corpus itself
+
+
+def test_added_spans_touch_no_base_span(monkeypatch):
+    """Many short base spans inside a long one: the long one's end counts."""
+    text = "a1.1.1.1_b2.2.2.2_c3.3.3.3_d4.4.4.4_1-337-555-7349@x.com"
+    base = [P.base_spans(text)]
+    at = text.index("1-337")
+
+    class Stub:
+        def decode(self, ids):
+            tags, chance = np.zeros(ids.shape, int), np.ones(ids.shape)
+            for r in range(len(ids)):
+                if len(ids) and at + 14 <= P.WINDOW:
+                    tags[r, at], tags[r, at + 1:at + 14] = 7, 8
+            return tags, chance
+
+    assert P.added_spans([text], base, Stub()) == [[]]
+
+
 def test_reconcile_joins_cut_pieces_and_picks_the_best_set():
     cut = [(0, 10, 40, 0.9, False, True), (0, 30, 70, 0.8, True, False)]
     assert P.reconcile(cut) == [(0, 10, 70, 0.9)]
