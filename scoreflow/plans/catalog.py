@@ -636,6 +636,17 @@ def q_refit_fold_metrics(spark, sf_dir):
     return M.binary_metrics(refit_folds(spark, sf_dir), LABEL, "pred", "prob", by=["fold"], score="margin")
 
 
+@register("numeric_columns")
+def q_numeric_columns(spark, sf_dir):
+    """Listed columns dropped where present (one of them is not), then all remaining strings."""
+    return Q.drop_string_columns(Q.drop_present(subjects(spark, sf_dir), ["full_name", "ticket", "sibsp"]))
+
+
+@register("positive_share_text")
+def q_positive_share_text(spark, sf_dir):
+    return B.share_text(prediction_rows(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- k-NN (M7)
 
 from scoreflow.operators import neighbors as KN  # noqa: E402

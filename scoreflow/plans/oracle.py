@@ -526,3 +526,7 @@ fconf as (select fold, """ + _CONF.replace("scored.label", "folded.label") + ",
 
 
 ORACLE["refit_fold_metrics"] = _refit_sql()
+
+ORACLE["numeric_columns"] = with_ctes(body="select subject_id, label, tier, age, parch, fare from subjects")
+ORACLE["positive_share_text"] = with_ctes(*_SC, body="""
+select printf('%d/%d positive (%.1f%%)', cast(sum(pred) as bigint), count(*), sum(pred) * 100.0 / count(*)) as text from scored""")

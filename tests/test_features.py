@@ -44,11 +44,17 @@ def test_features_have_no_nulls_and_float32(passengers):
 
 
 def test_train_only_statistics(passengers):
-    """Changing rows the model was not fit on changes no statistic."""
-    train = passengers.where("subject_id <= 6")
-    a = EncodedFeatures().fit(train).fitted()
-    b = EncodedFeatures().fit(train.unionByName(train.limit(0))).fitted()
-    assert a == b
+    """Changing held-out rows changes no statistic; changing a training row does."""
+    def fitted(changed):
+        rows = passengers.withColumn("is_test", F.col("subject_id") > 6)
+        for c, v in (("age", 99.0), ("fare", 1e6), ("port", "Q")):
+            rows = rows.withColumn(c, F.when(changed, F.lit(v)).otherwise(F.col(c)))
+        return EncodedFeatures().fit(rows.where(~F.col("is_test"))).fitted()
+
+    plain = fitted(F.lit(False))
+    assert fitted(F.col("subject_id") > 6) == plain
+    other = fitted(F.col("subject_id") == 2)
+    assert all(other[k] != plain[k] for k in ("fareMedian", "titleAges"))
 
 
 def test_fare_edges_collapse(spark):
