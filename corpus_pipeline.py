@@ -31,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every SimHash group."""
+    """One document of every SimHash group, the one with the smallest doc_id; null and empty texts are one group."""
     return simhash.first_of_each(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
@@ -44,8 +44,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret replaced by a mask; n_chars follows where a text changes."""
-    found = secret_scan.analyse(docs.select(*COLUMNS), COLUMNS)
+    """All documents, every secret replaced by a mask; n_chars follows where a text changes.  A null or empty text has
+    no secret and stays as it is; repeated rows and rows without doc_id are masked alike."""
+    # written once: the thresholds and the masks both read it
+    found = written(secret_scan.analyse(docs.select(*COLUMNS), COLUMNS), "analysed")
     spans = found.withColumn("spans", secret_scan.all_spans(secret_scan.thresholds(found)))
     masked = spans.withColumn("masked", secret_scan.redacted(F.col("text"), F.col("spans")))
     return masked.select("doc_id", F.col("masked").alias("text"), "lang", "source", F.when(
@@ -53,7 +55,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, digests of the ids and of the decoded text, and whether that text is exact."""
+    """Every document (null text: no tokens): doc_id, n_tokens, digests of the ids and of the decoded text, and whether that text is exact."""
     return sentencepiece_viterbi.round_trip(docs)
 
 
@@ -65,8 +67,8 @@ STAGES = [
     ("sentencepiece", tokenise),
 ]
 
-#: Language model, SimHash components and the Viterbi search can't be written in SQL; tests hold the
-#: pipeline against a brute-force version.
+#: Language model, SimHash components and the Viterbi search can't be written in SQL; tests hold each operator against a
+#: brute-force version, and the pipeline against its stages.
 ORACLE_SQL = None
 
 
