@@ -161,6 +161,22 @@ def test_adaboost_equals_plain_boosting(spark, monkeypatch):
     assert [g[4] for g in got] == pytest.approx([w[4] for w in want])
 
 
+@pytest.mark.parametrize("codes", [0, 5, 4096])
+def test_adaboost_with_lists_and_codes_equals_plain_boosting(spark, monkeypatch, codes):
+    """All features in lists, some of them, none: the same stumps."""
+    import numpy as np
+    from scoreflow.operators import attribute_lists as A
+    for name, value in (("PART_ROWS", 150), ("BLOCK_ROWS", 64), ("RENEW", 3), ("MOST_CODES", codes)):
+        monkeypatch.setattr(A, name, value)
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.integers(0, 4, 300), rng.normal(size=300).round(2), rng.integers(0, 90, 300)], 1).astype(float)
+    y = ((x[:, 0] + x[:, 1] + x[:, 2] / 40 + rng.normal(size=300) * 0.7) > 3).astype(int)
+    df = spark.createDataFrame([(list(map(float, a)), int(b)) for a, b in zip(x, y)], "x array<double>, y int").repartition(3)
+    got, want = A.boost_stumps(df, 3, 7, 0.5), plain_boosting(x, y, 7, 0.5)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert [g[4] for g in got] == pytest.approx([w[4] for w in want])
+
+
 def test_stage1_two_learners(spark, split):
     train, test = split
     cfg = TRN.TrainConfig(folds=3, parallelism=2, overrides=SMALL)
