@@ -177,6 +177,13 @@ def test_adaboost_with_lists_and_codes_equals_plain_boosting(spark, monkeypatch,
     assert [g[4] for g in got] == pytest.approx([w[4] for w in want])
 
 
+def test_adaboost_lists_hold_a_row_once_per_wide_feature(spark):
+    from scoreflow.operators import attribute_lists as A
+    df = spark.createDataFrame([([float(i % 3), float(i % 7), float(i)], i % 2) for i in range(500)], "x array<double>, y int")
+    lists, total, layout = A.attribute_lists(df, 3)
+    assert total == 500 and layout.wide == [] and sum(len(r["y"]) for r in lists.collect()) == 500
+
+
 def test_stage1_two_learners(spark, split):
     train, test = split
     cfg = TRN.TrainConfig(folds=3, parallelism=2, overrides=SMALL)
