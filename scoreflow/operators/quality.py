@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,10 +94,13 @@ def normalised_fields(get) -> dict[str, Column]:
     }
 
 
-def rule_codes(v: dict[str, Column]) -> Column:
-    """Array of rule codes a normalised record breaks; empty when valid."""
+RULED_FIELDS = ("tier", "sex", "age", "sibsp", "parch", "fare", "port")
+
+
+def _rules(v: dict[str, Column]) -> list[tuple[Column, str]]:
+    """(whether a normalised record breaks the rule, code of the rule)"""
     t, s, a, f, p = v["tier"], v["sex"], v["age"], v["fare"], v["port"]
-    rules = [
+    return [
         (t.isNull() | (t < TIER_RANGE[0]) | (t > TIER_RANGE[1]), "tier_out_of_range"),
         (s.isNull() | ~s.isin(*SEX_VALUES), "sex_invalid"),
         (a.isNotNull() & ((a < AGE_RANGE[0]) | (a > AGE_RANGE[1])), "age_out_of_range"),
@@ -105,7 +109,11 @@ def rule_codes(v: dict[str, Column]) -> Column:
         (f.isNotNull() & (f < 0), "fare_negative"),
         (p.isNotNull() & ~p.isin(*PORT_VALUES), "port_invalid"),
     ]
-    return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in rules]))
+
+
+def rule_codes(v: dict[str, Column]) -> Column:
+    """Array of rule codes a normalised record breaks; empty when valid."""
+    return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in _rules(v)]))
 
 
 def normalise(df: DataFrame, sex: str = "sex", port: str = "port") -> DataFrame:
@@ -141,29 +149,51 @@ JSON_FIELDS = {
 }
 
 
-def _typed(x: Column, name: str) -> tuple[Column, Column]:
-    """(value or NULL, whether the type is wrong) of a field of a variant record.  Numbers may come as
-    text, text may not come as numbers, a count must be whole, and null is a value only where allowed."""
-    kind, null_ok = JSON_FIELDS[name]
-    given = F.schema_of_variant(F.try_variant_get(x, f"$.{name}", "variant"))
-    raw = F.try_variant_get(x, f"$.{name}", "string")
+RECORD_VARIANTS = f"array<struct<{','.join(f'{n}:variant' for n in JSON_FIELDS)}>>"
+RECORD_TEXTS = f"array<struct<{','.join(f'{n}:string' for n in JSON_FIELDS)}>>"
+RECORD_VALUES = f"array<struct<{','.join(f'{n}:' + ('string' if k == 'string' else 'double') for n, (k, _) in JSON_FIELDS.items())}>>"
+
+
+def _fits(given: Column, value: Column, name: str) -> Column:
+    """Whether a field that is there has its type.  Numbers may come as text, text may not come as
+    numbers, a count must be whole."""
+    kind, _ = JSON_FIELDS[name]
     if kind == "string":
-        value, fits = F.when(given == "STRING", raw), given == "STRING"
-    else:
-        number = raw.try_cast("double")
-        value = number.try_cast("int") if kind == "int" else number
-        fits = number.isNotNull() & ~F.isnan(number)
-        if kind == "int":
-            fits = fits & (number == F.floor(number)) & value.isNotNull()
-        value = F.when(fits, value)
-    wrong = given.isNotNull() & F.when(given == "VOID", F.lit(not null_ok)).otherwise(~F.coalesce(fits, F.lit(False)))
-    return value, wrong
+        return F.coalesce(F.schema_of_variant(given) == "STRING", F.lit(False))
+    number = value.isNotNull() & ~F.isnan(value)
+    return number & (value == F.floor(value)) & value.try_cast("int").isNotNull() if kind == "int" else number
+
+
+def _wrong(given: Column, value: Column, name: str) -> Column:
+    """Whether the type is wrong; null is a value only where allowed."""
+    wrong = given.isNotNull() & ~_fits(given, value, name)
+    return wrong & ~F.is_variant_null(given) if JSON_FIELDS[name][1] else wrong
+
+
+def _records(body: Column) -> Column:
+    """The typed records of a request, with their wrong types and whether they break a rule.
+
+    A function inside an array is worked out as it is written, shared parts as often as they appear; so fields are read by two
+    casts of the whole array, and each further step (type, normalise, judge) is an array of its own.
+    """
+    given = F.try_variant_get(body, "$.passengers", RECORD_VARIANTS)
+    values = F.try_variant_get(body, "$.passengers", RECORD_TEXTS).try_cast(RECORD_VALUES)
+
+    def typed(g: Column, v: Column) -> Column:
+        return F.struct(*[F.struct(F.when(_fits(g[n], v[n], n), v[n].try_cast(k)).alias("value"), _wrong(g[n], v[n], n).alias("wrong")).alias(n)
+                          for n, (k, _) in JSON_FIELDS.items()])
+
+    def record(x: Column) -> Column:
+        wrong = F.array_compact(F.array(*[F.when(x[n]["wrong"], F.lit(f"{n}_type")) for n in JSON_FIELDS]))
+        ruled = normalised_fields(lambda n: x[n]["value"])
+        return F.struct(*[x[n]["value"].alias(n) for n in JSON_FIELDS], wrong.alias("_types"),
+                        F.struct(*[c.alias(n) for n, c in ruled.items()]).alias("_ruled"))
 
+    def judged(x: Column) -> Column:
+        broken = reduce(lambda a, b: a | b, [c for c, _ in _rules({n: x["_ruled"][n] for n in RULED_FIELDS})], F.size(x["_types"]) > 0)
+        return F.struct(*[x[n].alias(n) for n in [*JSON_FIELDS, "_types"]], broken.alias("_bad"))
 
-def _record(x: Column) -> Column:
-    fields = {n: _typed(x, n) for n in JSON_FIELDS}
-    wrong = F.array_compact(F.array(*[F.when(w, F.lit(f"{n}_type")) for n, (_, w) in fields.items()]))
-    return F.struct(*[v.alias(n) for n, (v, _) in fields.items()], wrong.alias("_types"))
+    return F.transform(F.transform(F.zip_with(given, values, typed), record), judged)
 
 
 def explode_requests(requests: DataFrame, request_id: str = "request_id",
@@ -177,12 +207,9 @@ def explode_requests(requests: DataFrame, request_id: str = "request_id",
     grouping and works on streams.
     """
     parsed = requests.select(request_id, F.try_parse_json(F.col(body)).alias("_v"))
-    listed = F.try_variant_get("_v", "$.passengers", "array<variant>")
-    parsed = parsed.select(request_id, F.col("_v").isNull().alias("_malformed"),
-                           F.transform(listed, _record).alias("_recs"))
+    parsed = parsed.select(request_id, F.col("_v").isNull().alias("_malformed"), _records(F.col("_v")).alias("_recs"))
     recs = F.col("_recs")
-    bad = (F.coalesce(F.size(recs), F.lit(0)) <= 0) | F.exists(
-        recs, lambda x: (F.size(x["_types"]) > 0) | (F.size(rule_codes(normalised_fields(lambda n: x[n]))) > 0))
+    bad = (F.coalesce(F.size(recs), F.lit(0)) <= 0) | F.exists(recs, lambda x: x["_bad"])
     exploded = parsed.select(request_id, "_malformed", bad.alias("_request_bad"),
                              F.posexplode_outer(recs).alias("_pos", "_p"))
     return exploded.select(request_id, "_malformed", "_request_bad",

@@ -65,3 +65,21 @@ def test_malformed_request(spark):
     df = spark.createDataFrame([(1, '{"passengers": [{"tier": 1'), (2, '{"other": 1}')], "request_id long, body string")
     got = {r["request_id"]: r["violations"] for r in Q.validate_requests(Q.explode_requests(df)).collect()}
     assert got == {1: ["malformed_json"], 2: ["empty_request"]}
+
+
+def test_fields_are_read_by_two_casts_of_the_whole_request(spark):
+    """However many fields and rules there are, the parsed request is read twice (values, and what kind they are)."""
+    df = spark.createDataFrame([(1, '{"passengers": [{"tier": 1, "sex": "male"}]}')], "request_id long, body string")
+    plan = Q.explode_requests(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") == 2
+
+
+def test_odd_records(spark):
+    """Records that are no objects, flags for numbers, counts that don't fit, and a valid sibling of each."""
+    bodies = [{"passengers": [{"tier": 1, "sex": "male"}, r]} for r in
+              (5, None, {"tier": True, "sex": "male"}, {"tier": 3e9, "sex": "male"}, {"tier": 1, "sex": "male", "port": None, "age": "NaN"})]
+    got = Q.validate_requests(Q.explode_requests(_requests(spark, bodies))).collect()
+    assert {r["request_id"]: r["violations"] for r in got if r["passenger_index"] == 1} == {
+        0: ["tier_out_of_range", "sex_invalid"], 1: ["tier_out_of_range", "sex_invalid"], 2: ["tier_out_of_range", "tier_type"],
+        3: ["tier_out_of_range", "tier_type"], 4: ["age_type"]}
+    assert [r["violations"] for r in got if r["passenger_index"] == 0] == [["request_rejected"]] * 5
