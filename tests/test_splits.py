@@ -60,3 +60,18 @@ def test_split_does_not_depend_on_layout(spark):
     from scoreflow.operators.splits import stratified_rank
     spread = stratified_rank(spark.createDataFrame(rows, "label int, id long, text string"), "label", "id")
     assert spread.count() == 100
+
+
+def test_split_shuffles_counts_and_one_bucket_but_no_other_row(spark):
+    """Rows that repeat throughout, shares of none and all, and a plan in which no shuffle carries the rows' columns
+    but the one of the shared bucket, behind its filter."""
+    rows = [(i % 3 if i % 3 else None, i // 4, f"text {i // 4}") for i in range(400)]
+    df = spark.createDataFrame(rows, "label int, id long, text string").repartition(3)
+    for share in (0.0, 0.2, 0.33, 1.0):
+        s = assign_split(df, "label", "id", test_size=share, prefix_len=1)
+        n = stratified_rank(df, "label", "id", prefix_len=1)
+        want = n.withColumn("is_test", F.col("_rank") <= F.ceil(F.lit(share) * F.col("_class_n")))
+        assert sorted(map(str, s.collect())) == sorted(map(str, want.select("label", "id", "text", "is_test").collect()))
+    plan = s._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = [i for i, line in enumerate(plan) if "Window [row_number()" in line]
+    assert len(windows) == 1 and any("Filter" in line and "_cut" in line for line in plan[windows[0]:])
