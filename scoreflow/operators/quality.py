@@ -210,8 +210,9 @@ def explode_requests(requests: DataFrame, request_id: str = "request_id",
     parsed = parsed.select(request_id, F.col("_v").isNull().alias("_malformed"), _records(F.col("_v")).alias("_recs"))
     recs = F.col("_recs")
     bad = (F.coalesce(F.size(recs), F.lit(0)) <= 0) | F.exists(recs, lambda x: x["_bad"])
-    exploded = parsed.select(request_id, "_malformed", bad.alias("_request_bad"),
-                             F.posexplode_outer(recs).alias("_pos", "_p"))
+    # once per request: after the explode, every record would walk through its whole request again
+    judged = parsed.select(request_id, "_malformed", bad.alias("_request_bad"), "_recs")
+    exploded = judged.select(request_id, "_malformed", "_request_bad", F.posexplode_outer("_recs").alias("_pos", "_p"))
     return exploded.select(request_id, "_malformed", "_request_bad",
                            F.col("_pos").cast("bigint").alias("passenger_index"),
                            (F.col("_pos") + 1).cast("bigint").alias("subject_id"),

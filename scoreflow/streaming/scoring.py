@@ -3,11 +3,14 @@
 Source: a directory of text files, one JSON request per line
 (``{"request_id": ..., "passengers": [...]}``).  The plan is stateless --
 parse, explode records (index = position), conform, normalise, validate,
-featurise, score -- so no watermark or state store is needed.  Two append
-queries share the source: accepted records go to the predictions sink,
-rejected ones (with their violation codes) to the reject sink.  Both sinks
-are parquet file sinks, exactly-once through their metadata logs, with
-checkpoints under the cluster's checkpoint directory; ``availableNow``
+featurise, score -- so no watermark or state store is needed.  One query
+reads every line once: a micro-batch is parsed and judged, kept while both
+sinks are written, and dropped.  Accepted records go to the predictions sink,
+rejected ones (with their violation codes) to the reject sink.  Both sinks are
+parquet folders with one partition per micro-batch (column ``batch``).  A batch
+that is run again after a failure holds the same files (they are in the
+checkpoint) and replaces its own partitions, so no row is lost or doubled.
+The checkpoint lies under the cluster's checkpoint directory; ``availableNow``
 processes everything present and stops.
 """
 
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,24 +35,29 @@ def request_records(lines: DataFrame) -> DataFrame:
     return Q.validate_requests(Q.explode_requests(req))
 
 
+def write_batch(records: DataFrame, batch: int, score: Callable[[DataFrame], DataFrame], out_dir: str, reject_dir: str) -> None:
+    """The accepted, scored and the rejected records of a micro-batch, into its partition of either sink."""
+    kept = records.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rejected = Q.rejected(kept).select("request_id", "passenger_index", "subject_id", "violations")
+        for rows, path in ((score(Q.accepted(kept)), out_dir), (rejected, reject_dir)):
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    finally:
+        kept.unpersist()
+
+
 def start_scoring(spark: SparkSession, source_dir: str, score: Callable[[DataFrame], DataFrame],
                   out_dir: str, reject_dir: str, checkpoint_dir: str,
                   available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the accepted and rejected sinks; returns both streaming queries."""
+    """Start the query that fills the accepted and the rejected sink; returns the streaming queries."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    recs = request_records(reader.load(source_dir))
-    accepted = score(Q.accepted(recs))
-    rejected = Q.rejected(recs).select("request_id", "passenger_index", "subject_id", "violations")
-
-    def sink(df: DataFrame, path: str, name: str):
-        w = (df.writeStream.format("parquet").outputMode("append")
-             .option("path", path).option("checkpointLocation", f"{checkpoint_dir}/{name}"))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-        return w.start()
-
-    return sink(accepted, out_dir, "accepted"), sink(rejected, reject_dir, "rejected")
+    w = (request_records(reader.load(source_dir)).writeStream
+         .foreachBatch(lambda records, batch: write_batch(records, batch, score, out_dir, reject_dir))
+         .option("checkpointLocation", f"{checkpoint_dir}/requests"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return (w.start(),)
 
 
 def run_to_completion(queries) -> None:

@@ -83,3 +83,11 @@ def test_odd_records(spark):
         0: ["tier_out_of_range", "sex_invalid"], 1: ["tier_out_of_range", "sex_invalid"], 2: ["tier_out_of_range", "tier_type"],
         3: ["tier_out_of_range", "tier_type"], 4: ["age_type"]}
     assert [r["violations"] for r in got if r["passenger_index"] == 0] == [["request_rejected"]] * 5
+
+
+def test_a_request_is_judged_once_and_not_by_every_record(spark):
+    requests = spark.createDataFrame([(1, '{"passengers":[{"tier":1,"sex":"male"},{"tier":9,"sex":"male"}]}')], "request_id long, body string")
+    records = Q.accepted(Q.validate_requests(Q.explode_requests(requests)))
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("exists(")
+    assert records.collect() == []

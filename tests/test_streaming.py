@@ -42,3 +42,22 @@ def test_stream_restart_is_incremental_and_equals_batch(spark, tmp_path):
     batch = scorer(Q.accepted(STR.request_records(lines)))
     cols = ["request_id", "passenger_index", "pred", "prob", "confidence"]
     assert sorted(batch.select(*cols).collect()) == sorted(accepted.select(*cols).collect())
+
+
+def test_stream_reads_a_line_once_and_a_batch_run_again_replaces_itself(spark, tmp_path):
+    src, out, rej, ck = (str(tmp_path / d) for d in ("in", "out", "rej", "ck"))
+    (tmp_path / "in").mkdir()
+    _write_requests(f"{src}/a.json", 0, 12, bad_every=3)
+
+    def scorer(records):
+        return records.select("request_id", "passenger_index", "fare")
+    qs = STR.start_scoring(spark, src, scorer, out, rej, ck)
+    STR.run_to_completion(qs)
+    assert sum(p["numInputRows"] for q in qs for p in q.recentProgress) == 12
+
+    def rows():
+        return [sorted(spark.read.parquet(d).select("request_id", "passenger_index").collect()) for d in (out, rej)]
+    first = rows()
+    assert [len(r) for r in first] == [24, 12]
+    STR.write_batch(STR.request_records(spark.read.text(src)), 0, scorer, out, rej)
+    assert rows() == first
