@@ -41,3 +41,41 @@ def test_all_rows_over_blocks_and_spark_scores_with_the_weights(spark, monkeypat
     mine = P.loss_and_gradient(x, y, fitted, layers)[0] / len(y)
     p = np.array([r["probability"].toArray() for r in m.transform(df).select("probability").collect()])
     assert mine < 0.2 and -np.log(p[np.arange(len(y)), y]).mean() == pytest.approx(mine, rel=1e-6)
+
+
+def plain(x, y, flat, layers):
+    """Mean loss and gradient, written out as the formulas stand."""
+    net = P.unpack(flat, layers)
+    held = [x]
+    for w, b in net[:-1]:
+        held.append(1 / (1 + np.exp(-(held[-1] @ w + b))))
+    z = held[-1] @ net[-1][0] + net[-1][1]
+    p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    delta, parts = p - np.eye(p.shape[1])[y], []
+    for i in range(len(net) - 1, -1, -1):
+        parts = [(held[i].T @ delta).ravel(), delta.sum(0), *parts]
+        if i:
+            delta = (delta @ net[i][0].T) * held[i] * (1 - held[i])
+    return -np.log(p[np.arange(len(y)), y]).mean(), np.concatenate(parts) / len(y)
+
+
+@pytest.mark.parametrize("layers", [[4, 2], [4, 7, 2], [4, 9, 5, 3]])
+def test_a_step_is_one_pass_with_a_task_per_core(spark, monkeypatch, layers):
+    """Uneven blocks, any number of layers and classes; what a task returns depends on the weights alone."""
+    monkeypatch.setattr(P, "PART_ROWS", 10)
+    monkeypatch.setattr(P, "BLOCK_ROWS", 7)
+    x, _ = data()
+    y = np.arange(len(x)) % layers[-1]
+    blocks = P.packed(spark.createDataFrame([(list(map(float, a)), int(b)) for a, b in zip(x, y)], "x array<double>, y int"))
+    assert blocks.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sum(len(b) for _, b in blocks.collect()) == len(y) and max(len(b) for _, b in blocks.collect()) == 7
+    w = np.random.default_rng(4).normal(size=sum(a * b + b for a, b in zip(layers, layers[1:])))
+    (loss, grad), (want, slope) = P.evaluate(blocks, w, layers), plain(x, y, w, layers)
+    assert loss == pytest.approx(want, rel=1e-5) and np.allclose(grad, slope, atol=1e-5)
+
+
+def test_saturated_units_stay_finite():
+    x, y = data(40)
+    w = np.random.default_rng(6).normal(size=4 * 6 + 6 + 6 * 2 + 2) * 300
+    loss, grad = P.loss_and_gradient(x.astype(np.float32), y, w, [4, 6, 2])
+    assert np.isfinite(loss) and np.isfinite(grad).all()
