@@ -3,11 +3,12 @@
 Fit: a kd-tree is cut on a hash sample of ``SAMPLE_ROWS`` training rows (widest dimension, median); the sample only
 decides where space is cut.  All rows descend to their leaf; a leaf that holds more than its share (many equal
 points) is dealt over several buckets by a hash.  Each bucket's rows are packed into blocks (one table row, at most
-``4 * leaf_rows`` points) with the box around them.
+``4 * leaf_rows`` points) with the box around them; inside a block points lie in the order of a smaller kd-tree, in runs
+of at most ``RUN`` rows that are close together, each with a narrow box of its own.
 
-Search: a query first visits the bucket that a walk down a hierarchy of boxes leads to (``FAN`` neighbouring boxes under one).
-From then on only boxes no farther than its k-th neighbour so far are followed down, so a query meets a few branches and not
-all buckets.  Round by round it visits its next 3, 6, 12, ... nearest of them; visits meet the blocks by an equi-join
+Search: a query first visits its home, the bucket with the nearest box, found in a hierarchy of boxes (``FAN`` neighbouring boxes under one).
+Inside a bucket it measures the distance to the boxes of the runs, takes a bound from the nearest run and looks only at runs no farther.
+Then only buckets no farther than its k-th neighbour so far count, found by following only near boxes down.  Round by round a query visits its next 3, 6, 12, ... nearest of them; visits meet the blocks by an equi-join
 on the bucket (blocks stream first, visits after them, so a task holds one block and a batch of visits).  A bucket with
 many visits is copied to several tasks.  A query that no box is near enough for is finished and leaves the rounds, so the
 result is exact and most (query, row) and (query, bucket) pairs are never formed.
@@ -34,10 +35,14 @@ from pyspark.sql import functions as F
 from scoreflow.session import shared_dir, written
 
 SAMPLE_ROWS = 50_000  # expected size of the sample that the tree is cut on
-LEAF_ROWS = 1024
+LEAF_ROWS = 8192
+RUN = 64
 MOST_LEAVES = 32_768  # boxes are sent to every task; beyond it leaves grow
 VISITS = 20_000  # visits of one bucket that one task takes
+TASK_VISITS = 40_000  # of all buckets; fewer where cores would be idle
+TASK_BUCKETS = 32  # whose blocks may meet in one batch
 CELLS = 2_000_000  # distances held at once inside a task
+CACHED = 65_536  # numbers that stay in a core's cache
 FAN = 8
 BEST = "array<struct<d:double,id:bigint,label:int>>"
 
@@ -87,22 +92,51 @@ def _matrix(column) -> np.ndarray:
     return flat[offsets[0]:offsets[-1]].reshape(len(column), -1).astype(float)
 
 
-def _power(gap: np.ndarray, p: int) -> np.ndarray:
-    out = gap
-    for _ in range(p - 1):
-        out = out * gap
-    return out
-
-
 def _sums(gaps, p: int) -> np.ndarray:
-    """Sum of |gap|**p, one dimension after the other: the same digits as a SQL sum written out."""
+    """Sum of |gap|**p, one dimension after the other: the same digits as a SQL sum written out.  The gaps are overwritten."""
     total = None
     for g in gaps:
-        t = _power(np.abs(g), p)
-        total = t if total is None else total + t
+        t = np.abs(g, out=g)
+        if p > 1:
+            t = g * g
+            for _ in range(p - 2):
+                t *= g
+        total = t if total is None else np.add(total, t, out=total)
     return total
 
 
+def _outside(low: np.ndarray, high: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """How far x lies outside of [low, high]; never more than its distance to a number in there, digits included."""
+    gap = low - x
+    np.maximum(gap, x - high, out=gap)
+    return np.maximum(gap, 0.0, out=gap)
+
+
+def kd_order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows in which runs of at most ``RUN`` are close together, and where the runs end.  The widest dimension is
+    cut at the value nearest to its median, so that equal values stay on one side and few runs overlap."""
+    order, todo, ends = np.arange(len(x)), [(0, len(x))], []
+    while todo:
+        a, b = todo.pop()
+        if b - a <= RUN:
+            ends.append(b)
+            continue
+        part = x[order[a:b]]
+        spread = part.max(0) - part.min(0)
+        d = int(spread.argmax())
+        if not spread[d] > 0:
+            ends += [*range(a + RUN, b, RUN), b]
+            continue
+        v = part[:, d]
+        middle = np.partition(v, (b - a) // 2)[(b - a) // 2]
+        below, upto = v < middle, v <= middle
+        n, m = int(below.sum()), int(upto.sum())
+        left, n = (below, n) if n and (m == b - a or abs(2 * n - (b - a)) <= abs(2 * m - (b - a))) else (upto, m)
+        order[a:b] = np.concatenate([order[a:b][left], order[a:b][~left]])
+        todo += [(a, a + n), (a + n, b)]
+    return order, np.array(sorted(ends), np.int32)
+
+
 # ---------------------------------------------------------------- index
 def build_index(rows: DataFrame, leaf_rows: int = LEAF_ROWS, sample_rows: int = SAMPLE_ROWS):
     """``rows``: id long, label int, x array<double>.  Returns (blocks, boxes): blocks is a written table, boxes the
@@ -136,8 +170,10 @@ def build_index(rows: DataFrame, leaf_rows: int = LEAF_ROWS, sample_rows: int =
 
         def block():
             ids, labels, x = (np.concatenate(c) for c in zip(*held))
+            near, runs = kd_order(x)
+            ids, labels, x = ids[near], labels[near], x[near]
             return pa.record_batch({"bucket": pa.array([at], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
-                                    "labels": pa.array([labels.tobytes()], pa.binary()), "points": pa.array([x.tobytes()], pa.binary()),
+                                    "labels": pa.array([labels.tobytes()], pa.binary()), "points": pa.array([x.tobytes()], pa.binary()), "runs": pa.array([runs.tobytes()], pa.binary()),
                                     "low": pa.array([x.min(0)], pa.list_(pa.float64())), "high": pa.array([x.max(0)], pa.list_(pa.float64()))})
 
         for b in batches:
@@ -161,7 +197,7 @@ def build_index(rows: DataFrame, leaf_rows: int = LEAF_ROWS, sample_rows: int =
 
     ordered = dealt.repartition(max(1, min(first, -(-n // 50_000))), "bucket").sortWithinPartitions("bucket")
     blocks = written(ordered.mapInArrow(
-        pack, "bucket long, ids binary, labels binary, points binary, low array<double>, high array<double>"), "knn-blocks")
+        pack, "bucket long, ids binary, labels binary, points binary, runs binary, low array<double>, high array<double>"), "knn-blocks")
     return blocks, boxes_of(blocks)
 
 
@@ -190,6 +226,7 @@ class Hierarchy:
             low, high = self.levels[-1]
             empty = ~np.isfinite(low)  # a bucket without rows widens no box
             self.levels.append((np.fmin.reduceat(low, at), np.fmax.reduceat(np.where(empty, -np.inf, high), at)))
+        self.columns = [(low.T.copy(), high.T.copy()) for low, high in self.levels]
 
     def _under(self, level: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``node``, child) of all children."""
@@ -198,28 +235,48 @@ class Hierarchy:
         return place, child[place, j]
 
     def _far(self, level: int, x: np.ndarray, node: np.ndarray, p: int) -> np.ndarray:
-        low, high = self.levels[level]
-        return _sums((np.maximum(np.maximum(low[node, j] - x[:, j], x[:, j] - high[node, j]), 0.0) for j in range(x.shape[1])), p)
+        low, high = self.columns[level]
+        return _sums((_outside(low[j].take(node), high[j].take(node), x[:, j]) for j in range(x.shape[1])), p)
 
     def home(self, x: np.ndarray, p: int) -> np.ndarray:
-        """A near bucket per query, by the nearest child at every level; -1 for a query without a place."""
-        top = len(self.levels) - 1
-        q, node = (a.ravel() for a in np.meshgrid(np.arange(len(x)), np.arange(len(self.levels[top][0])), indexing="ij"))
-        for level in range(top, -1, -1):
-            far = self._far(level, x[q], node, p)
-            far[np.isnan(far)] = np.inf
-            order = np.lexsort((node, far, q))
-            first = order[np.searchsorted(q[order], np.arange(len(x)))]
-            best, reached = node[first], far[first]
-            if level:
-                q, node = self._under(level - 1, best)
-        return np.where(np.isfinite(reached), best, -1)
+        """The nearest bucket per query; -1 for a query without a place.  Most queries lie in a box; others get a limit from a walk down."""
+        out = np.full(len(x), -1)
+        self._nearest(x, np.arange(len(x)), np.zeros(len(x)), p, out)
+        rest = np.flatnonzero(out < 0)
+        reached = self._walk(x[rest], p)
+        has = np.isfinite(reached)
+        self._nearest(x, rest[has], reached[has], p, out)
+        return out
+
+    def _nearest(self, x: np.ndarray, rows: np.ndarray, limit: np.ndarray, p: int, out: np.ndarray) -> None:
+        q, node, far = self.within(x[rows], limit, p)
+        order = np.lexsort((node, far, q))
+        q, first = np.unique(q[order], return_index=True)
+        out[rows[q]] = node[order[first]]
+
+    def _walk(self, x: np.ndarray, p: int) -> np.ndarray:
+        """Distance to a near box: the nearest of the children of the ``FAN`` nearest nodes, level by level."""
+        best, rows = np.zeros((len(x), 1), int), np.arange(len(x))[:, None]
+        for level in range(len(self.levels) - 1, -1, -1):
+            n = len(self.levels[level][0])
+            child = (best[:, :, None] * FAN + np.arange(FAN)).reshape(len(x), best.shape[1] * FAN)
+            low, high = self.columns[level]
+            at = np.minimum(child, n - 1)
+            far = _sums((_outside(low[j].take(at), high[j].take(at), x[:, j:j + 1]) for j in range(x.shape[1])), p)
+            far[np.isnan(far) | (child >= n)] = np.inf
+            first = np.argsort(far, axis=1)[:, :FAN]
+            best, reached = child[rows, first], far[rows, first]
+        return reached[:, 0]
 
     def within(self, x: np.ndarray, limit: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, bucket, distance) of all boxes no farther than the query's limit."""
         top = len(self.levels) - 1
         q, node = (a.ravel() for a in np.meshgrid(np.arange(len(x)), np.arange(len(self.levels[top][0])), indexing="ij"))
         for level in range(top, -1, -1):
+            if len(q) > CELLS // FAN and len(x) > 1:  # little is ruled out: fewer queries at a time
+                half = len(x) // 2
+                a, b = self.within(x[:half], limit[:half], p), self.within(x[half:], limit[half:], p)
+                return tuple(np.concatenate(c) for c in ((a[0], b[0] + half), (a[1], b[1]), (a[2], b[2])))
             far = self._far(level, x[q], node, p)
             near = far <= limit[q]
             q, node, far = q[near], node[near], far[near]
@@ -229,7 +286,66 @@ class Hierarchy:
         return q, node, far
 
 
+class Rows:
+    """The rows of a bucket as runs of up to ``RUN`` with boxes, one array per dimension."""
+
+    def __init__(self, held):
+        self.ids, self.labels, points = (np.concatenate(c) for c in list(zip(*held))[:3])
+        first = np.cumsum([0, *(len(h[0]) for h in held)])
+        ends = np.concatenate([a + h[3] for a, h in zip(first, held)])
+        self.at = np.concatenate([[0], ends[:-1]])
+        self.low, self.high = np.minimum.reduceat(points, self.at).T.copy(), np.maximum.reduceat(points, self.at).T.copy()
+        place = self.at[:, None] + np.arange((ends - self.at).max())
+        gone = place >= ends[:, None]
+        place[gone] = 0
+        self.runs = points.T[:, place]  # (dimension, run, row); rows that are not there are at no distance
+        self.runs[:, gone] = np.nan
+        self.typical = max(1, len(points) // len(ends))
+
+    def _measured(self, x: np.ndarray, q: np.ndarray, run: np.ndarray, p: int) -> np.ndarray:
+        return _sums((self.runs[j].take(run, axis=0) - x[q, j][:, None] for j in range(x.shape[1])), p)
+
+    def nearest(self, x: np.ndarray, limit: np.ndarray, k: int, p: int):
+        """(query, distance, id, label) of the k nearest rows of each query that are no farther than its limit, in order."""
+        out, size = [], max(1, CACHED // max(len(self.at), RUN))
+        some = min(len(self.at), -(-2 * k // self.typical))  # so many runs should hold k rows
+        for i in range(0, len(x), size):
+            part, most = x[i:i + size], limit[i:i + size].copy()
+            far = _sums((_outside(self.low[j], self.high[j], part[:, j:j + 1]) for j in range(x.shape[1])), p)
+            far[np.isnan(far)] = 0.0
+            near = np.flatnonzero(far.min(1) <= most)
+            if k <= some * self.runs.shape[2] and len(near):
+                close = far[near].argmin(1)[:, None] if some == 1 else np.argsort(far[near], axis=1)[:, :some]
+                d = self._measured(part, np.repeat(near, some), close.ravel(), p).reshape(len(near), -1)
+                most[near] = np.fmin(most[near], np.partition(d, k - 1, axis=1)[:, k - 1])  # nan: fewer rows than k
+            q, run = np.nonzero(far <= most[:, None])
+            held = []
+            for j in range(0, len(q), CACHED // RUN):
+                mine, here = q[j:j + CACHED // RUN], run[j:j + CACHED // RUN]
+                d = self._measured(part, mine, here, p)
+                row, col = np.nonzero(d <= most[mine][:, None])
+                at = self.at[here[row]] + col
+                found = (mine[row] + i, d[row, col], self.ids[at], self.labels[at])
+                held.append(_first(found, k) if len(row) > CACHED // 8 else found)
+            if held:
+                out.append(_first(tuple(np.concatenate(c) for c in zip(*held)), k))
+        return tuple(np.concatenate(c) for c in zip(*out)) if out else NONE
+
+
+NONE = tuple(np.zeros(0, t) for t in (int, float, int, np.int32))
+
+
+def _first(found, k: int):
+    """The first k per query, in the order of (distance, id, label)."""
+    q, d, ids, labels = found
+    order = np.lexsort((labels, ids, d, q))
+    q = q[order]
+    keep = order[np.arange(len(q)) - np.searchsorted(q, q) < k]
+    return tuple(a[keep] for a in found)
+
+
 STATE = f"qid long, x array<double>, kth double, best {BEST}, home long, todo array<long>"
+BEST_ARROW = pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64()), ("label", pa.int32())]))
 
 
 def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, stats: dict | None = None) -> DataFrame:
@@ -237,70 +353,94 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
     (sum |dx|**p, id).  ``stats`` gets the number of visits and of buckets, for the curious."""
     tree = Hierarchy(boxes)
     n_buckets = len(boxes[0])
-    size = max(1, CELLS // (FAN * n_buckets))  # even if a query's limit rules nothing out
 
     def lists(owner: np.ndarray, buckets: np.ndarray, n: int) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(buckets, pa.int64()))
 
+    def following(home: np.ndarray, q, bucket, far, first: int, step: int) -> pa.Array:
+        """The boxes from place ``first`` on, by distance, at most ``step``; home was visited before."""
+        new = bucket != home[q]
+        q, bucket, far = q[new], bucket[new], far[new]
+        order = np.lexsort((bucket, far, q))
+        q, bucket = q[order], bucket[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        take = (rank >= first) & (rank < first + step)
+        return lists(q[take], bucket[take], len(home))
+
     def start(batches):
         for b in batches:
-            for i in range(0, b.num_rows, 4096):
-                part = b.slice(i, 4096)
-                home = tree.home(_matrix(part.column("x")), p)
-                has = np.flatnonzero(home >= 0)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("qid", "x", "kth", "best")), pa.array(home, pa.int64()),
-                                                  lists(has, home[has], len(home))], names=["qid", "x", "kth", "best", "home", "todo"])
+            for i in range(0, b.num_rows, 1024):
+                part = b.slice(i, 1024)
+                yield pa.RecordBatch.from_arrays([part.column("qid"), part.column("x"), pa.array(tree.home(_matrix(part.column("x")), p), pa.int64())],
+                                                 names=["qid", "x", "bucket"])
 
     def plan(first: int, step: int):
         def run(batches):
             for b in batches:
-                for i in range(0, b.num_rows, size):
-                    part = b.slice(i, size)
+                for i in range(0, b.num_rows, 1024):
+                    part = b.slice(i, 1024)
                     home = part.column("home").to_numpy()
-                    q, bucket, far = tree.within(_matrix(part.column("x")), part.column("kth").to_numpy(), p)
-                    new = bucket != home[q]
-                    q, bucket, far = q[new], bucket[new], far[new]
-                    order = np.lexsort((bucket, far, q))
-                    q, bucket = q[order], bucket[order]
-                    rank = np.arange(len(q)) - np.searchsorted(q, q)
-                    take = (rank >= first) & (rank < first + step)
+                    found = tree.within(_matrix(part.column("x")), part.column("kth").to_numpy(), p)
                     yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("qid", "x", "kth", "best", "home")),
-                                                      lists(q[take], bucket[take], len(home))], names=["qid", "x", "kth", "best", "home", "todo"])
+                                                      following(home, *found, first, step)], names=["qid", "x", "kth", "best", "home", "todo"])
         return run
 
-    def match(batches):
-        at, held = None, []
+    def compared(batches):
+        """(bucket, its visits, their points, what the bucket has for them), batch by batch."""
+        at, held, rows = None, [], None
         for b in batches:
             bucket, chunk, kind = (b.column(c).to_numpy() for c in ("bucket", "chunk", "kind"))
             key = bucket * (1 << 20) + chunk
             edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(kind) != 0)) + 1
             for i, j in zip([0, *edges], [*edges, len(key)]):
+                if key[i] != at:
+                    at, held, rows = key[i], [], None
                 if kind[i] == 0:
-                    if key[i] != at:
-                        at, held = key[i], []
                     for r in range(i, j):
                         ids = np.frombuffer(b.column("ids")[r].as_buffer(), np.int64)
+                        runs = b.column("runs")[r]  # an index that was saved without them is read in runs of its order
                         held.append((ids, np.frombuffer(b.column("labels")[r].as_buffer(), np.int32),
-                                     np.frombuffer(b.column("points")[r].as_buffer(), float).reshape(len(ids), -1)))
+                                     np.frombuffer(b.column("points")[r].as_buffer(), float).reshape(len(ids), -1),
+                                     np.frombuffer(runs.as_buffer(), np.int32) if runs.is_valid else np.array([*range(RUN, len(ids), RUN), len(ids)])))
                     continue
-                mine = b.slice(i, j - i)
-                yield from _compare(mine.column("qid"), _matrix(mine.column("x")), mine.column("kth").to_numpy(), held, k, p)
+                if held:  # a bucket may be without rows
+                    rows, held = Rows(held), []
+                for r in range(i, j, 1024):
+                    mine = b.slice(r, min(1024, j - r))
+                    x, kth = _matrix(mine.column("x")), mine.column("kth").to_numpy()
+                    yield bucket[i], mine, x, rows.nearest(x, kth, k, p) if rows else NONE
+
+    def best_lists(q, d, ids, labels, n: int) -> pa.Array:
+        values = pa.StructArray.from_arrays([pa.array(d), pa.array(ids, pa.int64()), pa.array(labels, pa.int32())], fields=list(BEST_ARROW.value_type))
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(q, np.arange(n + 1)), pa.int32()), values).cast(BEST_ARROW)
+
+    def at_home(batches):
+        for bucket, mine, x, (q, d, ids, labels) in compared(batches):
+            n = len(x)
+            last = np.searchsorted(q, np.arange(n), side="right") - 1
+            full = np.bincount(q, minlength=n) >= k
+            kth = np.where(full, d[last] if len(d) else np.inf, np.inf)
+            home = np.full(n, bucket)
+            yield pa.RecordBatch.from_arrays(
+                [mine.column("qid"), mine.column("x"), pa.array(kth), best_lists(q, d, ids, labels, n), pa.array(home, pa.int64()),
+                 following(home, *tree.within(x, kth, p), 0, 3)], names=["qid", "x", "kth", "best", "home", "todo"])
 
-    begun = queries.select("qid", "x", F.lit(float("inf")).alias("kth"), F.expr(f"cast(array() as {BEST})").alias("best"))
-    state = written(begun.mapInArrow(start, STATE), "knn-state")
-    first, step, done = 0, 3, []
-    while True:
-        done.append(state.where(F.size("todo") == 0).select("qid", "best"))
-        state = state.where(F.size("todo") > 0)
-        visits = state.select("qid", "x", "kth", F.explode("todo").alias("bucket"))
+    def match(batches):
+        for _, mine, x, found in compared(batches):
+            yield pa.RecordBatch.from_arrays([mine.column("qid"), best_lists(*found, len(x))], names=["qid", "found"])
+
+    def meeting(visits: DataFrame) -> DataFrame | None:
+        """Visits (qid, x, kth, bucket) behind the blocks of their buckets; None if there is no visit."""
         counts = [(r["bucket"], r["n"], -(-r["n"] // VISITS)) for r in visits.groupBy("bucket").agg(F.count("*").alias("n")).collect()]
         if not counts:
-            return reduce(DataFrame.unionByName, done)
+            return None
+        n = sum(c[1] for c in counts)
         if stats is not None:
-            stats["visits"] = stats.get("visits", 0) + sum(c[1] for c in counts)
+            stats["visits"] = stats.get("visits", 0) + n
             stats["buckets"] = n_buckets
-        chunks = F.broadcast(state.sparkSession.createDataFrame(counts, "bucket long, _n long, _chunks long"))
-        none = {"qid": "long", "x": "array<double>", "kth": "double", "ids": "binary", "labels": "binary", "points": "binary"}
+        spark = visits.sparkSession
+        chunks = F.broadcast(spark.createDataFrame(counts, "bucket long, _n long, _chunks long"))
+        none = {"qid": "long", "x": "array<double>", "kth": "double", "ids": "binary", "labels": "binary", "points": "binary", "runs": "binary"}
 
         def column(c, here):
             return F.col(c) if c in here else F.lit(None).cast(none[c]).alias(c)
@@ -308,36 +448,31 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
         left = visits.join(chunks, "bucket").select("bucket", F.pmod(F.xxhash64("qid"), "_chunks").alias("chunk"), F.lit(1).alias("kind"),
                                                     *[column(c, ("qid", "x", "kth")) for c in none])
         right = blocks.join(chunks, "bucket").select("*", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("chunk")) \
-            .select("bucket", F.col("chunk").cast("long"), F.lit(0).alias("kind"), *[column(c, ("ids", "labels", "points")) for c in none])
-        tasks = max(1, min(sum(c[2] for c in counts), -(-sum(c[1] for c in counts) // 5000)))
-        met = left.unionByName(right).repartition(tasks, "bucket", "chunk").sortWithinPartitions("bucket", "chunk", "kind")
-        found = met.mapInArrow(match, f"qid long, found {BEST}").groupBy("qid").agg(F.flatten(F.collect_list("found")).alias("found"))
-        state = state.join(found, "qid", "left").select(
-            "qid", "x", F.slice(F.sort_array(F.concat("best", F.coalesce("found", F.expr(f"cast(array() as {BEST})")))), 1, k).alias("best"), "home")
-        limit = F.when(F.size("best") >= k, F.element_at("best", -1)["d"]).otherwise(F.lit(float("inf")))
-        state = written(state.select("qid", "x", limit.alias("kth"), "best", "home").mapInArrow(plan(first, step), STATE), "knn-state")
-        first, step = first + step, step * 2
-
-
-def _compare(qids, x: np.ndarray, kth: np.ndarray, held, k: int, p: int):
-    """The k nearest of the held rows for each visit that are no farther than ``kth``."""
-    kind = pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64()), ("label", pa.int32())]))
-    ids, labels, points = (np.concatenate(c) for c in zip(*held))
-    size = max(1, CELLS // len(ids))
-    for i in range(0, len(x), size):
-        part, limit = x[i:i + size], kth[i:i + size].copy()
-        d = _sums((part[:, j:j + 1] - points[:, j] for j in range(points.shape[1])), p)
-        if k < len(ids):
-            limit = np.minimum(limit, np.partition(d, k - 1, axis=1)[:, k - 1])
-        row, col = np.nonzero(d <= limit[:, None])
-        order = np.lexsort((ids[col], d[row, col], row))
-        row, col = row[order], col[order]
-        start = np.searchsorted(row, np.arange(len(part)))
-        keep = np.arange(len(row)) - start[row] < k
-        row, col = row[keep], col[keep]
-        offsets = np.searchsorted(row, np.arange(len(part) + 1))
-        values = pa.StructArray.from_arrays([pa.array(d[row, col]), pa.array(ids[col]), pa.array(labels[col])], fields=list(kind.value_type))
-        yield pa.RecordBatch.from_arrays([qids.slice(i, size), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values).cast(kind)], names=["qid", "found"])
+            .select("bucket", F.col("chunk").cast("long"), F.lit(0).alias("kind"), *[column(c, blocks.columns) for c in none])
+        dealt = sum(c[2] for c in counts)
+        wide = max(-(-n // TASK_VISITS), -(-dealt // TASK_BUCKETS), min(2 * spark.sparkContext.defaultParallelism, -(-n // 2000)))
+        tasks = max(1, min(dealt, wide))
+        return left.unionByName(right).repartition(tasks, "bucket", "chunk").sortWithinPartitions("bucket", "chunk", "kind")
+
+    begun = written(queries.select("qid", "x").mapInArrow(start, "qid long, x array<double>, bucket long"), "knn-homes")
+    nothing = F.expr(f"cast(array() as {BEST})")
+    done = [begun.where(F.col("bucket") < 0).select("qid", nothing.alias("best"))]
+    met = meeting(begun.where(F.col("bucket") >= 0).select("qid", "x", F.lit(float("inf")).alias("kth"), "bucket"))
+    first, step = 3, 6
+    while met is not None:
+        if len(done) == 1:
+            state = written(met.mapInArrow(at_home, STATE), "knn-state")
+        else:
+            found = met.mapInArrow(match, f"qid long, found {BEST}").groupBy("qid").agg(F.flatten(F.collect_list("found")).alias("found"))
+            state = state.join(found, "qid", "left").select(
+                "qid", "x", F.slice(F.sort_array(F.concat("best", F.coalesce("found", nothing))), 1, k).alias("best"), "home")
+            limit = F.when(F.size("best") >= k, F.element_at("best", -1)["d"]).otherwise(F.lit(float("inf")))
+            state = written(state.select("qid", "x", limit.alias("kth"), "best", "home").mapInArrow(plan(first, step), STATE), "knn-state")
+            first, step = first + step, step * 2
+        done.append(state.where(F.size("todo") == 0).select("qid", "best"))
+        state = state.where(F.size("todo") > 0)
+        met = meeting(state.select("qid", "x", "kth", F.explode("todo").alias("bucket")))
+    return reduce(DataFrame.unionByName, done)
 
 
 def votes(best, weights: str = "uniform", p: int = 2):

@@ -109,3 +109,81 @@ def test_plan_has_no_cross_join(spark):
     best = KN.nearest(blocks, boxes, rows.select(F.col("id").alias("qid"), "x"), 3)
     plan = best._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def mixed(n, seed):
+    """Few-valued columns beside two wide ones, as features of subjects are."""
+    rng = random.Random(seed)
+    return [[float(rng.randint(0, 2)), float(rng.randint(0, 1)), float(rng.randint(0, 3)), round(rng.gauss(0, 1), 3), round(rng.uniform(0, 4), 3)] for _ in range(n)]
+
+
+def test_a_visit_measures_few_rows_of_its_bucket():
+    import numpy as np
+    x, q = np.array(mixed(8000, 1)), np.array(mixed(300, 2))
+    order, ends = KN.kd_order(x)
+    assert sorted(order) == list(range(8000)) and ends[-1] == 8000 and np.diff([0, *ends]).min() > 0 and np.diff([0, *ends]).max() <= KN.RUN
+    rows = KN.Rows([(np.arange(8000)[order], np.zeros(8000, np.int32), x[order], ends)])
+    measured, measure = [], rows._measured
+    rows._measured = lambda part, at, run, p: (measured.append(len(run)), measure(part, at, run, p))[1]
+    at, d, ids, _ = rows.nearest(q, np.full(300, np.inf), 5, 2)
+    every = KN._sums((q[:, j:j + 1] - x[:, j] for j in range(5)), 2)
+    assert ids.reshape(300, 5).tolist() == [np.lexsort((np.arange(8000), e))[:5].tolist() for e in every]
+    assert (at.reshape(300, 5).T == np.arange(300)).all() and (d.reshape(300, 5) == np.sort(every, 1)[:, :5]).all()
+    assert sum(measured) * KN.RUN < 0.1 * 300 * 8000  # all of them before
+
+
+def test_home_is_the_nearest_box_and_few_are_looked_at():
+    import numpy as np
+    x = np.array(mixed(20000, 3))
+    tree = KN.KdTree(x, 1000)
+    leaf = tree.leaf_of(x)
+    low, high = (np.array([f(x[leaf == i], axis=0) for i in range(tree.n_leaves)]) for f in (np.min, np.max))
+    q = np.array(mixed(200, 4) + [[9.0, 9.0, 9.0, 9.0, float(i)] for i in range(20)] + [[float("nan")] * 5])
+    h = KN.Hierarchy((low, high))
+    far = h._far
+    looked = []
+    h._far = lambda level, points, node, p: (looked.append(len(node)), far(level, points, node, p))[1]
+    home = h.home(q, 2)
+    every = KN._sums((KN._outside(low[:, j], high[:, j], q[:-1, j:j + 1]) for j in range(5)), 2)
+    assert home[-1] == -1 and home[:-1].tolist() == every.argmin(1).tolist()
+    assert sum(looked) < 0.3 * len(q) * tree.n_leaves
+
+
+@pytest.mark.parametrize("k,p,leaf_rows", [(5, 2, 60), (100, 1, 400), (3, 2, 10_000)])
+def test_mixed_columns_ties_and_a_k_beyond_a_run(spark, k, p, leaf_rows):
+    points = mixed(900, 5)
+    train = [(i, i % 2, x) for i, x in enumerate(points + points[:100] + [points[0]] * 200)]
+    queries = list(enumerate(mixed(60, 6) + points[:20]))
+    stats = {}
+    assert run(spark, train, queries, k, p, leaf_rows, stats) == brute(train, queries, k, p)
+
+
+def test_an_index_saved_without_runs_is_read(spark):
+    train = [(i, i % 2, x) for i, x in enumerate(mixed(500, 7))]
+    queries = list(enumerate(mixed(30, 8)))
+    blocks, boxes = KN.build_index(spark.createDataFrame(train, "id long, label int, x array<double>"), 50)
+    q = spark.createDataFrame(queries, "qid long, x array<double>")
+    got = {r["qid"]: [tuple(b) for b in r["best"]] for r in KN.nearest(blocks.drop("runs"), boxes, q, 5).collect()}
+    assert got == brute(train, queries, 5, 2)
+
+
+def test_most_queries_visit_one_bucket(spark):
+    """A few rounds of jobs over all buckets would visit several a query."""
+    train = [(i, i % 2, x) for i, x in enumerate(mixed(6000, 9))]
+    queries = list(enumerate(mixed(400, 10)))
+    stats = {}
+    assert run(spark, train, queries, 3, 2, 600, stats) == brute(train, queries, 3, 2)
+    assert stats["visits"] < 2 * len(queries)
+
+
+def test_a_bucket_without_rows_gives_no_neighbours(spark):
+    """Visits of it don't meet the rows of the bucket before, and a home with few rows still leads to all others."""
+    train = [(i, i % 2, x) for i, x in enumerate(mixed(300, 11))]
+    queries = list(enumerate(mixed(20, 12)))
+    blocks, (low, high) = KN.build_index(spark.createDataFrame(train, "id long, label int, x array<double>"), 30)
+    low[3], high[3] = float("inf"), float("inf")
+    gone = {i for r in blocks.where("bucket = 3").collect() for i in memoryview(r["ids"]).cast("q")}
+    assert gone
+    q = spark.createDataFrame(queries, "qid long, x array<double>")
+    got = {r["qid"]: [tuple(b) for b in r["best"]] for r in KN.nearest(blocks.where("bucket <> 3"), (low, high), q, 290).collect()}
+    assert got == brute([t for t in train if t[0] not in gone], queries, 290, 2)
