@@ -344,13 +344,14 @@ def _first(found, k: int):
     return tuple(a[keep] for a in found)
 
 
-STATE = f"qid long, x array<double>, kth double, best {BEST}, home long, todo array<long>"
+STATE = f"qid long, row long, x array<double>, kth double, best {BEST}, home long, todo array<long>"
 BEST_ARROW = pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64()), ("label", pa.int32())]))
 
 
 def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, stats: dict | None = None) -> DataFrame:
-    """``queries``: qid long (distinct), x array<double>.  Returns qid and best (``BEST``): the k nearest rows in order of
-    (sum |dx|**p, id).  ``stats`` gets the number of visits and of buckets, for the curious."""
+    """``queries``: qid long, x array<double>.  Returns qid and best (``BEST``) per query: the k nearest rows in order of
+    (sum |dx|**p, id).  Queries with the same qid share what they find: each gets the k nearest of all their (query, row) pairs.  A query
+    without a qid gets none.  ``stats`` gets the number of visits and of buckets, for the curious."""
     tree = Hierarchy(boxes)
     n_buckets = len(boxes[0])
 
@@ -371,8 +372,8 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)
-                yield pa.RecordBatch.from_arrays([part.column("qid"), part.column("x"), pa.array(tree.home(_matrix(part.column("x")), p), pa.int64())],
-                                                 names=["qid", "x", "bucket"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("qid", "row", "x")), pa.array(tree.home(_matrix(part.column("x")), p), pa.int64())],
+                                                 names=["qid", "row", "x", "bucket"])
 
     def plan(first: int, step: int):
         def run(batches):
@@ -381,8 +382,8 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
                     part = b.slice(i, 1024)
                     home = part.column("home").to_numpy()
                     found = tree.within(_matrix(part.column("x")), part.column("kth").to_numpy(), p)
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("qid", "x", "kth", "best", "home")),
-                                                      following(home, *found, first, step)], names=["qid", "x", "kth", "best", "home", "todo"])
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("qid", "row", "x", "kth", "best", "home")),
+                                                      following(home, *found, first, step)], names=["qid", "row", "x", "kth", "best", "home", "todo"])
         return run
 
     def compared(batches):
@@ -422,15 +423,15 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
             kth = np.where(full, d[last] if len(d) else np.inf, np.inf)
             home = np.full(n, bucket)
             yield pa.RecordBatch.from_arrays(
-                [mine.column("qid"), mine.column("x"), pa.array(kth), best_lists(q, d, ids, labels, n), pa.array(home, pa.int64()),
-                 following(home, *tree.within(x, kth, p), 0, 3)], names=["qid", "x", "kth", "best", "home", "todo"])
+                [*(mine.column(c) for c in ("qid", "row", "x")), pa.array(kth), best_lists(q, d, ids, labels, n), pa.array(home, pa.int64()),
+                 following(home, *tree.within(x, kth, p), 0, 3)], names=["qid", "row", "x", "kth", "best", "home", "todo"])
 
     def match(batches):
         for _, mine, x, found in compared(batches):
-            yield pa.RecordBatch.from_arrays([mine.column("qid"), best_lists(*found, len(x))], names=["qid", "found"])
+            yield pa.RecordBatch.from_arrays([mine.column("row"), best_lists(*found, len(x))], names=["row", "found"])
 
     def meeting(visits: DataFrame) -> DataFrame | None:
-        """Visits (qid, x, kth, bucket) behind the blocks of their buckets; None if there is no visit."""
+        """Visits (qid, row, x, kth, bucket) behind the blocks of their buckets; None if there is no visit."""
         counts = [(r["bucket"], r["n"], -(-r["n"] // VISITS)) for r in visits.groupBy("bucket").agg(F.count("*").alias("n")).collect()]
         if not counts:
             return None
@@ -440,13 +441,13 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
             stats["buckets"] = n_buckets
         spark = visits.sparkSession
         chunks = F.broadcast(spark.createDataFrame(counts, "bucket long, _n long, _chunks long"))
-        none = {"qid": "long", "x": "array<double>", "kth": "double", "ids": "binary", "labels": "binary", "points": "binary", "runs": "binary"}
+        none = {"qid": "long", "row": "long", "x": "array<double>", "kth": "double", "ids": "binary", "labels": "binary", "points": "binary", "runs": "binary"}
 
         def column(c, here):
             return F.col(c) if c in here else F.lit(None).cast(none[c]).alias(c)
 
-        left = visits.join(chunks, "bucket").select("bucket", F.pmod(F.xxhash64("qid"), "_chunks").alias("chunk"), F.lit(1).alias("kind"),
-                                                    *[column(c, ("qid", "x", "kth")) for c in none])
+        left = visits.join(chunks, "bucket").select("bucket", F.pmod(F.xxhash64("row"), "_chunks").alias("chunk"), F.lit(1).alias("kind"),
+                                                    *[column(c, ("qid", "row", "x", "kth")) for c in none])
         right = blocks.join(chunks, "bucket").select("*", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("chunk")) \
             .select("bucket", F.col("chunk").cast("long"), F.lit(0).alias("kind"), *[column(c, blocks.columns) for c in none])
         dealt = sum(c[2] for c in counts)
@@ -454,25 +455,32 @@ def nearest(blocks: DataFrame, boxes, queries: DataFrame, k: int, p: int = 2, st
         tasks = max(1, min(dealt, wide))
         return left.unionByName(right).repartition(tasks, "bucket", "chunk").sortWithinPartitions("bucket", "chunk", "kind")
 
-    begun = written(queries.select("qid", "x").mapInArrow(start, "qid long, x array<double>, bucket long"), "knn-homes")
+    begun = written(queries.select("qid", F.monotonically_increasing_id().alias("row"), "x")
+                    .mapInArrow(start, "qid long, row long, x array<double>, bucket long"), "knn-homes")  # numbers settle as they are written
     nothing = F.expr(f"cast(array() as {BEST})")
-    done = [begun.where(F.col("bucket") < 0).select("qid", nothing.alias("best"))]
-    met = meeting(begun.where(F.col("bucket") >= 0).select("qid", "x", F.lit(float("inf")).alias("kth"), "bucket"))
+    placed = F.col("qid").isNotNull() & (F.col("bucket") >= 0)
+    done = [begun.where(~placed).select("qid", nothing.alias("best"))]
+    met = meeting(begun.where(placed).select("qid", "row", "x", F.lit(float("inf")).alias("kth"), "bucket"))
     first, step = 3, 6
     while met is not None:
         if len(done) == 1:
             state = written(met.mapInArrow(at_home, STATE), "knn-state")
         else:
-            found = met.mapInArrow(match, f"qid long, found {BEST}").groupBy("qid").agg(F.flatten(F.collect_list("found")).alias("found"))
-            state = state.join(found, "qid", "left").select(
-                "qid", "x", F.slice(F.sort_array(F.concat("best", F.coalesce("found", nothing))), 1, k).alias("best"), "home")
+            found = met.mapInArrow(match, f"row long, found {BEST}").groupBy("row").agg(F.flatten(F.collect_list("found")).alias("found"))
+            state = state.join(found, "row", "left").select(
+                "qid", "row", "x", F.slice(F.sort_array(F.concat("best", F.coalesce("found", nothing))), 1, k).alias("best"), "home")
             limit = F.when(F.size("best") >= k, F.element_at("best", -1)["d"]).otherwise(F.lit(float("inf")))
-            state = written(state.select("qid", "x", limit.alias("kth"), "best", "home").mapInArrow(plan(first, step), STATE), "knn-state")
+            state = written(state.select("qid", "row", "x", limit.alias("kth"), "best", "home").mapInArrow(plan(first, step), STATE), "knn-state")
             first, step = first + step, step * 2
         done.append(state.where(F.size("todo") == 0).select("qid", "best"))
         state = state.where(F.size("todo") > 0)
-        met = meeting(state.select("qid", "x", "kth", F.explode("todo").alias("bucket")))
-    return reduce(DataFrame.unionByName, done)
+        met = meeting(state.select("qid", "row", "x", "kth", F.explode("todo").alias("bucket")))
+    out = reduce(DataFrame.unionByName, done)
+    again = begun.where("qid is not null").groupBy("qid").agg(F.count("*").alias("_n")).where("_n > 1").select("qid")
+    if again.isEmpty():
+        return out
+    shared = out.join(again, "qid", "left_semi").groupBy("qid").agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("_shared"))
+    return out.join(shared, "qid", "left").select("qid", F.coalesce("_shared", "best").alias("best"))
 
 
 def votes(best, weights: str = "uniform", p: int = 2):

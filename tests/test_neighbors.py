@@ -187,3 +187,14 @@ def test_a_bucket_without_rows_gives_no_neighbours(spark):
     q = spark.createDataFrame(queries, "qid long, x array<double>")
     got = {r["qid"]: [tuple(b) for b in r["best"]] for r in KN.nearest(blocks.where("bucket <> 3"), (low, high), q, 290).collect()}
     assert got == brute([t for t in train if t[0] not in gone], queries, 290, 2)
+
+
+def test_repeated_and_missing_query_ids(spark):
+    """Queries of one id share their pairs, as the SQL's partition by id does; a query without an id finds nothing."""
+    train = [(i, i % 2, x) for i, x in enumerate(mixed(400, 13))]
+    q = mixed(12, 14)
+    blocks, boxes = KN.build_index(spark.createDataFrame(train, "id long, label int, x array<double>"), 40)
+    rows = [(1, q[0]), (1, q[0]), (2, q[1]), (2, q[2]), (3, q[3]), (None, q[4])]
+    got = KN.nearest(blocks, boxes, spark.createDataFrame(rows, "qid long, x array<double>"), 5).collect()
+    want = {i: sorted(sum((brute(train, [(0, x)], 5, 2)[0] for j, x in rows if j == i), []))[:5] for i in (1, 2, 3)}
+    assert sorted((r["qid"] or 0, [tuple(b) for b in r["best"]]) for r in got) == sorted((i or 0, want.get(i, [])) for i, _ in rows)
